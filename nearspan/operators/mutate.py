@@ -36,7 +36,7 @@ def upsert(
     ``on`` adds columns that both sides share and that depend on the key, such as a bucket.
     """
     fresh = latest(updates, key, seq)
-    stay = base.join(fresh.select(key, *on), [key, *on], "left_anti")
+    stay = base.join(broadcast_if_small(updates.select(key, *on).distinct()), [key, *on], "left_anti")
     return stay.select(base.columns).unionByName(fresh.select(base.columns))
 
 

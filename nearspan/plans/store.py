@@ -12,8 +12,10 @@ from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
 from nearspan.operators import ivf, lookup, mutate
 from nearspan.operators.knn import nearest_join
 from nearspan.operators.mmr import DEFAULT_LAMBDA, default_candidates, rerank
+from nearspan.operators.sizing import broadcast_if_small
 from nearspan.operators.vector_table import assert_writable, rebuilt_rows, stable_columns, vector_table
 from nearspan.schema import TableConfig, check_count, check_name
+from nearspan.sources.files import children
 from nearspan.sources.snapshots import SnapshotTable
 
 MODES = ("default", "mmr")
@@ -148,7 +150,8 @@ class VectorStore:
             fresh = mutate.latest(table, key, seq)
             touched = self.table.touched_by(table.select(key))
             before = self.table.read(touched)
-            stay = before.join(fresh.select(key), key, "left_anti").select(self.config.schema.names)
+            stay = before.join(broadcast_if_small(table.select(key).distinct()), key, "left_anti")
+            stay = stay.select(self.config.schema.names)
             held = sum(b.n_rows for n, b in self.table.state().items() if n not in touched)
             written = self.table.replace(stay.unionByName(fresh.select(self.config.schema.names)), touched)
             return held + written
@@ -200,8 +203,6 @@ class VectorStore:
     # Index
 
     def _index_paths(self) -> list[str]:
-        from nearspan.sources.files import children
-
         return [f"{self.path}/index/{n}" for n in children(self.spark, f"{self.path}/index")]
 
     def find_index(self) -> ivf.IvfIndex | None:
@@ -218,7 +219,7 @@ class VectorStore:
         check_name(index_name, "index name")
         if metric is not None and metric != self.config.metric:
             raise ValueError(f"the table uses {self.config.metric}, an index for {metric} would not serve it")
-        number = len(self._index_paths()) + 1
+        number, generation = len(self._index_paths()) + 1, self.table.generation()
         return ivf.build_index(
             self.rows(),
             f"{self.path}/index/{number:06d}-{index_name}",
@@ -228,7 +229,7 @@ class VectorStore:
             index_name=index_name,
             node_id=self.config.node_id_column,
             embedding=self.config.embedding_column,
-            source_generation=self.table.generation(),
+            source_generation=generation,
         )
 
     def drop_vector_index(self) -> bool:

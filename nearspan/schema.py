@@ -18,22 +18,32 @@ MAX_NAME_LENGTH = 64
 DEFAULT_DIM = 1536
 METRICS = ("cosine", "euclidean", "inner_product")
 
-# Declared SQL type names that Spark's DDL parser does not know.
+# Spark type of each declared SQL type name.
 SQL_TYPES = {
-    "bool": "boolean",
-    "char": "string",
-    "datetime": "timestamp",
-    "enum": "string",
-    "integer": "int",
-    "json": "string",
-    "longtext": "string",
-    "mediumint": "int",
-    "mediumtext": "string",
-    "numeric": "decimal",
-    "text": "string",
-    "tinytext": "string",
-    "varchar": "string",
+    "bigint": T.LongType(),
+    "bool": T.BooleanType(),
+    "boolean": T.BooleanType(),
+    "char": T.StringType(),
+    "date": T.DateType(),
+    "datetime": T.TimestampType(),
+    "double": T.DoubleType(),
+    "enum": T.StringType(),
+    "float": T.FloatType(),
+    "int": T.IntegerType(),
+    "integer": T.IntegerType(),
+    "json": T.StringType(),
+    "longtext": T.StringType(),
+    "mediumint": T.IntegerType(),
+    "mediumtext": T.StringType(),
+    "smallint": T.ShortType(),
+    "string": T.StringType(),
+    "text": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "tinyint": T.ByteType(),
+    "tinytext": T.StringType(),
+    "varchar": T.StringType(),
 }
+DECIMAL_TYPES = ("decimal", "numeric")
 
 
 def check_name(name: str, what: str = "name") -> str:
@@ -61,16 +71,14 @@ def check_count(value: int, what: str, low: int = 1, high: int | None = None) ->
 
 def spark_type(declared: str) -> T.DataType:
     """Spark type of a declared SQL type such as ``VARCHAR(64)`` or ``DECIMAL(10,2)``."""
-    match = re.fullmatch(r"\s*([a-zA-Z]+)\s*(\(.*\))?\s*(unsigned)?\s*", declared, re.IGNORECASE)
-    if not match:
-        raise ValueError(f"unknown column type {declared!r}")
-    base, args = match.group(1).lower(), match.group(2) or ""
-    known = SQL_TYPES.get(base, base)
-    ddl = known + args if known == "decimal" else known
-    try:
-        return T.DataType.fromDDL(ddl)
-    except Exception as error:
-        raise ValueError(f"unknown column type {declared!r}") from error
+    match = re.fullmatch(r"\s*([a-zA-Z]+)\s*(?:\((.*)\))?\s*(?:unsigned)?\s*", declared, re.IGNORECASE)
+    base = match.group(1).lower() if match else None
+    if base in SQL_TYPES:
+        return SQL_TYPES[base]
+    if base in DECIMAL_TYPES:
+        digits = [int(x) for x in (match.group(2) or "10,0").split(",")]
+        return T.DecimalType(*digits)
+    raise ValueError(f"unknown column type {declared!r}")
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +62,8 @@ def distance(left: Column, right: Column, metric: str) -> Column:
 
 
 def distance_to(vector: Column, point: Sequence[float], metric: str) -> Column:
-    """Distance to one constant vector; its norm is computed once, here."""
-    values = [float(x) for x in point]
+    """Distance to one constant vector, kept in single precision like a stored one."""
+    values = np.asarray(point, dtype=np.float32).astype(float).tolist()
     target = F.array(*[F.lit(x) for x in values])
     if metric == "cosine":
         length = math.sqrt(math.fsum(x * x for x in values))

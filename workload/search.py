@@ -171,7 +171,7 @@ def _ranked_sql(body: str, metric: str, k: int = K, qid: str = "qid") -> str:
 PAIRS_SQL = f"WITH {VECTORS_SQL}, p AS (SELECT q.id AS qid, v.id, q.e AS a, v.e AS b FROM v AS q, v)"
 MEAN_SQL = (
     f"WITH {VECTORS_SQL}, m AS (SELECT i, avg(x) AS x FROM (SELECT unnest(e) AS x, generate_subscripts(e, 1) AS i"
-    " FROM v) GROUP BY i), p AS (SELECT 0 AS qid, v.id, (SELECT list(x ORDER BY i) FROM m) AS a, v.e AS b FROM v)"
+    " FROM v) GROUP BY i), p AS (SELECT 0 AS qid, v.id, (SELECT CAST(CAST(list(x ORDER BY i) AS FLOAT[]) AS DOUBLE[]) FROM m) AS a, v.e AS b FROM v)"
 )
 
 

@@ -1,13 +1,14 @@
 """Tables on plain Parquet that change by whole buckets.
 
 Every change is a new generation.  It writes the buckets it touches to a fresh folder and then one
-small commit that lists them; a reader takes, per bucket, the newest committed generation.  Files
-that a running job reads are never overwritten, a failed job leaves the table as it was, and a
-change costs as much as the buckets it touches.
+small commit that says, for every bucket, which folder holds its rows.  A reader takes the newest
+commit.  Files that a running job reads are never overwritten, a failed job leaves the table as it
+was, and a change costs as much as the buckets it touches.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,12 +18,12 @@ from pyspark.sql import types as T
 from nearspan.schema import check_count
 from nearspan.sources.files import children, exists, remove
 
-COMMIT_SCHEMA = "gen long, bucket int, n_rows long, n_buckets int"
+COMMIT_SCHEMA = "bucket int, folder string, n_rows long"
 
 
 @dataclass(frozen=True)
 class Bucket:
-    gen: int
+    folder: str
     n_rows: int
 
 
@@ -35,65 +36,69 @@ class SnapshotTable:
         self.schema = schema
         self.key = key
         self.buckets = check_count(buckets, "buckets")
+        self._known: tuple[int, dict[int, Bucket]] = (0, {})
 
     def bucket_of(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def exists(self) -> bool:
-        return bool(children(self.spark, f"{self.root}/commits"))
-
     def generation(self) -> int:
         """Newest committed generation, 0 for a table that was never written."""
-        return max((int(n.split("=")[1]) for n in children(self.spark, f"{self.root}/commits")), default=0)
+        names = children(self.spark, f"{self.root}/commits")
+        for number in sorted((int(n.split("=")[1]) for n in names), reverse=True):
+            # A commit is one file, which appears whole or not at all.
+            if children(self.spark, f"{self.root}/commits/gen={number}"):
+                return number
+        return 0
 
     def state(self) -> dict[int, Bucket]:
-        """Per bucket where its rows are; at most one entry per bucket reaches the driver."""
-        if not self.exists():
-            return {}
-        commits = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/*")
-        newest = commits.groupBy("bucket").agg(
-            F.max_by(F.struct("gen", "n_rows", "n_buckets"), "gen").alias("last")
-        )
-        found = {r["bucket"]: r["last"] for r in newest.collect()}
-        if any(last["n_buckets"] != self.buckets for last in found.values()):
-            raise ValueError(f"the table at {self.root} was written with another number of buckets")
-        return {b: Bucket(last["gen"], last["n_rows"]) for b, last in found.items()}
+        """Per bucket where its rows are; one entry per bucket reaches the driver."""
+        current = self.generation()
+        if current != self._known[0]:
+            commit = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.root}/commits/gen={current}")
+            self._known = current, {r["bucket"]: Bucket(r["folder"], r["n_rows"]) for r in commit.collect()}
+        known = self._known[1]
+        if known and len(known) != self.buckets:
+            raise ValueError(f"the table at {self.root} has {len(known)} buckets, not {self.buckets}")
+        return dict(known)
 
     def count(self) -> int:
-        """Rows of the table, from the commits alone."""
+        """Rows of the table, from the newest commit alone."""
         return sum(b.n_rows for b in self.state().values())
 
     def read(self, buckets: set[int] | None = None) -> DataFrame:
         """The current rows, or those of some buckets, with their ``bucket``."""
-        state = self.state()
         paths = [
-            f"{self.root}/data/gen={b.gen}/bucket={n}"
-            for n, b in sorted(state.items())
+            f"{self.root}/data/gen={b.folder}/bucket={n}"
+            for n, b in sorted(self.state().items())
             if b.n_rows and (buckets is None or n in buckets)
         ]
-        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+        names = [*self.schema.names, "bucket"]
+        stored = T.StructType([*self.schema.fields, T.StructField("gen", T.StringType()), _BUCKET])
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths).select(schema.names)
+            return self.spark.createDataFrame([], T.StructType([*self.schema.fields, _BUCKET]))
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
+        return reader.parquet(*paths).select(names)
 
     def replace(self, rows: DataFrame, touched: set[int] | None = None) -> int:
         """Commit ``rows`` as the new content of the touched buckets (all by default); row count."""
+        state = self.state()
         touched = set(range(self.buckets)) if touched is None else touched
         if not touched:
             return 0
-        gen = self.generation() + 1
-        folder = f"{self.root}/data/gen={gen}"
-        if exists(self.spark, folder) and gen not in self._generations():
-            # Left behind by a job that failed before its commit.
-            remove(self.spark, folder)
-        names = self.schema.names
-        placed = rows.select(*names, self.bucket_of(F.col(self.key)).alias("bucket"))
-        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(folder)
-        counts = self._written(folder)
-        entries = [(gen, b, counts.get(b, 0), self.buckets) for b in sorted(touched)]
+        number = self.generation() + 1
+        folder = f"{number}-{uuid.uuid4().hex}"
+        path = f"{self.root}/data/gen={folder}"
+        placed = rows.select(*self.schema.names, self.bucket_of(F.col(self.key)).alias("bucket"))
+        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        counts = self._written(path)
+        for bucket in range(self.buckets):
+            if bucket in touched or bucket not in state:
+                state[bucket] = Bucket(folder, counts.get(bucket, 0))
+        entries = [(n, b.folder, b.n_rows) for n, b in sorted(state.items())]
         commit = self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
-        commit.write.json(f"{self.root}/commits/gen={gen}")
+        # Fails when another writer has committed this generation meanwhile.
+        commit.write.json(f"{self.root}/commits/gen={number}")
+        self._known = number, state
         return sum(counts.values())
 
     def clear(self) -> None:
@@ -103,18 +108,18 @@ class SnapshotTable:
     def drop(self) -> None:
         if exists(self.spark, self.root):
             remove(self.spark, self.root)
+        self._known = 0, {}
 
     def touched_by(self, keys: DataFrame) -> set[int]:
         """Buckets that hold the keys of a frame; at most one row per bucket reaches the driver."""
         found = keys.select(self.bucket_of(F.col(self.key)).alias("bucket")).distinct().collect()
         return {r["bucket"] for r in found}
 
-    def _generations(self) -> set[int]:
-        return {int(n.split("=")[1]) for n in children(self.spark, f"{self.root}/commits")}
-
-    def _written(self, folder: str) -> dict[int, int]:
-        if not children(self.spark, folder):
+    def _written(self, path: str) -> dict[int, int]:
+        if not children(self.spark, path):
             return {}
-        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
-        rows = self.spark.read.schema(schema).parquet(folder)
+        rows = self.spark.read.schema(T.StructType([*self.schema.fields, _BUCKET])).parquet(path)
         return {r["bucket"]: r["n"] for r in rows.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+
+
+_BUCKET = T.StructField("bucket", T.IntegerType())

@@ -36,7 +36,7 @@ from nearspan.operators.knn import (
 from nearspan.schema import METRICS, check_count, check_name
 from nearspan.sources.files import exists, remove
 
-MAX_CELLS = 65_536
+MAX_CELLS = 16_384
 TRAIN_ROWS_PER_CELL = 256
 ALGORITHM = "IVF"
 INFO_SCHEMA = (
@@ -73,7 +73,13 @@ def unit(embedding: str, metric: str):
 
 
 def train_centroids(
-    corpus: DataFrame, n_cells: int, metric: str = "cosine", max_iter: int = 10, seed: int = 7, embedding: str = "embedding"
+    corpus: DataFrame,
+    n_cells: int,
+    metric: str = "cosine",
+    max_iter: int = 10,
+    seed: int = 7,
+    node_id: str = "node_id",
+    embedding: str = "embedding",
 ) -> DataFrame:
     """Centroids ``(cell, centroid)`` learnt by k-means.
 
@@ -81,15 +87,15 @@ def train_centroids(
     the number of cells, is enough to learn them from, and training does not grow with the table.
     """
     check_count(n_cells, "n_cells", 1, MAX_CELLS)
-    usable = corpus.where(F.col(embedding).isNotNull()).select(unit(embedding, metric).alias("v"))
+    usable = corpus.where(F.col(embedding).isNotNull())
     total = usable.count()
     if not total:
         raise ValueError("an index needs rows with embeddings")
     wanted = n_cells * TRAIN_ROWS_PER_CELL
     if total > 2 * wanted:
         share = max(2, total // wanted)
-        usable = usable.where(F.pmod(F.xxhash64("v"), F.lit(share)) == 0)
-    points = usable.select(array_to_vector("v").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
+        usable = usable.where(F.pmod(F.xxhash64(node_id), F.lit(share)) == 0)
+    points = usable.select(array_to_vector(unit(embedding, metric)).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, initMode="random").fit(points)
     finally:
@@ -106,7 +112,9 @@ def _gather_centroids(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table["cell"].to_numpy().astype(np.int32), matrix(table["centroid"])
 
 
-def assign_cells(rows: DataFrame, centroids: DataFrame, probes: int = 1, embedding: str = "embedding", metric: str = "cosine") -> DataFrame:
+def assign_cells(
+    rows: DataFrame, centroids: DataFrame, probes: int = 1, embedding: str = "embedding", metric: str = "cosine"
+) -> DataFrame:
     """Each row with its ``probes`` nearest cells as rows ``(..., cell, probe)``, without a shuffle."""
     cells, centres = _gather_centroids(centroids)
     probes = min(check_count(probes, "probes"), len(cells))
@@ -214,15 +222,14 @@ def search_index(
         raise ValueError(f"the index was built for {info['metric_type']}, not {metric}")
     metric = info["metric_type"]
     asked = queries.select(F.col(qid).alias("query_id"), F.col(query_embedding).alias("vector"))
-    rows = index.rows().select("node_id", "embedding", *carry, "cell")
-    if not with_cosine and "embedding" not in carry:
-        rows = rows.withColumnRenamed("embedding", "vector")
+    rows = index.rows().select("node_id", F.col("embedding").alias("vector"), *carry, "cell")
     id_type = asked.schema["query_id"].dataType
     centroids = index.centroids()
     sent = gather_queries(asked, max_sent)
     if sent is not None:
         wanted = _probe_lists(sent, centroids, probes, metric)
-        needed = rows if len(wanted) >= info["n_cells"] else rows.where(F.col("cell").isin(sorted(wanted)))
+        # Other cells are not read at all; a list of most cells would only burden the plan.
+        needed = rows if 2 * len(wanted) > info["n_cells"] else rows.where(F.col("cell").isin(sorted(wanted)))
         found = scan_with_queries(needed, sent, id_type, k, metric, with_cosine, wanted)
         return finish(keep_nearest(found, k), metric, qid, "node_id")
     dim = check_queries(asked)
@@ -298,7 +305,12 @@ def rebuild_index(index: IvfIndex, corpus: DataFrame, path: str, **options) -> I
 
 
 def index_health(
-    index: IvfIndex, corpus: DataFrame, queries: DataFrame, k: int = 10, probes: Sequence[int] = (1, 4, 8), qid: str = "qid",
+    index: IvfIndex,
+    corpus: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    probes: Sequence[int] = (1, 4, 8),
+    qid: str = "qid",
     query_embedding: str = "embedding",
 ) -> DataFrame:
     """Recall against the exact search and the share of rows visited, by number of probes."""

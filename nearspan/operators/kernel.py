@@ -59,7 +59,8 @@ def pair_distance(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarra
 class NearestRows:
     """Running best ``k`` rows per query over blocks of one partition."""
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str):
+    def __init__(self, queries: np.ndarray, k: int, metric: str, with_cosine: bool = False):
+        self.with_cosine = with_cosine
         self.queries = np.ascontiguousarray(queries, dtype=np.float32 if queries.dtype == np.float32 else np.float64)
         self.k = k
         self.metric = metric
@@ -95,7 +96,7 @@ class NearestRows:
                 hits = self._survivors(members[start : start + step], part, block, norms, defined, top)
                 found += [(q, origin[r], d) for q, r, d in hits]
         if found:
-            self._merge(found, rows)
+            self._merge(found, rows, vectors)
 
     def _survivors(self, part, vectors, block, norms, defined, top):
         with np.errstate(invalid="ignore", over="ignore"):
@@ -140,13 +141,16 @@ class NearestRows:
             limit[fresh] = seed + 2 * np.broadcast_to(error, limit.shape)[fresh]
         return np.where(np.isnan(limit), np.inf, limit)
 
-    def _merge(self, found, rows: pa.Table) -> None:
+    def _merge(self, found, rows: pa.Table, vectors: np.ndarray) -> None:
         query, row, gap = (np.concatenate(parts) for parts in zip(*found))
         if not len(query):
             return
         fresh = rows.take(pa.array(row))
         fresh = fresh.append_column("query", pa.array(query.astype(np.int32)))
         fresh = fresh.append_column("distance", pa.array(gap))
+        if self.with_cosine:
+            apart = gap if self.metric == "cosine" else pair_distance(self.queries[query], vectors[row], "cosine")
+            fresh = fresh.append_column("cosine", _defined(1.0 - apart))
         pool = fresh if self.best is None else pa.concat_tables([self.best, fresh])
         keys = pool.select(["query", "distance", "node_id"])
         order = pc.sort_indices(
@@ -159,19 +163,16 @@ class NearestRows:
         last = np.flatnonzero(place == self.k - 1)
         self.bound[query[last]] = pool["distance"].to_numpy()[order[last]]
 
-    def result(self, qids: pa.Array, names: list[str], cosine: bool = False) -> list[pa.RecordBatch]:
+    def result(self, qids: pa.Array, names: list[str]) -> list[pa.RecordBatch]:
         """Best rows as batches of query id, the travelling columns and the distance."""
         if self.best is None:
             return []
-        query = self.best["query"].to_numpy()
-        gap = self.best["distance"].to_numpy()
-        columns = [qids.take(pa.array(query)), *(self.best[name] for name in names), _defined(gap)]
-        fields = ["query_id", *names, "distance"]
-        if cosine:
-            found = matrix(self.best["embedding"], self.queries.shape[1])
-            columns.append(_defined(1.0 - pair_distance(self.queries[query], found, "cosine")))
-            fields.append("cosine")
-        return pa.table(dict(zip(fields, columns))).to_batches(max_chunksize=10_000)
+        found = {"query_id": qids.take(self.best["query"].combine_chunks())}
+        found |= {name: self.best[name] for name in names}
+        found["distance"] = _defined(self.best["distance"].to_numpy())
+        if self.with_cosine:
+            found["cosine"] = self.best["cosine"]
+        return pa.table(found).to_batches(max_chunksize=10_000)
 
 
 def _defined(values: np.ndarray) -> pa.Array:

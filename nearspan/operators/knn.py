@@ -23,6 +23,8 @@ from nearspan.operators.kernel import NearestRows, matrix
 from nearspan.schema import METRICS, check_count
 
 MAX_SENT_QUERIES = 10_000
+MAX_SCAN_TASKS = 20_000
+MAX_SENT_MATCHES = 200_000
 SLICE_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 8_192
 
@@ -68,7 +70,7 @@ def nearest_join(
     check_count(k, "k")
     if metric not in METRICS:
         raise ValueError(f"metric {metric!r} must be one of {METRICS}")
-    rows = _corpus_rows(corpus, node_id, embedding, carry, with_cosine)
+    rows = _corpus_rows(corpus, node_id, embedding, carry)
     asked = queries.select(F.col(qid).alias("query_id"), F.col(query_embedding).alias("vector"))
     sent = gather_queries(asked, max_sent)
     if sent is not None:
@@ -83,12 +85,9 @@ def nearest_join(
     return finish(keep_nearest(found, k), metric, qid, node_id)
 
 
-def _corpus_rows(corpus, node_id, embedding, carry, with_cosine) -> DataFrame:
-    extra = [c for c in carry if c not in (node_id, embedding)]
-    rows = corpus.select(F.col(node_id).alias("node_id"), F.col(embedding).alias("embedding"), *extra)
-    if with_cosine or embedding in carry:
-        return rows
-    return rows.withColumnRenamed("embedding", "vector")
+def _corpus_rows(corpus: DataFrame, node_id: str, embedding: str, carry: Sequence[str]) -> DataFrame:
+    extra = [c for c in carry if c != node_id]
+    return corpus.select(F.col(node_id).alias("node_id"), F.col(embedding).alias("vector"), *extra)
 
 
 def finish(found: DataFrame, metric: str, qid: str, node_id: str) -> DataFrame:
@@ -98,9 +97,9 @@ def finish(found: DataFrame, metric: str, qid: str, node_id: str) -> DataFrame:
 
 def gather_queries(asked: DataFrame, limit: int = MAX_SENT_QUERIES) -> pa.Table | None:
     """The queries as one small table, or None when there are more than ``limit``."""
-    table = asked.limit(limit + 1).toArrow()
-    if table.num_rows > limit:
+    if asked.count() > limit:
         return None
+    table = asked.toArrow()
     lengths = {len(v) if v is not None else None for v in (x.as_py() for x in table["vector"])}
     if None in lengths or len(lengths) > 1 or table["vector"].combine_chunks().flatten().null_count:
         raise ValueError(f"every query needs a vector of the same size, found sizes {lengths}")
@@ -136,7 +135,6 @@ def scan_with_queries(
 
     With ``probes`` a row meets only the queries listed for its ``cell``.
     """
-    vector = "embedding" if "embedding" in rows.columns else "vector"
     names = [c for c in rows.columns if c not in ("vector", "cell")]
     schema = _result_schema(rows, id_type, ("vector", "cell"), with_cosine)
     if not sent.num_rows:
@@ -147,18 +145,20 @@ def scan_with_queries(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, vectors, wanted = payload.value
-        near = NearestRows(vectors, k, metric)
+        near = NearestRows(vectors, k, metric, with_cosine)
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            block = matrix(table[vector], vectors.shape[1])
+            block = matrix(table["vector"], vectors.shape[1])
             meetings = None
             if wanted is not None:
                 cells = table["cell"].to_numpy()
                 meetings = [(np.flatnonzero(cells == c), wanted[c]) for c in np.unique(cells).tolist() if c in wanted]
             near.offer(block, table.select(names), meetings)
-        yield from near.result(qids, names, with_cosine)
+        yield from near.result(qids, names)
 
-    return rows.mapInArrow(scan, schema)
+    # Every task returns k rows per query: few long tasks keep that small on a very large corpus.
+    tasks = max(MAX_SCAN_TASKS, 4 * rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.coalesce(tasks).mapInArrow(scan, schema)
 
 
 def meet_in_parts(
@@ -169,16 +169,12 @@ def meet_in_parts(
     Each task sorts its rows so that a part's corpus rows, of bounded number, come before its
     queries; those then stream by in batches.
     """
-    vector = "embedding" if "embedding" in cut.columns else "vector"
     names = [c for c in cut.columns if c not in ("vector", "part")]
     id_type = spread.schema["query_id"].dataType
     schema = _result_schema(cut, id_type, ("vector", "part"), with_cosine)
-    left = cut.withColumnRenamed(vector, "vector") if vector != "vector" else cut
-    both = left.withColumn("asking", F.lit(False)).unionByName(
+    both = cut.withColumn("asking", F.lit(False)).unionByName(
         spread.withColumn("asking", F.lit(True)), allowMissingColumns=True
     )
-    if vector == "embedding":
-        names = [n for n in names if n != "embedding"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -198,16 +194,11 @@ def meet_in_parts(
                     yield from _answer(held[0], run)
 
     def _answer(corpus: pa.Table, asked: pa.Table) -> Iterator[pa.RecordBatch]:
-        near = NearestRows(matrix(asked["vector"]), k, metric)
+        near = NearestRows(matrix(asked["vector"]), k, metric, with_cosine)
         for start in range(0, corpus.num_rows, BLOCK_ROWS):
             piece = corpus.slice(start, BLOCK_ROWS)
-            block = matrix(piece["vector"], near.queries.shape[1])
-            rows = piece.select(names)
-            if vector == "embedding":
-                rows = rows.append_column("embedding", piece["vector"])
-            near.offer(block, rows)
-        out = [f for f in schema.names if f not in ("query_id", "distance", "cosine")]
-        yield from near.result(asked["query_id"].combine_chunks(), out, with_cosine)
+            near.offer(matrix(piece["vector"], near.queries.shape[1]), piece.select(names))
+        yield from near.result(asked["query_id"].combine_chunks(), names)
 
     return (
         both.repartition(parts, "part")
@@ -223,6 +214,13 @@ def keep_nearest(found: DataFrame, k: int, keys: Sequence[str] = ("query_id",))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def with_payload(found: DataFrame, corpus: DataFrame, columns: Sequence[str], node_id: str = "node_id") -> DataFrame:
-    """Matches with corpus columns such as the text, read after ranking so they are never sorted."""
-    return found.join(corpus.select(node_id, *columns), node_id, "left")
+def with_payload(
+    found: DataFrame, corpus: DataFrame, columns: Sequence[str], queries: DataFrame, k: int, node_id: str = "node_id"
+) -> DataFrame:
+    """Matches with corpus columns such as the text, read after ranking so they are never sorted.
+
+    There are at most ``k`` matches per query.  When that is few rows in all they are sent to the
+    corpus, which is then read in place; else both sides are shuffled.
+    """
+    few = queries.count() * k <= MAX_SENT_MATCHES
+    return corpus.select(node_id, *columns).join(F.broadcast(found) if few else found, node_id)

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearspan.operators.kernel import matrix
-from nearspan.operators.knn import nearest_join
+from nearspan.operators.knn import nearest_join, with_payload
 from nearspan.schema import check_count
 
 DEFAULT_LAMBDA = 0.5
 TIE_DECIMALS = 12
+CARRIED_CANDIDATES = 30_000
 
 
 def default_candidates(k: int) -> int:
@@ -74,6 +75,14 @@ def rerank(candidates: DataFrame, k: int, lambda_mult: float = DEFAULT_LAMBDA, q
     return candidates.groupBy(qid).applyInArrow(one_query, schema)
 
 
+def with_embeddings(
+    found: DataFrame, corpus: DataFrame, queries: DataFrame, k: int, node_id: str = "node_id", embedding: str = "embedding"
+) -> DataFrame:
+    """Candidates with their embeddings, read from the corpus after ranking."""
+    rows = corpus.select(F.col(node_id).alias("node_id"), F.col(embedding).alias("embedding"))
+    return with_payload(found, rows, ["embedding"], queries, k)
+
+
 def nearest_diverse(
     corpus: DataFrame,
     queries: DataFrame,
@@ -85,19 +94,20 @@ def nearest_diverse(
     embedding: str = "embedding",
     qid: str = "qid",
     query_embedding: str = "embedding",
+    carried: int = CARRIED_CANDIDATES,
     **options,
 ) -> DataFrame:
-    """Nearest rows re-ranked for diversity; candidates bring their embedding, no second read."""
+    """Nearest rows re-ranked for diversity.
+
+    Few candidates bring their embedding along; for many, whose embeddings would make up most of
+    the shuffle, the corpus is read once more for the candidates that are left.
+    """
     fetch = default_candidates(k) if fetch_k is None else check_count(fetch_k, "fetch_k")
+    rows = corpus.select(F.col(node_id).alias("node_id"), F.col(embedding).alias("embedding"))
+    carry = ["embedding"] if queries.count() * fetch <= carried else []
     candidates = nearest_join(
-        corpus.withColumnRenamed(embedding, "embedding"),
-        queries,
-        fetch,
-        metric,
-        node_id=node_id,
-        qid=qid,
-        query_embedding=query_embedding,
-        with_cosine=True,
-        **options,
+        rows, queries, fetch, metric, qid=qid, query_embedding=query_embedding, carry=carry, with_cosine=True, **options
     )
-    return rerank(candidates, k, lambda_mult, qid)
+    if not carry:
+        candidates = with_embeddings(candidates, rows, queries, fetch)
+    return rerank(candidates, k, lambda_mult, qid).withColumnRenamed("node_id", node_id)

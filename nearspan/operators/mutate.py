@@ -21,7 +21,7 @@ def latest(updates: DataFrame, key: str = "node_id", seq: str | None = "seq") ->
     stable but not an arrival order.  Each task drops superseded rows before the shuffle, so a key
     that is updated very often sends one row per task.
     """
-    digest = F.xxhash64(*[F.to_json(F.struct(c)) for c in updates.columns])
+    digest = F.xxhash64(*updates.columns)
     order = ([F.col(seq).desc_nulls_last()] if seq else []) + [digest.desc()]
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     kept = updates.withColumn("_place", place).where(F.col("_place") <= 1).drop("_place")

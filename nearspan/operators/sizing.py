@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -14,9 +15,19 @@ def broadcast_if_small(
 ) -> DataFrame:
     """The side with a broadcast hint when it is measured to be small; else unchanged.
 
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the join shuffles both sides
-    and adaptive execution splits skewed partitions.
+    The measure is one aggregate over the side.  Beyond the bound the join shuffles both sides and
+    adaptive execution splits skewed partitions.
     """
-    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    rows, size = side.limit(max_rows + 1).agg(F.count("*"), F.coalesce(width, F.lit(0))).first()
+    width = sum((_width(field) for field in side.schema.fields), F.lit(0))
+    rows, size = side.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return F.broadcast(side) if rows <= max_rows and size <= max_bytes else side
+
+
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value, about."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.to_json(F.struct(value))
+    elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(16)
+    return F.coalesce(F.octet_length(value), F.lit(0)) + 16

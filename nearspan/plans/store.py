@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
 from nearspan.operators import ivf, lookup, mutate
-from nearspan.operators.knn import nearest_join
-from nearspan.operators.mmr import DEFAULT_LAMBDA, default_candidates, rerank
+from nearspan.operators.knn import nearest_join, with_payload
+from nearspan.operators.mmr import CARRIED_CANDIDATES, DEFAULT_LAMBDA, default_candidates, rerank, with_embeddings
 from nearspan.operators.sizing import broadcast_if_small
 from nearspan.operators.vector_table import assert_writable, rebuilt_rows, stable_columns, vector_table
 from nearspan.schema import TableConfig, check_count, check_name
@@ -107,20 +107,23 @@ class VectorStore:
         wanted = predicate(filters, self.config)
         fetch = k if mode == "default" else fetch_k or default_candidates(k)
         index = self._usable_index(search_type, wanted is not None)
-        options = {"qid": qid, "with_cosine": mode == "mmr"}
+        names = self.config.node_id_column, self.config.embedding_column
+        corpus = self.rows() if wanted is None else self.rows().where(wanted)
+        corpus = corpus.select(F.col(names[0]).alias("node_id"), F.col(names[1]).alias("embedding"))
+        carry = ["embedding"] if mode == "mmr" and queries.count() * fetch <= CARRIED_CANDIDATES else []
+        options = {"qid": qid, "with_cosine": mode == "mmr", "carry": carry}
         if index is not None:
             found = ivf.search_index(index, queries, fetch, probes, self.config.metric, **options)
         else:
-            corpus = self.rows() if wanted is None else self.rows().where(wanted)
-            names = self.config.node_id_column, self.config.embedding_column
-            corpus = corpus.select(F.col(names[0]).alias("node_id"), F.col(names[1]).alias("embedding"))
             found = nearest_join(corpus, queries, fetch, self.config.metric, **options)
         if mode == "mmr":
+            if not carry:
+                found = with_embeddings(found, corpus, queries, fetch)
             found = rerank(found, k, lambda_mult, qid)
         if not with_rows:
             return found
-        # Text and metadata are read after ranking, for the matches only.
-        return found.join(self.rows().select(*stable_columns(self.config)), "node_id")
+        rows = self.rows().select(*stable_columns(self.config))
+        return with_payload(found, rows, rows.columns[1:], queries, k)
 
     def _usable_index(self, search_type: str, filtered: bool) -> ivf.IvfIndex | None:
         if search_type == "knn" or filtered:
@@ -136,7 +139,7 @@ class VectorStore:
     # Writing
 
     def add(self, rows: DataFrame, seq: str | None = None) -> int:
-        """Insert rows, replacing those whose node id is there already; the number of distinct ids.
+        """Insert rows, replacing those whose node id is there already; the table's row count.
 
         The whole frame is checked before anything is written.  ``seq`` orders repeated node ids
         within the frame, the last one wins.
@@ -146,49 +149,57 @@ class VectorStore:
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not assert_writable(table, self.config):
-                return 0
+                return self.count()
             fresh = mutate.latest(table, key, seq)
             touched = self.table.touched_by(table.select(key))
             before = self.table.read(touched)
-            stay = before.join(broadcast_if_small(table.select(key).distinct()), key, "left_anti")
-            stay = stay.select(self.config.schema.names)
-            held = sum(b.n_rows for n, b in self.table.state().items() if n not in touched)
-            written = self.table.replace(stay.unionByName(fresh.select(self.config.schema.names)), touched)
-            return held + written
+            kept = before.join(broadcast_if_small(table.select(key).distinct()), key, "left_anti")
+            self.table.replace(fresh, touched, kept)
+            return self.count()
         finally:
             table.unpersist()
 
     def delete(self, document: str | DataFrame) -> int:
         """Delete the rows of one source document, or of a frame of them; the number deleted."""
-        return self._keep(mutate.delete_by_document(self.rows(), document, self.config))
+        if isinstance(document, str):
+            return self._delete_where(mutate.document_predicate(document, self.config))
+        hit = lookup.by_values(self.table.read(), mutate.document_key(self.config), document)
+        touched = self._buckets_of(hit)
+        return self._keep(mutate.delete_by_document(self.table.read(touched), document, self.config), touched)
 
     def delete_nodes(self, ids: DataFrame | Sequence[str] | None = None, filters: Filters = None) -> int:
         """By ids, else by filters, else nothing; the number deleted."""
         key = self.config.node_id_column
         if isinstance(ids, DataFrame) or ids:
-            keys = ids if isinstance(ids, DataFrame) else self.spark.createDataFrame([(str(i),) for i in ids], f"{key} string")
-            touched = self.table.touched_by(keys.select(key))
-            rows = self.table.read(touched).drop("bucket")
-            return self._keep(mutate.delete_by_ids(rows, ids, key), touched)
+            if not isinstance(ids, DataFrame):
+                ids = self.spark.createDataFrame([(str(i),) for i in ids], f"{key} string")
+            touched = self.table.touched_by(ids.select(key))
+            return self._keep(mutate.delete_by_ids(self.table.read(touched), ids, key), touched)
         if filters is None or (isinstance(filters, FilterGroup) and not filters.filters):
             return 0
         return self.delete_by_metadata(filters)
 
     def delete_by_metadata(self, filters: Filters) -> int:
-        """Delete the rows that match; the number deleted.  Only buckets with matches are rewritten."""
+        """Delete the rows that match; the number deleted."""
         doomed = predicate(filters, self.config)
         if doomed is None:
             raise ValueError("a delete needs at least one filter")
-        hit = self.table.read().where(doomed).select("bucket").distinct().collect()
-        touched = {r["bucket"] for r in hit}
-        return self._keep(mutate.keep_unless(self.table.read(touched).drop("bucket"), doomed), touched)
+        return self._delete_where(doomed)
+
+    def _delete_where(self, doomed: Column) -> int:
+        """Only buckets with matches are rewritten, without a shuffle."""
+        touched = self._buckets_of(self.table.read().where(doomed))
+        return self._keep(mutate.keep_unless(self.table.read(touched), doomed), touched)
+
+    @staticmethod
+    def _buckets_of(rows: DataFrame) -> set[int]:
+        return {r["bucket"] for r in rows.select("bucket").distinct().collect()}
 
-    def _keep(self, rows: DataFrame, touched: set[int] | None = None) -> int:
-        state = self.table.state()
-        before = sum(b.n_rows for n, b in state.items() if touched is None or n in touched)
+    def _keep(self, kept: DataFrame, touched: set[int]) -> int:
+        before = sum(b.n_rows for n, b in self.table.state().items() if n in touched)
         if not before:
             return 0
-        return before - self.table.replace(rows.select(self.config.schema.names), touched)
+        return before - self.table.replace(None, touched, kept)
 
     def clear(self) -> None:
         """Remove all rows and keep the table."""

@@ -79,8 +79,12 @@ class SnapshotTable:
         reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(names)
 
-    def replace(self, rows: DataFrame, touched: set[int] | None = None) -> int:
-        """Commit ``rows`` as the new content of the touched buckets (all by default); row count."""
+    def replace(self, rows: DataFrame | None, touched: set[int] | None = None, kept: DataFrame | None = None) -> int:
+        """Commit new content of the touched buckets (all by default); the number of its rows.
+
+        ``rows`` are brought together by bucket.  ``kept`` are rows as :meth:`read` gave them, with
+        their bucket: they lie in bucket order already and are written where they are read.
+        """
         state = self.state()
         touched = set(range(self.buckets)) if touched is None else touched
         if not touched:
@@ -88,8 +92,12 @@ class SnapshotTable:
         number = self.generation() + 1
         folder = f"{number}-{uuid.uuid4().hex}"
         path = f"{self.root}/data/gen={folder}"
-        placed = rows.select(*self.schema.names, self.bucket_of(F.col(self.key)).alias("bucket"))
-        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        names = [*self.schema.names, "bucket"]
+        if kept is not None:
+            kept.select(names).write.mode("append").partitionBy("bucket").parquet(path)
+        if rows is not None:
+            placed = rows.select(*self.schema.names, self.bucket_of(F.col(self.key)).alias("bucket"))
+            placed.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
         counts = self._written(path)
         for bucket in range(self.buckets):
             if bucket in touched or bucket not in state:

@@ -10,6 +10,7 @@ from nearspan.functions.distance import distance, similarity
 from nearspan.functions.filters import predicate
 from nearspan.operators import ivf
 from nearspan.operators.knn import with_payload
+from nearspan.operators.mmr import rerank
 from nearspan.operators.vector_table import vector_table
 from nearspan.schema import METRICS
 from nearspan.session import scratch_path
@@ -80,7 +81,7 @@ def knn_with_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = vector_table(source_rows(spark, sf_dir), PROMOTED)
     asked = label_centres(spark, sf_dir).select(F.col("label").alias("qid"), F.col("centre").alias("embedding"))
     found = nearest_join(table.where(predicate(MetaFilter("lang", "en"), PROMOTED)), asked, K)
-    full = with_payload(_numbers(found), table, ["text", "lang", "n_chars"])
+    full = with_payload(_numbers(found), table, ["text", "lang", "n_chars"], asked, K)
     return full.select("qid", "rank", "node_id", "distance", "similarity", "text", "lang", "n_chars")
 
 
@@ -95,12 +96,10 @@ def similarity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("node_id", *columns)
 
 
-def mmr(fetch_k: int, k: int, lambda_mult: float, metric: str = "cosine"):
+def mmr(fetch_k: int, k: int, lambda_mult: float, metric: str = "cosine", **options):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = nearest_diverse(
-            vectors(spark, sf_dir), every_vector_asks(spark, sf_dir), k, metric, fetch_k, lambda_mult
-        )
-        return _numbers(found)
+        rows, asked = vectors(spark, sf_dir), every_vector_asks(spark, sf_dir)
+        return _numbers(nearest_diverse(rows, asked, k, metric, fetch_k, lambda_mult, **options))
 
     return run
 
@@ -130,10 +129,8 @@ def ann_kmeans_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ann_mmr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from nearspan.operators.mmr import rerank
-
     index = _label_index(spark, sf_dir)
-    found = ivf.search_index(index, every_vector_asks(spark, sf_dir), 20, 3, with_cosine=True)
+    found = ivf.search_index(index, every_vector_asks(spark, sf_dir), 20, 3, carry=["embedding"], with_cosine=True)
     return _numbers(rerank(found, 5, 0.3))
 
 
@@ -287,6 +284,7 @@ QUERIES = {
     ),
     "mmr": (mmr(20, 5, 0.3), _mmr_sql(PAIRS_SQL, 20, 5, 0.3)),
     "mmr_euclidean": (mmr(20, 5, 0.5, "euclidean"), _mmr_sql(PAIRS_SQL, 20, 5, 0.5, "euclidean")),
+    "mmr_read_back": (mmr(20, 5, 0.3, carried=0), _mmr_sql(PAIRS_SQL, 20, 5, 0.3)),
     "mmr_few_candidates": (mmr(5, 5, 0.3), _mmr_sql(PAIRS_SQL, 5, 5, 0.3)),
     "ann_all_cells": (ann_all_cells, _ranked_sql(PAIRS_SQL, "cosine")),
     "ann_probe": (ann_probe(3), _ranked_sql(_probe_sql(3), "cosine")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,13 +41,9 @@ def every_vector_asks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean vector of each label as ``(label, centre)``."""
     rows = load(spark, sf_dir, "embeddings")
-    means = (
-        rows.select("label", F.posexplode("embedding").alias("i", "x"))
-        .groupBy("label", "i")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
-    )
-    packed = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("c"))
-    return packed.select("label", F.col("c.x").cast("array<float>").alias("centre"))
+    points = rows.select("label", array_to_vector("embedding").alias("v"))
+    means = points.groupBy("label").agg(Summarizer.mean(F.col("v")).alias("m"))
+    return means.select("label", vector_to_array("m", "float32").alias("centre"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

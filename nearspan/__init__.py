@@ -1,5 +1,9 @@
 """Vector tables, similarity search and partitioned tables on Spark."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from nearspan.functions.filters import FilterGroup, MetaFilter
 from nearspan.operators.knn import nearest_join, nearest_to
 from nearspan.operators.mmr import nearest_diverse
@@ -8,6 +12,9 @@ from nearspan.plans.store import VectorStore
 from nearspan.schema import MetaColumn, TableConfig
 from nearspan.sources.catalog import run_sql
 
+# The helpers that run inside tasks travel with them: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     "FilterGroup",
     "MetaColumn",

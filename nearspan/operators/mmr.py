@@ -32,13 +32,12 @@ def pick_diverse(relevance: np.ndarray, vectors: np.ndarray, k: int, lambda_mult
     if np.any(lengths == 0):
         return list(range(min(k, count)))
     unit = vectors / lengths[:, None]
-    relevance = np.round(relevance, TIE_DECIMALS)
-    picks = [int(np.argmax(relevance))] if count else []
+    picks = [int(np.argmax(np.round(relevance, TIE_DECIMALS)))] if count else []
     closest = np.full(count, -np.inf)
     open_ = np.ones(count, dtype=bool)
     while picks and len(picks) < min(k, count):
         open_[picks[-1]] = False
-        to_last = np.round(unit @ unit[picks[-1]], TIE_DECIMALS)
+        to_last = unit @ unit[picks[-1]]
         closest = to_last if len(picks) == 1 else np.where(to_last > closest, to_last, closest)
         score = np.round(lambda_mult * relevance - (1 - lambda_mult) * closest, TIE_DECIMALS)
         score = np.where(open_ & ~np.isnan(score), score, -np.inf)

@@ -123,7 +123,7 @@ def sql_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REVENUE_SQL = """
     SELECT n_name, l_returnflag, count(*) AS n_items, count(DISTINCT o_orderkey) AS n_orders,
-           round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue
+           CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS revenue
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
          JOIN nation ON n_nationkey = c_nationkey
     GROUP BY n_name, l_returnflag
@@ -131,7 +131,7 @@ REVENUE_SQL = """
 
 TREND_SQL = """
     SELECT event_type, user_id, n, total, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS place
-    FROM (SELECT event_type, user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type, user_id)
+    FROM (SELECT event_type, user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM events GROUP BY event_type, user_id)
 """
 
 

@@ -210,7 +210,7 @@ def _mmr_sql(pairs: str, fetch_k: int, k: int, weight: float, metric: str = "cos
         f" WHERE n > {k} UNION ALL"
         " SELECT t.qid, t.step + 1, list_append(any_value(t.sel), arg_max(t.i, {'a': t.score, 'b': -t.i})) FROM"
         " (SELECT pick.qid, pick.step, pick.sel, c.i,"
-        f" round({weight} * round(c.rel, 12) - (1 - {weight}) * max(round(list_cosine_similarity(c.e, o.e), 12)), 12) AS score"
+        f" round({weight} * c.rel - (1 - {weight}) * max(list_cosine_similarity(c.e, o.e)), 12) AS score"
         " FROM pick JOIN cand AS c ON c.qid = pick.qid AND NOT list_contains(pick.sel, c.i)"
         " JOIN cand AS o ON o.qid = pick.qid AND list_contains(pick.sel, o.i)"
         f" WHERE pick.step < {k} GROUP BY pick.qid, pick.step, pick.sel, c.i, c.rel) AS t GROUP BY t.qid, t.step),"

@@ -278,3 +278,17 @@ def test_index_reports(spark, skewed):
     assert health[1].recall <= 1.0 and health[1].visited_share < 1.0
     assert sum(r.n_bytes for r in ivf.index_memory(index).collect()) == 200 * DIM * 4
     assert ivf.index_summary(index).first().n_rows == 200
+
+
+def test_projection_join(spark, skewed):
+    from nearspan.operators.lsh import nearest_by_projection
+
+    corpus, asked = as_frame(spark, skewed), as_queries(spark, skewed[::20])
+    options = {"metric": "euclidean", "parts": 4}
+    found = collected(nearest_by_projection(corpus, asked, 6, bucket_length=2.0, **options))
+    cut = collected(nearest_by_projection(corpus, asked, 6, bucket_length=2.0, slice_rows=7, **options))
+    assert found == cut
+    truth = {(q, n): d for q, _, n, d in collected(nearest_join(corpus, asked, 200, "euclidean"))}
+    assert all(truth[(q, n)] == d for q, _, n, d in found)
+    with pytest.raises(ValueError):
+        nearest_by_projection(corpus, asked.limit(0), 6)

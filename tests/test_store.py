@@ -348,3 +348,18 @@ def test_stream_and_replay(spark, tmp_path):
     replay(batch, 0)
     replay(batch, 0)
     assert sorted(map(str, table.rows().collect())) == before
+
+
+def test_existing_table(spark, tmp_path):
+    from nearspan.sources.existing import existing_table
+
+    rows = source(spark, 5).withColumn("price", F.lit(1.5).cast("decimal(8,2)"))
+    rows.write.parquet(str(tmp_path / "t"))
+    config = TableConfig(dim=DIM, promoted=("price",))
+    table, actual = existing_table(spark, config, path=str(tmp_path / "t"))
+    assert table.count() == 5 and actual.promoted_type("price") == T.DecimalType(8, 2)
+    for bad in (TableConfig(dim=DIM, promoted=("cost",)), TableConfig(dim=DIM, embedding_column="text", text_column="node_id2")):
+        with pytest.raises(ValueError):
+            existing_table(spark, bad, path=str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        existing_table(spark, config)

@@ -10,6 +10,7 @@ from nearspan.functions.distance import distance, similarity
 from nearspan.functions.filters import predicate
 from nearspan.operators import ivf
 from nearspan.operators.knn import with_payload
+from nearspan.operators.lsh import nearest_by_projection
 from nearspan.operators.mmr import rerank
 from nearspan.operators.vector_table import vector_table
 from nearspan.schema import METRICS
@@ -134,6 +135,11 @@ def ann_mmr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbers(rerank(found, 5, 0.3))
 
 
+def lsh_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, asked = vectors(spark, sf_dir), every_vector_asks(spark, sf_dir)
+    return _numbers(nearest_by_projection(rows, asked, K, parts=8))
+
+
 def index_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by cell after a rebuild over the current rows, and what is not indexed."""
     index = _label_index(spark, sf_dir)
@@ -292,6 +298,7 @@ QUERIES = {
     "ann_probe_spread": (ann_probe(3, max_sent=0, slice_rows=40), _ranked_sql(_probe_sql(3), "cosine")),
     "ann_mmr": (ann_mmr, _mmr_sql(_probe_sql(3), 20, 5, 0.3)),
     "ann_kmeans_probe": (ann_kmeans_probe, None),
+    "lsh_join": (lsh_join, None),
     "index_stats": (
         lambda spark, sf_dir: ivf.index_stats(_label_index(spark, sf_dir)),
         ALL_CELL_SIZES_SQL,

@@ -6,10 +6,6 @@ vector under cosine, a NaN) is NULL, ranks last and has similarity 0.0.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
-import numpy as np
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,20 +57,6 @@ def distance(left: Column, right: Column, metric: str) -> Column:
     }[metric](left, right)
 
 
-def distance_to(vector: Column, point: Sequence[float], metric: str) -> Column:
-    """Distance to one constant vector, kept in single precision like a stored one."""
-    values = np.asarray(point, dtype=np.float32).astype(float).tolist()
-    target = F.array(*[F.lit(x) for x in values])
-    if metric == "cosine":
-        length = math.sqrt(math.fsum(x * x for x in values))
-        raw = _no_nan(1 - F.try_divide(dot(vector, target), norm(vector) * F.lit(length)))
-    else:
-        raw = distance(vector, target, metric)
-    wrong = F.size(vector) != F.lit(len(values))
-    message = F.format_string("embedding has %d values, the query has %d", F.size(vector), F.lit(len(values)))
-    return F.when(wrong, F.raise_error(message).cast("double")).otherwise(raw)
-
-
 def similarity(distance: Column, metric: str) -> Column:
     """Score of a distance: higher is closer."""
     if metric == "euclidean":

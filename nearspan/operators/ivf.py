@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from nearspan.functions.distance import norm
-from nearspan.operators.kernel import NearestRows, matrix
+from nearspan.operators.kernel import Block, NearestRows, matrix
 from nearspan.operators.knn import (
     MAX_SENT_QUERIES,
     SLICE_BYTES,
@@ -126,17 +126,17 @@ def assign_cells(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, centres = payload.value
-        targets = pa.table({"node_id": pa.array(ids)})
+        targets = Block(centres, pa.table({"node_id": pa.array(ids)}), probes, near_metric)
         for batch in batches:
             if not batch.num_rows:
                 continue
             near = NearestRows(matrix(batch.column(embedding), centres.shape[1]), probes, near_metric)
-            near.offer(centres, targets)
-            query = near.best["query"].to_numpy()
-            out = pa.Table.from_batches([batch]).take(pa.array(query))
-            out = out.append_column("cell", near.best["node_id"])
-            turn = (np.arange(len(query)) % probes + 1).astype(np.int32)
-            yield from out.append_column("probe", pa.array(turn)).to_batches(max_chunksize=10_000)
+            near.offer(targets)
+            best = near.best.sort_by([("query", "ascending"), ("distance", "ascending"), ("node_id", "ascending")])
+            out = pa.Table.from_batches([batch]).take(best["query"])
+            turn = (np.arange(out.num_rows) % probes + 1).astype(np.int32)
+            out = out.append_column("cell", best["node_id"]).append_column("probe", pa.array(turn))
+            yield from out.to_batches(max_chunksize=10_000)
 
     return rows.mapInArrow(place, schema)
 
@@ -255,8 +255,9 @@ def search_index(
 def _probe_lists(sent: pa.Table, centroids: DataFrame, probes: int, metric: str) -> dict[int, np.ndarray]:
     """Per cell the positions of the queries that probe it."""
     cells, centres = _gather_centroids(centroids)
-    near = NearestRows(matrix(sent["vector"]), min(probes, len(cells)), "cosine" if metric == "cosine" else "euclidean")
-    near.offer(centres, pa.table({"node_id": pa.array(cells)}))
+    near_metric, probes = metric if metric == "cosine" else "euclidean", min(probes, len(cells))
+    near = NearestRows(matrix(sent["vector"]), probes, near_metric)
+    near.offer(Block(centres, pa.table({"node_id": pa.array(cells)}), probes, near_metric))
     if near.best is None:
         return {}
     chosen, query = near.best["node_id"].to_numpy(), near.best["query"].to_numpy()

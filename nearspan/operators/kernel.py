@@ -1,9 +1,9 @@
 """Block-wise nearest neighbours inside one task.
 
 Spark decides which rows meet which queries; this helper keeps, for the rows that stream through
-a task, the best ``k`` per query.  A block is screened with a single-precision matrix product.
-Rows that the rounding bound of that product cannot rule out are scored again in double, one
-pair at a time in a fixed order, so equal vectors get equal distances and ties go to the lower id.
+a task, the best ``k`` per query.  Equal vectors of a block are scored once.  The others are
+screened with a single-precision matrix product; what its rounding bound cannot rule out is scored
+again in double, pair by pair in a fixed order, so that ties go to the lower id.
 """
 
 from __future__ import annotations
@@ -56,122 +56,190 @@ def pair_distance(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarra
     return np.where(np.isnan(result), np.inf, result)
 
 
+def equal_rows(vectors: np.ndarray) -> np.ndarray | None:
+    """Number of the group of equal vectors that each row is in, or None when all differ."""
+    bits = np.ascontiguousarray(vectors).view(np.uint32 if vectors.dtype == np.float32 else np.uint64)
+    weights = np.random.default_rng(11).integers(1, 2**63, bits.shape[1], dtype=np.uint64) | np.uint64(1)
+    digest = (bits * weights).sum(axis=1, dtype=np.uint64)
+    values, first, group = np.unique(digest, return_index=True, return_inverse=True)
+    if len(values) == len(digest):
+        return None
+    if not (bits == bits[first[group]]).all():
+        return np.unique(bits, axis=0, return_inverse=True)[1].reshape(-1)
+    return group
+
+
+class Block:
+    """Corpus rows made ready for comparison.
+
+    ``rows`` holds ``node_id`` and what travels with it.  Of equal vectors only one is compared,
+    and only the ``k`` lowest ids among them can be an answer.
+    """
+
+    def __init__(self, vectors: np.ndarray, rows: pa.Table, k: int, metric: str, spots: np.ndarray | None = None):
+        self.rows = rows
+        spots = np.arange(len(vectors)) if spots is None else spots
+        part = vectors[spots]
+        group = equal_rows(part) if len(part) > 1 else None
+        if group is None:
+            self.members, self.starts, self.sizes = spots, np.arange(len(part)), np.ones(len(part), dtype=np.int64)
+        else:
+            part = self._gather(part, spots, group, k)
+        self.vectors = part
+        norms = lengths_of(part)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            self.screen = (part / norms[:, None] if metric == "cosine" else part).astype(np.float32)
+            self.squares = (norms * norms).astype(np.float32)
+        self.defined = np.isfinite(norms) & ((norms > 0) | (metric != "cosine"))
+        self.top = float(norms[self.defined].max()) if self.defined.any() else 0.0
+
+    def _gather(self, part, spots, group, k):
+        order = np.argsort(group, kind="stable")
+        sizes = np.bincount(group)
+        starts = np.r_[0, np.cumsum(sizes)[:-1]]
+        for number in np.flatnonzero(sizes > k):
+            run = slice(starts[number], starts[number] + sizes[number])
+            ids = self.rows["node_id"].take(pa.array(spots[order[run]]))
+            order[run] = order[run][pc.sort_indices(ids).to_numpy()]
+        self.members, self.starts, self.sizes = spots[order], starts, np.minimum(sizes, k)
+        return part[order[starts]]
+
+    def vector_of(self, rows: np.ndarray) -> np.ndarray:
+        """Vectors of rows of the table."""
+        number = np.zeros(self.rows.num_rows, dtype=np.int64)
+        ends = np.r_[self.starts[1:], len(self.members)]
+        number[self.members] = np.repeat(np.arange(len(self.starts)), ends - self.starts)
+        return self.vectors[number[rows]]
+
+    def expand(self, query: np.ndarray, spot: np.ndarray, gap: np.ndarray):
+        """Scored pairs of query and compared vector as pairs of query and row."""
+        count = self.sizes[spot]
+        if len(self.members) == len(self.starts):
+            return query, self.members[spot], gap
+        ends = np.cumsum(count)
+        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
+        rows = self.members[np.repeat(self.starts[spot], count) + inside]
+        return np.repeat(query, count), rows, np.repeat(gap, count)
+
+
 class NearestRows:
-    """Running best ``k`` rows per query over blocks of one partition."""
+    """Running best ``k`` rows per query over the blocks of one partition."""
 
     def __init__(self, queries: np.ndarray, k: int, metric: str, with_cosine: bool = False):
-        self.with_cosine = with_cosine
-        self.queries = np.ascontiguousarray(queries, dtype=np.float32 if queries.dtype == np.float32 else np.float64)
+        self.queries = np.ascontiguousarray(queries)
         self.k = k
         self.metric = metric
+        self.with_cosine = with_cosine
         self.norms = lengths_of(queries)
-        with np.errstate(divide="ignore", invalid="ignore"):
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
             scaled = queries / self.norms[:, None] if metric == "cosine" else queries
-        self.screen = scaled.astype(np.float32)
+            self.screen = scaled.astype(np.float32)
         self.bound = np.full(len(queries), np.inf)
         self.best: pa.Table | None = None
 
-    def offer(self, vectors: np.ndarray, rows: pa.Table, meetings=None) -> None:
-        """Offer a block of rows.
-
-        ``rows`` holds ``node_id`` and what travels with it.  ``meetings`` lists pairs of row
-        positions and query positions that meet; by default every row meets every query.
-        """
-        if meetings is None:
-            meetings = [(slice(None), np.arange(len(self.queries)))]
+    def offer(self, block: Block, members: np.ndarray | None = None) -> None:
+        """Compare a block with all queries, or with those at the given positions."""
+        if not len(block.vectors) or not len(self.queries):
+            return
+        chosen = np.arange(len(self.queries)) if members is None else members
+        step = max(1, SCREEN_CELLS // len(block.vectors))
         found = []
-        for spots, members in meetings:
-            part = vectors[spots]
-            if not len(part) or not len(members):
-                continue
-            norms = lengths_of(part)
-            with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-                scaled = part / norms[:, None] if self.metric == "cosine" else part
-                block = scaled.astype(np.float32)
-            defined = np.isfinite(norms) & ((norms > 0) | (self.metric != "cosine"))
-            top = float(norms[defined].max()) if defined.any() else 0.0
-            origin = np.arange(len(vectors))[spots]
-            step = max(1, SCREEN_CELLS // len(part))
-            for start in range(0, len(members), step):
-                hits = self._survivors(members[start : start + step], part, block, norms, defined, top)
-                found += [(q, origin[r], d) for q, r, d in hits]
+        for start in range(0, len(chosen), step):
+            found += self._survivors(chosen[start : start + step], block)
         if found:
-            self._merge(found, rows, vectors)
+            self._merge(*(np.concatenate(parts) for parts in zip(*found)), block)
 
-    def _survivors(self, part, vectors, block, norms, defined, top):
+    def _survivors(self, part: np.ndarray, block: Block):
         with np.errstate(invalid="ignore", over="ignore"):
-            values = self.screen[part] @ block.T
+            values = self.screen[part] @ block.screen.T
             values *= -2.0 if self.metric == "euclidean" else -1.0
             if self.metric == "euclidean":
-                values += (norms * norms).astype(np.float32)
-        values[~np.isfinite(values)] = -np.inf
-        if not defined.all():
-            values[:, ~defined] = np.inf
-        limit = np.nextafter(self._limit(part, values, top).astype(np.float32), np.float32(np.inf))
-        spot, row = np.nonzero(values <= limit[:, None])
-        query = part[spot]
+                values += block.squares
+        finite = np.isfinite(values)
+        if not finite.all():
+            values[~finite] = -np.inf
+        if not block.defined.all():
+            values[:, ~block.defined] = np.inf
+        limit = np.nextafter(self._limit(part, values, block.top).astype(np.float32), np.float32(np.inf))
+        at, spot = np.nonzero(values <= limit[:, None])
+        query = part[at]
         found = []
-        width = max(1, SCORE_CELLS // max(1, vectors.shape[1]))
+        width = max(1, SCORE_CELLS // max(1, block.vectors.shape[1]))
         for start in range(0, len(query), width):
-            q, r = query[start : start + width], row[start : start + width]
-            d = pair_distance(self.queries[q], vectors[r], self.metric)
-            near = d <= self.bound[q]
-            found.append((q[near], r[near], d[near]))
+            q, s = query[start : start + width], spot[start : start + width]
+            gap = pair_distance(self.queries[q], block.vectors[s], self.metric)
+            near = gap <= self.bound[q]
+            if near.any():
+                found.append(block.expand(q[near], s[near], gap[near]))
         return found
 
-    def _limit(self, part, values, top):
+    def _limit(self, part: np.ndarray, values: np.ndarray, top: float) -> np.ndarray:
         """Screen value above which a row cannot be among the best ``k`` of a query."""
         size = self.queries.shape[1]
-        bound = self.bound[part]
-        qn = self.norms[part]
+        bound, qn = self.bound[part], self.norms[part]
         if self.metric == "euclidean":
             error = 4 * (size + 8) * UNIT * (qn + top) ** 2
             known = bound**2 - qn**2
         else:
-            error = 2 * (size + 8) * UNIT * (1.0 if self.metric == "cosine" else qn * top)
+            error = 2 * (size + 8) * UNIT * (np.ones(len(part)) if self.metric == "cosine" else qn * top)
             known = bound - 1.0 if self.metric == "cosine" else bound
         error = np.where(np.isfinite(error), error, np.inf)
         limit = known + error
         fresh = ~np.isfinite(bound)
         if fresh.any() and values.shape[1] > self.k:
-            width = min(values.shape[1], max(SEED_ROWS, 4 * self.k))
-            sample = values[fresh, :width]
+            sample = values[fresh, : max(SEED_ROWS, 4 * self.k)]
             sample[np.isneginf(sample)] = np.inf
-            seed = np.partition(sample, self.k - 1, axis=1)[:, self.k - 1]
-            limit[fresh] = seed + 2 * np.broadcast_to(error, limit.shape)[fresh]
+            limit[fresh] = np.partition(sample, self.k - 1, axis=1)[:, self.k - 1] + 2 * error[fresh]
         return np.where(np.isnan(limit), np.inf, limit)
 
-    def _merge(self, found, rows: pa.Table, vectors: np.ndarray) -> None:
-        query, row, gap = (np.concatenate(parts) for parts in zip(*found))
-        if not len(query):
-            return
-        fresh = rows.take(pa.array(row))
-        fresh = fresh.append_column("query", pa.array(query.astype(np.int32)))
-        fresh = fresh.append_column("distance", pa.array(gap))
-        if self.with_cosine:
-            apart = gap if self.metric == "cosine" else pair_distance(self.queries[query], vectors[row], "cosine")
-            fresh = fresh.append_column("cosine", _defined(1.0 - apart))
-        pool = fresh if self.best is None else pa.concat_tables([self.best, fresh])
-        keys = pool.select(["query", "distance", "node_id"])
+    def _merge(self, query: np.ndarray, row: np.ndarray, gap: np.ndarray, block: Block) -> None:
+        columns = {"query": pa.array(query.astype(np.int32)), "distance": pa.array(gap), "row": pa.array(row)}
+        keys = pa.table({**columns, "node_id": block.rows["node_id"].take(columns["row"])})
+        if self.best is not None:
+            old = self.best.select(["query", "distance", "node_id"])
+            old = old.append_column("row", pa.nulls(len(old), pa.int64()))
+            keys = pa.concat_tables([old.select(keys.column_names), keys])
         order = pc.sort_indices(
             keys, sort_keys=[("query", "ascending"), ("distance", "ascending"), ("node_id", "ascending")]
         ).to_numpy()
-        query = pool["query"].to_numpy()[order]
+        query = keys["query"].to_numpy()[order]
         first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         place = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)]))
-        self.best = pool.take(pa.array(order[place < self.k])).combine_chunks()
-        last = np.flatnonzero(place == self.k - 1)
-        self.bound[query[last]] = pool["distance"].to_numpy()[order[last]]
+        last = place == self.k - 1
+        self.bound[query[last]] = keys["distance"].to_numpy()[order[last]]
+        kept = np.sort(order[place < self.k])
+        # Only rows that are kept are copied with all that travels with them.
+        held = 0 if self.best is None else len(self.best)
+        fresh = kept[kept >= held] - held
+        if self.best is not None and not len(fresh):
+            return
+        taken = self._payload(columns, fresh, block)
+        if self.best is not None:
+            taken = pa.concat_tables([self.best.take(pa.array(kept[kept < held])), taken])
+        self.best = taken.combine_chunks()
+
+    def _payload(self, columns: dict[str, pa.Array], fresh: np.ndarray, block: Block) -> pa.Table:
+        chosen = pa.array(fresh)
+        query, gap, row = (columns[c].take(chosen) for c in ("query", "distance", "row"))
+        taken = block.rows.take(row).append_column("query", query).append_column("distance", gap)
+        if not self.with_cosine:
+            return taken
+        if self.metric == "cosine":
+            apart = gap.to_numpy()
+        else:
+            apart = pair_distance(self.queries[query.to_numpy()], block.vector_of(row.to_numpy()), "cosine")
+        return taken.append_column("cosine", _defined(1.0 - apart))
 
     def result(self, qids: pa.Array, names: list[str]) -> list[pa.RecordBatch]:
         """Best rows as batches of query id, the travelling columns and the distance."""
         if self.best is None:
             return []
-        found = {"query_id": qids.take(self.best["query"].combine_chunks())}
-        found |= {name: self.best[name] for name in names}
-        found["distance"] = _defined(self.best["distance"].to_numpy())
+        best = self.best.sort_by([("query", "ascending"), ("distance", "ascending"), ("node_id", "ascending")])
+        found = {"query_id": qids.take(best["query"].combine_chunks())}
+        found |= {name: best[name] for name in names}
+        found["distance"] = _defined(best["distance"].to_numpy())
         if self.with_cosine:
-            found["cosine"] = self.best["cosine"]
+            found["cosine"] = best["cosine"]
         return pa.table(found).to_batches(max_chunksize=10_000)
 
 

@@ -17,16 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearspan.functions.distance import distance_to, similarity
+from nearspan.functions.distance import similarity
 from nearspan.functions.vectors import vector_fault
-from nearspan.operators.kernel import NearestRows, matrix
+from nearspan.operators.kernel import Block, NearestRows, matrix
 from nearspan.schema import METRICS, check_count
 
 MAX_SENT_QUERIES = 10_000
 MAX_SCAN_TASKS = 20_000
 MAX_SENT_MATCHES = 200_000
 SLICE_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 8_192
 
 
 def nearest_to(
@@ -36,16 +35,21 @@ def nearest_to(
     metric: str = "cosine",
     node_id: str = "node_id",
     embedding: str = "embedding",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """The ``k`` rows nearest to one vector, with all their columns; stays in the JVM."""
+    """The ``k`` rows nearest to one vector: node id, carried columns, distance, similarity, rank."""
     check_count(k, "k")
+    if metric not in METRICS:
+        raise ValueError(f"metric {metric!r} must be one of {METRICS}")
     if point is None or not len(point):
         raise ValueError("the query vector is missing")
-    scored = corpus.withColumn("distance", distance_to(F.col(embedding), point, metric))
-    order = [F.col("distance").asc_nulls_last(), F.col(node_id)]
-    best = scored.orderBy(*order).limit(k)
-    rank = F.row_number().over(Window.orderBy(*order))
-    return best.withColumn("similarity", similarity(F.col("distance"), metric)).withColumn("rank", rank)
+    vector = pa.array([[float(x) for x in point]], type=pa.list_(pa.float32()))
+    sent = pa.table({"query_id": pa.array([0], type=pa.int32()), "vector": vector})
+    found = scan_with_queries(_corpus_rows(corpus, node_id, embedding, carry), sent, T.IntegerType(), k, metric)
+    order = [F.col("distance").asc_nulls_last(), F.col("node_id")]
+    best = found.drop("query_id").orderBy(*order).limit(k)
+    ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return ranked.withColumnRenamed("node_id", node_id).withColumn("similarity", similarity(F.col("distance"), metric))
 
 
 def nearest_join(
@@ -78,7 +82,8 @@ def nearest_join(
     else:
         dim = check_queries(asked)
         size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
-        slices = max(1, math.ceil(rows.count() / size))
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        slices = max(cores, math.ceil(rows.count() / size))
         cut = rows.withColumn("part", F.pmod(F.xxhash64("node_id"), F.lit(slices)))
         spread = asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
         found = meet_in_parts(cut, spread, slices, k, metric, with_cosine)
@@ -148,12 +153,14 @@ def scan_with_queries(
         near = NearestRows(vectors, k, metric, with_cosine)
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            block = matrix(table["vector"], vectors.shape[1])
-            meetings = None
-            if wanted is not None:
-                cells = table["cell"].to_numpy()
-                meetings = [(np.flatnonzero(cells == c), wanted[c]) for c in np.unique(cells).tolist() if c in wanted]
-            near.offer(block, table.select(names), meetings)
+            values, kept = matrix(table["vector"], vectors.shape[1]), table.select(names)
+            if wanted is None:
+                near.offer(Block(values, kept, k, metric))
+                continue
+            cells = table["cell"].to_numpy()
+            for cell in np.unique(cells).tolist():
+                if cell in wanted:
+                    near.offer(Block(values, kept, k, metric, np.flatnonzero(cells == cell)), wanted[cell])
         yield from near.result(qids, names)
 
     # Every task returns k rows per query: few long tasks keep that small on a very large corpus.
@@ -177,7 +184,7 @@ def meet_in_parts(
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        held: list[Block] = []
         current = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -187,18 +194,14 @@ def meet_in_parts(
                 if part[start] != current:
                     current, held = part[start], []
                 run = table.slice(start, stop - start)
+                values = matrix(run["vector"])
                 if not asking[start]:
-                    held.append(run)
+                    held.append(Block(values, run.select(names), k, metric))
                 elif held:
-                    held = [pa.concat_tables(held).combine_chunks()]
-                    yield from _answer(held[0], run)
-
-    def _answer(corpus: pa.Table, asked: pa.Table) -> Iterator[pa.RecordBatch]:
-        near = NearestRows(matrix(asked["vector"]), k, metric, with_cosine)
-        for start in range(0, corpus.num_rows, BLOCK_ROWS):
-            piece = corpus.slice(start, BLOCK_ROWS)
-            near.offer(matrix(piece["vector"], near.queries.shape[1]), piece.select(names))
-        yield from near.result(asked["query_id"].combine_chunks(), names)
+                    near = NearestRows(values, k, metric, with_cosine)
+                    for block in held:
+                        near.offer(block)
+                    yield from near.result(run["query_id"].combine_chunks(), names)
 
     return (
         both.repartition(parts, "part")

@@ -112,7 +112,7 @@ def test_wrong_sizes_are_errors(spark):
     corpus = spark.createDataFrame(rows, "node_id string, embedding array<float>")
     asked = as_queries(spark, [[1.0, 0.0]])
     for frame in (nearest_join(corpus, asked, 2), nearest_to(corpus, [1.0, 0.0], 2)):
-        with pytest.raises(Exception, match="dimension audit|the query has"):
+        with pytest.raises(Exception, match="dimension audit"):
             frame.collect()
 
 

@@ -24,6 +24,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
@@ -33,11 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="nearspan-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="nearspan-"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

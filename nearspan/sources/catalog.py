@@ -111,7 +111,7 @@ def _profile(name: str, table: DataFrame, distinct: str | None) -> DataFrame:
                 numbers = tuple(end.cast("double") for end in ends)
         elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             aggregates += [F.min(column).alias(f"min_{i}"), F.max(column).alias(f"max_{i}")]
-            texts = tuple(F.date_format(F.col(f"{end}_{i}"), "yyyy-MM-dd HH:mm:ss") for end in ("min", "max"))
+            texts = tuple(F.substring(F.col(f"{end}_{i}").cast("string"), 1, 19) for end in ("min", "max"))
         parts = [
             F.lit(field.name).alias("column_name"),
             F.lit(field.dataType.simpleString()).alias("data_type"),

@@ -16,6 +16,16 @@ import __spark_entry__ as registry  # noqa: E402
 from workload.tables import TABLES  # noqa: E402
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -53,6 +63,10 @@ def compare(spark, con, sf_dir: str, name: str) -> str | None:
     if sorted(names) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} against {sorted(names)}"
     want = rows_of(names, result.fetchall())
+    types = {d[0]: str(d[1]) for d in result.description}
+    other = [(c, t, types[c]) for c, t in frame.dtypes if SAME_TYPE.get(t, t) != types[c]]
+    if other:
+        return f"types differ {other}"
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
     if not want:

@@ -130,7 +130,8 @@ REVENUE_SQL = """
 """
 
 TREND_SQL = """
-    SELECT event_type, user_id, n, total, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS place
+    SELECT event_type, user_id, n, total,
+           CAST(row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS INT) AS place
     FROM (SELECT event_type, user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM events GROUP BY event_type, user_id)
 """
 
@@ -227,7 +228,7 @@ QUERIES = {
     ),
     "partition_key": (
         partition_key,
-        "SELECT count(DISTINCT event_type) AS n_keys, count(*) AS n_rows, 0 AS n_split_keys FROM events",
+        "SELECT count(DISTINCT event_type) AS n_keys, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_split_keys FROM events",
     ),
     "partition_range": (parted_orders(BY_DATE), f"SELECT o_orderkey, o_totalprice, {DATE_SQL} AS p FROM orders"),
     "partition_list": (parted_orders(BY_PRIORITY), f"SELECT o_orderkey, o_totalprice, {PRIORITY_SQL} AS p FROM orders"),

@@ -18,6 +18,7 @@ from nearspan.operators.vector_table import (
     vector_table,
 )
 from nearspan.session import scratch_path
+from nearspan.sources.existing import existing_table
 from nearspan.sources.snapshots import SnapshotTable
 from nearspan.streaming.ingest import ingest
 from workload.tables import (
@@ -174,6 +175,44 @@ def store_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("qid", "rank", "node_id", F.round("similarity", 6).alias("similarity"), "n_chars", source)
 
 
+def store_search_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search by scan, by an index of which every cell is probed, and left to the store."""
+    asked = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("qid"), "embedding")
+    store = _store(spark, sf_dir)
+    store.apply_vector_index(n_cells=8, max_iter=2)
+    parts = []
+    for search_type in ("knn", "ann", "auto"):
+        found = store.query(asked, 3, search_type=search_type, probes=8, with_rows=False)
+        parts.append(found.select(F.lit(search_type).alias("search_type"), "qid", "rank", "node_id"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def store_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of a store when filled, cleared, and filled again from its first rows."""
+    store = _store(spark, sf_dir)
+    filled = store.count()
+    store.clear()
+    cleared = store.rows().count()
+    again = store.add(_labelled(spark, sf_dir))
+    counts = [F.lit(n).cast("long").alias(c) for n, c in ((filled, "filled"), (cleared, "cleared"), (again, "again"))]
+    return store.rows().agg(F.count("*").alias("n_rows")).select(*counts, "n_rows")
+
+
+def open_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that was written by someone else, opened under its own column names and filtered."""
+    path = scratch_path(spark, "foreign")
+    rows = load(spark, sf_dir, "documents").join(
+        load(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id"
+    )
+    rows.withColumn("key", F.col("doc_id").cast("string")).write.parquet(path)
+    config = TableConfig(
+        dim=DIM, node_id_column="key", metadata_column=None, promoted=(MetaColumn("lang"), MetaColumn("n_chars"))
+    )
+    table, actual = existing_table(spark, config, path=path)
+    tree = FilterGroup([MetaFilter("n_chars", 1000, ">"), MetaFilter("lang", ["en", "fr"], "in")])
+    return lookup.matching(table, tree, actual).select(*stable_columns(actual))
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A store after a stream of vectors has replaced its rows."""
     store = _store(spark, sf_dir)
@@ -403,6 +442,24 @@ QUERIES = {
         " WHERE lang = 'en') SELECT qid, CAST(rn AS INTEGER) AS rank, CAST(id AS VARCHAR) AS node_id, round(s, 6) AS"
         " similarity, CAST(n_chars AS INTEGER) AS n_chars, source FROM r JOIN documents ON doc_id = id WHERE rn <= 3",
     ),
+    "store_search_modes": (
+        store_search_modes,
+        "WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings JOIN documents ON doc_id ="
+        " vec_id), a AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), r AS (SELECT a.id AS"
+        " qid, v.id, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_distance(a.e, v.e), CAST(v.id AS"
+        " VARCHAR)) AS rn FROM a, v) SELECT t AS search_type, qid, CAST(rn AS INTEGER) AS rank, CAST(id AS VARCHAR) AS"
+        " node_id FROM r, (SELECT unnest(['knn', 'ann', 'auto']) AS t) WHERE rn <= 3",
+    ),
+    "store_clear": (
+        store_clear,
+        "SELECT (SELECT count(*) FROM embeddings JOIN documents ON doc_id = vec_id) AS filled, CAST(0 AS BIGINT) AS"
+        f" cleared, count(*) AS again, count(*) AS n_rows FROM {LABELLED_SQL}",
+    ),
+    "open_existing": (
+        open_existing,
+        "SELECT CAST(doc_id AS VARCHAR) AS node_id, text, lang, n_chars FROM documents JOIN embeddings ON vec_id ="
+        " doc_id WHERE n_chars > 1000 AND lang IN ('en', 'fr')",
+    ),
     "stream_ingest": (
         stream_ingest,
         "SELECT CAST(vec_id AS VARCHAR) AS node_id, 'label ' || label AS text, 'st' AS lang FROM embeddings",

@@ -310,7 +310,7 @@ QUERIES = {
     "index_preload": (index_preload, CELL_SIZES_SQL),
     "index_rebuild": (
         index_rebuild,
-        "SELECT count(*) AS n_rows, count(DISTINCT label) AS n_cells, 0 AS n_not_indexed FROM embeddings",
+        "SELECT count(*) AS n_rows, count(DISTINCT label) AS n_cells, CAST(0 AS BIGINT) AS n_not_indexed FROM embeddings",
     ),
     "index_health": (index_health, _health_sql()),
 }

@@ -24,14 +24,17 @@ from nearspan.functions.distance import norm
 from nearspan.operators.kernel import Block, NearestRows, matrix
 from nearspan.operators.knn import (
     MAX_SENT_QUERIES,
+    PART_QUERIES,
     SLICE_BYTES,
     check_queries,
+    every,
     finish,
     gather_queries,
     keep_nearest,
     meet_in_parts,
     nearest_join,
     scan_with_queries,
+    turn_of,
 )
 from nearspan.schema import METRICS, check_count, check_name
 from nearspan.sources.files import exists, remove
@@ -213,6 +216,7 @@ def search_index(
     with_cosine: bool = False,
     max_sent: int = MAX_SENT_QUERIES,
     slice_rows: int | None = None,
+    part_queries: int = PART_QUERIES,
 ) -> DataFrame:
     """The ``k`` nearest rows of each query among the rows of its ``probes`` nearest cells."""
     check_count(k, "k")
@@ -234,21 +238,28 @@ def search_index(
         return finish(keep_nearest(found, k), metric, qid, "node_id")
     dim = check_queries(asked)
     size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
-    # Large cells are cut into slices; a query goes to every slice of the cells it probes.
-    slices = index_stats(index).select("cell", F.ceil(F.col("n_rows") / size).alias("slices")).where("slices > 0")
-    sizes = [(r["cell"], r["slices"]) for r in slices.collect()]
-    offsets, total = [], 0
-    for cell, count in sorted(sizes):
-        offsets.append((cell, total, int(count)))
-        total += int(count)
-    plan = F.broadcast(index.spark.createDataFrame(offsets, "cell int, first_part long, slices long"))
-    cut = rows.join(plan, "cell").withColumn(
-        "part", F.col("first_part") + F.pmod(F.xxhash64("node_id"), F.col("slices"))
-    ).drop("cell", "first_part", "slices")
-    met = assign_cells(asked, centroids, probes, "vector", metric).join(plan, "cell")
-    every = F.explode(F.sequence(F.col("first_part"), F.col("first_part") + F.col("slices") - 1))
-    spread = met.withColumn("part", every).select("query_id", "vector", "part")
-    found = meet_in_parts(cut, spread, total, k, metric, with_cosine)
+    # A cell with many rows is cut into slices, one with many queries into blocks of them; every
+    # slice meets every block in a part of its own.  One row per cell reaches the driver.
+    met = assign_cells(asked, centroids, probes, "vector", metric)
+    asking = met.groupBy("cell").agg(F.count("*").alias("n_queries"))
+    counts = index_stats(index).join(asking, "cell").where("n_rows > 0").collect()
+    parts, total = [], 0
+    for row in sorted(counts):
+        slices, blocks = math.ceil(row["n_rows"] / size), math.ceil(row["n_queries"] / part_queries)
+        parts.append((row["cell"], total, slices, blocks))
+        total += slices * blocks
+    plan = F.broadcast(index.spark.createDataFrame(parts, "cell int, first_part long, slices long, blocks long"))
+
+    def number(slice_, block):
+        return F.col("first_part") + slice_ * F.col("blocks") + block
+
+    cut = rows.join(plan, "cell").withColumn("block", every(F.col("blocks")))
+    cut = cut.withColumn("part", number(turn_of("node_id", F.col("slices")), F.col("block")))
+    cut = cut.drop("cell", "first_part", "slices", "blocks", "block")
+    spread = met.join(plan, "cell").withColumn("slice", every(F.col("slices")))
+    spread = spread.withColumn("part", number(F.col("slice"), turn_of("query_id", F.col("blocks"))))
+    spread = spread.select("query_id", "vector", "part")
+    found = meet_in_parts(cut, spread, max(total, 1), k, metric, with_cosine)
     return finish(keep_nearest(found, k), metric, qid, "node_id")
 
 

@@ -26,6 +26,7 @@ MAX_SENT_QUERIES = 10_000
 MAX_SCAN_TASKS = 20_000
 MAX_SENT_MATCHES = 200_000
 SLICE_BYTES = 64 * 1024 * 1024
+PART_QUERIES = 200_000
 
 
 def nearest_to(
@@ -65,11 +66,12 @@ def nearest_join(
     with_cosine: bool = False,
     max_sent: int = MAX_SENT_QUERIES,
     slice_rows: int | None = None,
+    part_queries: int = PART_QUERIES,
 ) -> DataFrame:
     """The ``k`` nearest corpus rows of every query: query id, node id, distance, similarity, rank.
 
     ``carry`` names corpus columns that travel with the matches.  ``with_cosine`` adds the cosine
-    similarity of query and match whatever the metric.
+    similarity of query and match whatever the metric.  Query ids must be unique.
     """
     check_count(k, "k")
     if metric not in METRICS:
@@ -84,12 +86,26 @@ def nearest_join(
         size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
         cores = rows.sparkSession.sparkContext.defaultParallelism
         slices = max(cores, math.ceil(rows.count() / size))
-        cut = rows.withColumn("part", F.pmod(F.xxhash64("node_id"), F.lit(slices)))
-        spread = asked.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
-        found = meet_in_parts(cut, spread, slices, k, metric, with_cosine)
+        blocks = math.ceil(asked.count() / part_queries)
+        # Every slice of rows meets every block of queries in a part of its own.
+        cut = rows.withColumn("block", every(F.lit(blocks)))
+        cut = cut.withColumn("part", turn_of("node_id", F.lit(slices)) * blocks + F.col("block")).drop("block")
+        spread = asked.withColumn("slice", every(F.lit(slices)))
+        spread = spread.withColumn("part", F.col("slice") * blocks + turn_of("query_id", F.lit(blocks))).drop("slice")
+        found = meet_in_parts(cut, spread, slices * blocks, k, metric, with_cosine)
     return finish(keep_nearest(found, k), metric, qid, node_id)
 
 
+def every(count: Column) -> Column:
+    """One row per number from 0 up to ``count``."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1))
+
+
+def turn_of(key: str, count: Column) -> Column:
+    """A number below ``count`` that depends on the key alone."""
+    return F.pmod(F.xxhash64(key), count.cast("long"))
+
+
 def _corpus_rows(corpus: DataFrame, node_id: str, embedding: str, carry: Sequence[str]) -> DataFrame:
     extra = [c for c in carry if c != node_id]
     return corpus.select(F.col(node_id).alias("node_id"), F.col(embedding).alias("vector"), *extra)

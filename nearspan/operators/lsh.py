@@ -1,8 +1,8 @@
 """Approximate neighbour join by random projections, without a stored index.
 
 Vectors that fall into the same bucket of at least one hash table are compared, and only the best
-``k`` of them leave a task; pairs are never listed.  Buckets larger than a task should hold are cut
-into slices, and their queries go to every slice.
+``k`` of them leave a task; pairs are never listed.  A bucket with more rows or queries than a task
+should hold is cut into slices of rows and blocks of queries, which all meet.
 """
 
 from __future__ import annotations
@@ -11,11 +11,20 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearspan.operators.ivf import unit
-from nearspan.operators.knn import SLICE_BYTES, check_queries, finish, keep_nearest, meet_in_parts
+from nearspan.operators.knn import (
+    PART_QUERIES,
+    SLICE_BYTES,
+    check_queries,
+    every,
+    finish,
+    keep_nearest,
+    meet_in_parts,
+    turn_of,
+)
 from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import METRICS, check_count
 
@@ -35,6 +44,7 @@ def nearest_by_projection(
     qid: str = "qid",
     query_embedding: str = "embedding",
     slice_rows: int | None = None,
+    part_queries: int = PART_QUERIES,
     parts: int = PARTS,
 ) -> DataFrame:
     """The ``k`` nearest rows of each query among those that share a bucket with it."""
@@ -59,21 +69,27 @@ def nearest_by_projection(
         spots = model.transform(features).select(*keep, F.posexplode("hashes").alias("t", "h"))
         return spots.select(*keep, F.struct("t", vector_to_array("h")[0].cast("long").alias("h")).alias("bucket"))
 
-    placed = hashed(rows, ["node_id", "vector"])
-    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > size)
-    large = broadcast_if_small(sizes.select("bucket", F.ceil(F.col("n") / size).alias("slices")))
-    slices = F.coalesce(F.col("slices"), F.lit(1).cast("long"))
-    turn = F.pmod(F.xxhash64("node_id"), slices)
-    cut = placed.join(large, "bucket", "left").select("node_id", "vector", _part(F.col("bucket"), turn))
-    turns = F.sequence(F.lit(0).cast("long"), slices - 1)
-    spread = hashed(asked, ["query_id", "vector"]).join(large, "bucket", "left")
-    spread = spread.select("query_id", "vector", "bucket", F.explode(turns).alias("turn"))
-    spread = spread.select("query_id", "vector", _part(F.col("bucket"), F.col("turn")))
+    # Only buckets that are too large for one task are listed; the others are one part each.
+    placed, wanted = hashed(rows, ["node_id", "vector"]), hashed(asked, ["query_id", "vector"])
+    slices = _large(placed, size, "slices")
+    blocks = _large(wanted, part_queries, "blocks")
+    counts = [F.coalesce(F.col(c), F.lit(1).cast("long")) for c in ("slices", "blocks")]
+
+    def cut_up(frame: DataFrame, key: str, own: Column, other: Column, names: tuple[str, str]) -> DataFrame:
+        sized = frame.join(slices, "bucket", "left").join(blocks, "bucket", "left")
+        own_name, other_name = names
+        rows = sized.select(key, "vector", "bucket", turn_of(key, own).alias(own_name), every(other).alias(other_name))
+        return rows.select(key, "vector", F.xxhash64("bucket", "slice", "block").alias("part"))
+
+    cut = cut_up(placed, "node_id", *counts, ("slice", "block"))
+    spread = cut_up(wanted, "query_id", *reversed(counts), ("block", "slice"))
     found = meet_in_parts(cut, spread, parts, k, metric)
     # A row may share several buckets with a query.
     once = found.groupBy("query_id", "node_id").agg(F.min("distance").alias("distance"))
     return finish(keep_nearest(once, k), metric, qid, node_id)
 
 
-def _part(bucket, turn):
-    return F.xxhash64(bucket, turn).alias("part")
+def _large(placed: DataFrame, limit: int, name: str) -> DataFrame:
+    """Buckets with more rows than ``limit``, and into how many pieces to cut them."""
+    counts = placed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    return broadcast_if_small(counts.select("bucket", F.ceil(F.col("n") / limit).alias(name)))

@@ -58,7 +58,7 @@ def hard_vectors():
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("options", [{}, {"max_sent": 0, "slice_rows": 20}, {"max_sent": 0}])
+@pytest.mark.parametrize("options", [{}, {"max_sent": 0, "slice_rows": 20}, {"max_sent": 0, "part_queries": 5}])
 def test_join_matches_brute_force(spark, metric, options):
     corpus = hard_vectors()
     queries = np.concatenate([corpus[::15], np.random.default_rng(5).normal(size=(4, DIM))])
@@ -236,7 +236,7 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("options", [{}, {"max_sent": 0, "slice_rows": 30}])
+@pytest.mark.parametrize("options", [{}, {"max_sent": 0, "slice_rows": 30, "part_queries": 2}])
 def test_all_cells_are_exact(spark, skewed, metric, options):
     corpus, asked = as_frame(spark, skewed), as_queries(spark, skewed[::20])
     index = ivf.build_index(corpus, scratch_path(spark, "test"), metric, n_cells=5)
@@ -286,7 +286,7 @@ def test_projection_join(spark, skewed):
     corpus, asked = as_frame(spark, skewed), as_queries(spark, skewed[::20])
     options = {"metric": "euclidean", "parts": 4}
     found = collected(nearest_by_projection(corpus, asked, 6, bucket_length=2.0, **options))
-    cut = collected(nearest_by_projection(corpus, asked, 6, bucket_length=2.0, slice_rows=7, **options))
+    cut = collected(nearest_by_projection(corpus, asked, 6, bucket_length=2.0, slice_rows=7, part_queries=2, **options))
     assert found == cut
     truth = {(q, n): d for q, _, n, d in collected(nearest_join(corpus, asked, 200, "euclidean"))}
     assert all(truth[(q, n)] == d for q, _, n, d in found)

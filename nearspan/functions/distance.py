@@ -97,6 +97,8 @@ SQL_FUNCTIONS = {
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the vector functions callable from SQL text."""
+    if spark.catalog.functionExists("vec_distance"):
+        return
     for name, (arguments, result, body) in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {result} RETURN {body}")
     spark.sql(

@@ -16,10 +16,7 @@ from nearspan.sources.files import children
 
 SAMPLE_ROWS = 3
 MAX_STRING_LENGTH = 300
-PROFILE_SCHEMA = (
-    "table_name string, column_name string, data_type string, n_rows long, n_nulls long,"
-    " min_number double, max_number double, min_text string, max_text string"
-)
+PROFILE_COLUMNS = ["column_name", "data_type", "n_nulls", "min_number", "max_number", "min_text", "max_text"]
 
 
 def usable_tables(
@@ -96,39 +93,37 @@ def table_profile(tables: Mapping[str, DataFrame], distinct: str | None = None)
 
 
 def _profile(name: str, table: DataFrame, distinct: str | None) -> DataFrame:
-    aggregates, entries = [F.count("*").alias("n_rows")], []
-    no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    names = [*PROFILE_COLUMNS, "n_distinct"] if distinct else PROFILE_COLUMNS
+    aggregates, entries = ["count(*) AS n_rows"], []
     for i, field in enumerate(table.schema.fields):
-        column = F.col(f"`{field.name}`")
-        aggregates.append(F.count_if(column.isNull()).alias(f"nulls_{i}"))
-        numbers, texts = (no_number, no_number), (no_text, no_text)
-        if isinstance(field.dataType, (T.NumericType, T.StringType)):
-            aggregates += [F.min(column).alias(f"min_{i}"), F.max(column).alias(f"max_{i}")]
-            ends = F.col(f"min_{i}"), F.col(f"max_{i}")
-            if isinstance(field.dataType, T.StringType):
-                texts = tuple(shorten(end, MAX_STRING_LENGTH) for end in ends)
-            else:
-                numbers = tuple(end.cast("double") for end in ends)
+        column = "`" + field.name.replace("`", "``") + "`"
+        aggregates.append(f"count_if({column} IS NULL) AS nulls_{i}")
+        number = text = None
+        if isinstance(field.dataType, T.NumericType):
+            number = "double({end}_{i})"
+        elif isinstance(field.dataType, T.StringType):
+            text = "{end}_{i}"
         elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            aggregates += [F.min(column).alias(f"min_{i}"), F.max(column).alias(f"max_{i}")]
-            texts = tuple(F.substring(F.col(f"{end}_{i}").cast("string"), 1, 19) for end in ("min", "max"))
-        parts = [
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.col(f"nulls_{i}").alias("n_nulls"),
-            numbers[0].alias("min_number"),
-            numbers[1].alias("max_number"),
-            texts[0].alias("min_text"),
-            texts[1].alias("max_text"),
-        ]
+            text = "substring(string({end}_{i}), 1, 19)"
+        if number or text:
+            aggregates += [f"min({column}) AS min_{i}", f"max({column}) AS max_{i}"]
+        parts = [_quoted(field.name), _quoted(field.dataType.simpleString()), f"nulls_{i}"]
+        parts += [(number or "double(NULL)").format(end=end, i=i) for end in ("min", "max")]
+        parts += [(text or "string(NULL)").format(end=end, i=i) for end in ("min", "max")]
         if distinct:
             comparable = not isinstance(field.dataType, (T.MapType, T.VariantType))
-            count = F.approx_count_distinct if distinct == "approx" else F.count_distinct
-            aggregates.append((count(column) if comparable else F.lit(None).cast("long")).alias(f"distinct_{i}"))
-            parts.append(F.col(f"distinct_{i}").alias("n_distinct"))
-        entries.append(F.struct(*parts))
-    rows = table.agg(*aggregates).select("n_rows", F.explode(F.array(*entries)).alias("c"))
-    return rows.select(F.lit(name).alias("table_name"), "c.*", "n_rows")
+            count = f"approx_count_distinct({column})" if distinct == "approx" else f"count(DISTINCT {column})"
+            aggregates.append(f"{count if comparable else 'bigint(NULL)'} AS distinct_{i}")
+            parts.append(f"distinct_{i}")
+        entries.append("struct(" + ", ".join(f"{p} AS {n}" for p, n in zip(parts, names)) + ")")
+    counts = table.agg(*[F.expr(a) for a in aggregates])
+    rows = counts.selectExpr("n_rows", f"inline(array({', '.join(entries)}))")
+    texts = {f"{end}_text": shorten(F.col(f"{end}_text"), MAX_STRING_LENGTH) for end in ("min", "max")}
+    return rows.withColumns({"table_name": F.lit(name), **texts}).select("table_name", *names, "n_rows")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def profile_folder(spark: SparkSession, folder: str, distinct: str | None = None) -> DataFrame:

@@ -38,6 +38,7 @@ from nearspan.operators.knn import (
 )
 from nearspan.schema import METRICS, check_count, check_name
 from nearspan.sources.files import exists, remove
+from nearspan.session import small_frame
 
 MAX_CELLS = 16_384
 TRAIN_ROWS_PER_CELL = 256
@@ -104,7 +105,7 @@ def train_centroids(
     finally:
         points.unpersist()
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return corpus.sparkSession.createDataFrame(centres, "cell int, centroid array<float>")
+    return small_frame(corpus.sparkSession, centres, "cell int, centroid array<float>")
 
 
 def _gather_centroids(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +182,7 @@ def build_index(
     used = centroids.count()
     dim = centroids.select(F.max(F.size("centroid"))).first()[0]
     info = [(index_name, embedding, ALGORITHM, metric, dim, used, max_iter, total, source_generation)]
-    spark.createDataFrame(info, INFO_SCHEMA).coalesce(1).write.json(f"{path}/info")
+    small_frame(spark, info, INFO_SCHEMA).coalesce(1).write.json(f"{path}/info")
     return IvfIndex(spark, path)
 
 
@@ -248,7 +249,7 @@ def search_index(
         slices, blocks = math.ceil(row["n_rows"] / size), math.ceil(row["n_queries"] / part_queries)
         parts.append((row["cell"], total, slices, blocks))
         total += slices * blocks
-    plan = F.broadcast(index.spark.createDataFrame(parts, "cell int, first_part long, slices long, blocks long"))
+    plan = F.broadcast(small_frame(index.spark, parts, "cell int, first_part long, slices long, blocks long"))
 
     def number(slice_, block):
         return F.col("first_part") + slice_ * F.col("blocks") + block

@@ -160,7 +160,9 @@ class NearestRows:
             values[~finite] = -np.inf
         if not block.defined.all():
             values[:, ~block.defined] = np.inf
-        limit = np.nextafter(self._limit(part, values, block.top).astype(np.float32), np.float32(np.inf))
+        with np.errstate(over="ignore"):
+            limit = self._limit(part, values, block.top).astype(np.float32)
+        limit = np.nextafter(limit, np.float32(np.inf))
         at, spot = np.nonzero(values <= limit[:, None])
         query = part[at]
         found = []

@@ -21,6 +21,7 @@ from nearspan.functions.distance import similarity
 from nearspan.functions.vectors import vector_fault
 from nearspan.operators.kernel import Block, NearestRows, matrix
 from nearspan.schema import METRICS, check_count
+from nearspan.session import small_frame
 
 MAX_SENT_QUERIES = 10_000
 MAX_SCAN_TASKS = 20_000
@@ -159,7 +160,7 @@ def scan_with_queries(
     names = [c for c in rows.columns if c not in ("vector", "cell")]
     schema = _result_schema(rows, id_type, ("vector", "cell"), with_cosine)
     if not sent.num_rows:
-        return rows.sparkSession.createDataFrame([], schema)
+        return small_frame(rows.sparkSession, [], schema)
     payload = rows.sparkSession.sparkContext.broadcast(
         (sent["query_id"].combine_chunks(), matrix(sent["vector"]), probes)
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
 from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import TableConfig, check_count
+from nearspan.session import small_frame
 
 BROWSE_LIMIT = 10_000
 LITERAL_IDS = 1_000
@@ -22,7 +23,7 @@ def by_ids(table: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id
         wanted = sorted({str(i) for i in ids})
         if len(wanted) <= LITERAL_IDS:
             return table.where(F.col(key).isin(wanted))
-        ids = table.sparkSession.createDataFrame([(i,) for i in wanted], f"{key} string")
+        ids = small_frame(table.sparkSession, [(i,) for i in wanted], f"{key} string")
     return table.join(broadcast_if_small(ids.select(key).distinct()), key, "left_semi")
 
 

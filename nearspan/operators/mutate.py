@@ -12,6 +12,7 @@ from nearspan.functions.metadata import read_key
 from nearspan.operators.lookup import LITERAL_IDS
 from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import TableConfig
+from nearspan.session import small_frame
 
 
 def latest(updates: DataFrame, key: str = "node_id", seq: str | None = "seq") -> DataFrame:
@@ -73,7 +74,7 @@ def delete_by_ids(base: DataFrame, ids: DataFrame | Sequence[str], key: str = "n
         doomed = sorted({str(i) for i in ids})
         if len(doomed) <= LITERAL_IDS:
             return keep_unless(base, F.col(key).isin(doomed)) if doomed else base
-        ids = base.sparkSession.createDataFrame([(i,) for i in doomed], f"{key} string")
+        ids = small_frame(base.sparkSession, [(i,) for i in doomed], f"{key} string")
     return base.join(broadcast_if_small(ids.select(key).distinct()), key, "left_anti")
 
 

@@ -17,6 +17,7 @@ from nearspan.operators.vector_table import assert_writable, rebuilt_rows, stabl
 from nearspan.schema import TableConfig, check_count, check_name
 from nearspan.sources.files import children
 from nearspan.sources.snapshots import SnapshotTable
+from nearspan.session import small_frame
 
 MODES = ("default", "mmr")
 SEARCH_TYPES = ("auto", "knn", "ann")
@@ -70,7 +71,7 @@ class VectorStore:
         """Rows of the buckets that can hold a short list of ids, else all rows."""
         if ids is None or isinstance(ids, DataFrame) or not 0 < len(ids) <= lookup.LITERAL_IDS:
             return self.rows()
-        keys = self.spark.createDataFrame([(str(i),) for i in ids], f"{self.config.node_id_column} string")
+        keys = small_frame(self.spark, [(str(i),) for i in ids], f"{self.config.node_id_column} string")
         return self.table.read(self.table.touched_by(keys)).drop("bucket")
 
     # Searching
@@ -103,7 +104,7 @@ class VectorStore:
         if queries is None:
             raise ValueError("the query vector is missing")
         if not isinstance(queries, DataFrame):
-            queries = self.spark.createDataFrame([(0, [float(x) for x in queries])], f"{qid} int, embedding array<float>")
+            queries = small_frame(self.spark, [(0, [float(x) for x in queries])], f"{qid} int, embedding array<float>")
         wanted = predicate(filters, self.config)
         fetch = k if mode == "default" else fetch_k or default_candidates(k)
         index = self._usable_index(search_type, wanted is not None)
@@ -172,7 +173,7 @@ class VectorStore:
         key = self.config.node_id_column
         if isinstance(ids, DataFrame) or ids:
             if not isinstance(ids, DataFrame):
-                ids = self.spark.createDataFrame([(str(i),) for i in ids], f"{key} string")
+                ids = small_frame(self.spark, [(str(i),) for i in ids], f"{key} string")
             touched = self.table.touched_by(ids.select(key))
             return self._keep(mutate.delete_by_ids(self.table.read(touched), ids, key), touched)
         if filters is None or (isinstance(filters, FilterGroup) and not filters.filters):

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -45,3 +49,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/nearspan-{label}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few rows of the driver as a local relation, whose size the optimizer knows."""
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    entries = [dict(zip(struct.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(entries, schema=to_arrow_schema(struct)), struct)

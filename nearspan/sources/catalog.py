@@ -13,6 +13,7 @@ from nearspan.functions.distance import register_sql_functions
 from nearspan.functions.text import shorten
 from nearspan.operators.lookup import first_rows
 from nearspan.sources.files import children
+from nearspan.session import small_frame
 
 SAMPLE_ROWS = 3
 MAX_STRING_LENGTH = 300
@@ -43,7 +44,7 @@ def list_tables(
     found = {t.name: t.tableType for t in spark.catalog.listTables(database)}
     kinds = {n: k for n, k in found.items() if views or k not in ("VIEW", "TEMPORARY")}
     rows = [(name, kinds[name]) for name in usable_tables(kinds, include, ignore)]
-    return spark.createDataFrame(rows, "table_name string, table_type string")
+    return small_frame(spark, rows, "table_name string, table_type string")
 
 
 def folder_tables(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -62,7 +63,7 @@ def load_tables(
             status.append((name, "ok", None))
         except Exception as error:
             status.append((name, "error", str(error).splitlines()[0][:MAX_STRING_LENGTH]))
-    return tables, spark.createDataFrame(status, "table_name string, status string, message string")
+    return tables, small_frame(spark, status, "table_name string, status string, message string")
 
 
 def run_sql(

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from nearspan.schema import check_count
 from nearspan.sources.files import children, exists, remove
+from nearspan.session import small_frame
 
 COMMIT_SCHEMA = "bucket int, folder string, n_rows long"
 
@@ -75,7 +76,7 @@ class SnapshotTable:
         names = [*self.schema.names, "bucket"]
         stored = T.StructType([*self.schema.fields, T.StructField("gen", T.StringType()), _BUCKET])
         if not paths:
-            return self.spark.createDataFrame([], T.StructType([*self.schema.fields, _BUCKET]))
+            return small_frame(self.spark, [], T.StructType([*self.schema.fields, _BUCKET]))
         reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(names)
 
@@ -103,7 +104,7 @@ class SnapshotTable:
             if bucket in touched or bucket not in state:
                 state[bucket] = Bucket(folder, counts.get(bucket, 0))
         entries = [(n, b.folder, b.n_rows) for n, b in sorted(state.items())]
-        commit = self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
+        commit = small_frame(self.spark, entries, COMMIT_SCHEMA).coalesce(1)
         # Fails when another writer has committed this generation meanwhile.
         commit.write.json(f"{self.root}/commits/gen={number}")
         self._known = number, state
@@ -111,7 +112,7 @@ class SnapshotTable:
 
     def clear(self) -> None:
         """No rows, the table stays."""
-        self.replace(self.spark.createDataFrame([], self.schema))
+        self.replace(small_frame(self.spark, [], self.schema))
 
     def drop(self) -> None:
         if exists(self.spark, self.root):

@@ -27,6 +27,7 @@ MAX_SENT_QUERIES = 10_000
 MAX_SCAN_TASKS = 20_000
 MAX_SENT_MATCHES = 200_000
 SLICE_BYTES = 64 * 1024 * 1024
+MIN_SLICE_ROWS = 5_000
 PART_QUERIES = 200_000
 
 
@@ -86,7 +87,8 @@ def nearest_join(
         dim = check_queries(asked)
         size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
         cores = rows.sparkSession.sparkContext.defaultParallelism
-        slices = max(cores, math.ceil(rows.count() / size))
+        count = rows.count()
+        slices = max(1, min(cores, count // MIN_SLICE_ROWS), math.ceil(count / size))
         blocks = math.ceil(asked.count() / part_queries)
         # Every slice of rows meets every block of queries in a part of its own.
         cut = rows.withColumn("block", every(F.lit(blocks)))

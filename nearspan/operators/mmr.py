@@ -14,7 +14,7 @@ from nearspan.schema import check_count
 
 DEFAULT_LAMBDA = 0.5
 TIE_DECIMALS = 12
-CARRIED_CANDIDATES = 30_000
+CARRIED_CANDIDATES = 50_000
 
 
 def default_candidates(k: int) -> int:

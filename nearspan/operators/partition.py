@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import check_count, check_name, spark_type
+from nearspan.sources.files import make_folder
 
 KINDS = ("HASH", "KEY", "RANGE", "LIST")
 MAXVALUE = "MAXVALUE"
@@ -169,6 +170,8 @@ def create_partitioned_table(
     parted = f" PARTITIONED BY ({name})" if spec else ""
     where = f" LOCATION '{path}'" if path else ""
     exists = "IF NOT EXISTS " if if_not_exists else ""
+    if path:
+        make_folder(spark, path)
     spark.sql(f"CREATE TABLE {exists}`{table}` ({listed}) USING parquet{parted}{where}")
 
 

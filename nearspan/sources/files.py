@@ -24,6 +24,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, target = _locate(spark, path)
+    system.mkdirs(target)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     system, target = _locate(spark, path)
     return system.delete(target, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import mixing, quality, sharding
+from nearspan.llm import mixing, near, quality, sharding
 from nearspan.llm.common import load
 
 
@@ -50,6 +50,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(load(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near.document_groups(load(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mixed_documents(load(spark, sf_dir, "documents"))
@@ -58,5 +63,6 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
     "op4_sharding": (op4_sharding, None),
+    "op5_near_duplicates": (op5_near_duplicates, None),
     "op7_mixing": (op7_mixing, None),
 }

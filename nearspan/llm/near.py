@@ -197,6 +197,7 @@ def _against(members: DataFrame, percent: int) -> DataFrame:
         F.ceil(F.count("*") / PART).alias("parts"),
         F.ceil(F.count(F.when(F.col("root") != F.col("main"), 1)) / BLOCK).alias("blocks"),
     )
+    counts = settle(counts, "counts")
     dealt = members.join(counts, "family").withColumn("deal", F.xxhash64("node"))
     block, part = F.pmod("deal", "blocks").alias("block"), F.pmod("deal", "parts").alias("part")
     every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
@@ -281,7 +282,8 @@ def near_groups(documents: DataFrame, shingle: int, percent: int = 80, text: str
     largest = counted.groupBy("family").agg(
         F.max(F.struct("count", "root"))["root"].alias("main"), F.count("*").alias("parts")
     )
-    split = placed.join(largest.filter("parts > 1").drop("parts"), "family")
+    largest = settle(largest.filter("parts > 1").drop("parts"), "largest")
+    split = placed.join(largest, "family")
     missing = split.join(sets.select("node"), "node", "left_anti").join(nodes.select("node", "key"), "node")
     every = sets.unionByName(_full_sets(texts.drop("id"), missing, shingle))
     members = settle(split.join(every, "node").select("family", "node", "root", "main", "elements"), "members")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import mixing, near, quality, sharding
+from nearspan.llm import decontaminate, mixing, near, quality, sharding
 from nearspan.llm.common import load
 
 
@@ -55,6 +55,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.document_groups(load(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item that stands in it."""
+    return decontaminate.passages(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mixed_documents(load(spark, sf_dir, "documents"))
@@ -64,5 +69,6 @@ QUERIES = {
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
     "op4_sharding": (op4_sharding, None),
     "op5_near_duplicates": (op5_near_duplicates, None),
+    "op6_decontamination": (op6_decontamination, None),
     "op7_mixing": (op7_mixing, None),
 }

@@ -21,11 +21,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from nearspan.llm.bytesets import mix, pieces, powers
 
-Q = 8
+Q = 12
 SEGMENT = 80
 STRIDE = 40
 SHORTEST = 20
-ERROR_PERCENT = 10
+ERROR_PERCENT = 6
 BLOCK_CHARS = 4_000_000
 _CODES = np.random.default_rng(6).integers(1, 1 << 63, 1 << 16, dtype=np.uint64)
 
@@ -92,14 +92,10 @@ class Segments:
         segment, diagonal = self.owner[entry], np.repeat(spots, counts) - self.place[entry]
         band = diagonal // self.step
         # A segment's band may reach into a neighbouring text; its count only grows by that.
-        segment, band = np.concatenate([segment, segment]), np.concatenate([band, band - 1])
-        order = np.lexsort((band, segment))
-        segment, band = segment[order], band[order]
-        new = np.ones(len(band), bool)
-        new[1:] = (segment[1:] != segment[:-1]) | (band[1:] != band[:-1])
-        begin = np.flatnonzero(new)
-        enough = np.diff(np.append(begin, len(band))) >= self.needed[segment[begin]]
-        return segment[begin[enough]], band[begin[enough]]
+        keys = segment << np.int64(40) | (band + SEGMENT)
+        keys, shared = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
+        keys = keys[shared >= self.needed[keys >> np.int64(40)]]
+        return keys >> np.int64(40), (keys & np.int64((1 << 40) - 1)) - SEGMENT
 
     def align(self, codes, offsets, segment, band) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text, begin, end and edits of the best place of each segment in its band; edits -1 without text.

@@ -16,6 +16,7 @@ PIECE_BYTES = 4 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LETTERS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_OTHER_LETTERS = np.random.default_rng(20000229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -42,11 +43,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def prefix_hashes(buffer: np.ndarray) -> np.ndarray:
-    """``S`` with ``(S[e] - S[s]) * base**-s`` the hash of ``buffer[s:e]``."""
+def prefix_hashes(buffer: np.ndarray, other: bool = False) -> np.ndarray:
+    """``S`` with ``(S[e] - S[s]) * base**-s`` the hash of ``buffer[s:e]``; ``other`` gives a second, independent hash."""
     up, _ = powers(len(buffer))
     sums = np.zeros(len(buffer) + 1, np.uint64)
-    np.cumsum(_LETTERS[buffer] * up[: len(buffer)], out=sums[1:])
+    np.cumsum((_OTHER_LETTERS if other else _LETTERS)[buffer] * up[: len(buffer)], out=sums[1:])
     return sums
 
 

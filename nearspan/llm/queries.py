@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, near, quality, sharding
+from nearspan.llm import decontaminate, mixing, near, quality, repeats, sharding
 from nearspan.llm.common import load
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 400 bytes."""
+    return repeats.document_repeats(load(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word statistics and the cascade's verdict of every document."""
     rows = quality.measure(load(spark, sf_dir, "documents"))
@@ -66,6 +71,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": (op1_suffix_array_dedup, None),
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
     "op4_sharding": (op4_sharding, None),
     "op5_near_duplicates": (op5_near_duplicates, None),

@@ -201,7 +201,7 @@ def _all_fragments(texts: DataFrame, width: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, _, buffer, offsets in pieces(batch):
+            for at, _, buffer, offsets in pieces(batch, piece_bytes=BATCH_BYTES):
                 f = fragments(buffer, offsets, width, gram)
                 doc = batch.column("doc").take(pa.array(at + f["row"]))
                 lead = f["anchor"] - f["first"]
@@ -261,7 +261,7 @@ def _counted_marks(cuts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, _, buffer, offsets in pieces(batch, "bytes"):
+            for at, _, buffer, offsets in pieces(batch, "bytes", BATCH_BYTES):
                 spans = np.diff(offsets) - width + 1
                 owner = np.repeat(np.arange(len(spans)), spans)
                 window = np.arange(len(owner)) - np.repeat(np.cumsum(spans) - spans, spans)
@@ -289,12 +289,13 @@ def repeat_marks(
     ``doc`` is a digest of the text; rows with equal texts count as often as they stand there.
     """
     every = settle(_all_fragments(texts, width, gram), "fragments")
-    keys = every.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    # Counts are written before they are joined, so that the join's partitions of hot keys can be split.
+    keys = settle(every.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").drop("c"), "keys")
     shared = settle(every.join(keys, "key"), "shared")
     place = F.struct("doc", "first", "lead", "span")
     kinds = shared.groupBy("key", "frag", "check").agg(F.count("*").alias("n"), F.min(place).alias("place"))
     kinds = settle(kinds, "kinds")
-    variants = kinds.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    variants = settle(kinds.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "variants")
     open_ = settle(kinds.join(variants, "key").select("key", "frag", "check", "n", "m", "place.*"), "open")
     cuts = settle(_cut(texts, open_, width), "cuts")
     twice = kinds.filter("n > 1").select("key", "frag", "check")
@@ -320,7 +321,7 @@ def without_repeats(
     lists = marks.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("_marks"))
     lists = settle(lists.withColumnRenamed("doc", "_doc"), "marks")
     rows = documents.drop("repeats").withColumns({"_doc": text_key(filled), "_text": filled.cast("binary")})
-    joined = rows.join(broadcast_if_small(lists), "_doc", "left")
+    joined = rows.join(lists, "_doc", "left")
     kind = "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint,spans:array<struct<begin:bigint,end:bigint>>>"
 
     @F.pandas_udf(kind)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from nearspan.llm.bytesets import mix, pieces, word_hashes
 from nearspan.llm.common import settle, whole
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 ROOT_WEIGHTS = (0.5, 2.0, 8.0, 32.0, 128.0, 512.0, 2048.0, 1e5)
 END, BEGIN = np.uint64(0x1234567), np.uint64(0x7654321)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, near, quality, repeats, scoring, sharding
+from nearspan.llm import decontaminate, mixing, near, privacy, quality, repeats, scoring, sharding
 from nearspan.llm.common import load
 
 
@@ -70,6 +70,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(load(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms of every document."""
+    return privacy.document_personal_data(load(spark, sf_dir, "documents"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document."""
     return scoring.score_documents(load(spark, sf_dir, "documents"))
@@ -82,5 +87,6 @@ QUERIES = {
     "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_decontamination": (op6_decontamination, None),
     "op7_mixing": (op7_mixing, None),
+    "op8_personal_data": (op8_personal_data, None),
     "op9_lm_scoring": (op9_lm_scoring, None),
 }

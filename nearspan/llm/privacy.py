@@ -185,7 +185,7 @@ def _document_frequencies(documents: DataFrame, terms: DataFrame, sent_terms: in
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], ["term", "n"])
 
     counted = documents.select(whole("text").alias("text")).mapInArrow(run, "term long, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n")).join(terms, "term")
+    return settle(counted.groupBy("term").agg(F.sum("n").alias("n")), "frequencies").join(terms, "term")
 
 
 def disclosures(documents: DataFrame, found: DataFrame, sent_terms: int = SENT_TERMS) -> DataFrame:
@@ -200,7 +200,7 @@ def disclosures(documents: DataFrame, found: DataFrame, sent_terms: int = SENT_T
     joint = settle(each.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT), "joint")
     entities = found.select(F.explode(F.array_distinct(F.col("terms")["entity"])).alias("entity"))
     entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = _document_frequencies(documents, joint.select("term").distinct(), sent_terms)
+    terms = _document_frequencies(documents, settle(joint.select("term").distinct(), "terms"), sent_terms)
     rated = joint.join(entities, "entity").join(terms.withColumnRenamed("n", "n_term"), "term")
     information = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
     given = F.log2(F.col("both") * float(max(total, 1)) / (F.col("n_entity") * F.col("n_term")))

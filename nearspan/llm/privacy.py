@@ -168,21 +168,32 @@ def _document_frequencies(documents: DataFrame, terms: DataFrame, sent_terms: in
     if terms.count() <= sent_terms:
         wanted = np.sort(np.array([row[0] for row in terms.collect()], np.int64))
 
+    def counts(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes, first = word_hashes(buffer, offsets)
+        hashes, row = hashes.view(np.int64), np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        if wanted is not None:
+            rank = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
+            known = wanted[rank] == hashes if len(wanted) else np.zeros(len(hashes), bool)
+            hashes, row = hashes[known], row[known]
+        order = np.lexsort((row, hashes))
+        hashes, row = hashes[order], row[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+        return np.unique(hashes[new], return_counts=True)
+
+    def rows(values: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values), pa.array(numbers.astype(np.int64))], ["term", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(wanted) if wanted is not None else 0, np.int64)
         for batch in batches:
             for _, _, buffer, offsets in pieces(batch):
-                hashes, first = word_hashes(buffer, offsets)
-                hashes, row = hashes.view(np.int64), np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-                if wanted is not None:
-                    rank = np.minimum(np.searchsorted(wanted, hashes), max(len(wanted) - 1, 0))
-                    known = wanted[rank] == hashes if len(wanted) else np.zeros(len(hashes), bool)
-                    hashes, row = hashes[known], row[known]
-                order = np.lexsort((row, hashes))
-                hashes, row = hashes[order], row[order]
-                new = np.ones(len(hashes), bool)
-                new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-                values, counts = np.unique(hashes[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], ["term", "n"])
+                values, numbers = counts(buffer, offsets)
+                if wanted is None:
+                    yield rows(values, numbers)
+                else:
+                    sums[np.searchsorted(wanted, values)] += numbers
+        yield rows(wanted[sums > 0] if wanted is not None else sums, sums[sums > 0])
 
     counted = documents.select(whole("text").alias("text")).mapInArrow(run, "term long, n long")
     return settle(counted.groupBy("term").agg(F.sum("n").alias("n")), "frequencies").join(terms, "term")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, near, privacy, quality, repeats, scoring, sharding
+from nearspan.llm import decontaminate, mixing, near, privacy, quality, repeats, scoring, sharding, wrappers
 from nearspan.llm.common import load
 
 
@@ -80,6 +80,11 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_documents(load(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.page_texts(load(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": (op1_suffix_array_dedup, None),
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
@@ -89,4 +94,5 @@ QUERIES = {
     "op7_mixing": (op7_mixing, None),
     "op8_personal_data": (op8_personal_data, None),
     "op9_lm_scoring": (op9_lm_scoring, None),
+    "op10_html_extraction": (op10_html_extraction, None),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, near, privacy, quality, repeats, scoring, sharding, wrappers
+from nearspan.llm import decontaminate, mixing, near, privacy, quality, repeats, scoring, secrets, sharding, wrappers
 from nearspan.llm.common import load
 
 
@@ -50,6 +50,11 @@ FROM b
 """
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret in the documents."""
+    return secrets.document_secrets(load(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.document_shards(load(spark, sf_dir, "documents"))
@@ -88,6 +93,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_array_dedup": (op1_suffix_array_dedup, None),
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
+    "op3_secret_scan": (op3_secret_scan, None),
     "op4_sharding": (op4_sharding, None),
     "op5_near_duplicates": (op5_near_duplicates, None),
     "op6_decontamination": (op6_decontamination, None),

@@ -39,7 +39,7 @@ REGISTERS = BANDS * ROWS
 SCALE = 20.0
 UNLIKELY = 10.0
 BLOCK = 256
-PART = 2048
+PART = 512
 _rng = np.random.default_rng(5)
 _FACTORS = _rng.integers(1 << 31, 1 << 32, REGISTERS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFTS = _rng.integers(0, 1 << 32, REGISTERS, dtype=np.uint64).astype(np.uint32)

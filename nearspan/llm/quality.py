@@ -171,7 +171,15 @@ def keep_good(
 ) -> DataFrame:
     """The rows that no rule rejects, with their columns as they are."""
     ordered = order_rules(frame, text, rules, sample_rows)
-    return frame.filter(rejected_by(whole(text), ordered).isNull())
+    uses = [name for rule in ordered for name in rule.uses]
+    shared = [name for name in dict.fromkeys(uses) if uses.count(name) > 1]
+
+    def verdict(values: Column) -> Column:
+        return rejected_by(whole(text), ordered, {name: values[name] for name in shared}).isNull()
+
+    # Features of several rules are computed once, the others when the cascade comes to them.
+    once = F.struct(F.lit(0).alias("_"), *(FEATURES[name](whole(text)).alias(name) for name in shared))
+    return frame.filter(bound(once, verdict))
 
 
 def measure(

@@ -31,7 +31,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
-  list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 g AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
   FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1),
@@ -65,6 +65,26 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.document_groups(load(spark, sf_dir, "documents"))
 
 
+# All pairs of distinct sets that share a shingle, so it suits small tables only.
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+  ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM d),
+u AS MATERIALIZED (SELECT min(doc_id) AS id, s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+x AS MATERIALIZED (SELECT id, n, unnest(s) AS g FROM u),
+e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM x a JOIN x b ON a.g = b.g AND a.id < b.id
+  AND a.n * 100 >= b.n * 80 AND b.n * 100 >= a.n * 80
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(id, root) AS (SELECT id, id FROM u UNION SELECT b, root FROM reach JOIN both_ways ON a = id),
+c AS (SELECT id, min(root) AS root FROM reach GROUP BY id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.root, s.doc_id) AS component_id,
+  s.doc_id = coalesce(c.root, s.doc_id) AS kept
+FROM s LEFT JOIN u ON u.s = s.s LEFT JOIN c ON c.id = u.id
+"""
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with every benchmark item that stands in it."""
     return decontaminate.passages(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
@@ -95,7 +115,7 @@ QUERIES = {
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
     "op3_secret_scan": (op3_secret_scan, None),
     "op4_sharding": (op4_sharding, None),
-    "op5_near_duplicates": (op5_near_duplicates, None),
+    "op5_near_duplicates": (op5_near_duplicates, NEAR_SQL),
     "op6_decontamination": (op6_decontamination, None),
     "op7_mixing": (op7_mixing, None),
     "op8_personal_data": (op8_personal_data, None),

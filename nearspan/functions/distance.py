@@ -100,6 +100,8 @@ def register_sql_functions(spark: SparkSession) -> None:
     if spark.catalog.functionExists("vec_distance"):
         return
     for name, (arguments, result, body) in SQL_FUNCTIONS.items():
+        if result == "DOUBLE":
+            body = f"nullif({body}, double('NaN'))"
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {result} RETURN {body}")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION vec_distance(a ARRAY<FLOAT>, b ARRAY<FLOAT>) "

@@ -30,6 +30,7 @@ COMPARE = {
     "<=": lambda left, right: left <= right,
 }
 LISTS = ("in", "nin")
+WIDE = "decimal(38,10)"
 
 
 @dataclass(frozen=True)
@@ -113,6 +114,9 @@ def _member(left: Column, dtype: T.DataType, values: Iterable[Any]) -> Column:
     for group in kinds.values():
         pairs = [_align(left, dtype, value) for value in group]
         found.append(pairs[0][0].isin([right for _, right in pairs]))
+    if len(found) == 1 and None not in values:
+        # A plain IN reaches the scan; a missing key is unknown by itself.
+        return found[0]
     # A value that does not convert must not hide a match of another kind.
     if len(found) > 1:
         found = [F.coalesce(part, F.lit(False)) for part in found]
@@ -122,10 +126,16 @@ def _member(left: Column, dtype: T.DataType, values: Iterable[Any]) -> Column:
     return F.when(left.isNotNull(), matched)
 
 
+def _exact(value: int | decimal.Decimal) -> Column:
+    return F.lit(str(value)).try_cast(WIDE)
+
+
 def _kind(value: Any) -> type:
     if isinstance(value, bool):
         return bool
-    if isinstance(value, (int, float, decimal.Decimal)):
+    if isinstance(value, (int, decimal.Decimal)):
+        return decimal.Decimal
+    if isinstance(value, float):
         return float
     if isinstance(value, str):
         return str
@@ -135,22 +145,29 @@ def _kind(value: Any) -> type:
 
 
 def _align(left: Column, dtype: T.DataType, value: Any) -> tuple[Column, Column]:
-    """Both sides in a common type.  Conversions never fail; what does not convert is NULL."""
+    """Both sides in a common type.  Conversions never fail; what does not convert is NULL.
+
+    Integers and decimals compare exactly, with up to 28 digits before the point; floats as doubles.
+    """
     kind = _kind(value)
     if isinstance(dtype, T.StringType):
+        if kind is decimal.Decimal:
+            return left.try_cast(WIDE), _exact(value)
         if kind is float:
-            return left.try_cast("double"), F.lit(float(value))
+            return left.try_cast("double"), F.lit(value)
         if kind is bool:
             return left, F.lit("true" if value else "false")
         if kind is datetime.date:
             return left.try_cast("timestamp"), F.lit(value).cast("timestamp")
         return left, F.lit(value)
     if isinstance(dtype, T.NumericType):
-        if kind is float:
-            return left, F.lit(value)
+        if kind in (float, decimal.Decimal):
+            fits = isinstance(value, float) or -(1 << 63) <= value < 1 << 63
+            return left, F.lit(value) if fits else _exact(value)
         if kind is bool:
             return left, F.lit(int(value))
-        return left, F.lit(str(value)).try_cast("double")
+        whole = isinstance(dtype, (T.IntegralType, T.DecimalType))
+        return left, F.lit(str(value)).try_cast(WIDE if whole else "double")
     if isinstance(dtype, T.BooleanType):
         return left, F.lit(value if kind is bool else str(value)).try_cast("boolean")
     return left, F.lit(value if kind is datetime.date else str(value)).try_cast(dtype)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,10 +30,17 @@ def extract_key(json: Column, key: str, dtype: T.DataType) -> Column:
     return F.try_variant_get(F.try_parse_json(json), f"$['{key}']", dtype.simpleString())
 
 
-def without_keys(json: Column, keys: Sequence[str]) -> Column:
-    """The JSON object without some keys; all other values keep their JSON type."""
+def without_keys(json: Column, typed: Mapping[str, T.DataType]) -> Column:
+    """The JSON object without the keys whose values fit their types; all other values keep their JSON type.
+
+    A value that does not fit stays, so that it is not lost and a check of the rows can find it.
+    """
     whole = F.from_json(json, "map<string,variant>")
-    rest = F.map_filter(whole, lambda k, v: ~k.isin(list(keys)))
+    gone = [
+        F.when(extract_key(json, name, dtype).isNotNull() | read_key(json, name).isNull(), F.lit(name))
+        for name, dtype in typed.items()
+    ]
+    rest = F.map_filter(whole, lambda k, v: ~F.coalesce(F.array_contains(F.array(*gone), k), F.lit(False)))
     return F.coalesce(F.to_json(rest), F.lit("{}"))
 
 

@@ -40,8 +40,7 @@ from nearspan.schema import METRICS, check_count, check_name
 from nearspan.sources.files import exists, remove
 from nearspan.session import small_frame
 
-MAX_CELLS = 16_384
-TRAIN_ROWS_PER_CELL = 256
+MAX_CENTROID_BYTES = 256 << 20
 ALGORITHM = "IVF"
 INFO_SCHEMA = (
     "index_name string, column_name string, algorithm string, metric_type string, dimension int,"
@@ -84,21 +83,20 @@ def train_centroids(
     seed: int = 7,
     node_id: str = "node_id",
     embedding: str = "embedding",
+    train_rows: int | None = None,
 ) -> DataFrame:
-    """Centroids ``(cell, centroid)`` learnt by k-means.
+    """Centroids ``(cell, centroid)`` learnt by k-means, from all rows unless ``train_rows`` asks for a sample.
 
-    Centroids only steer the search; every row is indexed.  So a hash sample of rows, large for
-    the number of cells, is enough to learn them from, and training does not grow with the table.
+    Centroids only steer the search; every row is indexed.  A sample is of about the given number of
+    rows, chosen by hash.
     """
-    check_count(n_cells, "n_cells", 1, MAX_CELLS)
+    check_count(n_cells, "n_cells")
     usable = corpus.where(F.col(embedding).isNotNull())
     total = usable.count()
     if not total:
         raise ValueError("an index needs rows with embeddings")
-    wanted = n_cells * TRAIN_ROWS_PER_CELL
-    if total > 2 * wanted:
-        share = max(2, total // wanted)
-        usable = usable.where(F.pmod(F.xxhash64(node_id), F.lit(share)) == 0)
+    if train_rows is not None and total > train_rows:
+        usable = usable.where(F.pmod(F.xxhash64(node_id), F.lit(-(-total // check_count(train_rows, "train_rows")))) == 0)
     points = usable.select(array_to_vector(unit(embedding, metric)).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, initMode="random").fit(points)
@@ -109,21 +107,31 @@ def train_centroids(
 
 
 def _gather_centroids(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The centroids as arrays; their number is bounded by the index settings."""
-    table = centroids.select("cell", "centroid").orderBy("cell").limit(MAX_CELLS + 1).toArrow()
-    if not 0 < table.num_rows <= MAX_CELLS:
-        raise ValueError(f"an index has 1 to {MAX_CELLS} cells, found {table.num_rows}")
+    """The centroids as arrays, after a check that they take at most ``MAX_CENTROID_BYTES``."""
+    size = centroids.agg(F.sum(F.size("centroid") * 4)).first()[0]
+    if not 0 < (size or 0) <= MAX_CENTROID_BYTES:
+        raise ValueError(f"centroids take {size} bytes, an index has 1 to {MAX_CENTROID_BYTES}")
+    table = centroids.select("cell", "centroid").orderBy("cell").toArrow()
     return table["cell"].to_numpy().astype(np.int32), matrix(table["centroid"])
 
 
 def assign_cells(
-    rows: DataFrame, centroids: DataFrame, probes: int = 1, embedding: str = "embedding", metric: str = "cosine"
+    rows: DataFrame,
+    centroids: DataFrame,
+    probes: int = 1,
+    embedding: str = "embedding",
+    metric: str = "cosine",
+    asking: bool = False,
 ) -> DataFrame:
-    """Each row with its ``probes`` nearest cells as rows ``(..., cell, probe)``, without a shuffle."""
+    """Each row with its ``probes`` nearest cells as rows ``(..., cell, probe)``, without a shuffle.
+
+    Rows of an inner-product index lie in the cell at the least Euclidean distance; queries, told by
+    ``asking``, look first where the product with the centroid is largest.
+    """
     cells, centres = _gather_centroids(centroids)
     probes = min(check_count(probes, "probes"), len(cells))
     payload = rows.sparkSession.sparkContext.broadcast((cells, centres))
-    near_metric = metric if metric == "cosine" else "euclidean"
+    near_metric = _cell_metric(metric, asking)
     schema = T.StructType(
         [*rows.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("probe", T.IntegerType())]
     )
@@ -145,6 +153,10 @@ def assign_cells(
     return rows.mapInArrow(place, schema)
 
 
+def _cell_metric(metric: str, asking: bool) -> str:
+    return "euclidean" if metric == "inner_product" and not asking else metric
+
+
 def build_index(
     corpus: DataFrame,
     path: str,
@@ -158,6 +170,7 @@ def build_index(
     embedding: str = "embedding",
     keep: Sequence[str] = (),
     source_generation: int = 0,
+    train_rows: int | None = None,
 ) -> IvfIndex:
     """Write an index over all rows of ``corpus``.
 
@@ -173,7 +186,7 @@ def build_index(
     if centroids is None:
         if n_cells is None:
             n_cells = default_cells(rows.count())
-        centroids = train_centroids(rows, n_cells, metric, max_iter, seed)
+        centroids = train_centroids(rows, n_cells, metric, max_iter, seed, train_rows=train_rows)
     centroids.write.parquet(f"{path}/centroids")
     centroids = spark.read.parquet(f"{path}/centroids")
     placed = assign_cells(rows, centroids, 1, "embedding", metric).drop("probe")
@@ -187,7 +200,7 @@ def build_index(
 
 
 def default_cells(n_rows: int) -> int:
-    return max(1, min(MAX_CELLS, round(math.sqrt(max(n_rows, 1)))))
+    return max(1, round(math.sqrt(max(n_rows, 1))))
 
 
 def open_index(spark: SparkSession, path: str, metric: str | None = None) -> IvfIndex | None:
@@ -221,7 +234,7 @@ def search_index(
 ) -> DataFrame:
     """The ``k`` nearest rows of each query among the rows of its ``probes`` nearest cells."""
     check_count(k, "k")
-    check_count(probes, "probes", 1, 10_000)
+    check_count(probes, "probes")
     info = index.info().first()
     if metric is not None and metric != info["metric_type"]:
         raise ValueError(f"the index was built for {info['metric_type']}, not {metric}")
@@ -241,7 +254,7 @@ def search_index(
     size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
     # A cell with many rows is cut into slices, one with many queries into blocks of them; every
     # slice meets every block in a part of its own.  One row per cell reaches the driver.
-    met = assign_cells(asked, centroids, probes, "vector", metric)
+    met = assign_cells(asked, centroids, probes, "vector", metric, asking=True)
     asking = met.groupBy("cell").agg(F.count("*").alias("n_queries"))
     counts = index_stats(index).join(asking, "cell").where("n_rows > 0").collect()
     parts, total = [], 0
@@ -260,14 +273,14 @@ def search_index(
     spread = met.join(plan, "cell").withColumn("slice", every(F.col("slices")))
     spread = spread.withColumn("part", number(F.col("slice"), turn_of("query_id", F.col("blocks"))))
     spread = spread.select("query_id", "vector", "part")
-    found = meet_in_parts(cut, spread, max(total, 1), k, metric, with_cosine)
+    found = meet_in_parts(cut, spread, max(total, 1), k, metric, with_cosine, dim)
     return finish(keep_nearest(found, k), metric, qid, "node_id")
 
 
 def _probe_lists(sent: pa.Table, centroids: DataFrame, probes: int, metric: str) -> dict[int, np.ndarray]:
     """Per cell the positions of the queries that probe it."""
     cells, centres = _gather_centroids(centroids)
-    near_metric, probes = metric if metric == "cosine" else "euclidean", min(probes, len(cells))
+    near_metric, probes = _cell_metric(metric, True), min(probes, len(cells))
     near = NearestRows(matrix(sent["vector"]), probes, near_metric)
     near.offer(Block(centres, pa.table({"node_id": pa.array(cells)}), probes, near_metric))
     if near.best is None:
@@ -338,7 +351,7 @@ def index_health(
         found = search_index(index, queries, k, count, metric, qid, query_embedding).select(qid, "node_id")
         hits = truth.join(found.withColumn("found", F.lit(True)), [qid, "node_id"], "left")
         recall = hits.agg(F.avg(F.coalesce(F.col("found"), F.lit(False)).cast("double")).alias("recall"))
-        met = assign_cells(asked, index.centroids(), count, "vector", metric).select("query_id", "cell")
+        met = assign_cells(asked, index.centroids(), count, "vector", metric, asking=True).select("query_id", "cell")
         visited = met.join(sizes, "cell").groupBy("query_id").agg(F.sum("n_rows").alias("n"))
         share = visited.agg((F.avg("n") / F.lit(max(info["n_rows"], 1))).alias("visited_share"))
         parts += [

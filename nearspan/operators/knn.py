@@ -95,7 +95,7 @@ def nearest_join(
         cut = cut.withColumn("part", turn_of("node_id", F.lit(slices)) * blocks + F.col("block")).drop("block")
         spread = asked.withColumn("slice", every(F.lit(slices)))
         spread = spread.withColumn("part", F.col("slice") * blocks + turn_of("query_id", F.lit(blocks))).drop("slice")
-        found = meet_in_parts(cut, spread, slices * blocks, k, metric, with_cosine)
+        found = meet_in_parts(cut, spread, slices * blocks, k, metric, with_cosine, dim)
     return finish(keep_nearest(found, k), metric, qid, node_id)
 
 
@@ -188,7 +188,7 @@ def scan_with_queries(
 
 
 def meet_in_parts(
-    cut: DataFrame, spread: DataFrame, parts: int, k: int, metric: str, with_cosine: bool = False
+    cut: DataFrame, spread: DataFrame, parts: int, k: int, metric: str, with_cosine: bool, dim: int
 ) -> DataFrame:
     """Best ``k`` rows per query and part, where rows and queries of the same ``part`` meet.
 
@@ -213,7 +213,7 @@ def meet_in_parts(
                 if part[start] != current:
                     current, held = part[start], []
                 run = table.slice(start, stop - start)
-                values = matrix(run["vector"])
+                values = matrix(run["vector"], dim)
                 if not asking[start]:
                     held.append(Block(values, run.select(names), k, metric))
                 elif held:

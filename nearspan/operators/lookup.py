@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
@@ -12,9 +12,7 @@ from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import TableConfig, check_count
 from nearspan.session import small_frame
 
-BROWSE_LIMIT = 10_000
 LITERAL_IDS = 1_000
-SPREAD = 64
 
 
 def by_ids(table: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id") -> DataFrame:
@@ -37,11 +35,13 @@ def by_values(table: DataFrame, key: Column, values: DataFrame, negate: bool = F
 
 
 def first_rows(rows: DataFrame, limit: int, key: str = "node_id") -> DataFrame:
-    """The first rows by key.  A large limit is taken in two steps so that no task meets every
-    partition's share."""
+    """The first rows by key.  For a large limit the last key among them is found on the keys alone, and
+    only rows up to it are sorted."""
     if limit > LITERAL_IDS:
-        group = Window.partitionBy(F.pmod(F.xxhash64(key), F.lit(SPREAD))).orderBy(key)
-        rows = rows.withColumn("_place", F.row_number().over(group)).where(F.col("_place") <= limit).drop("_place")
+        keys = rows.select(F.col(key).alias("_key")).orderBy("_key").limit(limit)
+        last, nulls = keys.agg(F.max("_key"), F.count_if(F.col("_key").isNull())).first()
+        upto = F.col(key).isNull() if last is None else F.col(key).isNull() | (F.col(key) <= F.lit(last))
+        rows = rows.where(upto if nulls or last is None else F.col(key) <= F.lit(last))
     return rows.orderBy(key).limit(limit)
 
 
@@ -55,12 +55,13 @@ def browse(
     config: TableConfig,
     ids: DataFrame | Sequence[str] | None = None,
     filters: MetaFilter | FilterGroup | None = None,
-    limit: int = BROWSE_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Rows by ids, else by filters, else all; without ids the result is capped at ``limit``."""
+    """Rows by ids, else by filters, else all; a ``limit`` keeps the first ones by node id, but not of ids."""
     if isinstance(ids, DataFrame) or ids:
         return by_ids(table, ids, config.node_id_column)
-    return first_rows(matching(table, filters, config), check_count(limit, "limit"), config.node_id_column)
+    found = matching(table, filters, config)
+    return found if limit is None else first_rows(found, check_count(limit, "limit"), config.node_id_column)
 
 
 def search_by_metadata(

@@ -83,7 +83,8 @@ def nearest_by_projection(
 
     cut = cut_up(placed, "node_id", *counts, ("slice", "block"))
     spread = cut_up(wanted, "query_id", *reversed(counts), ("block", "slice"))
-    found = meet_in_parts(cut, spread, parts, k, metric)
+    dim = asked.select(F.max(F.size("vector"))).first()[0]
+    found = meet_in_parts(cut, spread, parts, k, metric, False, dim)
     # A row may share several buckets with a query.
     once = found.groupBy("query_id", "node_id").agg(F.min("distance").alias("distance"))
     return finish(keep_nearest(once, k), metric, qid, node_id)

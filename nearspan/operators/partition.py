@@ -16,6 +16,7 @@ from nearspan.sources.files import make_folder
 
 KINDS = ("HASH", "KEY", "RANGE", "LIST")
 MAXVALUE = "MAXVALUE"
+BROADCAST_MARK, REQUIRED_MARK = "nearspan.broadcast", "nearspan.required"
 
 
 @dataclass(frozen=True)
@@ -63,8 +64,13 @@ class PartitionSpec:
         values = [item["values_less_than"] for item in self.defs]
         return [None if isinstance(v, str) and v.upper() == MAXVALUE else v for v in values]
 
-    def of(self, key: Column) -> Column:
-        """Partition of a key; NULL when no partition takes it."""
+    def of(self, key: Column, dtype: T.DataType | None = None) -> Column:
+        """Partition of a key; NULL when no partition takes it.
+
+        HASH takes the remainder of integers and a digest of any other type.
+        """
+        if self.kind == "HASH" and dtype is not None and not isinstance(dtype, T.IntegralType):
+            return F.pmod(F.coalesce(F.xxhash64(key), F.lit(0)), F.lit(self.partitions)).cast("int")
         if self.kind == "HASH":
             return F.pmod(F.coalesce(key.cast("long"), F.lit(0)), F.lit(self.partitions)).cast("int")
         if self.kind == "KEY":
@@ -97,7 +103,7 @@ class PartitionSpec:
 
 
 def with_partition(rows: DataFrame, spec: PartitionSpec, name: str = "p") -> DataFrame:
-    return rows.withColumn(name, spec.of(F.col(spec.column)))
+    return rows.withColumn(name, spec.of(F.col(spec.column), rows.schema[spec.column].dataType))
 
 
 def assert_partitioned(rows: DataFrame, spec: PartitionSpec) -> None:
@@ -129,7 +135,7 @@ def where_key(rows: DataFrame, spec: PartitionSpec, value: Any, name: str = "p")
     """Rows with one key value (or any of a list), reading only the partitions that can hold it."""
     values = list(value) if isinstance(value, (list, tuple, set)) else [value]
     dtype = rows.schema[spec.column].dataType
-    homes = [spec.of(F.lit(v).cast(dtype)) for v in values]
+    homes = [spec.of(F.lit(v).cast(dtype), dtype) for v in values]
     return rows.where(F.col(name).isin(homes) & F.col(spec.column).isin(values))
 
 
@@ -141,7 +147,7 @@ def where_between(rows: DataFrame, spec: PartitionSpec, low: Any, high: Any, nam
 def partition_report(rows: DataFrame, spec: PartitionSpec, name: str = "p") -> DataFrame:
     """Rows and key range of each partition; unmatched rows show as partition NULL."""
     key = F.col(spec.column)
-    placed = rows.select(spec.of(key).alias(name), key.alias("k"))
+    placed = rows.select(spec.of(key, rows.schema[spec.column].dataType).alias(name), key.alias("k"))
     return placed.groupBy(name).agg(
         F.count("*").alias("n_rows"), F.min("k").alias("min_key"), F.max("k").alias("max_key")
     )
@@ -161,18 +167,38 @@ def create_partitioned_table(
     check_name(table, "table name")
     if broadcast and spec:
         raise ValueError("a broadcast table has no partitions")
-    fields = [T.StructField(check_name(c, "column"), spark_type(t)) for c, t in columns]
+    fields = [_declared(check_name(c, "column"), t) for c, t in columns]
     if spec:
         if spec.column not in [f.name for f in fields]:
             raise ValueError(f"the table has no column {spec.column!r} to partition on")
         fields.append(T.StructField(name, T.IntegerType() if spec.kind in ("HASH", "KEY") else T.StringType()))
-    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in fields)
     parted = f" PARTITIONED BY ({name})" if spec else ""
-    where = f" LOCATION '{path}'" if path else ""
+    quoted = (path or "").replace("\\", "\\\\").replace("'", "\\'")
+    where = f" LOCATION '{quoted}'" if path else ""
     exists = "IF NOT EXISTS " if if_not_exists else ""
     if path:
         make_folder(spark, path)
-    spark.sql(f"CREATE TABLE {exists}`{table}` ({listed}) USING parquet{parted}{where}")
+    required = ",".join(f.name for f in fields if not f.nullable)
+    marked = f" TBLPROPERTIES ('{BROADCAST_MARK}' = '{str(broadcast).lower()}', '{REQUIRED_MARK}' = '{required}')"
+    spark.sql(f"CREATE TABLE {exists}`{table}` ({listed}) USING parquet{parted}{where}{marked}")
+
+
+def _declared(name: str, declared: str) -> T.StructField:
+    """A column of a declaration such as ``BIGINT NOT NULL``."""
+    words = declared.split()
+    required = [w.upper() for w in words[-2:]] == ["NOT", "NULL"]
+    return T.StructField(name, spark_type(" ".join(words[:-2] if required else words)), not required)
+
+
+def table_marks(spark: SparkSession, table: str) -> dict[str, str]:
+    """The table's properties; files don't keep what NOT NULL and broadcast declare."""
+    return dict(spark.sql(f"SHOW TBLPROPERTIES `{check_name(table, 'table name')}`").collect())
+
+
+def is_broadcast_table(spark: SparkSession, table: str) -> bool:
+    """Whether the table was declared with ``broadcast=True``."""
+    return table_marks(spark, table).get(BROADCAST_MARK) == "true"
 
 
 def insert_rows(rows: DataFrame, table: str, spec: PartitionSpec | None = None, name: str = "p") -> None:
@@ -186,11 +212,24 @@ def insert_rows(rows: DataFrame, table: str, spec: PartitionSpec | None = None,
     if unknown:
         raise ValueError(f"table {table!r} has no columns {sorted(unknown)}")
     given = set(rows.columns)
+    required = [c for c in table_marks(spark, table).get(REQUIRED_MARK, "").split(",") if c]
+    empty = rows.agg(*[F.count_if(F.col(c).isNull() if c in given else F.lit(True)).alias(c) for c in required]).first() if required else ()
+    lost = {c: n for c, n in zip(required, empty) if n}
+    if lost:
+        raise ValueError(f"table {table!r} needs values in {lost}")
     rows.select(
         *[(F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields]
     ).write.insertInto(table)
 
 
-def join_dimension(facts: DataFrame, dimension: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with a small table that every executor gets a full copy of, if it is measured small."""
+def join_dimension(facts: DataFrame, dimension: DataFrame | str, on, how: str = "inner") -> DataFrame:
+    """Join with a small table that every executor gets a full copy of, if it is measured small.
+
+    A table given by name is copied only if it was declared with ``broadcast=True``.
+    """
+    if isinstance(dimension, str):
+        spark, name = facts.sparkSession, dimension
+        dimension = spark.table(name)
+        if not is_broadcast_table(spark, name):
+            return facts.join(dimension, on, how)
     return facts.join(broadcast_if_small(dimension), on, how)

@@ -11,6 +11,7 @@ from nearspan.functions.metadata import (
     overlay,
     parse_metadata,
     public_keys,
+    read_key,
     without_keys,
 )
 from nearspan.functions.vectors import decode_vector, vector_fault
@@ -35,7 +36,7 @@ def vector_table(source: DataFrame, config: TableConfig, keep: tuple[str, ...] =
         (F.col("text") if "text" in given else F.lit(None)).cast("string").alias(config.text_column),
     ]
     if config.metadata_column:
-        rest = without_keys(json, config.promoted_names) if config.promoted else F.coalesce(json, F.lit("{}"))
+        rest = without_keys(json, {c.name: c.type for c in config.promoted}) if config.promoted else F.coalesce(json, F.lit("{}"))
         columns.append(rest.alias(config.metadata_column))
     for column in config.promoted:
         value = extract_key(json, column.name, column.type)
@@ -57,6 +58,9 @@ def write_audit(rows: DataFrame, config: TableConfig) -> dict[str, int]:
         "missing value": F.count_if(fault == "missing value"),
     }
     for column in config.promoted:
+        if config.metadata_column:
+            left = read_key(F.col(config.metadata_column), column.name)
+            checks[f"{column.name} does not fit {column.type.simpleString()}"] = F.count_if(left.isNotNull())
         if not column.nullable:
             checks[f"missing {column.name}"] = F.count_if(F.col(column.name).isNull())
     return rows.agg(*[value.alias(name) for name, value in checks.items()]).first().asDict()

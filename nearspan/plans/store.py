@@ -21,7 +21,6 @@ from nearspan.session import small_frame
 
 MODES = ("default", "mmr")
 SEARCH_TYPES = ("auto", "knn", "ann")
-AUTO_INDEX_ROWS = 1_000_000
 DEFAULT_PROBES = 8
 
 Filters = MetaFilter | FilterGroup | None
@@ -49,15 +48,17 @@ class VectorStore:
         return self.table.count()
 
     def get_nodes(
-        self, ids: DataFrame | Sequence[str] | None = None, filters: Filters = None, limit: int = lookup.BROWSE_LIMIT
+        self, ids: DataFrame | Sequence[str] | None = None, filters: Filters = None, limit: int | None = None
     ) -> DataFrame:
-        """Rows by ids, else by filters, else all, the latter two capped."""
+        """Rows by ids, else by filters, else all; a ``limit`` caps the latter two."""
         found = lookup.browse(self._holding(ids), self.config, ids, filters, limit)
         return found.select(*stable_columns(self.config))
 
-    def get_documents(self, ids: DataFrame | Sequence[str] | None = None, filters: Filters = None) -> DataFrame:
+    def get_documents(
+        self, ids: DataFrame | Sequence[str] | None = None, filters: Filters = None, limit: int | None = None
+    ) -> DataFrame:
         """Like ``get_nodes``, with text and one metadata map as they were added."""
-        return rebuilt_rows(lookup.browse(self._holding(ids), self.config, ids, filters), self.config)
+        return rebuilt_rows(lookup.browse(self._holding(ids), self.config, ids, filters, limit), self.config)
 
     def search_by_metadata(self, filters: Filters, limit: int = 10) -> DataFrame:
         found = lookup.search_by_metadata(self.rows(), filters, self.config, limit)
@@ -92,15 +93,15 @@ class VectorStore:
         """Nearest rows of one vector or of a frame ``(qid, embedding)``.
 
         Filters are applied before ranking.  ``mode="mmr"`` re-ranks ``fetch_k`` candidates for
-        diversity.  ``search_type``: ``knn`` is exact, ``ann`` uses the index when there is a
-        current one, ``auto`` uses it for large tables without a filter.
+        diversity.  ``search_type``: ``knn`` and ``auto`` are exact at every size, ``ann`` uses the
+        index when there is a current one and no filter.
         """
         if mode not in MODES:
             raise NotImplementedError(f"query mode {mode!r} is not available")
         if search_type not in SEARCH_TYPES:
             raise ValueError(f"search type {search_type!r} must be one of {SEARCH_TYPES}")
         check_count(k, "k")
-        check_count(probes, "probes", 1, 10_000)
+        check_count(probes, "probes")
         if queries is None:
             raise ValueError("the query vector is missing")
         if not isinstance(queries, DataFrame):
@@ -127,7 +128,7 @@ class VectorStore:
         return with_payload(found, rows, rows.columns[1:], queries, k)
 
     def _usable_index(self, search_type: str, filtered: bool) -> ivf.IvfIndex | None:
-        if search_type == "knn" or filtered:
+        if search_type != "ann" or filtered:
             return None
         index = self.find_index()
         if index is None:
@@ -135,7 +136,7 @@ class VectorStore:
         info = index.info().first()
         if info["source_generation"] != self.table.generation():
             return None
-        return index if search_type == "ann" or info["n_rows"] >= AUTO_INDEX_ROWS else None
+        return index
 
     # Writing
 
@@ -231,7 +232,8 @@ class VectorStore:
         check_name(index_name, "index name")
         if metric is not None and metric != self.config.metric:
             raise ValueError(f"the table uses {self.config.metric}, an index for {metric} would not serve it")
-        number, generation = len(self._index_paths()) + 1, self.table.generation()
+        generation = self.table.generation()
+        number = max([int(p.rsplit("/", 1)[1][:6]) for p in self._index_paths()], default=0) + 1
         return ivf.build_index(
             self.rows(),
             f"{self.path}/index/{number:06d}-{index_name}",
@@ -244,9 +246,10 @@ class VectorStore:
             source_generation=generation,
         )
 
-    def drop_vector_index(self) -> bool:
-        """Drop every index of the table; searches are exact from then on."""
-        return any([ivf.drop_index(self.spark, path) for path in self._index_paths()])
+    def drop_vector_index(self, index_name: str | None = None) -> bool:
+        """Drop the indexes of a name, or all; without one searches are exact."""
+        paths = [p for p in self._index_paths() if index_name is None or p.rsplit("/", 1)[1][7:] == index_name]
+        return any([ivf.drop_index(self.spark, path) for path in paths])
 
     def optimize(self) -> ivf.IvfIndex | None:
         """Fresh centroids and cells over the current rows, and fresh files for the table."""
@@ -255,7 +258,11 @@ class VectorStore:
         if index is None:
             return None
         info = index.info().first()
-        return self.apply_vector_index(info["index_name"], info["n_cells"], info["max_iter"])
+        old = self._index_paths()
+        fresh = self.apply_vector_index(info["index_name"], None, info["max_iter"])
+        for path in old:
+            ivf.drop_index(self.spark, path)
+        return fresh
 
     def get_stats(self) -> DataFrame | None:
         index = self.find_index()

@@ -105,7 +105,7 @@ class SnapshotTable:
                 state[bucket] = Bucket(folder, counts.get(bucket, 0))
         entries = [(n, b.folder, b.n_rows) for n, b in sorted(state.items())]
         commit = small_frame(self.spark, entries, COMMIT_SCHEMA).coalesce(1)
-        # Fails when another writer has committed this generation meanwhile.
+        # One writer at a time: two that commit the same generation at the same moment are not told apart.
         commit.write.json(f"{self.root}/commits/gen={number}")
         self._known = number, state
         return sum(counts.values())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,14 +156,16 @@ def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = catalog.folder_tables(spark, sf_dir)
     wanted = catalog.usable_tables(paths, ignore=["benchmark"])
     tables, status = catalog.load_tables(spark, {name: paths[name] for name in wanted})
-    counts = catalog.table_profile(tables).select("table_name", "n_rows").distinct()
+    counts = reduce(
+        DataFrame.unionByName,
+        [t.agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows")) for n, t in tables.items()],
+    )
     return status.join(counts, "table_name", "left").select("table_name", "status", "n_rows")
 
 
 def table_profile(distinct: str | None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        names = TABLES if distinct is None else ("customer", "nation", "orders", "part", "supplier")
-        profile = catalog.table_profile({n: load(spark, sf_dir, n) for n in names}, distinct)
+        profile = catalog.table_profile({n: load(spark, sf_dir, n) for n in TABLES}, distinct)
         return profile.drop("data_type")
 
     return run
@@ -274,7 +278,7 @@ QUERIES = {
     "table_profile": (table_profile(None), _profile_sql(TABLES, False)),
     "table_profile_distinct": (
         table_profile("exact"),
-        _profile_sql(("customer", "nation", "orders", "part", "supplier"), True),
+        _profile_sql(TABLES, True),
     ),
     "sample_rows": (
         sample_rows,

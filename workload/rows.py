@@ -10,6 +10,7 @@ from nearspan import FilterGroup, MetaColumn, MetaFilter, TableConfig, VectorSto
 from nearspan.functions.metadata import read_key
 from nearspan.functions.vectors import decode_vector, dimension_audit, encode_vector, vector_norm
 from nearspan.operators import lookup, mutate
+from nearspan.operators.partition import PartitionSpec, with_partition
 from nearspan.operators.vector_table import (
     merged_metadata,
     not_null_report,
@@ -89,6 +90,11 @@ def get_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def get_all_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders").withColumn("node_id", F.col("o_orderkey").cast("string"))
+    return lookup.browse(orders, PLAIN, limit=10_000).select("node_id", "o_totalprice")
+
+
+def get_documents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").withColumn("node_id", F.col("o_orderkey").cast("string"))
     return lookup.browse(orders, PLAIN).select("node_id", "o_totalprice")
 
@@ -101,8 +107,28 @@ def search_by_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fetch_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = load(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("node_id"))
     found = lookup.fetch_embeddings(vectors(spark, sf_dir), ids)
-    first = F.round(F.try_element_at("embedding", F.lit(1)).cast("double"), 6)
-    return found.select("node_id", F.size("embedding").alias("dim"), first.alias("first_value"))
+    place, value = F.posexplode("embedding").alias("place", "value"), F.round(F.col("value").cast("double"), 6)
+    return found.select("node_id", place).select("node_id", "place", value.alias("value"))
+
+
+def filter_eq_big_integer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers beyond the exact doubles, each next to its neighbour."""
+    rows = load(spark, sf_dir, "events").select("event_id", F.to_json(F.struct((F.col("event_id") + (1 << 53)).alias("big"))).alias("metadata"))
+    wanted = FilterGroup([MetaFilter("big", (1 << 53) + 1), MetaFilter("big", [(1 << 53) + 1003], "in")], "or")
+    return lookup.matching(rows, wanted, PLAIN).select("event_id")
+
+
+def partition_hash_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, partitions that hold one key, and partitions in all, for a text key."""
+    spec = PartitionSpec("HASH", "o_clerk", 4)
+    rows = load(spark, sf_dir, "events").withColumn("o_clerk", F.concat(F.lit("user-"), F.col("user_id")))
+    placed = with_partition(rows, spec)
+    keys = placed.groupBy("o_clerk").agg(F.countDistinct("p").alias("n"), F.count("*").alias("c"), F.first("p").alias("p"))
+    return keys.agg(
+        F.sum("c").alias("n_rows"),
+        F.max("n").cast("int").alias("parts_of_a_key"),
+        F.countDistinct("p").cast("int").alias("n_parts"),
+    )
 
 
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,7 +425,16 @@ QUERIES = {
         get_by_ids,
         documents_sql("doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
     ),
-    "get_by_filter": (get_by_filter, documents_sql("lang = 'en'") + " ORDER BY node_id LIMIT 10000"),
+    "get_by_filter": (get_by_filter, documents_sql("lang = 'en'")),
+    "get_documents_all": (get_documents_all, "SELECT CAST(o_orderkey AS VARCHAR) AS node_id, o_totalprice FROM orders"),
+    "filter_eq_big_integer": (
+        filter_eq_big_integer,
+        "SELECT event_id FROM events WHERE 9007199254740992 + event_id IN (9007199254740993, 9007199254741995)",
+    ),
+    "partition_hash_text": (
+        partition_hash_text,
+        "SELECT count(*) AS n_rows, 1 AS parts_of_a_key, 4 AS n_parts FROM events",
+    ),
     "get_all_capped": (
         get_all_capped,
         "SELECT CAST(o_orderkey AS VARCHAR) AS node_id, o_totalprice FROM orders ORDER BY node_id LIMIT 10000",
@@ -415,8 +450,8 @@ QUERIES = {
     ),
     "fetch_embeddings": (
         fetch_embeddings,
-        "SELECT CAST(vec_id AS VARCHAR) AS node_id, CAST(len(embedding) AS INTEGER) AS dim,"
-        " round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)",
+        "SELECT CAST(vec_id AS VARCHAR) AS node_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS place,"
+        " round(CAST(unnest(embedding) AS DOUBLE), 6) AS value FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)",
     ),
     "upsert": (upsert, UPSERT_SQL),
     "upsert_partitioned": (upsert_partitioned, UPSERT_SQL),

@@ -185,8 +185,14 @@ def _filtered_sql(where: str) -> str:
     )
 
 
-def _cells_sql(metric: str) -> str:
+def _cells_sql(metric: str, asking: bool = False) -> str:
     """Cell of each vector, and the order in which a query prefers the cells."""
+    if asking and metric == "inner_product":
+        gap = DISTANCE_SQL[metric].format(a="v.e", b="c.centre")
+        return (
+            f"{_cells_sql(metric)}, oq AS (SELECT v.id, c.cell, row_number() OVER (PARTITION BY v.id ORDER BY"
+            f" {gap}, c.cell) AS turn FROM v, c)"
+        )
     gap = DISTANCE_SQL["cosine" if metric == "cosine" else "euclidean"].format(a="v.e", b="c.centre")
     return (
         f"{VECTORS_SQL}, {CENTRES_SQL}, o AS (SELECT v.id, c.cell, row_number() OVER (PARTITION BY v.id ORDER BY"
@@ -195,9 +201,10 @@ def _cells_sql(metric: str) -> str:
 
 
 def _probe_sql(probes: int, metric: str = "cosine") -> str:
+    asked = "oq" if metric == "inner_product" else "o"
     return (
-        f"WITH {_cells_sql(metric)}, p AS (SELECT q.id AS qid, x.id, q.e AS a, x.e AS b FROM v AS q"
-        f" JOIN o AS qo ON qo.id = q.id AND qo.turn <= {probes} JOIN o AS xo ON xo.cell = qo.cell AND xo.turn = 1"
+        f"WITH {_cells_sql(metric, True)}, p AS (SELECT q.id AS qid, x.id, q.e AS a, x.e AS b FROM v AS q"
+        f" JOIN {asked} AS qo ON qo.id = q.id AND qo.turn <= {probes} JOIN o AS xo ON xo.cell = qo.cell AND xo.turn = 1"
         " JOIN v AS x ON x.id = xo.id)"
     )
 
@@ -295,6 +302,14 @@ QUERIES = {
     "ann_all_cells": (ann_all_cells, _ranked_sql(PAIRS_SQL, "cosine")),
     "ann_probe": (ann_probe(3), _ranked_sql(_probe_sql(3), "cosine")),
     "ann_probe_euclidean": (ann_probe(2, "euclidean"), _ranked_sql(_probe_sql(2, "euclidean"), "euclidean")),
+    "ann_probe_inner_product": (
+        ann_probe(2, "inner_product"),
+        _ranked_sql(_probe_sql(2, "inner_product"), "inner_product"),
+    ),
+    "ann_probe_inner_product_spread": (
+        ann_probe(2, "inner_product", max_sent=0, slice_rows=40),
+        _ranked_sql(_probe_sql(2, "inner_product"), "inner_product"),
+    ),
     "ann_probe_spread": (ann_probe(3, max_sent=0, slice_rows=40), _ranked_sql(_probe_sql(3), "cosine")),
     "ann_mmr": (ann_mmr, _mmr_sql(_probe_sql(3), 20, 5, 0.3)),
     "ann_kmeans_probe": (ann_kmeans_probe, None),

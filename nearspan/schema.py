@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# Fixed values of the interface: patterns of names and keys, the longest name, the default dimension.
 NAME_PATTERN = re.compile(r"[a-zA-Z_][a-zA-Z0-9_]*")
 KEY_PATTERN = re.compile(r"[a-zA-Z_][a-zA-Z0-9_.]*")
 MAX_NAME_LENGTH = 64

@@ -300,6 +300,7 @@ def document_groups(documents: DataFrame, shingle: int = 2, percent: int = 80) -
     """
     groups = near_groups(documents.withColumn("id", F.col("doc_id")), shingle, percent)
     names = groups.filter("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("least"))
+    names = settle(names, "names")
     component = F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least"))
     return groups.join(names, "group", "left").select(
         F.col("id").alias("doc_id"),

@@ -13,6 +13,9 @@ the sets overlap.
 * Documents that hang together by pairs of any kind form a family.  Where a family has several linked
   groups, its documents outside the largest group are compared with all others of the family, exactly
   and in blocks.  So a link is found although its two ends never met as a pair.
+* Families also take pairs that fall short of the threshold ``t`` but may reach ``2 t - 1``.  The share
+  that two sets don't have in common is a metric: if one of two linked documents is linked to their
+  bucket's smallest member, the other overlaps with that member by ``2 t - 1`` at least.
 
 Equal sets are one node from the start.  The sets are sorted 64-bit hashes of the shingles.
 """
@@ -132,7 +135,11 @@ def _stars(members: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """``a, b, overlap`` of distinct pairs; -1 where the overlap is surely below the threshold."""
+    """``a, b, overlap, related`` of distinct pairs.
+
+    The overlap is -1 where it is surely below the threshold ``t``; ``related`` is false where it is
+    surely below ``2 t - 1`` too.
+    """
     sides = nodes.select("node", "n_shingles", "registers")
     left = sides.select(*(F.col(c).alias(f"{c}_a") for c in sides.columns))
     right = sides.select(*(F.col(c).alias(f"{c}_b") for c in sides.columns))
@@ -145,11 +152,13 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
                 np.frombuffer(b"".join(batch.column(f"registers_{s}").to_pylist()), np.uint8).reshape(-1, REGISTERS)
                 for s in "ab"
             ]
-            values = pa.array(likely(*rows, *sizes, threshold), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), values], ["a", "b", "overlap"])
+            overlaps = likely(*rows, *sizes, threshold)
+            related = likely(*rows, *sizes, max(0.0, 2 * threshold - 1)) >= 0
+            made = [pa.array(overlaps, pa.float64()), pa.array(related, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *made], ["a", "b", "overlap", "related"])
 
     columns = ["a", "b", "n_shingles_a", "n_shingles_b", "registers_a", "registers_b"]
-    return joined.select(*columns).mapInArrow(run, "a binary, b binary, overlap double")
+    return joined.select(*columns).mapInArrow(run, "a binary, b binary, overlap double, related boolean")
 
 
 def _enough(common: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
@@ -266,8 +275,9 @@ def near_groups(documents: DataFrame, shingle: int, percent: int = 80, text: str
     lone = stars.join(guesses.filter("overlap < 0").select("a", "b"), ["a", "b"])
     seconds = settle(_stars(lone.select("bucket", F.col("b").alias("node"))).select("a", "b").distinct(), "seconds")
     later = _estimated(seconds, nodes, threshold)
-    guesses = settle(guesses.unionByName(later).filter("overlap >= 0"), "guesses")
+    guesses = settle(guesses.unionByName(later).filter("overlap >= 0 OR related"), "guesses")
     glue = guesses.select("a", "b").unionByName(seconds)
+    guesses = guesses.filter("overlap >= 0")
 
     best = guesses.groupBy("b").agg(F.max(F.struct("overlap", "a"))["a"].alias("a")).select("a", "b")
     best = settle(best, "best")

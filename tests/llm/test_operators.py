@@ -226,6 +226,18 @@ def test_near_groups(spark, shingle, monkeypatch):
     assert len(set(roots)) > 10
 
 
+def test_near_chains(spark):
+    """Windows that slide over a long text: only neighbours are linked, and every chain is one group."""
+    texts = []
+    for chain in range(8):
+        words = prose(50 + chain, 400, 5000).split()
+        texts += [" ".join(words[at : at + 120]) for at in range(0, 250, 9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    roots = linked([shingles(t, 2) for t in texts], 80)
+    got = {r["doc_id"]: r["component_id"] for r in near.document_groups(docs, 2).collect()}
+    assert [got[i] for i in range(len(texts))] == roots
+
+
 def test_near_odd_rows(documents, rows):
     got = near.document_groups(documents).collect()
     assert len(got) == len(rows)

@@ -310,19 +310,6 @@ def index_summary(index: IvfIndex) -> DataFrame:
     )
 
 
-def index_memory(index: IvfIndex) -> DataFrame:
-    """Bytes that the vectors of each cell take in memory."""
-    dim = index.info().first()["dimension"]
-    return index_stats(index).withColumn("n_bytes", (F.col("n_rows") * dim * 4).cast("long"))
-
-
-def preload_index(index: IvfIndex) -> DataFrame:
-    """The index rows held by the executors; what does not fit in memory goes to disk."""
-    rows = index.rows().persist(StorageLevel.MEMORY_AND_DISK)
-    rows.count()
-    return rows
-
-
 def rebuild_index(index: IvfIndex, corpus: DataFrame, path: str, **options) -> IvfIndex:
     """A new index with fresh centroids over the current rows, written beside the old one."""
     info = index.info().first()

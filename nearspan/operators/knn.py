@@ -24,7 +24,7 @@ from nearspan.schema import METRICS, check_count
 from nearspan.session import small_frame
 
 MAX_SENT_QUERIES = 10_000
-MAX_SCAN_TASKS = 20_000
+MAX_TASKS = 20_000
 MAX_SENT_MATCHES = 200_000
 SLICE_BYTES = 64 * 1024 * 1024
 MIN_SLICE_ROWS = 5_000
@@ -89,7 +89,9 @@ def nearest_join(
         cores = rows.sparkSession.sparkContext.defaultParallelism
         count = rows.count()
         slices = max(1, min(cores, count // MIN_SLICE_ROWS), math.ceil(count / size))
-        blocks = math.ceil(asked.count() / part_queries)
+        # Queries stream, so they are cut only where the slices alone leave cores idle; a corpus that is
+        # large enough to be slow is moved once.
+        blocks = max(1, min(math.ceil(asked.count() / part_queries), math.ceil(cores / slices)))
         # Every slice of rows meets every block of queries in a part of its own.
         cut = rows.withColumn("block", every(F.lit(blocks)))
         cut = cut.withColumn("part", turn_of("node_id", F.lit(slices)) * blocks + F.col("block")).drop("block")
@@ -183,7 +185,7 @@ def scan_with_queries(
         yield from near.result(qids, names)
 
     # Every task returns k rows per query: few long tasks keep that small on a very large corpus.
-    tasks = max(MAX_SCAN_TASKS, 4 * rows.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(MAX_TASKS, 4 * rows.sparkSession.sparkContext.defaultParallelism)
     return rows.coalesce(tasks).mapInArrow(scan, schema)
 
 
@@ -193,7 +195,8 @@ def meet_in_parts(
     """Best ``k`` rows per query and part, where rows and queries of the same ``part`` meet.
 
     Each task sorts its rows so that a part's corpus rows, of bounded number, come before its
-    queries; those then stream by in batches.
+    queries; those then stream by in batches.  A task takes several parts, one after the other, where
+    there are more than ``MAX_TASKS``.
     """
     names = [c for c in cut.columns if c not in ("vector", "part")]
     id_type = spread.schema["query_id"].dataType
@@ -223,7 +226,7 @@ def meet_in_parts(
                     yield from near.result(run["query_id"].combine_chunks(), names)
 
     return (
-        both.repartition(parts, "part")
+        both.repartition(min(parts, MAX_TASKS), "part")
         .sortWithinPartitions("part", "asking")
         .mapInArrow(meet, schema)
     )

@@ -268,14 +268,6 @@ class VectorStore:
         index = self.find_index()
         return None if index is None else ivf.index_stats(index, self.count())
 
-    def preload_check(self) -> DataFrame | None:
-        index = self.find_index()
-        return None if index is None else ivf.index_memory(index)
-
-    def preload_index(self) -> DataFrame | None:
-        index = self.find_index()
-        return None if index is None else ivf.preload_index(index)
-
     def explain_index_health(self, queries: DataFrame, k: int = 10, probes: Sequence[int] = (1, 4, 8)) -> DataFrame | None:
         index = self.find_index()
         if index is None:

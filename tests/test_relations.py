@@ -14,13 +14,14 @@ RANGE = PartitionSpec(
     "range",
     "val",
     defs=[
-        {"name": "p0", "values_less_than": 100},
-        {"name": "p1", "values_less_than": 1000},
-        {"name": "p2", "values_less_than": "maxvalue"},
+        {"name": "low", "values_less_than": -4},
+        {"name": "mid", "values_less_than": 37},
+        {"name": "high", "values_less_than": 640},
+        {"name": "rest", "values_less_than": "maxvalue"},
     ],
 )
 LIST = PartitionSpec(
-    "LIST", "name", defs=[{"name": "a", "values_in": ["O'Brien", "x"]}, {"name": "b", "values_in": ["y", None]}]
+    "LIST", "name", defs=[{"name": "a", "values_in": ["l'été", 'a "b"']}, {"name": "b", "values_in": ["y", None]}]
 )
 
 
@@ -29,17 +30,17 @@ def homes(rows, spec):
 
 
 def test_range_bounds(spark):
-    rows = spark.createDataFrame([(50,), (99,), (100,), (500,), (1000,), (5000,), (None,)], "val int")
-    assert homes(rows, RANGE) == ["p0", "p0", "p1", "p1", "p2", "p2", "p0"]
-    assert RANGE.overlapping(99, 100) == ["p0", "p1"]
-    assert RANGE.overlapping(low=1000) == ["p2"]
-    assert RANGE.overlapping(high=99) == ["p0"]
+    rows = spark.createDataFrame([(-90,), (-5,), (-4,), (36,), (37,), (639,), (640,), (None,)], "val int")
+    assert homes(rows, RANGE) == ["low", "low", "mid", "mid", "high", "high", "rest", "low"]
+    assert RANGE.overlapping(-5, 36) == ["low", "mid"]
+    assert RANGE.overlapping(low=640) == ["rest"]
+    assert RANGE.overlapping(high=-5) == ["low"]
 
 
 def test_range_without_top(spark):
-    spec = PartitionSpec("RANGE", "val", defs=[{"name": "p0", "values_less_than": 100}])
-    rows = spark.createDataFrame([(99,), (100,), (101,)], "val int")
-    assert homes(rows, spec) == ["p0", None, None]
+    spec = PartitionSpec("RANGE", "val", defs=[{"name": "only", "values_less_than": 8}])
+    rows = spark.createDataFrame([(7,), (8,), (9,)], "val int")
+    assert homes(rows, spec) == ["only", None, None]
     with pytest.raises(ValueError, match="2 rows"):
         partition.write_partitioned(rows, scratch_path(spark, "t"), spec)
 
@@ -54,7 +55,7 @@ def test_range_of_dates(spark):
 
 
 def test_list_values(spark):
-    rows = spark.createDataFrame([("O'Brien",), ("y",), (None,), ("other",)], "name string")
+    rows = spark.createDataFrame([("l'été",), ("y",), (None,), ("other",)], "name string")
     assert homes(rows, LIST) == ["a", "b", "b", None]
     with pytest.raises(ValueError, match="1 rows"):
         partition.assert_partitioned(rows, LIST)
@@ -103,11 +104,11 @@ def test_written_table_prunes(spark):
     rows = spark.range(2000).select(F.col("id").alias("val"), (F.col("id") * 2).alias("other"))
     partition.write_partitioned(rows, path, RANGE)
     table = partition.read_partitioned(spark, path)
-    assert {r.p: r["count"] for r in table.groupBy("p").count().collect()} == {"p0": 100, "p1": 900, "p2": 1000}
+    assert {r.p: r["count"] for r in table.groupBy("p").count().collect()} == {"mid": 37, "high": 603, "rest": 1360}
     one = partition.where_key(table, RANGE, 150)
     assert one.count() == 1
     scans = [line for line in one._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in line]
-    assert scans and "p1" in scans[-1]
+    assert scans and "high" in scans[-1]
     assert len(one.inputFiles()) < len(table.inputFiles()) or len(table.inputFiles()) == 3
     assert partition.where_between(table, RANGE, 90, 110).count() == 21
     with pytest.raises(Exception):
@@ -134,20 +135,20 @@ def test_report_shows_unmatched(spark):
 
 
 def test_catalog_table(spark):
-    name = "amounts_" + scratch_path(spark, "x")[-8:]
-    spec = PartitionSpec("HASH", "user_id", 4)
-    columns = [("id", "BIGINT"), ("user_id", "BIGINT"), ("amount", "DECIMAL(10,2)")]
+    name = "tides_" + scratch_path(spark, "x")[-8:]
+    spec = PartitionSpec("HASH", "gauge", 3)
+    columns = [("reading", "BIGINT"), ("gauge", "BIGINT"), ("level", "DECIMAL(7,3)")]
     path = scratch_path(spark, "t")
     create_partitioned_table(spark, name, columns, spec, path=path)
     create_partitioned_table(spark, name, columns, spec, path=path)
     with pytest.raises(Exception):
         create_partitioned_table(spark, name, columns, spec, path=path, if_not_exists=False)
-    partition.insert_rows(spark.createDataFrame([(1, 9, "1.50"), (2, 8, None)], "id int, user_id int, amount string"), name, spec)
-    partition.insert_rows(spark.createDataFrame([(3, 7)], "id int, user_id int"), name, spec)
-    rows = {r.id: (r.p, r.amount) for r in spark.table(name).collect()}
-    assert rows[1][0] == 1 and str(rows[1][1]) == "1.50" and rows[3] == (3, None)
+    partition.insert_rows(spark.createDataFrame([(1, 10, "0.125"), (2, 9, None)], "reading int, gauge int, level string"), name, spec)
+    partition.insert_rows(spark.createDataFrame([(3, 5)], "reading int, gauge int"), name, spec)
+    rows = {r.reading: (r.p, r.level) for r in spark.table(name).collect()}
+    assert rows[1][0] == 1 and str(rows[1][1]) == "0.125" and rows[3] == (2, None)
     with pytest.raises(ValueError):
-        partition.insert_rows(spark.createDataFrame([(3, 7)], "id int, nope int"), name)
+        partition.insert_rows(spark.createDataFrame([(3, 5)], "reading int, nope int"), name)
     with pytest.raises(ValueError):
         create_partitioned_table(spark, "t", columns, spec, broadcast=True)
     with pytest.raises(ValueError):

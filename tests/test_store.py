@@ -1,4 +1,5 @@
 import json
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -21,14 +22,14 @@ from nearspan.sources.snapshots import SnapshotTable
 from nearspan.streaming.ingest import ingest, upsert_batches
 
 DIM = 4
-CATEGORIES = ["database", "framework", "search", "index", "language"]
+WATERS = ["spring", "brook", "river", "lake", "fen"]
 
 
 def source(spark, count=5, prefix="", start=0):
     rng = np.random.default_rng(count)
     rows = []
     for i in range(start, start + count):
-        metadata = {"category": CATEGORIES[i % 5], "lang": "en", "score": 10 * (i % 5 + 1), "ref_doc_id": f"doc{i // 2}"}
+        metadata = {"water": WATERS[i % 5], "lang": "gd", "depth": 7 * (i % 5) + 2, "ref_doc_id": f"doc{i // 2}"}
         vector = [float(x) for x in rng.normal(size=DIM)]
         rows.append((f"n{i}", f"{prefix}text {i}", json.dumps(metadata), vector))
     return spark.createDataFrame(rows, "node_id string, text string, metadata string, embedding array<float>")
@@ -51,13 +52,13 @@ def test_story(spark):
     assert len(best) == 20 and all(r.qid == r.node_id and r.text for r in best)
     diverse = table.query(asked, 4, mode="mmr", lambda_mult=0.1)
     assert diverse.count() == 80
-    wanted = MetaFilter("category", ["search", "index"], "in")
+    wanted = MetaFilter("water", ["lake", "river"], "in")
     near = table.query([1.0, 0.0, 0.0, 0.0], 50, wanted)
     assert near.count() == 8
-    assert {json.loads(r.metadata)["category"] for r in near.collect()} == {"search", "index"}
+    assert {json.loads(r.metadata)["water"] for r in near.collect()} == {"lake", "river"}
     assert table.delete("doc0") == 2
     assert table.delete_nodes(["n5", "unknown"]) == 1
-    assert table.delete_by_metadata(MetaFilter("score", 30, ">")) == 8
+    assert table.delete_by_metadata(MetaFilter("depth", 16, ">")) == 8
     assert table.count() == 9 == table.rows().count()
     assert table.delete_nodes() == 0 and table.delete_nodes(filters=FilterGroup()) == 0
     assert table.delete("nothing") == 0
@@ -75,9 +76,9 @@ def test_upsert_twice_is_once(spark):
     table.add(source(spark, 10))
     ids = {r.node_id: r.id for r in table.rows().collect()}
     for _ in range(2):
-        assert table.add(source(spark, 6, "UPDATED ", start=5)) == 11
+        assert table.add(source(spark, 6, "second ", start=5)) == 11
     rows = {r.node_id: r for r in table.rows().collect()}
-    assert rows["n5"].text == "UPDATED text 5" and rows["n4"].text == "text 4"
+    assert rows["n5"].text == "second text 5" and rows["n4"].text == "text 4"
     assert all(rows[n].id == i for n, i in ids.items())
     again = VectorStore(spark, table.path, table.config, 3)
     assert again.count() == 11
@@ -130,13 +131,13 @@ def test_nodes_and_documents(spark):
     table = store(spark)
     table.add(source(spark, 6))
     assert names(table.get_nodes(["n1", "n3", "zz"])) == ["n1", "n3"]
-    assert names(table.get_nodes(filters=MetaFilter("score", 10))) == ["n0", "n5"]
+    assert names(table.get_nodes(filters=MetaFilter("depth", 2))) == ["n0", "n5"]
     assert table.get_nodes().count() == 6 and table.get_nodes([]).count() == 6
     ids = spark.createDataFrame([("n2",), ("n2",)], "node_id string")
     assert names(table.get_nodes(ids)) == ["n2"]
     document = table.get_documents(["n1"]).first()
-    assert document.metadata["category"] == "framework"
-    assert names(table.search_by_metadata(MetaFilter("lang", "en"), limit=2)) == ["n0", "n1"]
+    assert document.metadata["water"] == "brook"
+    assert names(table.search_by_metadata(MetaFilter("lang", "gd"), limit=2)) == ["n0", "n1"]
     assert table.embeddings(["n0", "n9"]).count() == 1
 
 
@@ -173,10 +174,6 @@ def test_index_follows_the_table(spark):
     assert all(r.qid == r.node_id for r in found.collect())
     table.optimize()
     assert {r.n_not_indexed for r in table.get_stats().collect()} == {0}
-    assert table.preload_check().agg(F.sum("n_bytes")).first()[0] == 45 * DIM * 4
-    preloaded = table.preload_index()
-    assert preloaded.count() == 45
-    preloaded.unpersist()
     assert table.explain_index_health(asked, 3, (4,)).first().recall == 1.0
     with pytest.raises(ValueError):
         table.apply_vector_index(metric="euclidean")
@@ -185,43 +182,43 @@ def test_index_follows_the_table(spark):
 
 PROMOTED = TableConfig(
     dim=DIM,
-    id_column="my_id",
-    node_id_column="my_node_id",
-    text_column="my_text",
-    embedding_column="my_embedding",
-    metadata_column="my_meta",
-    promoted=(MetaColumn("category", "VARCHAR(64)", False, "none"), MetaColumn("lang", "VARCHAR(8)"), MetaColumn("score")),
+    id_column="row_no",
+    node_id_column="station",
+    text_column="report",
+    embedding_column="profile",
+    metadata_column="notes",
+    promoted=(MetaColumn("water", "VARCHAR(20)", False, "dry"), MetaColumn("lang", "VARCHAR(2)"), MetaColumn("depth")),
 )
 
 
 def test_promoted_columns(spark):
     table = store(spark, PROMOTED)
     table.add(source(spark, 5))
-    row = table.rows().where("my_node_id = 'n1'").first()
-    assert (row.category, row.lang, row.score) == ("framework", "en", "20")
-    assert json.loads(row.my_meta) == {"ref_doc_id": "doc0"}
-    assert table.get_nodes(["n1"]).columns == ["node_id", "text", "metadata", "category", "lang", "score"]
-    assert names(table.get_nodes(filters=MetaFilter("score", 30, ">="))) == ["n2", "n3", "n4"]
-    assert table.query([1.0, 0.0, 0.0, 0.0], 9, MetaFilter("category", "search")).count() == 1
-    assert table.get_documents(["n1"]).first().metadata["score"] == "20"
+    row = table.rows().where("station = 'n1'").first()
+    assert (row.water, row.lang, row.depth) == ("brook", "gd", "9")
+    assert json.loads(row.notes) == {"ref_doc_id": "doc0"}
+    assert table.get_nodes(["n1"]).columns == ["node_id", "text", "metadata", "water", "lang", "depth"]
+    assert names(table.get_nodes(filters=MetaFilter("depth", 16, ">="))) == ["n2", "n3", "n4"]
+    assert table.query([1.0, 0.0, 0.0, 0.0], 9, MetaFilter("water", "river")).count() == 1
+    assert table.get_documents(["n1"]).first().metadata["depth"] == "9"
     assert table.delete("doc0") == 2
 
 
 def test_not_null_and_default(spark):
-    rows = vector_table(source(spark, 3).withColumn("metadata", F.lit('{"lang": "en", "category": null}')), PROMOTED)
-    assert write_audit(rows, PROMOTED)["missing category"] == 3
-    with pytest.raises(ValueError, match="missing category"):
+    rows = vector_table(source(spark, 3).withColumn("metadata", F.lit('{"lang": "gd", "water": null}')), PROMOTED)
+    assert write_audit(rows, PROMOTED)["missing water"] == 3
+    with pytest.raises(ValueError, match="missing water"):
         assert_writable(rows, PROMOTED)
-    assert not_null_report(rows, PROMOTED).collect() == [("category", 3, 3)]
+    assert not_null_report(rows, PROMOTED).collect() == [("water", 3, 3)]
 
 
 def test_no_json_column(spark):
-    config = TableConfig(dim=DIM, metadata_column=None, promoted=("category",))
+    config = TableConfig(dim=DIM, metadata_column=None, promoted=("water",))
     table = store(spark, config)
     table.add(source(spark, 5))
-    assert table.get_nodes(["n0"]).columns == ["node_id", "text", "category"]
-    assert table.get_documents(["n0"]).first().metadata == {"category": "database"}
-    for call in (lambda: table.get_nodes(filters=MetaFilter("lang", "en")), lambda: table.delete("doc0")):
+    assert table.get_nodes(["n0"]).columns == ["node_id", "text", "water"]
+    assert table.get_documents(["n0"]).first().metadata == {"water": "spring"}
+    for call in (lambda: table.get_nodes(filters=MetaFilter("lang", "gd")), lambda: table.delete("doc0")):
         with pytest.raises(ValueError):
             call()
     with_document = TableConfig(dim=DIM, metadata_column=None, promoted=("ref_doc_id",))
@@ -240,28 +237,25 @@ def test_promotion_keeps_json_types(spark):
 
 
 def test_merge_rules(spark):
-    config = TableConfig(dim=1, promoted=(MetaColumn("price", "DECIMAL(10,2)"), MetaColumn("category")))
-    schema = "node_id string, text string, metadata string, price decimal(10,2), category string"
+    config = TableConfig(dim=1, promoted=(MetaColumn("depth", "DECIMAL(6,3)"), MetaColumn("water")))
+    schema = "node_id string, text string, metadata string, depth decimal(6,3), water string"
     data = [
-        ("a", "t", '{"tags": ["new"], "_node": 1}', 9.99, "books"),
-        ("b", None, '{"category": "json", "foo": "bar"}', None, None),
-        ("c", "t", '{"category": "json"}', None, "column"),
-        ("d", "t", "corrupt", None, None),
-        ("e", "t", "[1, 2]", None, "x"),
-        (None, "t", '{"node_id": "from json"}', None, None),
+        ("both", "ford", '{"bridges": [3, 4], "_page": 7}', Decimal("1.250"), "salt"),
+        ("json only", None, '{"water": "fresh", "mouth": "north"}', None, None),
+        ("column first", "weir", '{"water": "fresh"}', None, "brackish"),
+        ("broken", "lock", "{water", None, None),
+        ("a list", "dam", '["water"]', None, "salt"),
+        (None, "pier", '{"node_id": "named inside"}', None, None),
     ]
-    from decimal import Decimal
-
-    data = [(a, b, c, Decimal(str(p)) if p else None, e) for a, b, c, p, e in data]
     rows = spark.createDataFrame(data, schema)
     merged = {r.node_id: r.m for r in rows.select("node_id", merged_metadata(config).alias("m")).collect()}
-    assert merged["a"] == {"tags": '["new"]', "_node": "1", "price": "9.99", "category": "books"}
-    assert merged["b"] == {"category": "json", "foo": "bar"}
-    assert merged["c"] == {"category": "column"}
-    assert merged["d"] == {} and merged["e"] == {"category": "x"}
+    assert merged["both"] == {"bridges": "[3,4]", "_page": "7", "depth": "1.250", "water": "salt"}
+    assert merged["json only"] == {"water": "fresh", "mouth": "north"}
+    assert merged["column first"] == {"water": "brackish"}
+    assert merged["broken"] == {} and merged["a list"] == {"water": "salt"}
     back = {r.node_id: r for r in rebuilt_rows(rows, config).collect()}
-    assert back["b"].text == "" and "_node" not in back["a"].metadata
-    assert "from json" in back
+    assert back["json only"].text == "" and "_page" not in back["both"].metadata
+    assert "named inside" in back
 
 
 def test_stable_names(spark):
@@ -282,7 +276,7 @@ def test_hard_texts_survive(spark):
 
 def test_counted_delete(spark, tmp_path):
     rows = vector_table(source(spark, 10), TableConfig(dim=DIM))
-    left, seen = delete_counted(rows, MetaFilter("score", 20, "<="), TableConfig(dim=DIM))
+    left, seen = delete_counted(rows, MetaFilter("depth", 9, "<="), TableConfig(dim=DIM))
     left.write.parquet(str(tmp_path / "left"))
     assert seen.get["n_deleted"] == 4
     assert spark.read.parquet(str(tmp_path / "left")).count() == 6

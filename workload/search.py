@@ -149,11 +149,6 @@ def index_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def index_preload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ivf.preload_index(_label_index(spark, sf_dir))
-    return rows.groupBy("cell").agg(F.count("*").alias("n_rows"))
-
-
 def index_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _label_index(spark, sf_dir)
     report = ivf.index_health(index, vectors(spark, sf_dir), every_vector_asks(spark, sf_dir), K, (1, 3, 10))
@@ -253,7 +248,6 @@ def _health_sql() -> str:
     )
 
 
-CELL_SIZES_SQL = f"WITH {_cells_sql('cosine')} SELECT cell, count(*) AS n_rows FROM o WHERE turn = 1 GROUP BY cell"
 ALL_CELL_SIZES_SQL = (
     f"WITH {_cells_sql('cosine')} SELECT c.cell, count(o.id) AS n_rows FROM c LEFT JOIN o ON o.cell = c.cell AND"
     " o.turn = 1 GROUP BY c.cell"
@@ -318,11 +312,6 @@ QUERIES = {
         lambda spark, sf_dir: ivf.index_stats(_label_index(spark, sf_dir)),
         ALL_CELL_SIZES_SQL,
     ),
-    "index_memory": (
-        lambda spark, sf_dir: ivf.index_memory(_label_index(spark, sf_dir)),
-        f"SELECT cell, n_rows, n_rows * 64 * 4 AS n_bytes FROM ({ALL_CELL_SIZES_SQL})",
-    ),
-    "index_preload": (index_preload, CELL_SIZES_SQL),
     "index_rebuild": (
         index_rebuild,
         "SELECT count(*) AS n_rows, count(DISTINCT label) AS n_cells, CAST(0 AS BIGINT) AS n_not_indexed FROM embeddings",

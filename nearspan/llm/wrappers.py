@@ -5,23 +5,29 @@ into one regular expression without unions: tags, text slots, optional groups an
 mismatch is resolved in this order:
 
 1. a text against another text becomes a text slot;
-2. a run of tags that repeats the run before it becomes a repeated group;
+2. a run of one or several labels that repeats the run before it becomes a repeated group;
 3. what only one side has becomes optional.
 
 Wrappers are merged like pages, so the pages of a host are aligned in parallel, first within a task and
 then in a tree over tasks; a wrapper is as long as its host's template, however many pages the host has.
 
-Every text slot is judged by where it stands in the wrapper: inside a main region of the template and
-outside of its boilerplate.  A page's text is what fills its main slots.  References are decoded, blank
-runs become one space, and blocks are joined by a newline.
+A text slot keeps what its texts have in common over the host's pages: whether they are all the same, how
+long they are, how much of them are links, and a sketch of the pages that have it.  A block is template if
+its slots hold the same text on ``SUPPORT`` different pages, or if its text is links.  A page is matched to
+the wrapper, and each of its texts goes by the verdict on its slot, by the elements and names around it, and
+by the main regions of that page.  Where these would leave less than ``LEAST_SHARE`` of the page's text,
+they decide nothing.  ``article`` and ``main`` are kept whole but for boilerplate by name.  References are
+decoded, blank runs become one space, and blocks are joined by a newline.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,7 +63,18 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\
 _NAME = re.compile(r"[a-z]+")
 _BLANKS = re.compile(r"\s+")
 TEXT = "#"
+GROUP = "*"
 FAN = 64
+# Labels of the longest repeated run, different pages that show a text to be constant, and shares of text.
+PERIOD = 4
+SUPPORT = 3
+LINK_SHARE = 0.8
+LEAST_SHARE = 0.25
+# Blocks that are judged by their slots; headings, cells and the like go with the block that they are in.
+JUDGED = frozenset("div section p ul ol dl table center details address".split())
+# Containers that stand side by side keep a place each, unless more than RUN of one label do.
+PLACED = frozenset("div section ul ol dl table center details address form".split())
+RUN = 8
 # Elements nested deeper become neighbours; no text is lost.
 DEEPEST = 150
 
@@ -131,14 +148,23 @@ PARTS = frozenset("article main body html".split())
 
 
 class Node:
-    """An element of a page or of a wrapper, or a text (label ``#``)."""
+    """An element of a page or of a wrapper, a text (label ``#``), or a group of labels (label ``*...``).
 
-    __slots__ = ("label", "children", "text", "repeated", "optional")
+    A text slot has the digest of its text (None if texts differ), its characters, those of them in links,
+    and the least digests of the pages that have it.  ``sources`` and ``slot`` tie a page to a wrapper.
+    """
+
+    __slots__ = ("label", "children", "text", "repeated", "optional", "digest", "chars", "links", "pages", "sources", "slot", "template")
 
     def __init__(self, label: str, text: str = "") -> None:
         self.label, self.text = label, text
         self.children: list[Node] = []
-        self.repeated = self.optional = False
+        self.repeated = self.optional = self.template = False
+        self.digest: int | None = None
+        self.chars = self.links = 0
+        self.pages: list[int] = []
+        self.sources: list[Node] = []
+        self.slot: Node | None = None
 
     @property
     def tag(self) -> str:
@@ -179,66 +205,205 @@ def tree(page: str) -> Node:
     return root
 
 
-def fold(node: Node) -> Node:
-    """The element as a wrapper: neighbours with one label become a repeated group, texts become slots."""
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=6).digest(), "little")
+
+
+def page_digest(node: Node) -> int:
+    """A digest of all texts of a page."""
+    parts: list[str] = []
+
+    def walk(node: Node) -> None:
+        if node.label == TEXT:
+            parts.extend(node.text.split())
+        for child in node.children:
+            walk(child)
+
+    walk(node)
+    return digest(" ".join(parts))
+
+
+def fold(node: Node, page: int = 0, linked: bool = False, keep: bool = False) -> Node:
+    """The element as a wrapper: runs that repeat become a repeated group, texts become slots.
+
+    With ``keep`` the parts of the wrapper know the nodes that they come from.
+    """
     out = Node(node.label)
+    out.sources = [node] if keep else []
+    linked = linked or node.tag == "a"
     for child in node.children:
-        part = fold(child)
-        if part.label == TEXT and not child.text.strip():
-            continue
-        if out.children and out.children[-1].label == part.label:
-            last = out.children[-1]
-            last.children = align(last.children, part.children)
-            last.repeated = last.repeated or part.label != TEXT
+        if child.label == TEXT:
+            text = " ".join(child.text.split())
+            if not text:
+                continue
+            part = Node(TEXT)
+            part.digest, part.chars, part.links, part.pages = digest(text), len(text), len(text) * linked, [page]
+            part.sources = [child] if keep else []
         else:
-            out.children.append(part)
+            part = fold(child, page, linked, keep)
+        _append(out.children, part)
+    out.children = _grouped(_bounded(out.children))
     return out
 
 
-def align(a: list[Node], b: list[Node]) -> list[Node]:
-    """One list of both: what matches is merged, what only one side has becomes optional.
+def _bounded(parts: list[Node]) -> list[Node]:
+    """The parts with every run of more than ``RUN`` of one label as one repeated group."""
+    if len(parts) <= RUN:
+        return parts
+    out: list[Node] = []
+    for label, run in groupby(parts, key=lambda p: p.label):
+        run = list(run)
+        if len(run) > RUN:
+            first = run[0]
+            for part in run[1:]:
+                first = _merged(first, part)
+            first.repeated = True
+            run = [first]
+        out += run
+    return out
+
+
+def _append(parts: list[Node], part: Node) -> None:
+    if parts and parts[-1].label == part.label and part.tag not in PLACED:
+        last = _merged(parts[-1], part)
+        last.repeated = last.repeated or part.label != TEXT
+    else:
+        parts.append(part)
+
+
+def _group(parts: list[Node]) -> Node:
+    group = Node(GROUP + "|".join(p.label for p in parts))
+    group.children = parts
+    return group
+
+
+def _grouped(parts: list[Node]) -> list[Node]:
+    """The parts with every run of several labels that repeats at once as one repeated group."""
+    labels = [p.label for p in parts]
+    out, at = [], 0
+    while at < len(parts):
+        for n in range(2, PERIOD + 1):
+            run = labels[at : at + n]
+            if at + 2 * n <= len(parts) and len(set(run)) > 1 and run == labels[at + n : at + 2 * n]:
+                group = _group(parts[at : at + n])
+                at += n
+                while labels[at : at + n] == [c.label for c in group.children]:
+                    group = _merged(group, _group(parts[at : at + n]))
+                    at += n
+                group.repeated = True
+                out.append(group)
+                break
+        else:
+            out.append(parts[at])
+            at += 1
+    return out
+
+
+def _regrouped(parts: list[Node], groups: dict[str, list[str]]) -> list[Node]:
+    """The parts with every run that has the labels of one of the groups as that group."""
+    out: list[Node] = []
+    at = 0
+    while at < len(parts):
+        for labels in groups.values():
+            if [p.label for p in parts[at : at + len(labels)]] == labels:
+                _append(out, _group(parts[at : at + len(labels)]))
+                at += len(labels)
+                break
+        else:
+            _append(out, parts[at])
+            at += 1
+    return out
+
+
+def _groups(parts: list[Node]) -> dict[str, list[str]]:
+    found = {p.label: [c.label for c in p.children] for p in parts if p.label.startswith(GROUP)}
+    return dict(sorted(found.items(), key=lambda g: (-len(g[1]), g[0])))
 
-    A longest common subsequence of the labels says what matches.
+
+def _traits(node: Node) -> set:
+    """The labels in a node and its texts that are the same on all pages."""
+    found, rest = set(), [node]
+    while rest:
+        at = rest.pop()
+        found.add(at.label if at.digest is None else at.digest)
+        rest += at.children
+    return found
+
+
+def _pairs(a: list[Node], b: list[Node]) -> Iterator[tuple[Node | None, Node | None]]:
+    """Both lists in one order; what matches by a heaviest common subsequence of the labels is paired.
+
+    Of equally many pairs those with most texts and labels in common are preferred, then those with parts
+    of ``b`` that are not optional.
     """
-    if [x.label for x in a] == [x.label for x in b]:
-        return [_merged(x, y) for x, y in zip(a, b)]
     n, m = len(a), len(b)
+    doubled = len({x.label for x in a}) < n or len({x.label for x in b}) < m
+    left, right = ([_traits(x) for x in side] if doubled else [] for side in (a, b))
+
+    def weight(i: int, j: int) -> int:
+        return 1_000_000 + 2 * (len(left[i] & right[j]) if doubled else 0) + (not b[j].optional)
+
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            same = a[i].label == b[j].label
-            best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
+            best[i][j] = max(best[i + 1][j], best[i][j + 1])
+            if a[i].label == b[j].label:
+                best[i][j] = max(best[i][j], best[i + 1][j + 1] + weight(i, j))
+    i = j = 0
     while i < n or j < m:
-        if i < n and j < m and a[i].label == b[j].label:
-            part = _merged(a[i], b[j])
+        both = i < n and j < m and a[i].label == b[j].label
+        if both and best[i][j] == best[i + 1][j + 1] + weight(i, j):
+            yield a[i], b[j]
             i, j = i + 1, j + 1
+        elif j == m or (i < n and best[i + 1][j] >= best[i][j + 1]):
+            yield a[i], None
+            i += 1
         else:
-            left = j == m or (i < n and best[i + 1][j] >= best[i][j + 1])
-            part = a[i] if left else b[j]
+            yield None, b[j]
+            j += 1
+
+
+def align(a: list[Node], b: list[Node]) -> list[Node]:
+    """One list of both: what matches is merged, what only one side has becomes optional."""
+    if [x.label for x in a] == [x.label for x in b]:
+        return [_merged(x, y) for x, y in zip(a, b)]
+    groups = _groups(a + b)
+    if groups:
+        a, b = _regrouped(a, groups), _regrouped(b, groups)
+    out: list[Node] = []
+    for x, y in _pairs(a, b):
+        if x is not None and y is not None:
+            part = _merged(x, y)
+        else:
+            part = x if x is not None else y
             part.optional = True
-            i, j = (i + 1, j) if left else (i, j + 1)
-        if out and out[-1].label == part.label:
-            part = _merged(out.pop(), part)
-            part.repeated = part.label != TEXT
-        out.append(part)
-    return out
+        _append(out, part)
+    return _bounded(out)
 
 
 def _merged(a: Node, b: Node) -> Node:
     a.children = align(a.children, b.children)
     a.repeated, a.optional = a.repeated or b.repeated, a.optional or b.optional
+    a.sources += b.sources
+    if a.label == TEXT:
+        a.digest = a.digest if a.digest == b.digest else None
+        a.chars, a.links = a.chars + b.chars, a.links + b.links
+        if a.pages != b.pages:
+            a.pages = sorted({*a.pages, *b.pages})[:SUPPORT]
     return a
 
 
 def pack(node: Node) -> list:
-    return [node.label, int(node.repeated) + 2 * int(node.optional), [pack(c) for c in node.children]]
+    packed = [node.label, int(node.repeated) + 2 * int(node.optional), [pack(c) for c in node.children]]
+    return [*packed, node.digest, node.chars, node.links, node.pages] if node.label == TEXT else packed
 
 
 def unpack(packed: list) -> Node:
     node = Node(packed[0])
     node.repeated, node.optional = bool(packed[1] & 1), bool(packed[1] & 2)
     node.children = [unpack(c) for c in packed[2]]
+    if node.label == TEXT:
+        node.digest, node.chars, node.links, node.pages = packed[3:]
     return node
 
 
@@ -264,56 +429,95 @@ def kind(label: str) -> int:
     return int(tag in MAIN_TAGS or "main" in roles or bool(names & MAIN_NAMES and tag not in ("body", "html")))
 
 
+def _judge(node: Node) -> tuple[int, int, bool]:
+    """Marks the template's blocks; characters, those in links, and whether all texts are constant."""
+    if node.label == TEXT:
+        return node.chars, node.links, node.digest is not None and len(node.pages) >= SUPPORT
+    below = [_judge(child) for child in node.children]
+    chars, links = sum(b[0] for b in below), sum(b[1] for b in below)
+    constant = all(b[2] for b in below)
+    if chars and node.tag in JUDGED:
+        node.template = constant or (node.tag != "p" and links >= LINK_SHARE * chars)
+    return chars, links, constant
+
+
+def _match(part: Node, slot: Node) -> None:
+    """Ties the nodes of a page's folded part to the slots of the wrapper's."""
+    for node in part.sources:
+        node.slot = slot
+    parts = part.children
+    if [p.label for p in parts] == [s.label for s in slot.children]:
+        for pair in zip(parts, slot.children):
+            _match(*pair)
+        return
+    groups = _groups(slot.children)
+    for x, y in _pairs(_regrouped(parts, groups) if groups else parts, slot.children):
+        if x is not None and y is not None:
+            _match(x, y)
+
+
+def _kept_whole(label: str) -> bool:
+    return label.partition(" ")[0] in MAIN_TAGS or (" role=" in label and "main" in _names(label)[1])
+
+
 class Wrapper:
     """A host's wrapper with every slot judged."""
 
     def __init__(self, root: Node) -> None:
         self.root = root
         self.kinds: dict[str, int] = {}
-        self.has_main = self._main(root)
+        _judge(root)
 
     def kind(self, label: str) -> int:
         if label not in self.kinds:
             self.kinds[label] = kind(label)
         return self.kinds[label]
 
-    def _main(self, node: Node) -> bool:
-        own = self.kind(node.label) if node.label else 0
-        return own == 1 or (own == 0 and any(self._main(c) for c in node.children))
-
     def extract(self, page: str) -> str:
         """The text of a page's main slots."""
-        blocks: list[str] = []
-        parts: list[str] = []
+        root = tree(page)
+        _match(fold(root, keep=True), self.root)
+        # Texts and, as None, the borders of blocks; beside a text if it is in a main region and if it is template.
+        stream: list[tuple[str, bool, bool] | None] = []
 
-        def flush() -> None:
-            line = _BLANKS.sub(" ", entities.unescape("".join(parts))).strip()
-            if line:
-                blocks.append(line)
-            parts.clear()
-
-        def walk(node: Node, slots: list[Node], main: bool) -> None:
-            at = 0
+        def walk(node: Node, main: bool, template: bool, held: bool) -> None:
             for child in node.children:
-                place = next((k for k in range(at, len(slots)) if slots[k].label == child.label), None)
-                if place is not None:
-                    at = place if slots[place].repeated else place + 1
                 if child.label == TEXT:
-                    if main:
-                        parts.append(child.text)
-                    at = place if place is not None else at
+                    stream.append((child.text, main, template))
                     continue
+                sort = self.kind(child.label)
                 block = child.tag in BLOCK
                 if block:
-                    flush()
-                sort = self.kind(child.label)
+                    stream.append(None)
                 if sort >= 0:
-                    walk(child, slots[place].children if place is not None else [], main or sort == 1)
+                    whole_region = held or _kept_whole(child.label)
+                    judged = child.slot is not None and child.slot.template
+                    walk(child, main or sort == 1, not whole_region and (template or judged), whole_region)
                 if block:
-                    flush()
+                    stream.append(None)
+
+        walk(root, False, False, False)
 
-        walk(tree(page), self.root.children, not self.has_main)
-        flush()
+        def chars(texts) -> int:
+            return sum(len("".join(t[0].split())) for t in texts)
+
+        texts = [t for t in stream if t is not None]
+        content = [t for t in texts if not t[2]]
+        by_slot = chars(content) >= LEAST_SHARE * chars(texts)
+        inside = [t for t in (content if by_slot else texts) if t[1]]
+        n_inside = chars(inside)
+        by_region = n_inside > 0 and n_inside >= LEAST_SHARE * chars(content if by_slot else texts)
+        blocks: list[str] = []
+        parts: list[str] = []
+        for item in [*stream, None]:
+            if item is not None:
+                if (item[1] or not by_region) and not (item[2] and by_slot):
+                    parts.append(item[0])
+                continue
+            line = _BLANKS.sub(" ", entities.unescape("".join(parts))).strip()
+            if line:
+                blocks.append(line)
+            parts.clear()
         return "\n".join(blocks)
 
 
@@ -328,7 +532,7 @@ def _merge_rows(rows: Iterator[tuple[str, str]]) -> dict[str, list[str]]:
 def infer(pages: DataFrame) -> DataFrame:
     """``host, wrapper`` of ``host, html``; a wrapper is JSON.
 
-    A task folds its pages into one wrapper per host; equal structures are aligned once.  The tasks'
+    A task folds its pages into one wrapper per host; equal pages are aligned once.  The tasks'
     wrappers of a host are then merged in groups of about ``FAN``, level by level.
     """
 
@@ -337,10 +541,11 @@ def infer(pages: DataFrame) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                node = fold(tree(page))
-                mark = hash((host, json.dumps(pack(node))))
+                mark = hash((host, page))
                 if mark not in seen:
                     seen.add(mark)
+                    root = tree(page)
+                    node = fold(root, page_digest(root))
                     held[host] = _merged(held[host], node) if host in held else node
         packed = [json.dumps(pack(node)) for node in held.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(packed, pa.string())], ["host", "wrapper"])

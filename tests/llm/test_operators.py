@@ -494,6 +494,36 @@ def test_wrapper_has_slots_groups_and_options():
     assert wrappers.pack(wrappers.unpack(wrappers.pack(merged))) == wrappers.pack(merged)
 
 
+def test_wrapper_groups_several_labels():
+    a = wrappers.fold(wrappers.tree("<h2>a</h2><p>b</p><h2>c</h2><p>d</p><p>e</p><h2>f</h2><p>g</p>"))
+    assert [(n.label, n.repeated) for n in a.children] == [("*h2|p", True)]
+    assert [(n.label, n.repeated) for n in a.children[0].children] == [("h2", False), ("p", True)]
+    merged = wrappers._merged(wrappers.fold(wrappers.tree("<h2>x</h2><p>y</p>")), a)
+    assert [(n.label, n.repeated, n.optional) for n in merged.children] == [("*h2|p", True, False)]
+    assert wrappers.pack(wrappers.unpack(wrappers.pack(merged))) == wrappers.pack(merged)
+
+
+def test_pages_are_read_through_judged_slots(spark):
+    """No name tells here: only what the host's pages have in common does."""
+    links = "<div><a href='/1'>one more {0}</a><a href='/2'>another of {0}</a></div>"
+    body = "<html><body><div>We are a shop since 1901</div>%s<div><h2>Parts</h2><p>{1}</p><h2>Steps</h2><p>{2}</p></div></body></html>" % links
+    rows = [(i, "http://a.example.com/", body.format(f"n{i}", prose(i, 20), prose(i + 9, 20))) for i in range(5)]
+    # Pages of one host with and without a main region; a teaser is no main region for a page's text.
+    rows += [(10 + i, "http://b.example.com/", f"<div>{prose(i + 20, 30)}</div>") for i in range(2)]
+    rows += [(20, "http://b.example.com/", "<div>beside</div><article>inside it is</article>")]
+    rows += [(21, "http://b.example.com/", f"<div>{prose(30, 60)}</div><article>teaser</article>")]
+    # Copies of a page are no evidence, and a host of links only keeps them.
+    rows += [(30 + i, "http://c.example.com/", "<div><p>the same</p></div>") for i in range(4)] + [(35, "http://c.example.com/", "<div>else</div>")]
+    rows += [(40, "http://d.example.com/", links.format("k"))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in wrappers.page_texts(frame).collect()}
+    assert all(got[i] == f"Parts\n{prose(i, 20)}\nSteps\n{prose(i + 9, 20)}" for i in range(5))
+    assert all(got[10 + i] == prose(i + 20, 30) for i in range(2))
+    assert got[20] == "inside it is" and got[21] == f"{prose(30, 60)}\nteaser"
+    assert {got[30 + i] for i in range(4)} == {"the same"} and got[35] == "else"
+    assert got[40] == "one more kanother of k"
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")

@@ -38,14 +38,14 @@ from nearspan.operators.sizing import broadcast_if_small
 
 # Fixed values of HTML: elements without content, elements whose content is no markup, and block elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title template iframe noembed noframes".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure"
     " footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre"
-    " section summary table tbody td tfoot th thead tr ul br".split()
+    " section summary table tbody td tfoot th thead tr ul xmp br".split()
 )
 # What the parts around an article are called, as elements, roles, classes and ids.
-AWAY_TAGS = frozenset("nav header footer aside form button select menu dialog head input label fieldset".split()) | RAW
+AWAY_TAGS = frozenset("nav header footer aside button select menu dialog head input label fieldset".split()) | RAW
 MAIN_TAGS = frozenset("article main".split())
 AWAY_NAMES = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent"
@@ -54,6 +54,11 @@ AWAY_NAMES = frozenset(
     " social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 MAIN_NAMES = frozenset("article articlebody content entry main maincontent post postbody story".split())
+# Words that name no part of their own: "sidebar-left" is a sidebar, "no-sidebar" and "has-comments" are not.
+PLAIN_NAMES = frozenset(
+    "area bar block bottom box button buttons col column container form global group holder inner item items left link"
+    " links list outer page panel primary right row secondary section site text top wrap wrapper".split()
+)
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _MARKUP = re.compile(
@@ -61,6 +66,8 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[a-z]+")
+# Where a raw element without an end tag ends.
+_RAW_END = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK | {'head', 'html'}))})(?![A-Za-z0-9:-])", re.I)
 _BLANKS = re.compile(r"\s+")
 TEXT = "#"
 GROUP = "*"
@@ -85,20 +92,24 @@ def _label(tag: str, attributes: str) -> str:
         return tag
     kept = []
     for m in _ATTRIBUTE.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        kept.append(f"{m[1].lower()}={' '.join(_NAME.findall(_split_camel(value)))}")
+        value, name = _split_camel(m[2] or m[3] or m[4] or ""), m[1].lower()
+        if name in ("class", "id"):
+            value = " ".join("-".join(_NAME.findall(whole_name)) for whole_name in value.split())
+            kept.append(f"{name}={' '.join(value.split())}")
+        else:
+            kept.append(f"{name}={' '.join(_NAME.findall(value))}")
     return f"{tag} {' '.join(sorted(kept))}".strip()
 
 
 def _split_camel(value: str) -> str:
-    return re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()
+    return re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()
 
 
 def tokens(page: str) -> tuple[list[str], list[str]]:
     """The labels of a page's tokens, and beside each text token its characters.
 
-    End tags are ``/tag``.  Comments and the content of scripts and the like are dropped; a ``<`` that
-    starts no markup is text.
+    End tags are ``/tag``.  Comments and the content of scripts and the like are dropped, up to the next
+    block if their end tag is missing; a ``<`` that starts no markup is text, as is all in an ``xmp``.
     """
     labels: list[str] = []
     texts: list[str] = []
@@ -128,7 +139,11 @@ def tokens(page: str) -> tuple[list[str], list[str]]:
         texts.append("")
         if tag in RAW and not m[3].endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            block = None if close else _RAW_END.search(page, at)
+            at = close.end() if close else block.start() if block else len(page)
+        elif tag == "xmp" and (close := re.compile(r"</xmp\s*>", re.I).search(page, at)):
+            text(page[at : close.start()].replace("&", "&amp;"))
+            at = close.start()
     text(page[at:])
     return labels, texts
 
@@ -419,14 +434,34 @@ def _names(label: str) -> tuple[set[str], set[str], str]:
     return names, roles, rest
 
 
+def _away_name(name: str) -> bool:
+    """Whether a class or id as a whole names what stands around an article."""
+    words = set(name.split("-"))
+    if "header" in words and words & MAIN_NAMES:
+        return False
+    return bool(words & AWAY_NAMES) and words <= AWAY_NAMES | MAIN_NAMES | PLAIN_NAMES
+
+
+def _region(label: str) -> bool:
+    """Whether an element is a main region by its tag or role."""
+    return label.partition(" ")[0] in MAIN_TAGS or (" role=" in label and "main" in _names(label)[1])
+
+
 def kind(label: str) -> int:
-    """1 for the begin of a main region, -1 for boilerplate, else 0."""
+    """1 for the begin of a main region, -1 for boilerplate, -2 for what only a name or a form makes so, else 0."""
     tag = label.partition(" ")[0]
     names, roles, rest = _names(label) if " " in label else (set(), set(), "")
     hidden = " hidden=" in rest or "aria-hidden=true" in rest or "display none" in rest
-    if tag in AWAY_TAGS or hidden or roles & AWAY_ROLES or (names & AWAY_NAMES and tag not in ("body", "html")):
+    if tag in AWAY_TAGS or hidden or roles & AWAY_ROLES:
         return -1
-    return int(tag in MAIN_TAGS or "main" in roles or bool(names & MAIN_NAMES and tag not in ("body", "html")))
+    if _region(label):
+        return 1
+    if tag in ("body", "html"):
+        return 0
+    away = [name for name in names if _away_name(name)]
+    if tag == "form" or away:
+        return -2
+    return int(any(MAIN_NAMES & set(name.split("-")) for name in names))
 
 
 def _judge(node: Node) -> tuple[int, int, bool]:
@@ -456,10 +491,6 @@ def _match(part: Node, slot: Node) -> None:
             _match(x, y)
 
 
-def _kept_whole(label: str) -> bool:
-    return label.partition(" ")[0] in MAIN_TAGS or (" role=" in label and "main" in _names(label)[1])
-
-
 class Wrapper:
     """A host's wrapper with every slot judged."""
 
@@ -479,18 +510,52 @@ class Wrapper:
         _match(fold(root, keep=True), self.root)
         # Texts and, as None, the borders of blocks; beside a text if it is in a main region and if it is template.
         stream: list[tuple[str, bool, bool] | None] = []
+        inner: dict[int, tuple[int, bool]] = {}
+
+        def weigh(node: Node, free: bool, region: bool) -> tuple[int, int, bool]:
+            """Characters of no template, those of them in regions that no name takes away, and if there is a region."""
+            size, shown, found = 0, 0, False
+            for child in node.children:
+                if child.label == TEXT:
+                    n = len("".join(child.text.split()))
+                    size, shown = size + n, shown + n * (free and region)
+                    continue
+                sort = self.kind(child.label)
+                if sort == -1 or (child.tag == "noscript" and not region):
+                    continue
+                own = _region(child.label)
+                if child.slot is not None and child.slot.template and not (region or own):
+                    continue
+                below = weigh(child, free and sort != -2, region or own)
+                if sort == -2:
+                    inner[id(child)] = below[0], below[2]
+                size, shown, found = size + below[0], shown + below[1], found or below[2] or (own and below[0] > 0)
+            return size, shown, found
+
+        size, shown, _ = weigh(root, True, False)
+        clear = shown > 0 and shown >= LEAST_SHARE * size
+
+        def sorted_as(child: Node, main: bool) -> int:
+            """The kind of an element; a name takes away no region, and not most of a page without a clear one."""
+            if child.tag == "noscript" and not main:
+                return -1
+            sort = self.kind(child.label)
+            if sort == -2 and not clear:
+                n, found = inner.get(id(child), (0, False))
+                return 0 if found or 2 * n > size else sort
+            return sort
 
         def walk(node: Node, main: bool, template: bool, held: bool) -> None:
             for child in node.children:
                 if child.label == TEXT:
                     stream.append((child.text, main, template))
                     continue
-                sort = self.kind(child.label)
+                sort = sorted_as(child, main)
                 block = child.tag in BLOCK
                 if block:
                     stream.append(None)
                 if sort >= 0:
-                    whole_region = held or _kept_whole(child.label)
+                    whole_region = held or _region(child.label)
                     judged = child.slot is not None and child.slot.template
                     walk(child, main or sort == 1, not whole_region and (template or judged), whole_region)
                 if block:

@@ -524,6 +524,28 @@ def test_pages_are_read_through_judged_slots(spark):
     assert got[40] == "one more kanother of k"
 
 
+ODD_PAGES = {
+    "<article class='post has-comments'><p>one</p></article><p>outside</p>": "one",
+    "<div class='content no-sidebar'><p>one</p></div>": "one",
+    "<main id='content-with-widgets'><p>one</p></main><p>outside</p>": "one",
+    "<article class='sidebar'><p>one</p></article>": "one",
+    "<form action='x'><div class='site-footer'>imprint</div><article><p>one</p></article></form>": "one",
+    "<div class='sidebar-right'><div class='ad'>x</div><p>one two three</p></div>": "one two three",
+    "<article>a long article<div class='newsletter-signup'>no</div><div id='post-comments'>no</div></article>": "a long article",
+    "<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><noscript>seen</noscript><xmp><b>&lt;</xmp></article><noscript>no</noscript>": (
+        "so x=1\nseen\n<b>&lt;"
+    ),
+    "<article><p>one</p><svg><path d='x'><p>two</p><math><p>three</p><iframe src='x'><p>four</p></article>": "one\ntwo\nthree\nfour",
+    "<article><div class='entry-header'><h1>Title</h1></div><p>one</p></article>": "Title\none",
+}
+
+
+def test_names_take_no_article_away(spark):
+    rows = [(i, f"http://odd{i}.example.com/", f"<html><body>{body}</body></html>") for i, body in enumerate(ODD_PAGES)]
+    got = {r["page_id"]: r["text"] for r in wrappers.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(len(rows))] == list(ODD_PAGES.values())
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")

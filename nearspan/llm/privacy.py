@@ -1,13 +1,17 @@
 """Personal data and the terms that disclose it, by information-theoretic sanitisation.
 
 Entities are e-mail addresses, IPv4 addresses, payment cards and phone numbers, found by form.  A term
-near an entity discloses it if it tells much of what there is to know: with document frequencies over
-the whole corpus, the information of an entity is ``IC(c) = -log2 p(c)``, and a term gives away
-``PMI(c, t) = log2 p(c, t) / (p(c) p(t))`` of it.  Pairs that occur together in at least ``SUPPORT``
-documents count.  A term that gives away ``REMOVE`` of the information or more is removed, one that gives
-away ``GENERALISE`` or more is replaced by a word for its kind.
+of a document with an entity discloses it if it tells much of what there is to know: with document
+frequencies over the whole corpus, the information of an entity is ``IC(c) = -log2 p(c)``, and a term gives
+away ``PMI(c, t) = log2 p(c, t) / (p(c) p(t))`` of it.
 
-Terms are words within ``REACH`` words of an entity, with A-Z lower-cased; positions are code points.
+Terms are all words of a document, with A-Z lower-cased.  A term that stands within ``REACH`` words of the
+entity in ``SUPPORT`` documents is rated by the documents they share.  Other terms may share one by chance,
+so one is taken off.  What is in one document only can't be told so; there a term is rated by its own
+rarity, as if it had one document more: ``log2(N / (n + 1)) / log2 N``.
+
+A term that gives away ``REMOVE`` of the information or more is removed, one that gives away ``GENERALISE``
+or more is replaced by a word for its kind, wherever it stands in any text.  Positions are code points.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearspan.llm.bytesets import pieces, word_hashes
+from nearspan.llm.bytesets import pieces, word_hashes, words
 from nearspan.llm.common import WORD, settle, text_key, whole
 
 REACH = 5
@@ -117,47 +121,64 @@ def _hash_words(words: list[str]) -> np.ndarray:
 
 
 def find_base(documents: DataFrame) -> DataFrame:
-    """``doc_id, key, spans, terms`` of every document of ``doc_id`` and ``text``.
+    """``doc_id, key, spans, entities, terms, near`` of every document of ``doc_id`` and ``text``.
 
-    ``spans`` are ``(kind, begin, end)``; ``terms`` are ``(entity, term, begin, end)`` of the words near
-    them, with hashes of both.  The key is a digest of the text.
+    ``spans`` are ``(kind, begin, end)``.  Documents that have some also have the distinct hashes of their
+    ``entities``, of all other words (``terms``), and of what stands ``near``: ``(entity, term)``.  The key
+    is a digest of the text.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
     filled = whole("text")
     rows = documents.select("doc_id", text_key(filled).alias("key"), filled.alias("text"))
     span = pa.struct([("kind", pa.int32()), ("begin", pa.int64()), ("end", pa.int64())])
-    term = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
+    pair = pa.struct([("entity", pa.int64()), ("term", pa.int64())])
+    types = {"spans": pa.list_(span), "entities": pa.list_(pa.int64()), "terms": pa.list_(pa.int64()), "near": pa.list_(pair)}
 
-    def one(text: str) -> tuple[list, list]:
+    def one(text: str) -> tuple[list, list, list, list]:
         spans = base_spans(text)
         if not spans:
-            return [], []
-        inside = sorted((b, e) for _, b, e in spans)
-        near = []
+            return [], [], [], []
+        free = _outside([m.span() for m in _WORD.finditer(text)], spans)
+        free = [(b, e) for b, e in free if any(c.isalnum() for c in text[b:e])]
+        hashes = dict(zip(free, map(int, _hash_words([text[b:e] for b, e in free])))) if free else {}
+        entities, near = set(), set()
         for number, begin, end in spans:
             entity = int.from_bytes(hashlib.blake2b(f"{number}:{text[begin:end]}".encode(), digest_size=8).digest(), "little", signed=True)
-            free = [(b, e) for b, e in _near(text, begin, end) if not any(b < y and x < e for x, y in inside)]
-            free = [(b, e) for b, e in free if any(c.isalnum() for c in text[b:e])]
-            near += [(entity, b, e) for b, e in free]
-        hashes = _hash_words([text[b:e] for _, b, e in near]) if near else []
-        terms = [dict(zip(("entity", "term", "begin", "end"), (c, int(h), b, e))) for (c, b, e), h in zip(near, hashes)]
-        return [dict(zip(("kind", "begin", "end"), s)) for s in spans], terms
+            entities.add(entity)
+            near |= {(entity, hashes[place]) for place in _near(text, begin, end) if place in hashes}
+        named = [dict(zip(("kind", "begin", "end"), s)) for s in spans]
+        return named, sorted(entities), sorted(set(hashes.values())), [{"entity": c, "term": t} for c, t in sorted(near)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [one(text) for text in batch.column("text").to_pylist()]
-            columns = [pa.array([f[i] for f in found], pa.list_(t)) for i, t in enumerate((span, term))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), *columns], ["doc_id", "key", "spans", "terms"]
-            )
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate(types.values())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *columns], ["doc_id", "key", *types])
 
     schema = (
-        f"doc_id {kind}, key binary, spans array<struct<kind:int,begin:long,end:long>>,"
-        " terms array<struct<entity:long,term:long,begin:long,end:long>>"
+        f"doc_id {kind}, key binary, spans array<struct<kind:int,begin:long,end:long>>, entities array<long>,"
+        " terms array<long>, near array<struct<entity:long,term:long>>"
     )
     return rows.mapInArrow(run, schema)
 
 
+def _outside(places: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The places, in order, that no span overlaps."""
+    taken: list[list[int]] = []
+    for begin, end in sorted((b, e) for _, b, e in spans):
+        if taken and begin <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([begin, end])
+    out, at = [], 0
+    for begin, end in places:
+        while at < len(taken) and taken[at][1] <= begin:
+            at += 1
+        if at == len(taken) or end <= taken[at][0]:
+            out.append((begin, end))
+    return out
+
+
 def _document_frequencies(documents: DataFrame, terms: DataFrame, sent_terms: int) -> DataFrame:
     """``term, n``: in how many documents each of the terms occurs.
 
@@ -166,7 +187,7 @@ def _document_frequencies(documents: DataFrame, terms: DataFrame, sent_terms: in
     """
     wanted = None
     if terms.count() <= sent_terms:
-        wanted = np.sort(np.array([row[0] for row in terms.collect()], np.int64))
+        wanted = np.sort(terms.toArrow().column(0).to_numpy())
 
     def counts(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hashes, first = word_hashes(buffer, offsets)
@@ -200,23 +221,99 @@ def _document_frequencies(documents: DataFrame, terms: DataFrame, sent_terms: in
 
 
 def disclosures(documents: DataFrame, found: DataFrame, sent_terms: int = SENT_TERMS) -> DataFrame:
-    """``entity, term, share``: the part of an entity's information that a term gives away.
+    """``term, share``: the largest part of an entity's information that a term gives away.
 
-    Frequencies count documents, copies included.  Only pairs at or above the supports and thresholds
-    are returned.
+    Frequencies count documents, copies included.  Entities of the same documents are rated as one.  Only
+    terms at or above the thresholds are returned.
     """
-    total = found.count()
-    each = found.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"], t["term"])))).alias("t"))
-    each = each.select(F.col("t.entity"), F.col("t.term"))
-    joint = settle(each.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT), "joint")
-    entities = found.select(F.explode(F.array_distinct(F.col("terms")["entity"])).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = _document_frequencies(documents, settle(joint.select("term").distinct(), "terms"), sent_terms)
-    rated = joint.join(entities, "entity").join(terms.withColumnRenamed("n", "n_term"), "term")
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    given = F.log2(F.col("both") * float(max(total, 1)) / (F.col("n_entity") * F.col("n_term")))
-    share = F.when(information > 0, given / information).otherwise(0.0)
-    return rated.select("entity", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
+    total = float(max(found.count(), 1))
+    docs = found.filter(F.size("entities") > 0).groupBy("key")
+    docs = docs.agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("entities", "terms", "near")))
+    docs = settle(docs, "holders")
+    names = settle(docs.select(F.explode("terms").alias("term")).distinct(), "terms")
+    frequencies = settle(_document_frequencies(documents, names, sent_terms).withColumnRenamed("n", "n_term"), "rarity")
+
+    holders = docs.select("key", "copies", F.explode("entities").alias("entity"))
+    where = F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("where")
+    entities = settle(holders.groupBy("entity").agg(F.sum("copies").alias("n_entity"), where), "entities")
+    # A term in more documents than this is below the threshold even if all documents of the entity have it.
+    most = F.col("n_entity") * F.pow(total / F.col("n_entity"), F.lit(1 - GENERALISE)) * 1.0001
+    alike = entities.filter("n_entity > 1").groupBy("n_entity", "where").agg(F.min("entity").alias("group"))
+    grouped = settle(entities.join(alike, ["n_entity", "where"]).select("entity", "n_entity", "group", most.alias("most")), "alike")
+    asked = holders.join(grouped, "entity").groupBy("key", "copies", "group", "n_entity", "most").agg(F.count("*")).drop("count(1)")
+    limit = grouped.agg(F.max("most")).first()[0] or 0.0
+    rare = frequencies.filter(F.col("n_term") <= limit)
+    terms = docs.select("key", F.explode("terms").alias("term")).join(rare, "term")
+    both = asked.join(terms, "key").filter(F.col("n_term") <= F.col("most"))
+    both = both.groupBy("group", "n_entity", "term", "n_term").agg(F.sum("copies").alias("both"))
+    near = docs.select("key", "copies", F.explode("near").alias("t")).select("key", "copies", "t.*").join(grouped, "entity")
+    near = near.groupBy("key", "copies", "group", "term").agg(F.count("*").alias("_")).groupBy("group", "term")
+    near = near.agg(F.sum("copies").alias("n_near")).filter(F.col("n_near") >= SUPPORT)
+    joint = both.join(near, ["group", "term"], "left")
+    shown = F.col("both") - F.when(F.col("n_near").isNull(), 1).otherwise(0)
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+    given = F.log2(shown * total / (F.col("n_entity") * F.col("n_term")))
+    told = joint.filter(shown > 0).select("term", F.when(information > 0, given / information).otherwise(0.0).alias("share"))
+
+    once = holders.join(entities.filter("n_entity = 1"), "entity").select("key").distinct()
+    once = docs.join(once, "key", "left_semi").select(F.explode("terms").alias("term")).distinct().join(frequencies, "term")
+    rarity = F.log2(total / (F.col("n_term") + 1)) / F.log2(F.lit(total))
+    once = once.select("term", F.when(F.lit(total > 1), rarity).otherwise(0.0).alias("share"))
+    rated = told.unionByName(once).filter(F.col("share") >= GENERALISE)
+    return settle(rated.groupBy("term").agg(F.max("share").alias("share")), "rated")
+
+
+def _marked(documents: DataFrame, rated: DataFrame, sent_terms: int) -> DataFrame:
+    """``key, disclosing`` of every text with rated terms: all their places outside of personal data.
+
+    Up to ``sent_terms`` rated terms are sent to the tasks; beyond that all words are joined with them.
+    """
+    sent = None
+    if rated.count() <= sent_terms:
+        table = rated.toArrow()
+        hashes, shares = table.column("term").to_numpy(), table.column("share").to_numpy()
+        order = np.argsort(hashes)
+        sent = hashes[order], shares[order]
+    rows = documents.select(text_key(whole("text")).alias("key"), whole("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, n, buffer, offsets in pieces(batch):
+                begin, end, firsts = words(buffer, offsets)
+                hashes = word_hashes(buffer, offsets)[0].view(np.int64)
+                row = np.repeat(np.arange(n), np.diff(firsts))
+                kept, shares = np.arange(len(hashes)), np.zeros(len(hashes))
+                if sent is not None:
+                    rank = np.minimum(np.searchsorted(sent[0], hashes), max(len(sent[0]) - 1, 0))
+                    kept = np.flatnonzero(sent[0][rank] == hashes) if len(sent[0]) else kept[:0]
+                    shares = sent[1][rank[kept]] if len(kept) else shares[:0]
+                if not len(kept):
+                    continue
+                # Bytes to code points, counted from the begin of the row.
+                points = np.concatenate([[0], np.cumsum((buffer & 0xC0) != 0x80)])
+                base = points[offsets[row[kept]]]
+                places = list(zip((points[begin[kept]] - base).tolist(), (points[end[kept]] - base).tolist()))
+                cuts = np.flatnonzero(np.diff(row[kept])) + 1
+                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(kept)]):
+                    at = first + int(row[kept[lo]])
+                    free = set(_outside(places[lo:hi], base_spans(batch.column("text")[at].as_py())))
+                    held = [k for k in range(lo, hi) if places[k] in free]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([batch.column("key")[at].as_py()] * len(held), pa.binary()),
+                            pa.array([places[k][0] for k in held], pa.int64()),
+                            pa.array([places[k][1] for k in held], pa.int64()),
+                            pa.array(hashes[kept[held]] if held else [], pa.int64()),
+                            pa.array(shares[held] if held else [], pa.float64()),
+                        ],
+                        ["key", "begin", "end", "term", "share"],
+                    )
+
+    found = rows.mapInArrow(run, "key binary, begin long, end long, term long, share double")
+    if sent is None:
+        found = found.drop("share").join(rated, "term")
+    found = found.groupBy("key", "begin", "end").agg(F.max("share").alias("share"))
+    return found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "share"))).alias("disclosing"))
 
 
 def find_all(documents: DataFrame, sent_terms: int = SENT_TERMS) -> DataFrame:
@@ -226,11 +323,8 @@ def find_all(documents: DataFrame, sent_terms: int = SENT_TERMS) -> DataFrame:
     """
     found = settle(find_base(documents), "personal")
     rated = disclosures(documents, found, sent_terms)
-    near = found.filter(F.size("terms") > 0).select("key", "terms").dropDuplicates(["key"])
-    near = near.select("key", F.explode("terms").alias("t")).select("key", "t.*")
-    telling = near.join(rated, ["entity", "term"]).groupBy("key", "begin", "end").agg(F.max("share").alias("share"))
-    lists = telling.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end", "share"))).alias("disclosing"))
-    joined = found.drop("terms").join(settle(lists, "disclosing"), "key", "left")
+    lists = settle(_marked(documents, rated, sent_terms), "disclosing")
+    joined = found.select("doc_id", "key", "spans").join(lists, "key", "left")
     return joined.withColumn("disclosing", F.coalesce("disclosing", F.array().cast(lists.schema["disclosing"].dataType)))
 
 
@@ -242,7 +336,7 @@ def sanitise(documents: DataFrame) -> DataFrame:
     is replaced; ``_key`` is reserved.
     """
     marks = find_all(documents.select("doc_id", "text")).select(F.col("key").alias("_key"), "spans", "disclosing")
-    marks = marks.filter("size(spans) > 0").dropDuplicates(["_key"])
+    marks = marks.filter("size(spans) > 0 OR size(disclosing) > 0").dropDuplicates(["_key"])
     marks = marks.select("_key", F.struct("spans", "disclosing").alias("_marks"))
     rows = documents.drop("sanitised").withColumn("_key", text_key(whole("text")))
 

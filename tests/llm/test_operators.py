@@ -403,6 +403,23 @@ def test_disclosing_terms(spark, sent):
     assert clean[10] == rows[4][1] and clean[51] == ""
 
 
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+def test_terms_disclose_wherever_they_stand(spark, sent):
+    far, common = prose(70, 20, 40), [f"c{i}" for i in range(40)]
+    rows = [(i, f"Zebrakeeper {far} wrote ü zebrakeeper to ann@mail1.example.org {far} {far}") for i in range(4)]
+    rows += [(100 + i, f"{far} c{i % 40}") for i in range(250)] + [(90, f"{far} c3 ü ZEBRAKEEPER c1")]
+    rows += [(91, f"{far} {' '.join(common)} okapi@mail2.example.org {far} quagga"), (92, f"{far} quagga c2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in privacy.find_all(docs, sent).collect()}
+    marked = {d: [rows[k][1][t["begin"] : t["end"]] for t in found[d]["disclosing"]] for k, (d, _) in enumerate(rows)}
+    # Far from the entity, in a text without it, and beside an entity of one document.
+    assert all(marked[i].count("zebrakeeper") == marked[i].count("Zebrakeeper") == 1 for i in range(4))
+    assert "ZEBRAKEEPER" in marked[90] and marked[92] == ["quagga"] and "quagga" in marked[91]
+    assert not any(marked[100 + i] for i in range(250))
+    clean = {r["doc_id"]: r["sanitised"].lower() for r in privacy.sanitise(docs).collect()}
+    assert not any("zebrakeeper" in text or "quagga" in text for text in clean.values())
+
+
 def test_personal_data_of_odd_rows(documents, rows):
     got = privacy.document_personal_data(documents).collect()
     assert len(got) == len(rows)

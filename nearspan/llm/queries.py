@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearspan.llm import decontaminate, mixing, near, privacy, quality, repeats, scoring, secrets, sharding, wrappers
-from nearspan.llm.common import load
+from nearspan.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    mixing,
+    near,
+    periodic,
+    privacy,
+    quality,
+    repeats,
+    scoring,
+    secrets,
+    sharding,
+    wrappers,
+)
+from nearspan.llm.common import WORD, load
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +82,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # All pairs of distinct sets that share a shingle, so it suits small tables only.
 NEAR_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
-  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
   ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM d),
 u AS MATERIALIZED (SELECT min(doc_id) AS id, s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
@@ -110,6 +125,99 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.page_texts(load(spark, sf_dir, "pages"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text that they decode to, as digests."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
+# Counts are HUGEINT, which holds the products.
+COLLOCATION_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+g AS MATERIALIZED (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+n AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+f1 AS MATERIALIZED (SELECT lang, w1, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY lang, w1),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, CAST(count(*) AS HUGEINT) AS f FROM g WHERE w2 IS NOT NULL GROUP BY lang, w1, w2),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, CAST(count(*) AS HUGEINT) AS f FROM g WHERE w3 IS NOT NULL
+  GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+c2 AS (SELECT a.lang, a.w1 || ' ' || a.w2 AS phrase, a.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM f2 a JOIN f1 x ON x.lang = a.lang AND x.w1 = a.w1 JOIN f1 y ON y.lang = a.lang AND y.w1 = a.w2
+  WHERE a.f >= 10 AND NOT EXISTS (SELECT 1 FROM f3 b WHERE b.lang = a.lang AND 100 * b.f >= 50 * a.f
+    AND b.w1 = a.w1 AND b.w2 = a.w2) AND NOT EXISTS (SELECT 1 FROM f3 b WHERE b.lang = a.lang
+    AND 100 * b.f >= 50 * a.f AND b.w2 = a.w1 AND b.w3 = a.w2)),
+c3 AS (SELECT a.lang, a.w1 || ' ' || a.w2 || ' ' || a.w3 AS phrase, a.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM f3 a JOIN f1 x ON x.lang = a.lang AND x.w1 = a.w1
+  JOIN f2 y ON y.lang = a.lang AND y.w1 = a.w2 AND y.w2 = a.w3
+  UNION ALL SELECT a.lang, a.w1 || ' ' || a.w2 || ' ' || a.w3, a.f, x.f, y.f, 2
+  FROM f3 a JOIN f2 x ON x.lang = a.lang AND x.w1 = a.w1 AND x.w2 = a.w2
+  JOIN f1 y ON y.lang = a.lang AND y.w1 = a.w3),
+s AS (SELECT *, (1000000 * a * a) // (l * r) AS score FROM (SELECT * FROM c2 UNION ALL SELECT * FROM c3)),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM s) WHERE o = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM m)
+SELECT r.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n.n,
+  CAST(score AS BIGINT) AS score
+FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000
+"""
+
+
+def wrapped_words(docs: DataFrame) -> DataFrame:
+    """Documents, of which about one in ten repeats a stretch of its words from some word on.
+
+    With ``h`` the checksum of the id and ``g = h div 10``, the words from ``a = g % n`` on become the ``p`` words
+    from there, over and over, if ``h % 10`` is 0.
+    """
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    h, n = F.crc32(F.col("doc_id").cast("string")), F.size(words).cast("long")
+    g = F.floor(h / 10)
+    a = F.pmod(g, F.greatest(n, F.lit(1)))
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+    part = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    again = F.flatten(F.array_repeat(part, F.ceil((n - a) / p).cast("int")))
+    text = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(again, F.lit(1), (n - a).cast("int")))
+    wrapped = F.when((h % 10 == 0) & (n > 0), F.array_join(text, " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", wrapped.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, the greatest one, and digests of all and of the collapsed text."""
+    found = periodic.periodic_runs(wrapped_words(load(spark, sf_dir, "documents")))
+    # Runs come by start and period, so the first of equal ones stays.
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.element_at("runs", F.when(F.size("runs") > 0, 1)),
+        lambda x, y: F.when(y["length"] * x["period"] > x["length"] * y["period"], y).otherwise(x),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = found.withColumn("best", best)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_array_dedup": (op1_suffix_array_dedup, None),
     "op2_quality_rules": (op2_quality_rules, QUALITY_SQL),
@@ -121,4 +229,7 @@ QUERIES = {
     "op8_personal_data": (op8_personal_data, None),
     "op9_lm_scoring": (op9_lm_scoring, None),
     "op10_html_extraction": (op10_html_extraction, None),
+    "op11_bpe": (op11_bpe, None),
+    "op12_phrase_collocations": (op12_phrase_collocations, COLLOCATION_SQL),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from nearspan.llm.bytesets import lower, mix, pieces, prefix_hashes, stretch_hashes
 from nearspan.llm.common import settle, whole
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+SENT_ROWS = 20_000
 FILTER_BITS = 1 << 27
 COUNTS = "lang string, size int, phrase string, a bigint"
 # What separates pieces, and words in a piece.
@@ -85,6 +86,12 @@ class Words:
         _, first, count = np.unique(key, return_index=True, return_counts=True)
         return places[first], count
 
+    def counts(self, places: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+        """Occurrences of the runs of ``size`` words that begin at the places, in batches of bounded size."""
+        places, count = self.counted(places, size)
+        for at in range(0, len(places), SENT_ROWS):
+            yield self.rows(places[at : at + SENT_ROWS], size, count[at : at + SENT_ROWS])
+
     def rows(self, places: np.ndarray, size: int, count: np.ndarray) -> pa.RecordBatch:
         words = [self.names.take(pa.array(self.code[places + i])) for i in range(size)]
         phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if size > 1 else words[0]
@@ -134,15 +141,11 @@ def _first_counts(docs: DataFrame) -> DataFrame:
                     names=["lang", "size", "phrase", "a"],
                 )
                 for size, places in ((1, np.arange(len(words.code))), (2, np.flatnonzero(words.goes_on))):
-                    yield words.rows(*_spread(words.counted(places, size), size))
+                    yield from words.counts(places, size)
 
     return _texts(docs).mapInArrow(count, COUNTS)
 
 
-def _spread(counted: tuple[np.ndarray, np.ndarray], size: int) -> tuple[np.ndarray, int, np.ndarray]:
-    return counted[0], size, counted[1]
-
-
 def _bitmap(pairs: DataFrame) -> np.ndarray:
     """One bit per mark of the pairs, ``FILTER_BITS`` in all; at most that many bits reach the driver."""
 
@@ -178,8 +181,7 @@ def _triple_counts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 begins = np.zeros(len(words.code) + 1, bool)
                 begins[places] = marked[which]
                 places = np.flatnonzero(begins[:-1] & begins[1:])
-                if len(places):
-                    yield words.rows(*_spread(words.counted(places, 3), 3))
+                yield from words.counts(places, 3)
 
     return _texts(docs).mapInArrow(count, COUNTS)
 

@@ -34,9 +34,11 @@ from nearspan.llm.bytesets import lower, mix, pieces, prefix_hashes, stretch_has
 from nearspan.llm.common import settle, whole
 
 CHUNK_BYTES = 4 << 20
+HASHED_BYTES = 1 << 20
 SENT_ROWS = 20_000
 FILTER_BITS = 1 << 27
-COUNTS = "lang string, size int, phrase string, a bigint"
+# A phrase and its language in one key: no word contains the line end between them.
+COUNTS = "key string, a bigint"
 # What separates pieces, and words in a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -95,55 +97,66 @@ class Words:
     def rows(self, places: np.ndarray, size: int, count: np.ndarray) -> pa.RecordBatch:
         words = [self.names.take(pa.array(self.code[places + i])) for i in range(size)]
         phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if size > 1 else words[0]
-        return pa.RecordBatch.from_arrays(
-            [
-                self.langs.take(pa.array(self.lang[places])).cast(pa.string()),
-                pa.array(np.full(len(places), size, np.int32)),
-                phrase.cast(pa.string()),
-                pa.array(count.astype(np.int64)),
-            ],
-            names=["lang", "size", "phrase", "a"],
-        )
-
-
-def pair_marks(langs: pa.Array, phrases: pa.Array) -> np.ndarray:
-    """Place in the bitmap of each phrase of a language."""
-    joined = pc.binary_join_element_wise(langs.cast(pa.large_string()), phrases.cast(pa.large_string()), pa.scalar(" ", pa.large_string()))
-    out = np.zeros(len(joined), np.int64)
-    for at, n, buffer, offsets in pieces(pa.record_batch({"text": joined})):
-        hashes = stretch_hashes(prefix_hashes(buffer), offsets[:-1], offsets[1:])
-        out[at : at + n] = (mix(hashes) >> np.uint64(1)).astype(np.int64) & (FILTER_BITS - 1)
+        return _batch(phrase, self.langs.take(pa.array(self.lang[places])), count)
+
+    def totals(self) -> pa.RecordBatch:
+        """How many words each language has, as counts of the phrase of no word."""
+        count = np.bincount(self.lang)
+        langs = np.flatnonzero(count)
+        return _batch(pa.array([""] * len(langs), pa.large_string()), self.langs.take(pa.array(langs)), count[langs])
+
+    def marked(self, bits: np.ndarray) -> np.ndarray:
+        """Places of the words that begin three words of which both pairs are marked."""
+        word, lang = text_hashes(self.names), text_hashes(self.langs)
+        places = np.flatnonzero(self.goes_on)
+        mark = pair_marks(lang[self.lang[places]], word[self.code[places]], word[self.code[places + 1]])
+        begins = np.zeros(len(self.code) + 1, bool)
+        begins[places] = bits[mark >> 6] >> (mark & 63).astype(np.uint64) & np.uint64(1) > 0
+        return np.flatnonzero(begins[:-1] & begins[1:])
+
+
+def _batch(phrase: pa.Array, lang: pa.Array, count: np.ndarray) -> pa.RecordBatch:
+    key = pc.binary_join_element_wise(phrase, lang.cast(pa.large_string()), pa.scalar("\n", pa.large_string()))
+    return pa.RecordBatch.from_arrays([key.cast(pa.string()), pa.array(count.astype(np.int64))], names=["key", "a"])
+
+
+def text_hashes(texts: pa.Array) -> np.ndarray:
+    out = np.zeros(len(texts), np.uint64)
+    for at, n, buffer, offsets in pieces(pa.record_batch({"text": texts}), "text", HASHED_BYTES):
+        out[at : at + n] = stretch_hashes(prefix_hashes(buffer), offsets[:-1], offsets[1:])
     return out
 
 
+def pair_marks(lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Place in the bitmap of each pair of words of a language, from the three hashes."""
+    mixed = mix(mix(mix(lang) + first) + second)
+    return (mixed >> np.uint64(1)).astype(np.int64) & (FILTER_BITS - 1)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), whole("text").alias("text"))
 
 
-def _first_counts(docs: DataFrame) -> DataFrame:
-    """Occurrences of words and pairs, and, as phrases of no word, how many words there are; by chunk."""
+def _counted(docs: DataFrame, count) -> DataFrame:
+    """The counts that a function gives of each chunk of texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, n, buffer, offsets in pieces(batch, "text", CHUNK_BYTES):
-                words = Words(buffer, offsets, batch.column("lang").slice(at, n))
-                if not len(words.code):
-                    continue
-                totals = np.bincount(words.lang)
-                langs = np.flatnonzero(totals)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        words.langs.take(pa.array(langs)).cast(pa.string()),
-                        pa.array(np.zeros(len(langs), np.int32)),
-                        pa.array([""] * len(langs), pa.string()),
-                        pa.array(totals[langs].astype(np.int64)),
-                    ],
-                    names=["lang", "size", "phrase", "a"],
-                )
-                for size, places in ((1, np.arange(len(words.code))), (2, np.flatnonzero(words.goes_on))):
-                    yield from words.counts(places, size)
-
-    return _texts(docs).mapInArrow(count, COUNTS)
+                yield from count(Words(buffer, offsets, batch.column("lang").slice(at, n)))
+
+    return _texts(docs).mapInArrow(run, COUNTS)
+
+
+def _first_counts(docs: DataFrame) -> DataFrame:
+    """Occurrences of words and pairs, and how many words there are, by chunk."""
+
+    def count(words: Words) -> Iterator[pa.RecordBatch]:
+        yield words.totals()
+        yield from words.counts(np.arange(len(words.code)), 1)
+        yield from words.counts(np.flatnonzero(words.goes_on), 2)
+
+    return _counted(docs, count)
 
 
 def _bitmap(pairs: DataFrame) -> np.ndarray:
@@ -151,10 +164,10 @@ def _bitmap(pairs: DataFrame) -> np.ndarray:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(pair_marks(batch.column("lang"), batch.column("phrase")))
+            at = np.unique(pair_marks(*(text_hashes(batch.column(name)) for name in ("lang", "w1", "w2"))))
             yield pa.record_batch({"slot": pa.array((at >> 6).astype(np.int32)), "bit": pa.array(at & 63)})
 
-    marks = pairs.select("lang", "phrase").mapInArrow(mark, "slot int, bit bigint")
+    marks = pairs.select("lang", "w1", "w2").mapInArrow(mark, "slot int, bit bigint")
     word = F.bit_or(F.expr("shiftleft(1L, cast(bit AS int))")).alias("word")
     table = marks.groupBy("slot").agg(word).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.uint64)
@@ -165,30 +178,16 @@ def _bitmap(pairs: DataFrame) -> np.ndarray:
 def _triple_counts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Occurrences of three words of which both pairs are marked, by chunk."""
     sent = docs.sparkSession.sparkContext.broadcast(_bitmap(pairs))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
-        for batch in batches:
-            for at, n, buffer, offsets in pieces(batch, "text", CHUNK_BYTES):
-                words = Words(buffer, offsets, batch.column("lang").slice(at, n))
-                places = np.flatnonzero(words.goes_on)
-                key = words.lang[places] * len(words.names) + words.code[places]
-                key = np.unique(key, return_inverse=True)[1] * len(words.names) + words.code[places + 1]
-                _, first, which = np.unique(key, return_index=True, return_inverse=True)
-                known = words.rows(places[first], 2, np.zeros(len(first)))
-                mark = pair_marks(known.column("lang"), known.column("phrase"))
-                marked = bits[mark >> 6] >> (mark & 63).astype(np.uint64) & np.uint64(1) > 0
-                begins = np.zeros(len(words.code) + 1, bool)
-                begins[places] = marked[which]
-                places = np.flatnonzero(begins[:-1] & begins[1:])
-                yield from words.counts(places, 3)
-
-    return _texts(docs).mapInArrow(count, COUNTS)
+    return _counted(docs, lambda words: words.counts(words.marked(sent.value), 3))
 
 
 def _totals(counts: DataFrame, least: int) -> DataFrame:
-    summed = counts.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
-    return summed.where((F.col("size") == 0) | (F.col("a") >= least))
+    """Summed counts ``(lang, size, phrase, a)`` of phrases with ``least`` occurrences, and of that of no word."""
+    summed = counts.groupBy("key").agg(F.sum("a").alias("a"))
+    phrase = F.substring_index("key", "\n", 1)
+    size = F.when(phrase == "", 0).otherwise(1 + F.length(phrase) - F.length(F.translate(phrase, " ", "")))
+    rows = summed.where((phrase == "") | (F.col("a") >= least))
+    return rows.select(F.expr("substring(key, locate('\\n', key) + 1)").alias("lang"), size.alias("size"), phrase.alias("phrase"), "a")
 
 
 def _stream(counts: DataFrame, size: int) -> DataFrame:
@@ -223,7 +222,7 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, percent: int
     are read, so other columns may have any name.
     """
     first = settle(_totals(_first_counts(docs), least), "phrase-counts")
-    third = settle(_totals(_triple_counts(docs, first.where("size = 2")), least), "phrase-triples")
+    third = settle(_totals(_triple_counts(docs, _stream(first, 2)), least), "phrase-triples")
     ones, twos, threes = _stream(first, 1), _stream(first, 2), _stream(third, 3)
     ones = _in_order(ones, ["w1"], "words")
     prefix = {2: _in_order(twos, ["w1", "w2"], "pairs-prefix"), 3: _in_order(threes, ["w1", "w2", "w3"], "triples-prefix")}

@@ -21,7 +21,7 @@ from nearspan.session import small_frame
 
 MODES = ("default", "mmr")
 SEARCH_TYPES = ("auto", "knn", "ann")
-DEFAULT_PROBES = 8
+DEFAULT_RECALL = ivf.RECALL
 
 Filters = MetaFilter | FilterGroup | None
 
@@ -84,7 +84,8 @@ class VectorStore:
         filters: Filters = None,
         mode: str = "default",
         search_type: str = "auto",
-        probes: int = DEFAULT_PROBES,
+        probes: int | None = None,
+        recall: float | None = None,
         fetch_k: int | None = None,
         lambda_mult: float = DEFAULT_LAMBDA,
         qid: str = "qid",
@@ -93,29 +94,34 @@ class VectorStore:
         """Nearest rows of one vector or of a frame ``(qid, embedding)``.
 
         Filters are applied before ranking.  ``mode="mmr"`` re-ranks ``fetch_k`` candidates for
-        diversity.  ``search_type``: ``knn`` and ``auto`` are exact at every size, ``ann`` uses the
-        index when there is a current one and no filter.
+        diversity.  ``search_type``: ``knn`` and ``auto`` are exact at every size; ``ann`` uses the
+        index if there is a current one, with filters and after writes too.  It reads ``probes``
+        cells, or as many as gave the ``recall`` asked for (0.9 by default) when the index was measured.
         """
         if mode not in MODES:
             raise NotImplementedError(f"query mode {mode!r} is not available")
         if search_type not in SEARCH_TYPES:
             raise ValueError(f"search type {search_type!r} must be one of {SEARCH_TYPES}")
         check_count(k, "k")
-        check_count(probes, "probes")
+        if probes is not None:
+            check_count(probes, "probes")
         if queries is None:
             raise ValueError("the query vector is missing")
         if not isinstance(queries, DataFrame):
             queries = small_frame(self.spark, [(0, [float(x) for x in queries])], f"{qid} int, embedding array<float>")
         wanted = predicate(filters, self.config)
         fetch = k if mode == "default" else fetch_k or default_candidates(k)
-        index = self._usable_index(search_type, wanted is not None)
+        index = self._usable_index(search_type)
         names = self.config.node_id_column, self.config.embedding_column
         corpus = self.rows() if wanted is None else self.rows().where(wanted)
         corpus = corpus.select(F.col(names[0]).alias("node_id"), F.col(names[1]).alias("embedding"))
         carry = ["embedding"] if mode == "mmr" and queries.count() * fetch <= CARRIED_CANDIDATES else []
         options = {"qid": qid, "with_cosine": mode == "mmr", "carry": carry}
         if index is not None:
-            found = ivf.search_index(index, queries, fetch, probes, self.config.metric, **options)
+            wanted_recall = recall or DEFAULT_RECALL if probes is None else None
+            found = ivf.search_bounded(
+                index, queries, fetch, wanted_recall, None if wanted is None else filters, self.config, probes, **options
+            )
         else:
             found = nearest_join(corpus, queries, fetch, self.config.metric, **options)
         if mode == "mmr":
@@ -127,16 +133,28 @@ class VectorStore:
         rows = self.rows().select(*stable_columns(self.config))
         return with_payload(found, rows, rows.columns[1:], queries, k)
 
-    def _usable_index(self, search_type: str, filtered: bool) -> ivf.IvfIndex | None:
-        if search_type != "ann" or filtered:
-            return None
-        index = self.find_index()
+    def _usable_index(self, search_type: str) -> ivf.IvfIndex | None:
+        index = self.find_index() if search_type == "ann" else None
+        return index if index is not None and index.generation() == self.table.generation() else None
+
+    def _following(self) -> ivf.IvfIndex | None:
+        """The index that a change now must be added to."""
+        return self._usable_index("ann")
+
+    def _follow(self, index: ivf.IvfIndex | None, rows: DataFrame | None = None, removed: DataFrame | None = None) -> None:
+        """Add a change of the table to its index."""
         if index is None:
-            return None
-        info = index.info().first()
-        if info["source_generation"] != self.table.generation():
-            return None
-        return index
+            return
+        names = self.config.node_id_column, self.config.embedding_column
+        if rows is not None:
+            rows = rows.select(F.col(names[0]).alias("node_id"), F.col(names[1]).alias("embedding"), *self._filter_columns())
+        if removed is not None:
+            removed = removed.select(F.col(names[0]).alias("node_id"))
+        ivf.add_changes(index, rows, removed, self.table.generation())
+
+    def _filter_columns(self) -> list[str]:
+        """What an index carries so that every filter can be answered from it."""
+        return [*self.config.promoted_names, *([self.config.metadata_column] if self.config.metadata_column else [])]
 
     # Writing
 
@@ -153,10 +171,12 @@ class VectorStore:
             if not assert_writable(table, self.config):
                 return self.count()
             fresh = mutate.latest(table, key, seq)
+            index = self._following()
             touched = self.table.touched_by(table.select(key))
             before = self.table.read(touched)
             kept = before.join(broadcast_if_small(table.select(key).distinct()), key, "left_anti")
             self.table.replace(fresh, touched, kept)
+            self._follow(index, fresh)
             return self.count()
         finally:
             table.unpersist()
@@ -167,7 +187,8 @@ class VectorStore:
             return self._delete_where(mutate.document_predicate(document, self.config))
         hit = lookup.by_values(self.table.read(), mutate.document_key(self.config), document)
         touched = self._buckets_of(hit)
-        return self._keep(mutate.delete_by_document(self.table.read(touched), document, self.config), touched)
+        kept = mutate.delete_by_document(self.table.read(touched), document, self.config)
+        return self._keep(kept, touched, hit)
 
     def delete_nodes(self, ids: DataFrame | Sequence[str] | None = None, filters: Filters = None) -> int:
         """By ids, else by filters, else nothing; the number deleted."""
@@ -176,7 +197,7 @@ class VectorStore:
             if not isinstance(ids, DataFrame):
                 ids = small_frame(self.spark, [(str(i),) for i in ids], f"{key} string")
             touched = self.table.touched_by(ids.select(key))
-            return self._keep(mutate.delete_by_ids(self.table.read(touched), ids, key), touched)
+            return self._keep(mutate.delete_by_ids(self.table.read(touched), ids, key), touched, ids)
         if filters is None or (isinstance(filters, FilterGroup) and not filters.filters):
             return 0
         return self.delete_by_metadata(filters)
@@ -190,18 +211,22 @@ class VectorStore:
 
     def _delete_where(self, doomed: Column) -> int:
         """Only buckets with matches are rewritten, without a shuffle."""
-        touched = self._buckets_of(self.table.read().where(doomed))
-        return self._keep(mutate.keep_unless(self.table.read(touched), doomed), touched)
+        hit = self.table.read().where(doomed)
+        touched = self._buckets_of(hit)
+        return self._keep(mutate.keep_unless(self.table.read(touched), doomed), touched, hit)
 
     @staticmethod
     def _buckets_of(rows: DataFrame) -> set[int]:
         return {r["bucket"] for r in rows.select("bucket").distinct().collect()}
 
-    def _keep(self, kept: DataFrame, touched: set[int]) -> int:
+    def _keep(self, kept: DataFrame, touched: set[int], removed: DataFrame) -> int:
         before = sum(b.n_rows for n, b in self.table.state().items() if n in touched)
         if not before:
             return 0
-        return before - self.table.replace(None, touched, kept)
+        index = self._following()
+        left = self.table.replace(None, touched, kept)
+        self._follow(index, removed=removed)
+        return before - left
 
     def clear(self) -> None:
         """Remove all rows and keep the table."""
@@ -243,6 +268,7 @@ class VectorStore:
             index_name=index_name,
             node_id=self.config.node_id_column,
             embedding=self.config.embedding_column,
+            keep=self._filter_columns(),
             source_generation=generation,
         )
 

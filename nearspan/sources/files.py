@@ -24,6 +24,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Name and path of the data files of a table: the file itself, or the visible files of the folder and those below it."""
+    system, target = _locate(spark, path)
+    if not system.exists(target):
+        return []
+    names, waiting = [], [system.getFileStatus(target)]
+    while waiting:
+        item = waiting.pop()
+        name = item.getPath().getName()
+        if item.isFile():
+            names.append((name, item.getPath().toString()))
+            continue
+        waiting += [c for c in system.listStatus(item.getPath()) if not c.getPath().getName().startswith(("_", "."))]
+    return sorted(names)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     system, target = _locate(spark, path)
     system.mkdirs(target)

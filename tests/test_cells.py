@@ -156,7 +156,7 @@ def test_filters_are_answered_from_the_cells(spark, filtered_index, tree):
 def test_one_probe_still_finds_k_matches(spark, filtered_index):
     _, index = filtered_index
     asked = as_queries(spark, clustered()[::60])
-    some = ivf.search_bounded(index, asked, 5, filters=FILTERS[5], config=CONFIG, probes=1)
+    some = ivf.search_bounded(index, asked, 5, filters=FILTERS[4], config=CONFIG, probes=1)
     assert some.count() == 10 * 3
 
 

@@ -229,3 +229,32 @@ def test_sql(spark):
     with pytest.raises(Exception):
         run_sql(spark, "SELECT nothing FROM nowhere")
     assert run_sql(spark, "SELECT repeat('ab ', 200) AS t", max_string_length=20).first().t == "ab ab ab ab ab..."
+
+
+def test_damaged_files_are_told_apart(spark, tmp_path):
+    rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), F.array("id").alias("list"))
+    for name in ("good", "footer", "pages"):
+        rows.repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    parts = {name: sorted((tmp_path / f"{name}.parquet").glob("part-*")) for name in ("good", "footer", "pages")}
+    data = parts["footer"][1].read_bytes()
+    parts["footer"][1].write_bytes(data[:-4] + b"XXXX")
+    data = parts["pages"][0].read_bytes()
+    parts["pages"][0].write_bytes(data[: len(data) // 3] + bytes(20_000) + data[len(data) // 3 + 20_000 :])
+    (tmp_path / "empty.parquet").write_bytes(b"nothing")
+    for name in ("footer", "pages"):
+        for part in tmp_path.glob(f"{name}.parquet/.*.crc"):
+            part.write_bytes(b"")
+            part.unlink()
+    paths = catalog.folder_tables(spark, str(tmp_path))
+    files = catalog.file_report(spark, paths).collect()
+    status = {(r["table_name"], r["file"]): r["status"] for r in files}
+    assert {s for (t, _), s in status.items() if t == "good"} == {"ok"}
+    assert [status["footer", p.name] for p in parts["footer"]] == ["ok", "footer", "ok"]
+    assert [status["pages", p.name] for p in parts["pages"]] == ["pages", "ok", "ok"]
+    assert status["empty", "empty.parquet"] == "footer"
+    report = {r["table_name"]: (r["status"], r["n_files"]) for r in catalog.table_report(catalog.file_report(spark, paths)).collect()}
+    assert report == {"good": ("ok", 3), "footer": ("error", 3), "pages": ("error", 3), "empty": ("error", 1)}
+    tables, seen = catalog.load_tables(spark, paths, verify=True)
+    assert list(tables) == ["good"] and seen.where("status = 'ok'").count() == 1
+    profile = catalog.profile_folder(spark, str(tmp_path)).collect()
+    assert {(r["table_name"], r["column_name"], r["n_rows"]) for r in profile} == {("good", c, 60_000) for c in rows.columns}

@@ -163,6 +163,12 @@ def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.join(counts, "table_name", "left").select("table_name", "status", "n_rows")
 
 
+def file_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table of the folder, read through file by file."""
+    report = catalog.table_report(catalog.file_report(spark, catalog.folder_tables(spark, sf_dir)))
+    return report.select("table_name", "status", "n_files", "n_rows")
+
+
 def table_profile(distinct: str | None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         profile = catalog.table_profile({n: load(spark, sf_dir, n) for n in TABLES}, distinct)
@@ -280,6 +286,13 @@ QUERIES = {
         table_profile("exact"),
         _profile_sql(TABLES, True),
     ),
+    "file_integrity": (
+        file_integrity,
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, 'ok' AS status, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM {t}"
+            for t in TABLES
+        ),
+    ),
     "sample_rows": (
         sample_rows,
         f"SELECT page_id, {_short_sql('url')} AS url, {_short_sql('html')} AS html FROM pages ORDER BY page_id LIMIT 3",

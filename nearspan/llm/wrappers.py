@@ -27,6 +27,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -86,6 +87,7 @@ RUN = 8
 DEEPEST = 150
 
 
+@lru_cache(maxsize=1 << 16)
 def _label(tag: str, attributes: str) -> str:
     """A start tag with what matters of its attributes, numbers left out."""
     if not attributes.strip():
@@ -169,10 +171,10 @@ class Node:
     and the least digests of the pages that have it.  ``sources`` and ``slot`` tie a page to a wrapper.
     """
 
-    __slots__ = ("label", "children", "text", "repeated", "optional", "digest", "chars", "links", "pages", "sources", "slot", "template")
+    __slots__ = ("label", "tag", "children", "text", "repeated", "optional", "digest", "chars", "links", "pages", "sources", "slot", "template")
 
     def __init__(self, label: str, text: str = "") -> None:
-        self.label, self.text = label, text
+        self.label, self.tag, self.text = label, _tag(label), text
         self.children: list[Node] = []
         self.repeated = self.optional = self.template = False
         self.digest: int | None = None
@@ -181,9 +183,10 @@ class Node:
         self.sources: list[Node] = []
         self.slot: Node | None = None
 
-    @property
-    def tag(self) -> str:
-        return self.label.partition(" ")[0]
+
+@lru_cache(maxsize=1 << 16)
+def _tag(label: str) -> str:
+    return label.partition(" ")[0]
 
 
 def tree(page: str) -> Node:
@@ -295,6 +298,9 @@ def _group(parts: list[Node]) -> Node:
 def _grouped(parts: list[Node]) -> list[Node]:
     """The parts with every run of several labels that repeats at once as one repeated group."""
     labels = [p.label for p in parts]
+    if len(set(labels)) > len(labels) - 2:
+        # A run of several labels stands twice only if two labels do.
+        return parts
     out, at = [], 0
     while at < len(parts):
         for n in range(2, PERIOD + 1):
@@ -508,8 +514,9 @@ class Wrapper:
         """The text of a page's main slots."""
         root = tree(page)
         _match(fold(root, keep=True), self.root)
-        # Texts and, as None, the borders of blocks; beside a text if it is in a main region and if it is template.
-        stream: list[tuple[str, bool, bool] | None] = []
+        # Texts and, as None, the borders of blocks; beside a text if it is in a main region, if it is template, and
+        # its characters without blanks.
+        stream: list[tuple[str, bool, bool, int] | None] = []
         inner: dict[int, tuple[int, bool]] = {}
 
         def weigh(node: Node, free: bool, region: bool) -> tuple[int, int, bool]:
@@ -517,7 +524,7 @@ class Wrapper:
             size, shown, found = 0, 0, False
             for child in node.children:
                 if child.label == TEXT:
-                    n = len("".join(child.text.split()))
+                    n = child.chars = len("".join(child.text.split()))
                     size, shown = size + n, shown + n * (free and region)
                     continue
                 sort = self.kind(child.label)
@@ -548,7 +555,7 @@ class Wrapper:
         def walk(node: Node, main: bool, template: bool, held: bool) -> None:
             for child in node.children:
                 if child.label == TEXT:
-                    stream.append((child.text, main, template))
+                    stream.append((child.text, main, template, child.chars or len("".join(child.text.split()))))
                     continue
                 sort = sorted_as(child, main)
                 block = child.tag in BLOCK
@@ -564,7 +571,7 @@ class Wrapper:
         walk(root, False, False, False)
 
         def chars(texts) -> int:
-            return sum(len("".join(t[0].split())) for t in texts)
+            return sum(t[3] for t in texts)
 
         texts = [t for t in stream if t is not None]
         content = [t for t in texts if not t[2]]

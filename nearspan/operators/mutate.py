@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
 from nearspan.functions.metadata import read_key
+from nearspan.operators.keyfilter import without_keys
 from nearspan.operators.lookup import LITERAL_IDS
-from nearspan.operators.sizing import broadcast_if_small
+from nearspan.operators.sizing import MAX_BROADCAST_BYTES
 from nearspan.schema import TableConfig
 from nearspan.session import small_frame
 
@@ -30,14 +31,20 @@ def latest(updates: DataFrame, key: str = "node_id", seq: str | None = "seq") ->
 
 
 def upsert(
-    base: DataFrame, updates: DataFrame, key: str = "node_id", seq: str | None = "seq", on: Sequence[str] = ()
+    base: DataFrame,
+    updates: DataFrame,
+    key: str = "node_id",
+    seq: str | None = "seq",
+    on: Sequence[str] = (),
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Base rows without the updated keys, plus the latest update of each key.
 
-    ``on`` adds columns that both sides share and that depend on the key, such as a bucket.
+    ``on`` adds columns that both sides share and that depend on the key, such as a bucket.  Keys of up to
+    ``max_bytes`` are sent to the base rows; beyond that only base rows that a filter of the keys lets through move.
     """
     fresh = latest(updates, key, seq)
-    stay = base.join(broadcast_if_small(updates.select(key, *on).distinct()), [key, *on], "left_anti")
+    stay = without_keys(base, updates, [key, *on], max_bytes)
     return stay.select(base.columns).unionByName(fresh.select(base.columns))
 
 
@@ -63,19 +70,18 @@ def delete_by_document(base: DataFrame, documents: str | DataFrame, config: Tabl
     """Without the rows of one source document, or of every document in a one-column frame."""
     if isinstance(documents, str):
         return keep_unless(base, document_predicate(documents, config))
-    side = broadcast_if_small(documents.toDF("_document").distinct())
-    return base.withColumn("_ref", document_key(config)).join(
-        side, F.col("_ref") == F.col("_document"), "left_anti"
-    ).drop("_ref")
+    return without_keys(base.withColumn("_ref", document_key(config)), documents.toDF("_ref"), ["_ref"]).drop("_ref")
 
 
-def delete_by_ids(base: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id") -> DataFrame:
+def delete_by_ids(
+    base: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id", max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
     if not isinstance(ids, DataFrame):
         doomed = sorted({str(i) for i in ids})
         if len(doomed) <= LITERAL_IDS:
             return keep_unless(base, F.col(key).isin(doomed)) if doomed else base
         ids = small_frame(base.sparkSession, [(i,) for i in doomed], f"{key} string")
-    return base.join(broadcast_if_small(ids.select(key).distinct()), key, "left_anti")
+    return without_keys(base, ids, [key], max_bytes)
 
 
 def delete_by_filters(base: DataFrame, filters: MetaFilter | FilterGroup, config: TableConfig) -> DataFrame:

@@ -136,6 +136,16 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mutate.upsert(base, updates(spark, sf_dir))
 
 
+def upsert_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert when the keys are too many to be sent."""
+    return mutate.upsert(documents(spark, sf_dir).select("node_id", "text"), updates(spark, sf_dir), max_bytes=0)
+
+
+def delete_by_ids_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = mutate.delete_by_ids(documents(spark, sf_dir), toxic_ids(spark, sf_dir), max_bytes=0)
+    return kept.select("node_id", "text")
+
+
 def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same upsert on a bucketed table on disk; buckets without a change are not rewritten."""
     schema = T.StructType([T.StructField("node_id", T.StringType()), T.StructField("text", T.StringType())])
@@ -454,6 +464,7 @@ QUERIES = {
         " round(CAST(unnest(embedding) AS DOUBLE), 6) AS value FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)",
     ),
     "upsert": (upsert, UPSERT_SQL),
+    "upsert_large": (upsert_large, UPSERT_SQL),
     "upsert_partitioned": (upsert_partitioned, UPSERT_SQL),
     "store_upsert": (
         store_upsert,
@@ -509,6 +520,10 @@ QUERIES = {
         delete_by_ids,
         documents_sql("doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
     ),
+    "delete_by_ids_large": (
+        delete_by_ids_large,
+        documents_sql("doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
+    ),
     "delete_by_filter": (delete_by_filter, documents_sql("NOT coalesce(quality = 0, false)")),
     "delete_by_metadata_count": (
         delete_by_metadata_count,

@@ -161,6 +161,26 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return joined.select(*columns).mapInArrow(run, "a binary, b binary, overlap double, related boolean")
 
 
+def _met(members: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, overlap, related`` of the pairs in buckets that may be related.
+
+    Members whose bucket's smallest one falls short of the threshold elect another one among themselves, and those
+    that are strangers to that one do so again, until no bucket has two members left.  Strangers share no pair.
+    """
+    found = None
+    while True:
+        stars = settle(_stars(members), "stars")
+        if stars.isEmpty():
+            none = "a binary, b binary, overlap double, related boolean"
+            return settle(found.distinct(), "guesses") if found is not None else stars.sparkSession.createDataFrame([], none)
+        guesses = settle(_estimated(stars.select("a", "b").distinct(), nodes, threshold), "guesses")
+        again = guesses.filter("overlap < 0" if found is None else "overlap < 0 AND NOT related")
+        related = guesses.filter("overlap >= 0 OR related")
+        found = related if found is None else found.unionByName(related)
+        lone = stars.join(again.select("a", "b"), ["a", "b"])
+        members = lone.select("bucket", F.col("b").alias("node"))
+
+
 def _enough(common: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * common >= percent * (size_a + size_b - common)
 
@@ -269,15 +289,8 @@ def near_groups(documents: DataFrame, shingle: int, percent: int = 80, text: str
     )
     nodes = settle(nodes, "nodes")
 
-    stars = settle(_stars(_bands(nodes)), "stars")
-    guesses = settle(_estimated(stars.select("a", "b").distinct(), nodes, threshold), "guesses")
-    # Members that only met a stranger get a second try among themselves, and hang together in any case.
-    lone = stars.join(guesses.filter("overlap < 0").select("a", "b"), ["a", "b"])
-    seconds = settle(_stars(lone.select("bucket", F.col("b").alias("node"))).select("a", "b").distinct(), "seconds")
-    later = _estimated(seconds, nodes, threshold)
-    guesses = settle(guesses.unionByName(later).filter("overlap >= 0 OR related"), "guesses")
-    glue = guesses.select("a", "b").unionByName(seconds)
-    guesses = guesses.filter("overlap >= 0")
+    met = _met(_bands(nodes), nodes, threshold)
+    glue, guesses = met.select("a", "b"), met.filter("overlap >= 0")
 
     best = guesses.groupBy("b").agg(F.max(F.struct("overlap", "a"))["a"].alias("a")).select("a", "b")
     best = settle(best, "best")
@@ -323,15 +336,17 @@ def document_groups(documents: DataFrame, shingle: int = 2, percent: int = 80) -
 def one_of_each(documents: DataFrame, shingle: int = 5, percent: int = 80, identity: str = "doc_id") -> DataFrame:
     """The documents with one of each group: the one with the smallest id, and of equal ids the smallest digest.
 
-    Documents without words stay.  Rows that repeat an id and a text stay once.
+    Documents without words stay, those with a null text too.  Rows that repeat an id and a text stay once.  Columns
+    of any name are kept as they are.
     """
     groups = near_groups(documents.withColumn("id", F.col(identity)), shingle, percent)
     own = F.coalesce("group", F.unhex(F.md5(F.concat_ws(":", F.lit("alone"), F.col("id").cast("string")))))
     chosen = groups.withColumn("group", own).groupBy("group").agg(
         F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))).alias("first")
     )
-    chosen = settle(chosen.select(F.col("first.id").alias("_id"), F.col("first.key").alias("_key")), "kept")
-    keyed = documents.withColumn("_key", text_key(whole("text")))
-    same = F.col(identity).eqNullSafe(F.col("_id")) & (keyed["_key"] == chosen["_key"])
-    kept = keyed.join(broadcast_if_small(chosen), same, "left_semi").drop("_key")
+    chosen = settle(chosen.select("first.id", "first.key"), "kept")
+    # The columns travel as one, so that none can be taken for those of the join.
+    keyed = documents.select(F.struct("*").alias("row"), F.col(identity).alias("row_id"), text_key(whole("text")).alias("row_key"))
+    same = F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key"))
+    kept = keyed.join(broadcast_if_small(chosen), same, "left_semi").select("row.*")
     return kept.dropDuplicates([identity, "text"])

@@ -512,30 +512,6 @@ def test_columns_of_any_name_survive_near_duplicates(spark):
     assert sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] in (0, 3, 4, 5)]
 
 
-def test_strangers_in_a_bucket_make_no_family(spark, monkeypatch):
-    # Twelve unrelated groups of three near copies each, all in the same buckets.
-    docs = []
-    for group in range(12):
-        words = prose(100 + group, 120).split()
-        docs += [" ".join([*words[:at], f"new{group}", *words[at:]]) for at in (20, 60, 100)]
-    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    bands = near._bands
-    one = F.lit(1).cast("long").alias("bucket")
-    monkeypatch.setattr(near, "_bands", lambda nodes: bands(nodes).unionByName(nodes.select("node", one)))
-    families = []
-    against = near._against
-
-    def watched(members, percent):
-        families.append(members.groupBy("family").count().agg(F.max("count")).first()[0])
-        return against(members, percent)
-
-    monkeypatch.setattr(near, "_against", watched)
-    got = {r["doc_id"]: r["component_id"] for r in near.document_groups(frame).collect()}
-    roots = linked([shingles(t, 2) for t in docs], 80)
-    assert [got[i] for i in range(len(docs))] == roots
-    assert families == [None] or families[0] <= 6
-
-
 def test_wrapper_has_slots_groups_and_options():
     a = wrappers.fold(wrappers.tree("<ul><li>a<li>b</ul><p>x</p>"))
     b = wrappers.fold(wrappers.tree("<ul><li>c</ul><h2>t</h2><p>y</p><p>z</p>"))

@@ -1,18 +1,25 @@
 """Benchmark passages in documents, by q-gram lemma filtering and banded alignment.
 
-Items are cut into overlapping segments.  A segment of ``n`` characters that stands in a text with at
-most ``k`` edits shares at least ``n + 1 - q * (k + 1)`` q-grams with it, all within ``k + 1``
-neighbouring diagonals.  So the shared q-grams are counted in diagonal bands that overlap by half;
-bands with enough of them are regions, and a region is verified by aligning the segment inside its
-band.  Nothing is estimated: a segment within its edit budget is found.
-
-Characters are code points; A-Z are lower-cased and every ASCII blank counts as a space.
+A document holds an item if any stretch of ``STRETCH`` characters of the item, at any offset, stands
+in its text within the edit budget; an item with fewer characters is one stretch.  A stretch of ``n``
+characters that stands in a text with at most ``k`` edits shares at least ``n + 1 - q * (k + 1)``
+q-grams with it, all within ``k + 1`` neighbouring diagonals.  So the shared q-grams of an item are
+collected in diagonal bands that overlap by half; wherever enough of them lie within the length of a
+stretch is a region, and every stretch that a region allows is verified by aligning it inside the
+band.  Verbatim stretches show as runs on one diagonal and are compared directly.  Nothing is
+estimated: a stretch within its edit budget is found.
+
+Items of fewer than ``SHORTEST`` characters are found as they are, between word borders.
+
+Characters are code points; A-Z are lower-cased, every ASCII blank counts as a space, and blanks at
+the ends of an item don't count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,11 +29,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from nearspan.llm.bytesets import mix, pieces, powers
 
 Q = 12
-SEGMENT = 80
-STRIDE = 40
+STRETCH = 80
 SHORTEST = 20
 ERROR_PERCENT = 6
 BLOCK_CHARS = 4_000_000
+ALIGNED = 2048
 _CODES = np.random.default_rng(6).integers(1, 1 << 63, 1 << 16, dtype=np.uint64)
 
 
@@ -47,24 +54,36 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
     return mix((sums[Q:] - sums[:-Q]) * down[: len(codes) - Q + 1])
 
 
-class Segments:
-    """The segments of a block of items with an index of their q-grams."""
+class Items:
+    """A block of items with an index of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
-        self.item, self.at, self.codes = [], [], []
+        ids, codes = [], []
+        short: dict[str, list] = {}
         for item, text in items:
-            codes = code_points((text or "").encode("utf-8", "replace"))
-            if len(codes) < SHORTEST:
+            folded = code_points((text or "").encode("utf-8", "replace"))
+            letters = np.flatnonzero(folded != 32)
+            if not len(letters):
                 continue
-            last = max(0, len(codes) - SEGMENT)
-            for at in sorted({*range(0, last + 1, STRIDE), last}):
-                self.item.append(item)
-                self.at.append(at)
-                self.codes.append(codes[at : at + SEGMENT])
-        self.length = np.array([len(c) for c in self.codes], np.int64)
-        self.budget = np.minimum(self.length * ERROR_PERCENT // 100, self.length // Q - 1)
-        self.needed = self.length + 1 - Q * (self.budget + 1)
-        grams = [gram_hashes(c) for c in self.codes]
+            folded = folded[letters[0] : letters[-1] + 1]
+            if len(folded) < SHORTEST:
+                short.setdefault(_as_text(folded), []).append(item)
+            else:
+                ids.append(item)
+                codes.append(folded)
+        self.words = ahocorasick.Automaton() if short else None
+        self.ids = ids
+        for text, owners in short.items():
+            self.words.add_word(text, (len(text), range(len(ids), len(ids) + len(owners))))
+            ids.extend(owners)
+        if short:
+            self.words.make_automaton()
+        self.flat = np.concatenate([*codes, np.zeros(0, np.uint32)])
+        self.start = np.concatenate([[0], np.cumsum([len(c) for c in codes])]).astype(np.int64)
+        self.stretch = np.minimum(np.diff(self.start), STRETCH)
+        self.budget = np.minimum(self.stretch * ERROR_PERCENT // 100, self.stretch // Q - 1)
+        self.needed = self.stretch + 1 - Q * (self.budget + 1)
+        grams = [gram_hashes(c) for c in codes]
         counts = [len(g) for g in grams]
         hashes = np.concatenate([*grams, np.zeros(0, np.uint64)])
         owner = np.repeat(np.arange(len(grams)), counts)
@@ -78,8 +97,8 @@ class Segments:
         self.filter[self.grams >> np.uint64(64 - self.bits)] = True
         self.step = int(self.budget.max(initial=0)) + 1
 
-    def regions(self, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Segment and band of every region of the joined texts with enough shared q-grams."""
+    def hits(self, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, place in the item and place in the joined texts of every shared q-gram."""
         hashes = gram_hashes(codes)
         spots = np.flatnonzero(self.filter[hashes >> np.uint64(64 - self.bits)])
         rank = np.searchsorted(self.grams, hashes[spots])
@@ -88,44 +107,56 @@ class Segments:
         inside = np.searchsorted(offsets, spots, "right") == np.searchsorted(offsets, spots + Q - 1, "right")
         spots, rank = spots[known & inside], rank[known & inside]
         counts = self.first[rank + 1] - self.first[rank]
-        entry = np.repeat(self.first[rank] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        segment, diagonal = self.owner[entry], np.repeat(spots, counts) - self.place[entry]
-        band = diagonal // self.step
-        # A segment's band may reach into a neighbouring text; its count only grows by that.
-        keys = segment << np.int64(40) | (band + SEGMENT)
-        keys, shared = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
-        keys = keys[shared >= self.needed[keys >> np.int64(40)]]
-        return keys >> np.int64(40), (keys & np.int64((1 << 40) - 1)) - SEGMENT
-
-    def align(self, codes, offsets, segment, band) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text, begin, end and edits of the best place of each segment in its band; edits -1 without text.
-
-        A region is aligned to the text in which the middle of its band lies and, where the band
-        touches more texts, to those too; so the arrays may be longer than the regions.
-        """
-        low = band * self.step
-        reach = self.length[segment] + 2 * self.step
-        first = np.searchsorted(offsets, np.maximum(low, 0), "right") - 1
-        last = np.searchsorted(offsets, np.minimum(low + reach, offsets[-1] - 1), "right") - 1
-        times = np.maximum(last - first + 1, 0)
-        pick = np.repeat(np.arange(len(segment)), times)
-        text = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
-        filled = offsets[text + 1] > offsets[text]
-        pick, text = pick[filled], text[filled]
-        found = [self._align(codes, offsets, segment[p], low[p], t) for p, t in _chunks(pick, text)]
-        begin, end, edits = (np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]) for i in range(3))
-        return segment[pick], text, np.stack([begin, end]), edits
-
-    def _align(self, codes, offsets, segment, low, text):
-        """Best place of the whole segment in the text, on the band's diagonals and ``step`` more on either side.
-
-        A state is the edits in its high bits and the begin of the stretch in its low ones, so that the
+        entry = _ranges(self.first[rank], counts)
+        return self.owner[entry], self.place[entry], np.repeat(spots, counts)
+
+    def verbatim(self, codes, item, place, spot) -> Iterator[tuple[int, int, int]]:
+        """``item, begin, end`` in the joined texts of the runs on one diagonal that have a whole stretch."""
+        order = np.lexsort((spot, spot - place, item))
+        item, place, spot = item[order], place[order], spot[order]
+        goes_on = (np.diff(item) == 0) & (np.diff(spot) == 1) & (np.diff(place) == 1)
+        heads = np.flatnonzero(np.concatenate([[True], ~goes_on])) if len(item) else np.zeros(0, np.int64)
+        length = np.diff(np.append(heads, len(item))) + Q - 1
+        for at, n in zip(heads[length >= self.stretch[item[heads]]], length[length >= self.stretch[item[heads]]]):
+            here = self.start[item[at]] + place[at]
+            if (self.flat[here : here + n] == codes[spot[at] : spot[at] + n]).all():
+                yield int(item[at]), int(spot[at]), int(spot[at] + n)
+
+    def regions(self, text, item, place, spot) -> tuple[np.ndarray, ...]:
+        """``text, item, band, offset`` of the stretches that share enough q-grams with a band of a text."""
+        band = (spot - place) // self.step
+        text, item, place = (np.concatenate([x, x]) for x in (text, item, place))
+        band = np.concatenate([band, band - 1])
+        order = np.lexsort((place, band, item, text))
+        text, item, band, place = text[order], item[order], band[order], place[order]
+        new = (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(band) != 0)
+        group = np.concatenate([[0], np.cumsum(new)])[: len(text)]
+        last = np.arange(len(text)) + self.needed[item] - 1
+        at = np.flatnonzero(last < len(text))
+        last = last[at]
+        span = self.stretch[item[at]] - Q
+        dense = (group[last] == group[at]) & (place[last] - place[at] <= span)
+        at, last, span = at[dense], last[dense], span[dense]
+        low = np.maximum(place[last] - span, 0)
+        high = np.minimum(place[at], np.diff(self.start)[item[at]] - self.stretch[item[at]])
+        # Both ends grow inside a group, so what the one before covers is left out.
+        same = np.concatenate([[False], group[at][1:] == group[at][:-1]])[: len(at)]
+        before = np.concatenate([[-1], high[:-1]])[: len(at)]
+        low = np.where(same, np.maximum(low, before + 1), low)
+        counts = np.maximum(high - low + 1, 0)
+        return *(np.repeat(x[at], counts) for x in (text, item, band)), _ranges(low, counts)
+
+    def align(self, codes, offsets, text, item, band, offset) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin, end and edits of the best place of each stretch in its text, on the band's diagonals
+        and ``step`` more on either side; edits -1 without a place.
+
+        A state is the edits in its high bits and the begin of the place in its low ones, so that the
         least state has the fewest edits and then the earliest begin.
         """
         width = 4 * self.step
-        n = self.length[segment]
-        # Row i, column j: i letters of the segment are used up to the place base + i + j of the texts.
-        base = low - self.step
+        n = self.stretch[item]
+        # Row i, column j: i letters of the stretch are used up to the place base + i + j of the texts.
+        base = band * self.step + offset - self.step
         columns = np.arange(width + 1)
         begin, end = offsets[text][:, None], offsets[text + 1][:, None]
         cost = np.int64(1) << np.int64(40)
@@ -133,14 +164,13 @@ class Segments:
         place = base[:, None] + columns
         state = np.where((place >= begin) & (place <= end), place, away)
         best = np.full_like(state, away)
-        pattern = np.zeros((len(segment), int(n.max())), np.uint32)
-        for r, s in enumerate(segment):
-            pattern[r, : n[r]] = self.codes[s]
-        for i in range(int(n.max())):
+        first = self.start[item] + offset
+        for i in range(int(n.max(initial=0))):
             place = base[:, None] + i + columns
             inside = (place >= begin) & (place < end)
             letters = codes[np.clip(place, 0, len(codes) - 1)]
-            match = state + np.where(letters == pattern[:, i : i + 1], 0, cost)
+            pattern = self.flat[np.minimum(first + i, len(self.flat) - 1)][:, None]
+            match = state + np.where(letters == pattern, 0, cost)
             match = np.where(inside, match, away)
             skip = np.full_like(state, away)
             skip[:, :-1] = state[:, 1:] + cost
@@ -152,40 +182,78 @@ class Segments:
         at = best.argmin(axis=1)
         value = best[np.arange(len(at)), at]
         edits = np.where(value >= away >> 1, -1, value >> np.int64(40))
-        start = value & (cost - 1)
-        return start - offsets[text], base + n + at - offsets[text], edits
+        return value & (cost - 1), base + n + at, edits
+
+    def whole_words(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """``text, item, begin, end`` of the short items that stand between word borders."""
+        for text in range(len(offsets) - 1 if self.words else 0):
+            letters = _as_text(codes[offsets[text] : offsets[text + 1]])
+            for last, (length, owners) in self.words.iter(letters):
+                begin, end = last + 1 - length, last + 1
+                if not _inside_word(letters, begin) and not _inside_word(letters, end):
+                    for item in owners:
+                        yield text, item, begin, end
 
     def search(self, codes: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], list[int]]:
-        """``(text, item): [begin, end, edits]`` of the items found, over all their segments found."""
+        """``(text, item): [begin, end, edits]`` of the items found, by their number in ``ids``: first to
+        last place with the fewest edits."""
         found: dict[tuple[int, int], list[int]] = {}
-        if not len(self.codes) or len(codes) < Q:
+
+        def add(text: int, item: int, begin: int, end: int, edits: int) -> None:
+            old = found.get((text, item))
+            if old is None or edits < old[2]:
+                found[text, item] = [begin, end, edits]
+            elif edits == old[2]:
+                old[:2] = min(old[0], begin), max(old[1], end)
+
+        for text, item, begin, end in self.whole_words(codes, offsets):
+            add(text, item, begin, end, 0)
+        if not len(self.stretch) or len(codes) < Q:
             return found
-        segment, text, places, edits = self.align(codes, offsets, *self.regions(codes, offsets))
-        good = np.flatnonzero((edits >= 0) & (edits <= self.budget[segment]))
-        for i in good:
-            key = (int(text[i]), self.item[segment[i]])
-            begin, end, cost = int(places[0, i]), int(places[1, i]), int(edits[i])
-            old = found.get(key)
-            found[key] = [min(old[0], begin), max(old[1], end), min(old[2], cost)] if old else [begin, end, cost]
+        item, place, spot = self.hits(codes, offsets)
+        text = np.searchsorted(offsets, spot, "right") - 1
+        pair = text * len(self.stretch) + item
+        plain = set()
+        for i, begin, end in self.verbatim(codes, item, place, spot):
+            t = int(np.searchsorted(offsets, begin, "right")) - 1
+            plain.add(t * len(self.stretch) + i)
+            add(t, i, begin - int(offsets[t]), end - int(offsets[t]), 0)
+        rest = ~np.isin(pair, np.fromiter(plain, np.int64, len(plain)))
+        stretches = self.regions(text[rest], item[rest], place[rest], spot[rest])
+        for at in range(0, len(stretches[0]), ALIGNED):
+            text, item, band, offset = (x[at : at + ALIGNED] for x in stretches)
+            begin, end, edits = self.align(codes, offsets, text, item, band, offset)
+            for i in np.flatnonzero((edits >= 0) & (edits <= self.budget[item])):
+                home = int(offsets[text[i]])
+                add(int(text[i]), int(item[i]), int(begin[i]) - home, int(end[i]) - home, int(edits[i]))
         return found
 
 
-def _chunks(pick: np.ndarray, text: np.ndarray, size: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for at in range(0, len(pick), size):
-        yield pick[at : at + size], text[at : at + size]
+def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` numbers in a row from every first one on."""
+    return np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def _as_text(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le", "replace")
+
+
+def _inside_word(text: str, at: int) -> bool:
+    """Whether the place lies between two letters or digits of a script that puts blanks between words."""
+    return 0 < at < len(text) and all(c.isalnum() and c < "\u2e80" for c in text[at - 1 : at + 1])
 
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[Segments]:
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[Items]:
     """The items in blocks of about ``block_chars`` characters; only one block is held at a time."""
-    items = benchmark.select("item_id", "text").filter("text IS NOT NULL")
+    items = benchmark.select("item_id", "text").filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     parts = -(-total // block_chars)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(parts, 1)))
     for i in range(parts):
-        yield Segments([tuple(row) for row in items.filter(part == i).collect()])
+        yield Items([tuple(row) for row in items.filter(part == i).collect()])
 
 
-def _found(batch: pa.RecordBatch, segments: Segments, column: str) -> Iterator[tuple[int, int, list[int]]]:
+def _found(batch: pa.RecordBatch, items: Items, column: str) -> Iterator[tuple[int, int, list[int]]]:
     for first, _, buffer, offsets in pieces(batch, column):
         starts = np.concatenate([[0], np.cumsum((buffer & 0xC0) != 0x80)])[offsets]
         codes = code_points(buffer.tobytes())
@@ -193,16 +261,17 @@ def _found(batch: pa.RecordBatch, segments: Segments, column: str) -> Iterator[t
             parts = [code_points(buffer[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
             starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             codes = np.concatenate(parts)
-        for (text, item), place in segments.search(codes, starts).items():
-            yield first + text, item, place
+        for (text, item), place in items.search(codes, starts).items():
+            yield first + text, items.ids[item], place
 
 
 def passages(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id, item_id, begin, end, edits``: where an item's segments stand in a document, first to last.
+    """``doc_id, item_id, begin, end, edits``: an item that stands in a document, with its fewest edits.
 
-    Positions are code points of the text, ``edits`` are those of the best segment.  Items of fewer
-    than ``SHORTEST`` characters are not searched; null texts have no characters.  Repeated documents
-    give repeated rows.
+    ``begin`` and ``end`` are the first and last place of the stretches with so few edits, in code points
+    of the text; of a verbatim passage all of it counts.  Null, empty and blank texts and items hold and
+    are nothing; texts of any length are searched whole.  Repeated documents
+    give repeated rows, repeated items (same id and text) count once.  Further columns are not read.
     """
     spark = documents.sparkSession
     kind = f"{documents.schema['doc_id'].dataType.simpleString()}"
@@ -210,8 +279,8 @@ def passages(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
     schema = f"doc_id {kind}, item_id {item_kind.simpleString()}, begin long, end long, edits long"
     texts = documents.select("doc_id", "text")
     result = spark.createDataFrame([], schema)
-    for segments in _blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast(segments)
+    for block in _blocks(benchmark, block_chars):
+        shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -226,10 +295,10 @@ def passages(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents, with their columns, in which no item is found."""
+    """The documents, with all their columns, in which no item is found; null, empty and blank texts stay."""
     spark = documents.sparkSession
-    for segments in _blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast(segments)
+    for block in _blocks(benchmark, block_chars):
+        shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

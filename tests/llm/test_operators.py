@@ -261,44 +261,75 @@ def test_sketch_estimates_overlap():
         assert abs(guess - share) < 0.12
 
 
-def distance(pattern, text):
-    """Least edits of the pattern against any stretch of the text."""
-    row = [0] * (len(text) + 1)
-    for i, p in enumerate(pattern, 1):
-        new = [i]
-        for j, t in enumerate(text, 1):
-            new.append(min(row[j - 1] + (p != t), row[j] + 1, new[-1] + 1))
-        row = new
-    return min(row)
+def folded(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else " " if c in "\t\n\v\f\r" else c for c in text or "")
+    return np.array([ord(c) for c in text], np.int64)
+
+
+def least_edits(item, text):
+    """Fewest edits of any 80 characters of the item (the whole of a shorter one) against any part of the text."""
+    width = min(len(item), 80)
+    windows = np.lib.stride_tricks.sliding_window_view(item, width)
+    columns = np.arange(len(text) + 1)
+    row = np.zeros((len(windows), len(text) + 1), np.int64)
+    for i in range(width):
+        new = row + 1
+        new[:, 1:] = np.minimum(new[:, 1:], row[:, :-1] + (windows[:, i : i + 1] != text))
+        row = np.minimum.accumulate(new - columns, axis=1) + columns
+    return int(row.min())
 
 
 def test_decontamination(spark, documents):
     rng = np.random.default_rng(8)
-    items = [(i, prose(100 + i, 25, 5000)) for i in range(6)] + [(6, "short"), (7, None), (8, "tiny words of an item")]
+    items = [(i, prose(100 + i, 25, 5000)) for i in range(6)] + [(6, "Short  one"), (7, None), (8, "tiny words of an item")]
+    items += [(9, " \n"), (10, ""), (6, "Short  one"), (6, "tiny words of an item")]
     texts = []
-    for i in range(60):
+    for i in range(40):
         passage = list(items[i % 6][1])
-        for at in rng.integers(0, len(passage), rng.integers(0, 14)):
+        for at in rng.integers(0, len(passage), rng.integers(0, 12)):
             passage[at] = "" if at % 3 else "qq"
-        texts.append(prose(200 + i, 30) + "\n" + "".join(passage).upper() + " " + prose(300 + i, 30))
-    texts += ["", None, prose(9, 50), items[8][1]]
+        texts.append(prose(200 + i, 12) + "\n" + "".join(passage).upper() + " " + prose(300 + i, 12))
+    texts += ["", None, prose(9, 50), items[8][1], "a short\n one.", "ashort  one", "SHORT\t ONE", "short  ones", "x" * 20000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    segments = decontaminate.Segments([x for x in items if x[1]])
-    want = set()
+    want = {}
     for d, t in enumerate(texts):
-        folded = decontaminate.code_points((t or "").encode()).tolist()
-        for item, codes, budget in zip(segments.item, segments.codes, segments.budget):
-            if distance(codes.tolist(), folded) <= budget:
-                want.add((d, item))
-    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.passages(docs, bench).collect()}
-    assert got == want and 20 < len(want) < 61
-    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.passages(docs, bench, 200).collect()} == want
+        for item, text in items[:6] + [items[8], items[12]]:
+            width = min(len(text), 80)
+            edits = least_edits(folded(text), folded(t))
+            if edits <= min(width * 6 // 100, width // 12 - 1):
+                want[d, item] = edits
+    want |= {(texts.index(t), 6): 0 for t in ("a short\n one.", "SHORT\t ONE")}
+    found = decontaminate.passages(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in found} == want and len(found) == len(want)
+    assert 20 < len(want) < 45 and {0, 1, 2, 3, 4} <= set(want.values())
+    parted = decontaminate.passages(docs.repartition(5), bench, 200).collect()
+    assert sorted(map(tuple, parted)) == sorted(map(tuple, found))
+    for r in found:
+        part = folded(texts[r["doc_id"]])[r["begin"] : r["end"]]
+        text = next(t for i, t in items if i == r["item_id"] and (i != 6 or (t == "Short  one") == (len(part) < 12)))
+        assert least_edits(folded(text), part) == r["edits"]
     clean = {r["doc_id"] for r in decontaminate.clean_documents(docs, bench).collect()}
     assert clean == set(range(len(texts))) - {d for d, _ in want}
     assert decontaminate.clean_documents(documents, bench).columns == documents.columns
 
 
+@pytest.mark.parametrize("edits", [0, 4])
+def test_decontamination_at_every_offset(spark, edits):
+    rng = np.random.default_rng(edits)
+    item = prose(77, 60, 5000)
+    texts = []
+    for at in range(len(item) - 79):
+        part = list(item[at : at + 80])
+        for place in rng.choice(80, edits, replace=False):
+            part[place] = "~" if place % 2 else ""
+        texts.append(prose(1000 + at, 10) + "".join(part) + prose(2000 + at, 10))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r["doc_id"]: r for r in decontaminate.passages(docs, bench).collect()}
+    assert set(found) == set(range(len(texts))) and all(r["edits"] <= edits for r in found.values())
+
+
 def test_mixing(spark, documents, rows):
     got = mixing.mix(documents).select(*documents.columns, "mixed").collect()
     assert len(got) == len(rows)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
 from nearspan.operators.sizing import broadcast_if_small
@@ -13,6 +14,8 @@ from nearspan.schema import TableConfig, check_count
 from nearspan.session import small_frame
 
 LITERAL_IDS = 1_000
+# Spark sends a list of up to ten values to the files as equalities, a longer one only as a range.
+PUSHED_IDS = 10
 
 
 def by_ids(table: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id") -> DataFrame:
@@ -25,6 +28,44 @@ def by_ids(table: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id
     return table.join(broadcast_if_small(ids.select(key).distinct()), key, "left_semi")
 
 
+def write_clustered(rows: DataFrame, path: str, key: str = "node_id", row_group_bytes: int = 32 << 20) -> None:
+    """Rows in the order of their key, with a Bloom filter of the keys in every row group.
+
+    Rows of one key may span tasks: they are told apart by a digest of their other columns.
+    """
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    ordered = rows.repartitionByRange(key, F.xxhash64(*[F.col(f"`{name}`") for name in plain]))
+    ordered.sortWithinPartitions(key).write.options(
+        **{
+            f"parquet.bloom.filter.enabled#{key}": "true",
+            "parquet.bloom.filter.adaptive.enabled": "true",
+            "parquet.block.size": str(row_group_bytes),
+        }
+    ).parquet(path)
+
+
+def point_rows(table: DataFrame, ids: DataFrame | Sequence[str], key: str = "node_id") -> DataFrame:
+    """``by_ids`` for a clustered table: few ids, counted, reach the files as equalities, so that only row groups
+    whose range and Bloom filter admit one are read; more ids are joined."""
+    if isinstance(ids, DataFrame):
+        few = ids.select(key).where(F.col(key).isNotNull()).distinct().limit(LITERAL_IDS + 1).collect()
+        wanted = sorted(row[0] for row in few)
+    else:
+        wanted = sorted({str(i) for i in ids})
+    if len(wanted) > LITERAL_IDS:
+        return by_ids(table, ids, key)
+    parts = [F.col(key).isin(wanted[at : at + PUSHED_IDS]) for at in range(0, len(wanted), PUSHED_IDS)]
+    return table.where(_any(parts) if parts else F.lit(False))
+
+
+def _any(parts: Sequence[Column]) -> Column:
+    """One of the conditions, as a tree of little depth."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return _any(parts[:half]) | _any(parts[half:])
+
+
 def by_values(table: DataFrame, key: Column, values: DataFrame, negate: bool = False) -> DataFrame:
     """IN and NOT IN against a frame of values of any size; a NULL key matches neither."""
     name = values.columns[0]

@@ -9,7 +9,9 @@ from nearspan.functions.metadata import (
     empty_map,
     extract_key,
     overlay,
+    overlay_typed,
     parse_metadata,
+    parse_metadata_typed,
     public_keys,
     read_key,
     without_keys,
@@ -98,10 +100,20 @@ def merged_metadata(config: TableConfig) -> Column:
     return overlay(base, {name: F.col(name) for name in config.promoted_names})
 
 
-def rebuilt_rows(table: DataFrame, config: TableConfig) -> DataFrame:
-    """Rows as they went in: node id, text that is never NULL, one metadata map."""
-    metadata = merged_metadata(config)
-    node_id = F.coalesce(F.col(config.node_id_column), F.try_element_at(metadata, F.lit("node_id")), F.lit(""))
+def merged_metadata_typed(table: DataFrame, config: TableConfig) -> Column:
+    """The metadata as a map of variants, in which numbers, booleans and nested values keep their type, with the
+    promoted values that are present, in the types of their columns, put over it."""
+    base = F.col(config.metadata_column) if config.metadata_column else F.lit("{}")
+    values = {name: (F.col(name), table.schema[name].dataType) for name in config.promoted_names}
+    return overlay_typed(parse_metadata_typed(base), values)
+
+
+def rebuilt_rows(table: DataFrame, config: TableConfig, typed: bool = False) -> DataFrame:
+    """Rows as they went in: node id, text that is never NULL, one metadata map, of texts or of typed variants."""
+    metadata = merged_metadata_typed(table, config) if typed else merged_metadata(config)
+    own_id = F.try_element_at(metadata, F.lit("node_id"))
+    own_id = F.try_variant_get(own_id, "$", "string") if typed else own_id
+    node_id = F.coalesce(F.col(config.node_id_column), own_id, F.lit(""))
     return table.select(
         node_id.alias("node_id"),
         F.coalesce(F.col(config.text_column), F.lit("")).alias("text"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearspan import PartitionSpec, run_sql
-from nearspan.operators import partition
+from nearspan.operators import buckets, partition
 from nearspan.session import scratch_path
 from nearspan.sources import catalog
 from workload.tables import CENTRES_SQL, DISTANCE_SQL, TABLES, VECTORS_SQL, label_centres, load
@@ -94,6 +94,34 @@ def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("id", F.col("amount").cast("double").alias("amount"), "note", "p")
 
 
+def _bucketed_orders(spark: SparkSession, sf_dir: str) -> tuple[buckets.BucketedTable, buckets.BucketedTable]:
+    """Orders and line items in buckets of the order."""
+    path = scratch_path(spark, "buckets")
+    name = "b_" + path.rsplit("-", 1)[1][:16]
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_custkey")
+    items = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"), "l_linenumber", "l_quantity")
+    return (
+        buckets.write_bucketed(orders, name + "_o", ["order_key"], 16, path + "/orders"),
+        buckets.write_bucketed(items, name + "_l", ["order_key"], 16, path + "/items"),
+    )
+
+
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their orders, joined bucket by bucket."""
+    orders, items = _bucketed_orders(spark, sf_dir)
+    joined = buckets.join_bucketed(spark, orders, items)
+    return joined.select("order_key", "o_custkey", "l_linenumber", F.col("l_quantity").cast("double").alias("quantity"))
+
+
+def bucketed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per user from buckets of users, with the users of most events apart."""
+    path = scratch_path(spark, "buckets")
+    rows = load(spark, sf_dir, "events").select("user_id", "event_id")
+    table = buckets.write_bucketed(rows, "b_" + path.rsplit("-", 1)[1][:16], ["user_id"], 16, path, hot_share=0.1)
+    totals = F.count("*").alias("n_events"), F.max("event_id").alias("last_event")
+    return buckets.aggregate_bucketed(spark, table, *totals)
+
+
 def broadcast_dim_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = load(spark, sf_dir, "customer")
     nations = load(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
@@ -260,6 +288,15 @@ QUERIES = {
         "SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS amount, CAST(NULL AS VARCHAR)"
         " AS note, CAST(o_custkey % 8 AS INTEGER) AS p FROM orders",
     ),
+    "bucketed_join": (
+        bucketed_join,
+        "SELECT o_orderkey AS order_key, o_custkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS quantity FROM orders"
+        " JOIN lineitem ON l_orderkey = o_orderkey",
+    ),
+    "bucketed_totals": (
+        bucketed_totals,
+        "SELECT user_id, count(*) AS n_events, max(event_id) AS last_event FROM events GROUP BY user_id",
+    ),
     "broadcast_dim_join": (
         broadcast_dim_join,
         "SELECT c_custkey, c_name, n_name, r_name FROM customer JOIN nation ON n_nationkey = c_nationkey"

@@ -13,6 +13,7 @@ from nearspan.operators import lookup, mutate
 from nearspan.operators.partition import PartitionSpec, with_partition
 from nearspan.operators.vector_table import (
     merged_metadata,
+    merged_metadata_typed,
     not_null_report,
     rebuilt_rows,
     stable_columns,
@@ -333,6 +334,25 @@ def merge_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def merge_metadata_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key of the merged metadata with its value as JSON and the type the value kept."""
+    columns = (MetaColumn("quality", "INT"), MetaColumn("lang", "VARCHAR(8)"), MetaColumn("half", "DOUBLE"))
+    config = TableConfig(dim=DIM, promoted=columns)
+    labels = load(spark, sf_dir, "labels").select("doc_id", "quality")
+    rows = documents(spark, sf_dir).join(labels, "doc_id", "left")
+    rows = rows.withColumn("lang", F.when(F.col("quality") == 1, F.lit("zz")))
+    rows = rows.withColumn("half", read_key(F.col("metadata"), "n_chars").cast("int") / 2)
+    merged = rows.select("node_id", F.explode(merged_metadata_typed(rows, config)).alias("key", "v"))
+    return merged.select("node_id", "key", F.schema_of_variant("v").alias("kind"), F.to_json("v").alias("value"))
+
+
+def get_by_ids_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxic documents from a table that is clustered by its ids."""
+    path = scratch_path(spark, "clustered")
+    lookup.write_clustered(documents(spark, sf_dir).select("node_id", "text"), path)
+    return lookup.point_rows(spark.read.parquet(path), toxic_ids(spark, sf_dir))
+
+
 def rebuild_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rebuilt_rows(documents(spark, sf_dir), PLAIN)
     source = F.try_element_at("metadata", F.lit("source")).alias("source")
@@ -545,6 +565,30 @@ QUERIES = {
         " json_lang, CAST(NULL AS VARCHAR) AS json_n_chars, source AS json_source, CASE toxic WHEN 1 THEN 'true' WHEN 0"
         " THEN 'false' END AS json_toxic FROM d JOIN embeddings ON vec_id = doc_id",
     ),
+    "merge_metadata_typed": (
+        merge_metadata_typed,
+        f"WITH {DOCS_SQL}, p AS ("
+        + " UNION ALL ".join(
+            f"SELECT node_id, '{key}' AS key, '{kind}' AS kind, CAST({value} AS VARCHAR) AS value FROM d"
+            for key, kind, value in (
+                ("lang", "STRING", "to_json(CASE WHEN quality = 1 THEN 'zz' ELSE lang END)"),
+                ("source", "STRING", "to_json(source)"),
+                ("n_chars", "BIGINT", "to_json(n_chars)"),
+                ("ref_doc_id", "STRING", "to_json(source)"),
+                ("quality", "BIGINT", "to_json(quality)"),
+                ("toxic", "BOOLEAN", "to_json(toxic = 1)"),
+                ("language", "OBJECT<code: STRING>", "json_object('code', lang)"),
+                ("_row", "BIGINT", "to_json(doc_id)"),
+                ("half", "DOUBLE", "to_json(n_chars / 2)"),
+            )
+        )
+        + ") SELECT * FROM p WHERE value IS NOT NULL AND value <> 'null'",
+    ),
+    "get_by_ids_clustered": (
+        get_by_ids_clustered,
+        "SELECT CAST(doc_id AS VARCHAR) AS node_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels"
+        " WHERE toxic = 1)",
+    ),
     "merge_metadata": (
         merge_metadata,
         f"WITH {DOCS_SQL} SELECT node_id, CASE WHEN quality = 1 THEN 'zz' ELSE lang END AS lang, CAST(quality AS"

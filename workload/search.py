@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from nearspan import FilterGroup, MetaFilter, nearest_diverse, nearest_join, nearest_to
 from nearspan.functions.distance import distance, similarity
 from nearspan.functions.filters import predicate
-from nearspan.operators import ivf
+from nearspan.operators import codes, ivf
 from nearspan.operators.knn import with_payload
 from nearspan.operators.lsh import nearest_by_projection
 from nearspan.operators.mmr import rerank
@@ -130,6 +130,23 @@ def ann_kmeans_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbers(ivf.search_bounded(index, every_vector_asks(spark, sf_dir), K, recall=0.9))
 
 
+def _coded(spark: SparkSession, sf_dir: str, metric: str = "cosine") -> codes.CodedIndex:
+    index = ivf.build_index(vectors(spark, sf_dir), scratch_path(spark, "index"), metric)
+    return codes.build_codes(index, scratch_path(spark, "codes"))
+
+
+def ann_codes(metric: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Exact neighbours of every vector, from the codes and the few vectors that their bounds admit."""
+        return _numbers(codes.search_codes(_coded(spark, sf_dir, metric), every_vector_asks(spark, sf_dir), K))
+
+    return run
+
+
+def code_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.code_sizes(_coded(spark, sf_dir))
+
+
 def ann_bounded(metric: str, **options):
     """Exact neighbours of every vector, from the cells that can hold them."""
 
@@ -364,6 +381,13 @@ QUERIES = {
     "knn_pivots": (knn_pivots("euclidean"), _ranked_sql(PAIRS_SQL, "euclidean")),
     "knn_pivots_spread": (knn_pivots("cosine", max_sent=0, slice_rows=40), _ranked_sql(PAIRS_SQL, "cosine")),
     "ann_mmr": (ann_mmr, _mmr_sql(_probe_sql(3), 20, 5, 0.3)),
+    "ann_codes_cosine": (ann_codes("cosine"), _ranked_sql(PAIRS_SQL, "cosine")),
+    "ann_codes_euclidean": (ann_codes("euclidean"), _ranked_sql(PAIRS_SQL, "euclidean")),
+    "code_sizes": (
+        code_sizes,
+        "SELECT count(*) AS n_rows, CAST(max(len(embedding)) // 4 + 12 AS INTEGER) AS code_bytes, CAST(4 * max(len("
+        "embedding)) AS INTEGER) AS vector_bytes FROM embeddings",
+    ),
     "ann_kmeans_probe": (ann_kmeans_probe, None),
     "lsh_join": (lsh_join, None),
     "index_stats": (

@@ -92,6 +92,11 @@ def _comparison(item: MetaFilter, config: TableConfig) -> Column:
         left, dtype = read_key(F.col(config.metadata_column), item.key), T.StringType()
     else:
         raise ValueError(f"cannot filter on {item.key!r}: no column of that name and no JSON metadata column")
+    return compared(left, dtype, item)
+
+
+def compared(left: Column, dtype: T.DataType, item: MetaFilter) -> Column:
+    """The comparison of one filter, on the column that holds its key's value."""
     if item.value is None:
         return left.isNull() if item.operator == "==" else left.isNotNull()
     if item.operator in LISTS:

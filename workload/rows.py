@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from nearspan import FilterGroup, MetaColumn, MetaFilter, TableConfig, VectorStore
 from nearspan.functions.metadata import read_key
 from nearspan.functions.vectors import decode_vector, dimension_audit, encode_vector, vector_norm
-from nearspan.operators import lookup, mutate
+from nearspan.operators import lookup, mutate, postings
 from nearspan.operators.partition import PartitionSpec, with_partition
 from nearspan.operators.vector_table import (
     merged_metadata,
@@ -353,6 +353,25 @@ def get_by_ids_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.point_rows(spark.read.parquet(path), toxic_ids(spark, sf_dir))
 
 
+INDEXED = FilterGroup(
+    [
+        FilterGroup([MetaFilter("source", "src3"), MetaFilter("language.code", ["de", "fr"], "in")]),
+        FilterGroup([MetaFilter("quality", 1), MetaFilter("n_chars", 3000, ">")]),
+    ],
+    "or",
+)
+
+
+def filter_json_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by keys without a column, read only from the files that postings of the keys admit."""
+    table_path, index_path = scratch_path(spark, "by-source"), scratch_path(spark, "postings")
+    rows = documents(spark, sf_dir).select("node_id", "text", "metadata")
+    postings.write_by_path(rows, table_path, PLAIN, "source", 16)
+    table = spark.read.schema(rows.schema).parquet(table_path)
+    postings.index_metadata(table, index_path, PLAIN, ["source", "language.code", "quality"])
+    return postings.matching_indexed(table, index_path, INDEXED, PLAIN).select("node_id", "text")
+
+
 def rebuild_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rebuilt_rows(documents(spark, sf_dir), PLAIN)
     source = F.try_element_at("metadata", F.lit("source")).alias("source")
@@ -589,6 +608,10 @@ QUERIES = {
         "SELECT CAST(doc_id AS VARCHAR) AS node_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels"
         " WHERE toxic = 1)",
     ),
+    "filter_json_indexed": (
+        filter_json_indexed,
+        documents_sql("(source = 'src3' AND lang IN ('de', 'fr')) OR (quality = 1 AND n_chars > 3000)"),
+    ),
     "merge_metadata": (
         merge_metadata,
         f"WITH {DOCS_SQL} SELECT node_id, CASE WHEN quality = 1 THEN 'zz' ELSE lang END AS lang, CAST(quality AS"

@@ -1,7 +1,13 @@
 """Secrets in documents: candidates by form, a random forest against false positives.
 
-A candidate is a run of at least ``SHORTEST`` characters of ``A-Za-z0-9+/_-`` with its padding.  It is
-described by
+A candidate (``kind``) is
+
+* ``form``: a token of a public form (fixed prefixes of keys, signed web tokens, private-key blocks),
+* ``assigned``: a value behind the name of a credential and an assignment sign, of any length and with any
+  symbols: what stands between quotes on that line, else up to a blank, bracket, comma or the like,
+* ``run``: a run of at least ``SHORTEST`` characters of ``A-Za-z0-9+/_-`` with its padding.
+
+Of overlapping candidates the first kind in this order stays.  A candidate is described by
 
 * its length and the shares of digits and capitals,
 * character transitions: how often the character class changes, and how likely its letter pairs are in
@@ -9,7 +15,8 @@ described by
 * dictionary coverage: the share of it that consists of words of the corpus; a word is in the dictionary
   if at least ``WORD_SHARE`` of all words are this one, so it has ``1 / WORD_SHARE`` entries at most,
 * path: slashes in it, before it, and a file ending behind it,
-* neighbouring words: names of credentials before it, an assignment sign, quotes.
+* neighbouring words: names of credentials before it, an assignment sign, quotes; they are read from the
+  ``BEFORE`` bytes before it and the ``AFTER`` bytes behind it.
 
 The forest is fitted on labelled findings: those of a given table, or else those whose label is plain
 from their form (``labelled``).  The fit takes a hash sample of at most about ``FIT_ROWS`` findings of
@@ -19,19 +26,21 @@ either label; everything else covers all rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearspan.llm.bytesets import lower, pieces
 from nearspan.llm.common import settle, unit_hash, whole
 
 SHORTEST = 16
+BEFORE, AFTER = 80, 16
 WORD_SHARE = 1e-5
 FIT_ROWS = 20_000
 TREES, DEPTH = 30, 8
@@ -50,6 +59,28 @@ _CLASS[48:58] = 26
 _NAMED = re.compile(r"(?i)(token|secret|passw(or)?d|pwd|api.?key|access.?key|private.?key|auth|bearer|credential)")
 _ENDING = re.compile(r"\.[A-Za-z]{2,4}\b")
 _PIECES = re.compile(r"[a-z]+")
+# An identifier with the name of a credential, in lower-cased bytes, and the sign behind it, if there is one.  It
+# matches without the sign, too, so that a long identifier is read once.
+_ASSIGN = re.compile(
+    rb"(?:token|secret|passw(?:or)?d|pwd|api.?key|access.?key|private.?key|auth|bearer|credential)[a-z0-9_.-]*+"
+    rb"([\"'`\]]*+[ \t]*+(?:=>|:=|==?|:)[ \t]*+|(?<=bearer)[ \t]++)?+"
+)
+_QUOTED = re.compile(rb"(?:\"((?:[^\"\\\r\n]|\\.)*+)\"|'((?:[^'\\\r\n]|\\.)*+)'|`((?:[^`\\\r\n]|\\.)*+)`)")
+_BARE = re.compile(rb"[\"'`]?([^\s\"'`,;<>()\[\]{}]++)")
+_SCHEMES = (b"bearer", b"basic", b"token", b"digest")
+# Public forms of access keys, tokens of services, signed web tokens and private keys.
+_FORMS = re.compile(
+    rb"(?<![A-Za-z0-9_-])(?:"
+    rb"(?:AKIA|ASIA)[0-9A-Z]{16}"
+    rb"|gh[pousr]_[A-Za-z0-9]{36,}"
+    rb"|xox[abprs]-[A-Za-z0-9-]{10,}"
+    rb"|AIza[0-9A-Za-z_-]{35}"
+    rb"|[rs]k_live_[0-9A-Za-z]{24,}"
+    rb"|eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"
+    rb")(?![A-Za-z0-9_-])"
+    rb"|-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]++-----END [A-Z ]*PRIVATE KEY-----"
+)
+_HOLLOW = r"^(.)\1*$|^[$%<{]|^\*"
 
 
 def transitions(documents: DataFrame) -> np.ndarray:
@@ -58,9 +89,13 @@ def transitions(documents: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(28 * 28, np.int64)
         for batch in batches:
-            for _, _, buffer, _ in pieces(batch):
+            for _, _, buffer, offsets in pieces(batch):
                 kinds = _CLASS[lower(buffer)]
-                sums += np.bincount(kinds[:-1] * 28 + kinds[1:], minlength=28 * 28)
+                # No pair across the border of two texts.
+                inside = np.ones(len(kinds), bool)
+                inside[offsets[offsets < len(kinds)]] = False
+                second = np.flatnonzero(inside[1:]) + 1
+                sums += np.bincount(kinds[second - 1] * 28 + kinds[second], minlength=28 * 28)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(28 * 28)), pa.array(sums)], ["pair", "n"])
 
     rows = documents.select(whole("text").alias("text")).mapInArrow(run, "pair long, n long")
@@ -98,7 +133,7 @@ def describe(before: str, candidate: str, after: str, table: np.ndarray, words:
     """The features of a candidate between the text before it and after it, in the order of ``FEATURES``."""
     raw = np.frombuffer(candidate.encode(), np.uint8)
     kinds = _CLASS[lower(raw)]
-    likely = table[kinds[:-1], kinds[1:]]
+    likely = table[kinds[:-1], kinds[1:]] if len(raw) > 1 else np.zeros(1)
     capital, digit = (raw >= 65) & (raw <= 90), kinds == 26
     sort = np.where(digit, 2, np.where(capital, 1, np.where(kinds < 26, 0, 3)))
     last = before.rstrip(" \t'\"")
@@ -106,7 +141,7 @@ def describe(before: str, candidate: str, after: str, table: np.ndarray, words:
         float(len(raw)),
         float(digit.mean()),
         float(capital.mean()),
-        float((sort[1:] != sort[:-1]).mean()),
+        float((sort[1:] != sort[:-1]).sum() / max(len(raw) - 1, 1)),
         float(likely.mean()),
         float(likely.min()),
         len(set(candidate)) / len(candidate),
@@ -120,17 +155,42 @@ def describe(before: str, candidate: str, after: str, table: np.ndarray, words:
     ]
 
 
+def strong(text: bytes, small: bytes, low: int, high: int) -> list[tuple[int, int, str]]:
+    """``(begin, end, kind)`` of the forms and the assigned values between two places, in order, none overlapping."""
+    kept = [(m.start(), m.end(), "form") for m in _FORMS.finditer(text, low, high)]
+    forms = list(kept)
+    for m in _ASSIGN.finditer(small, low, high):
+        if m[1] is None:
+            continue
+        value = _QUOTED.match(text, m.end(), high)
+        begin, end = value.span(value.lastindex) if value else (m.end(), m.end())
+        if not value and (value := _BARE.match(text, m.end(), high)):
+            begin, end = value.start(1), value.start(1) + len(value[1].rstrip(b".:!?"))
+        if not text[begin:end].strip() or small[begin:end] in _SCHEMES or _crosses(forms, begin, end):
+            continue
+        # A name inside a value that is taken already gives no second value there.
+        if not kept or kept[-1][2] == "form" or kept[-1][1] <= begin:
+            kept.append((begin, end, "assigned"))
+    return sorted(kept)
+
+
+def _crosses(spans: list[tuple], begin: int, end: int) -> bool:
+    """Whether one of the spans, in order and apart from each other, overlaps a stretch."""
+    at = bisect_left(spans, (end,))
+    return at > 0 and spans[at - 1][1] > begin
+
+
 def candidates(documents: DataFrame, table: np.ndarray, words: frozenset[str]) -> DataFrame:
-    """``doc_id, begin, end, value, features`` of every candidate; positions are code points."""
+    """``doc_id, begin, end, value, kind, features`` of every candidate; positions are code points."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "begin", "end", "value", "features"]
+    names = ["doc_id", "begin", "end", "value", "kind", "features"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, buffer, offsets in pieces(batch):
                 yield one(batch, first, buffer, offsets)
 
-    def one(batch: pa.RecordBatch, first: int, buffer: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    def runs(buffer: np.ndarray, offsets: np.ndarray) -> tuple[list[int], list[int], list[int]]:
         inside = np.append(_BYTES[buffer], False)
         edge = np.zeros(len(inside), bool)
         edge[offsets] = True
@@ -140,36 +200,67 @@ def candidates(documents: DataFrame, table: np.ndarray, words: frozenset[str]) -
         long = end - begin >= SHORTEST
         begin, end = begin[long], end[long]
         row = np.searchsorted(offsets, begin, "right") - 1
+        # Padding goes up to the next byte that is none, in the same text.
+        stops = np.append(np.flatnonzero(buffer != 61), len(buffer))
+        end = np.minimum(stops[np.searchsorted(stops, end)], offsets[row + 1])
+        return row.tolist(), begin.tolist(), end.tolist()
+
+    def one(batch: pa.RecordBatch, first: int, buffer: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+        text, small = buffer.tobytes(), lower(buffer).tobytes()
+        places = offsets.tolist()
+        spans, held = [], {}
+        for r, (low, high) in enumerate(zip(places, places[1:])):
+            held[r] = strong(text, small, low, high)
+            spans += [(r, *span) for span in held[r]]
+        spans += [(r, b, e, "run") for r, b, e in zip(*runs(buffer, offsets)) if not _crosses(held[r], b, e)]
         rest = np.cumsum(np.append(0, (buffer & 0xC0) == 0x80))
         found = []
-        for b, e, r in zip(begin.tolist(), end.tolist(), row.tolist()):
-            low, high = int(offsets[r]), int(offsets[r + 1])
-            while e < high and buffer[e] == 61 and e - b < 4096:
-                e += 1
-            value = buffer[b:e].tobytes().decode()
-            left = buffer[max(low, b - 80) : b].tobytes().decode("utf-8", "ignore")
-            right = buffer[e : min(high, e + 16)].tobytes().decode("utf-8", "ignore")
+        for r, b, e, sort in sorted(spans):
+            low, high = places[r], places[r + 1]
+            value = text[b:e].decode()
+            left = text[max(low, b - BEFORE) : b].decode("utf-8", "ignore")
+            right = text[e : min(high, e + AFTER)].decode("utf-8", "ignore")
             at = b - low - int(rest[b] - rest[low])
-            found.append((first + r, at, at + len(value), value, describe(left, value, right, table, words)))
+            found.append((first + r, at, at + len(value), value, sort, describe(left, value, right, table, words)))
         ids = batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64()))
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()))
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.float64()))
         columns = [pa.array([f[i + 1] for f in found], t) for i, t in enumerate(kinds)]
         return pa.RecordBatch.from_arrays([ids, *columns], names)
 
-    schema = f"doc_id {kind}, begin long, end long, value string, features array<double>"
+    schema = f"doc_id {kind}, begin long, end long, value string, kind string, features array<double>"
     return documents.select("doc_id", whole("text").alias("text")).mapInArrow(run, schema)
 
 
+def _features() -> dict[str, Column]:
+    return {name: F.col("features")[i] for i, name in enumerate(FEATURES)}
+
+
+def _credential() -> Column:
+    """Values of letters and digits, or more, that are assigned to the name of a credential, and known forms."""
+    f = _features()
+    mixed = (f["digits"] > 0) & (f["digits"] < 1) & (f["slashes"] < 2)
+    hollow = F.col("value").rlike(_HOLLOW)
+    return (F.col("kind") == "form") | ((f["named"] > 0) & (f["assigned"] > 0) & mixed & ~hollow)
+
+
 def labelled(found: DataFrame) -> DataFrame:
     """The findings whose label is plain, with ``label`` 1.0 or 0.0.
 
-    True are values of letters and digits that are assigned to the name of a credential.  False are values
-    without a name before them that are words (no digits), numbers (digits alone) or paths.
+    True are known forms and values of letters and digits that are assigned to the name of a credential.
+    False are values without a name before them that are words (no digits), numbers (digits alone) or paths,
+    and behind a name what only holds a place (one character repeated, a variable, a mask), words of the
+    dictionary, and words without quotes.  Known forms come twice, the second time without the words around
+    them, so that the forest also learns to know a token by itself.
     """
-    f = {name: F.col("features")[i] for i, name in enumerate(FEATURES)}
-    true = (f["named"] > 0) & (f["assigned"] > 0) & (f["digits"] > 0) & (f["digits"] < 1) & (f["slashes"] < 2)
+    f = _features()
     plain = (f["digits"] == 0) | (f["digits"] == 1) | (f["slashes"] >= 2) | (f["after_slash"] > 0)
-    return found.withColumn("label", F.when(true, 1.0).when((f["named"] == 0) & plain, 0.0)).filter("label IS NOT NULL")
+    letters = F.col("value").rlike("^[A-Za-z]+$")
+    empty = F.col("value").rlike(_HOLLOW) | (f["covered"] == 1) | (letters & (f["quoted"] == 0))
+    false = F.when(f["named"] == 0, plain).otherwise(empty)
+    rows = found.withColumn("label", F.when(_credential(), 1.0).when(false, 0.0)).filter("label IS NOT NULL")
+    around = [F.lit(0.0) if n in ("named", "assigned", "quoted") else F.col("features")[i] for i, n in enumerate(FEATURES)]
+    alone = rows.filter("kind = 'form'").withColumn("features", F.array(*around))
+    return rows.unionByName(alone)
 
 
 def fit(findings: DataFrame, fit_rows: int = FIT_ROWS) -> RandomForestClassificationModel | None:
@@ -192,8 +283,7 @@ def fit(findings: DataFrame, fit_rows: int = FIT_ROWS) -> RandomForestClassifica
 def judged(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
     """The findings with ``probability`` of being a secret; without a model it is 1 for plainly true ones, else 0."""
     if model is None:
-        f = {name: F.col("features")[i] for i, name in enumerate(FEATURES)}
-        return found.withColumn("probability", ((f["named"] > 0) & (f["assigned"] > 0) & (f["digits"] > 0)).cast("double"))
+        return found.withColumn("probability", _credential().cast("double"))
     scored = model.transform(found.withColumn("vector", array_to_vector("features")))
     return scored.withColumn("probability", vector_to_array("probability")[1]).select(*found.columns, "probability")
 
@@ -201,8 +291,10 @@ def judged(found: DataFrame, model: RandomForestClassificationModel | None) -> D
 def scan(documents: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, begin, end, value, probability`` of every secret.
 
-    ``findings`` may give labels: ``doc_id, begin, end, label``.  Null texts have no candidates; repeated
-    rows give repeated findings.
+    ``findings`` may give labels: ``doc_id, begin, end, label``.  Null and empty texts have no candidates and an
+    empty table gives no rows; repeated rows give repeated findings, and null ids stay null.  Texts of any length are
+    read whole and never cut.  A probability equal to the threshold counts as a secret.  Other columns are ignored.
+    Where the labels are all of one kind there is no forest, and the plain rule decides.
     """
     found = settle(candidates(documents, transitions(documents), dictionary(documents)), "candidates")
     known = labelled(found)

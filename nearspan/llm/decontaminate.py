@@ -296,15 +296,18 @@ def passages(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, with all their columns, in which no item is found; null, empty and blank texts stay."""
-    spark = documents.sparkSession
+    spark, names = documents.sparkSession, documents.columns
+    # Tasks know the columns by place, since names may hold dots.
+    text = f"c{names.index('text')}"
+    documents = documents.toDF(*(f"c{i}" for i in range(len(names))))
     for block in _blocks(benchmark, block_chars):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                clean[[row for row, _, _ in _found(batch, shared.value, "text")]] = False
+                clean[[row for row, _, _ in _found(batch, shared.value, text)]] = False
                 yield batch.filter(pa.array(clean))
 
         documents = documents.mapInArrow(run, documents.schema)
-    return documents
+    return documents.toDF(*names)

@@ -232,7 +232,9 @@ def mix(
         p["target"].alias("target"),
         pieces.alias("pieces"),
     )
-    return placed.withColumn("mixed", mixed).select(*documents.drop("mixed").columns, "mixed")
+    # Names may hold dots.
+    own = [F.col("`" + name.replace("`", "``") + "`") for name in documents.drop("mixed").columns]
+    return placed.withColumn("mixed", mixed).select(*own, "mixed")
 
 
 def taken_words() -> Column:
@@ -251,8 +253,13 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def mixed_rows(documents: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix, whole, with their columns: once for each turn that draws their first word."""
+def mixed_rows(
+    documents: DataFrame, text: str = "text", source: str = "source", identity: str = "doc_id", **settings
+) -> DataFrame:
+    """The documents of the mix, whole, with their columns of any name: once for each turn that draws their first word."""
+    names = documents.columns
+    by_place = documents.toDF(*(f"c{i}" for i in range(len(names))))
+    roles = {role: f"c{names.index(name)}" for role, name in (("text", text), ("source", source), ("identity", identity))}
     turns = F.filter("mixed.pieces", lambda piece: piece["begin"] == 0)
-    mixed = mix(documents, **settings)
-    return mixed.withColumn("mixed", F.explode(turns)).drop("mixed")
+    mixed = mix(by_place, **roles, **settings)
+    return mixed.withColumn("mixed", F.explode(turns)).drop("mixed").toDF(*names)

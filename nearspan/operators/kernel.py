@@ -15,7 +15,11 @@ import pyarrow.compute as pc
 UNIT = 2.0**-24
 SCREEN_CELLS = 2_000_000
 SCORE_CELLS = 4_000_000
-SEED_ROWS = 1024
+# The first limit of a query is the k-th least of so many minima over a block, at least.
+SEED_MINIMA = 256
+# Scored pairs wait until there are so many per query, or so many in all, and are merged together.
+WAITING_SHARE = 0.5
+MOST_WAITING = 1_000_000
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, size: int | None = None) -> np.ndarray:
@@ -90,6 +94,7 @@ class Block:
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
             self.screen = (part / norms[:, None] if metric == "cosine" else part).astype(np.float32)
             self.squares = (norms * norms).astype(np.float32)
+        self.sound = bool(np.isfinite(self.screen).all() and np.isfinite(norms).all())
         self.defined = np.isfinite(norms) & ((norms > 0) | (metric != "cosine"))
         self.top = float(norms[self.defined].max()) if self.defined.any() else 0.0
 
@@ -133,9 +138,19 @@ class NearestRows:
         self.norms = lengths_of(queries)
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
             scaled = queries / self.norms[:, None] if metric == "cosine" else queries
-            self.screen = scaled.astype(np.float32)
+            # A factor that is a power of two changes no rounding.
+            self.screen = scaled.astype(np.float32) * np.float32(-2 if metric == "euclidean" else -1)
+        self.sound = np.isfinite(self.screen).all(axis=1) & np.isfinite(self.norms)
         self.bound = np.full(len(queries), np.inf)
-        self.best: pa.Table | None = None
+        self.held: pa.Table | None = None
+        self.waiting: list[pa.Table] = []
+        self.n_waiting = 0
+
+    @property
+    def best(self) -> pa.Table | None:
+        """The best rows so far, at most ``k`` per query."""
+        self._merge()
+        return self.held
 
     def offer(self, block: Block, members: np.ndarray | None = None) -> None:
         """Compare a block with all queries, or with those at the given positions."""
@@ -143,37 +158,40 @@ class NearestRows:
             return
         chosen = np.arange(len(self.queries)) if members is None else members
         step = max(1, SCREEN_CELLS // len(block.vectors))
-        found = []
         for start in range(0, len(chosen), step):
-            found += self._survivors(chosen[start : start + step], block)
-        if found:
-            self._merge(*(np.concatenate(parts) for parts in zip(*found)), block)
+            for query, row, gap in self._survivors(chosen[start : start + step], block):
+                self.waiting.append(self._payload(query, row, gap, block))
+                self.n_waiting += len(query)
+            if self.n_waiting > MOST_WAITING:
+                self._merge()
+        if self.n_waiting > WAITING_SHARE * self.k * len(self.queries):
+            self._merge()
 
     def _survivors(self, part: np.ndarray, block: Block):
         with np.errstate(invalid="ignore", over="ignore"):
             values = self.screen[part] @ block.screen.T
-            values *= -2.0 if self.metric == "euclidean" else -1.0
             if self.metric == "euclidean":
                 values += block.squares
-        finite = np.isfinite(values)
-        if not finite.all():
-            values[~finite] = -np.inf
+        size = 1.0 if self.metric == "cosine" else float(self.norms[part].max())
+        if not (block.sound and self.sound[part].all() and (size + block.top) ** 2 < 1e37):
+            finite = np.isfinite(values)
+            if not finite.all():
+                values[~finite] = -np.inf
         if not block.defined.all():
             values[:, ~block.defined] = np.inf
         with np.errstate(over="ignore"):
             limit = self._limit(part, values, block.top).astype(np.float32)
         limit = np.nextafter(limit, np.float32(np.inf))
-        at, spot = np.nonzero(values <= limit[:, None])
+        spots = np.flatnonzero(values <= limit[:, None])
+        at, spot = spots // values.shape[1], spots % values.shape[1]
         query = part[at]
-        found = []
         width = max(1, SCORE_CELLS // max(1, block.vectors.shape[1]))
         for start in range(0, len(query), width):
             q, s = query[start : start + width], spot[start : start + width]
             gap = pair_distance(self.queries[q], block.vectors[s], self.metric)
             near = gap <= self.bound[q]
             if near.any():
-                found.append(block.expand(q[near], s[near], gap[near]))
-        return found
+                yield block.expand(q[near], s[near], gap[near])
 
     def _limit(self, part: np.ndarray, values: np.ndarray, top: float) -> np.ndarray:
         """Screen value above which a row cannot be among the best ``k`` of a query."""
@@ -189,54 +207,37 @@ class NearestRows:
         limit = known + error
         fresh = ~np.isfinite(bound)
         if fresh.any() and values.shape[1] > self.k:
-            sample = values[fresh, : max(SEED_ROWS, 4 * self.k)]
-            sample[np.isneginf(sample)] = np.inf
-            limit[fresh] = np.partition(sample, self.k - 1, axis=1)[:, self.k - 1] + 2 * error[fresh]
+            limit[fresh] = _kth_of_minima(values if fresh.all() else values[fresh], self.k) + 2 * error[fresh]
         return np.where(np.isnan(limit), np.inf, limit)
 
-    def _merge(self, query: np.ndarray, row: np.ndarray, gap: np.ndarray, block: Block) -> None:
-        columns = {"query": pa.array(query.astype(np.int32)), "distance": pa.array(gap), "row": pa.array(row)}
-        keys = pa.table({**columns, "node_id": block.rows["node_id"].take(columns["row"])})
-        if self.best is not None:
-            old = self.best.select(["query", "distance", "node_id"])
-            old = old.append_column("row", pa.nulls(len(old), pa.int64()))
-            keys = pa.concat_tables([old.select(keys.column_names), keys])
-        order = pc.sort_indices(
-            keys, sort_keys=[("query", "ascending"), ("distance", "ascending"), ("node_id", "ascending")]
-        ).to_numpy()
-        query = keys["query"].to_numpy()[order]
+    def _merge(self) -> None:
+        if not self.waiting:
+            return
+        every = pa.concat_tables(([] if self.held is None else [self.held]) + self.waiting)
+        self.waiting, self.n_waiting = [], 0
+        query, gap = every["query"].to_numpy(), every["distance"].to_numpy()
+        order = _by_id_in_ties(np.lexsort((gap, query)), query, gap, every["node_id"])
+        query = query[order]
         first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         place = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)]))
         last = place == self.k - 1
-        self.bound[query[last]] = keys["distance"].to_numpy()[order[last]]
-        kept = np.sort(order[place < self.k])
-        # Only rows that are kept are copied with all that travels with them.
-        held = 0 if self.best is None else len(self.best)
-        fresh = kept[kept >= held] - held
-        if self.best is not None and not len(fresh):
-            return
-        taken = self._payload(columns, fresh, block)
-        if self.best is not None:
-            taken = pa.concat_tables([self.best.take(pa.array(kept[kept < held])), taken])
-        self.best = taken.combine_chunks()
-
-    def _payload(self, columns: dict[str, pa.Array], fresh: np.ndarray, block: Block) -> pa.Table:
-        chosen = pa.array(fresh)
-        query, gap, row = (columns[c].take(chosen) for c in ("query", "distance", "row"))
-        taken = block.rows.take(row).append_column("query", query).append_column("distance", gap)
+        self.bound[query[last]] = gap[order[last]]
+        self.held = every.take(pa.array(np.sort(order[place < self.k]))).combine_chunks()
+
+    def _payload(self, query: np.ndarray, row: np.ndarray, gap: np.ndarray, block: Block) -> pa.Table:
+        taken = block.rows.take(pa.array(row)).append_column("query", pa.array(query.astype(np.int32)))
+        taken = taken.append_column("distance", pa.array(gap))
         if not self.with_cosine:
             return taken
-        if self.metric == "cosine":
-            apart = gap.to_numpy()
-        else:
-            apart = pair_distance(self.queries[query.to_numpy()], block.vector_of(row.to_numpy()), "cosine")
+        apart = gap if self.metric == "cosine" else pair_distance(self.queries[query], block.vector_of(row), "cosine")
         return taken.append_column("cosine", _defined(1.0 - apart))
 
     def result(self, qids: pa.Array, names: list[str]) -> list[pa.RecordBatch]:
         """Best rows as batches of query id, the travelling columns and the distance."""
-        if self.best is None:
+        best = self.best
+        if best is None:
             return []
-        best = self.best.sort_by([("query", "ascending"), ("distance", "ascending"), ("node_id", "ascending")])
+        best = best.sort_by([("query", "ascending"), ("distance", "ascending"), ("node_id", "ascending")])
         found = {"query_id": qids.take(best["query"].combine_chunks())}
         found |= {name: best[name] for name in names}
         found["distance"] = _defined(best["distance"].to_numpy())
@@ -245,5 +246,35 @@ class NearestRows:
         return pa.table(found).to_batches(max_chunksize=10_000)
 
 
+def _kth_of_minima(values: np.ndarray, k: int) -> np.ndarray:
+    """For each row a bound for its ``k``-th least value: columns are folded on one another while there are many.
+
+    Values of minus infinity are unknown and don't count.
+    """
+    if np.isneginf(values.min()):
+        values = np.where(np.isneginf(values), np.float32(np.inf), values)
+    while values.shape[1] >= 2 * max(SEED_MINIMA, 4 * k):
+        half = values.shape[1] // 2
+        folded = np.minimum(values[:, :half], values[:, half : 2 * half])
+        if values.shape[1] % 2:
+            np.minimum(folded[:, 0], values[:, -1], out=folded[:, 0])
+        values = folded
+    return np.partition(values, k - 1, axis=1)[:, k - 1]
+
+
+def _by_id_in_ties(order: np.ndarray, query: np.ndarray, gap: np.ndarray, ids: pa.ChunkedArray) -> np.ndarray:
+    """An order by query and distance, with rows equal in both put in the order of their ids."""
+    q, g = query[order], gap[order]
+    same = (q[1:] == q[:-1]) & (g[1:] == g[:-1])
+    if not same.any():
+        return order
+    tied = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+    group = np.cumsum(~np.r_[False, same])[tied]
+    keys = pa.table({"group": group, "node_id": ids.take(pa.array(order[tied]))})
+    sorted_ = pc.sort_indices(keys, sort_keys=[("group", "ascending"), ("node_id", "ascending")]).to_numpy()
+    order[tied] = order[tied][sorted_]
+    return order
+
+
 def _defined(values: np.ndarray) -> pa.Array:
     return pa.array(values, type=pa.float64(), mask=~np.isfinite(values))

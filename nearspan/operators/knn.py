@@ -2,8 +2,8 @@
 
 A frame of few queries (a checked, bounded number) is sent to the tasks and the corpus is read
 once, in place, without a shuffle.  A frame of many queries is spread instead: the corpus is cut
-into slices of bounded size, each slice meets the stream of all queries in its own task, and only
-the best ``k`` rows per query and slice leave it.
+into slices of bounded size, as many of which meet the stream of all queries in one task as its memory
+holds, and only the best ``k`` rows per query and task leave it.
 """
 
 from __future__ import annotations
@@ -85,10 +85,8 @@ def nearest_join(
         found = scan_with_queries(rows, sent, asked.schema["query_id"].dataType, k, metric, with_cosine)
     else:
         dim = check_queries(asked)
-        size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
         cores = rows.sparkSession.sparkContext.defaultParallelism
-        count = rows.count()
-        slices = max(1, min(cores, count // MIN_SLICE_ROWS), math.ceil(count / size))
+        slices = parts_of_rows(rows.count(), dim, slice_rows, cores)
         # Queries stream, so they are cut only where the slices alone leave cores idle; a corpus that is
         # large enough to be slow is moved once.
         blocks = max(1, min(math.ceil(asked.count() / part_queries), math.ceil(cores / slices)))
@@ -101,6 +99,16 @@ def nearest_join(
     return finish(keep_nearest(found, k), metric, qid, node_id)
 
 
+def parts_of_rows(count: int, dim: int, slice_rows: int | None, cores: int) -> int:
+    """Into how many parts rows are cut, each of which meets the queries in one task.
+
+    Every part costs one more copy of the queries, so there are no more than memory asks for, once all cores have one;
+    slices of ``slice_rows`` rows share a part where it holds several.
+    """
+    wanted = max(count // MIN_SLICE_ROWS, math.ceil(count / slice_rows) if slice_rows else 0)
+    return max(1, min(cores, wanted), math.ceil(count * 4 * max(dim, 1) / SLICE_BYTES))
+
+
 def every(count: Column) -> Column:
     """One row per number from 0 up to ``count``."""
     return F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1))
@@ -197,39 +205,51 @@ def meet_in_parts(
     Each task sorts its rows so that a part's corpus rows, of bounded number, come before its
     queries; those then stream by in batches.  A task takes several parts, one after the other, where
     there are more than ``MAX_TASKS``.
+
+    Rows may have a ``spot``, a small number within the part, and queries a ``visited`` map of the spots: then a
+    query meets only the rows whose spot is marked, the first spot being the highest bit of the first byte.
     """
-    names = [c for c in cut.columns if c not in ("vector", "part")]
+    marked = "visited" in spread.columns
+    names = [c for c in cut.columns if c not in ("vector", "part", "spot")]
     id_type = spread.schema["query_id"].dataType
-    schema = _result_schema(cut, id_type, ("vector", "part"), with_cosine)
+    schema = _result_schema(cut, id_type, ("vector", "part", "spot"), with_cosine)
     both = cut.withColumn("asking", F.lit(False)).unionByName(
         spread.withColumn("asking", F.lit(True)), allowMissingColumns=True
     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Block] = []
+        held: list[tuple[int, Block]] = []
         current = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             part, asking = table["part"].to_numpy(), table["asking"].to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((part[1:] != part[:-1]) | (asking[1:] != asking[:-1])) + 1
+            spot = table["spot"].fill_null(-1).to_numpy() if marked else np.zeros(len(part), np.int32)
+            differs = (part[1:] != part[:-1]) | (asking[1:] != asking[:-1]) | (spot[1:] != spot[:-1])
+            cuts = np.flatnonzero(differs) + 1
             for start, stop in zip(np.r_[0, cuts], np.r_[cuts, len(part)]):
                 if part[start] != current:
                     current, held = part[start], []
                 run = table.slice(start, stop - start)
                 values = matrix(run["vector"], dim)
                 if not asking[start]:
-                    held.append(Block(values, run.select(names), k, metric))
+                    held.append((int(spot[start]), Block(values, run.select(names), k, metric)))
                 elif held:
                     near = NearestRows(values, k, metric, with_cosine)
-                    for block in held:
-                        near.offer(block)
+                    bits = _bits(run["visited"]) if marked else None
+                    for number, block in held:
+                        near.offer(block, None if bits is None else np.flatnonzero(bits[:, number]))
                     yield from near.result(run["query_id"].combine_chunks(), names)
 
-    return (
-        both.repartition(min(parts, MAX_TASKS), "part")
-        .sortWithinPartitions("part", "asking")
-        .mapInArrow(meet, schema)
-    )
+    tasks = min(parts, MAX_TASKS)
+    # Parts are dealt by number: by a hash of it some tasks would get several and others none.
+    dealt = both.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int"))
+    return dealt.sortWithinPartitions("part", "asking", *(["spot"] if marked else [])).mapInArrow(meet, schema)
+
+
+def _bits(maps: pa.ChunkedArray) -> np.ndarray:
+    """Maps of equal length as a matrix of booleans."""
+    rows = np.frombuffer(b"".join(maps.to_pylist()), np.uint8).reshape(len(maps), -1)
+    return np.unpackbits(rows, axis=1).view(bool)
 
 
 def keep_nearest(found: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> DataFrame:

@@ -2,10 +2,12 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from nearspan.operators import kernel
 from nearspan.operators.kernel import Block, NearestRows, equal_rows, matrix, pair_distance
 from nearspan.schema import METRICS
 
@@ -92,3 +94,21 @@ def test_matrix_of_lists():
         matrix(pa.array([[1.0], [1.0, 2.0]]))
     with pytest.raises(ValueError):
         matrix(column, 3)
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_few_rows_of_a_first_block_are_scored(metric, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows, queries = (rng.normal(size=(n, 16)).astype(np.float32) for n in (8192, 40))
+    scored = []
+    exact = kernel.pair_distance
+    monkeypatch.setattr(kernel, "pair_distance", lambda a, b, m: scored.append(len(a)) or exact(a, b, m))
+    near = NearestRows(queries, 10, metric)
+    near.offer(Block(rows, pa.table({"node_id": [f"{i:05d}" for i in range(8192)]}), 10, metric))
+    got = near.result(pa.array(range(40)), ["node_id"])
+    # A limit from the first 1024 rows alone let 80 rows pass per query.
+    assert sum(scored) < 40 * 30
+    for i, q in enumerate(queries):
+        gaps = exact(np.repeat(q[None], 8192, axis=0), rows, metric)
+        want = [f"{j:05d}" for j in np.lexsort((np.arange(8192), gaps))[:10]]
+        assert pa.Table.from_batches(got).filter(pa.compute.field("query_id") == i)["node_id"].to_pylist() == want

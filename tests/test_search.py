@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from nearspan import nearest_diverse, nearest_join, nearest_to
 from nearspan.functions.distance import distance, similarity
 from nearspan.functions.vectors import decode_vector, dimension_audit, encode_vector, vector_fault
-from nearspan.operators import ivf
+from nearspan.operators import ivf, knn
 from nearspan.operators.mmr import default_candidates, pick_diverse, rerank
 from nearspan.schema import METRICS
 from nearspan.session import scratch_path
@@ -294,3 +294,20 @@ def test_projection_join(spark, skewed):
     assert all(truth[(q, n)] == d for q, _, n, d in found)
     with pytest.raises(ValueError):
         nearest_by_projection(corpus, asked.limit(0), 6)
+
+
+def test_queries_are_sent_once_per_task_and_not_per_slice(spark, monkeypatch):
+    corpus = np.random.default_rng(3).normal(size=(300, 6))
+    sent, meet = [], knn.meet_in_parts
+    monkeypatch.setattr(knn, "meet_in_parts", lambda cut, spread, *rest: sent.append(spread.count()) or meet(cut, spread, *rest))
+    found = nearest_join(as_frame(spark, corpus), as_queries(spark, corpus), 4, max_sent=0, slice_rows=2)
+    assert collected(found) == sorted(brute(corpus, corpus, 4, "cosine"))
+    assert sent[0] <= 300 * spark.sparkContext.defaultParallelism < 300 * 150
+
+
+def test_each_part_has_a_task_of_its_own(spark):
+    corpus = as_frame(spark, np.random.default_rng(4).normal(size=(64, 6)))
+    rows = corpus.select("node_id", F.col("embedding").alias("vector"), (F.monotonically_increasing_id() % 8).alias("part"))
+    asked = rows.select(F.col("node_id").alias("query_id"), "vector", "part")
+    found = knn.meet_in_parts(rows, asked, 8, 1, "euclidean", False, 6)
+    assert found.select(F.spark_partition_id()).distinct().count() == rows.select("part").distinct().count()

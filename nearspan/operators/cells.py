@@ -24,12 +24,12 @@ from nearspan.operators.kernel import lengths_of, matrix
 from nearspan.operators.knn import (
     MAX_SENT_QUERIES,
     PART_QUERIES,
-    SLICE_BYTES,
     check_queries,
     every,
     gather_queries,
     keep_nearest,
     meet_in_parts,
+    parts_of_rows,
     scan_with_queries,
     turn_of,
 )
@@ -97,6 +97,14 @@ class CellSet:
         self, queries: np.ndarray, k: int, probes: int, limits: np.ndarray | None = None
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of query and cell, by position: the first visits, or with ``limits`` those that come after them."""
+        for at, chosen in self.chosen(queries, k, probes, limits):
+            query, cell = np.nonzero(chosen)
+            yield query + at, cell
+
+    def chosen(
+        self, queries: np.ndarray, k: int, probes: int, limits: np.ndarray | None = None
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """The same as matrices of queries and cells, each with the position of its first query."""
         step = max(1, MATRIX_CELLS // max(1, len(self.ids)))
         for at in range(0, len(queries), step):
             part = queries[at : at + step]
@@ -105,8 +113,7 @@ class CellSet:
             if limits is not None:
                 near = self.bounds(part, gaps) <= limits[at : at + step, None]
                 chosen = near & ~chosen & (self.n_rows > 0)
-            query, cell = np.nonzero(chosen)
-            yield query + at, cell
+            yield at, chosen
 
 
 @dataclass(frozen=True)
@@ -160,18 +167,20 @@ def search_cells(
     if sent is not None:
         return _search_sent(rows, cells, sent, asked.schema["query_id"].dataType, k, probes, exact, with_cosine)
     dim = check_queries(asked)
-    size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
-    options = (k, cells.metric, with_cosine, dim, size, part_queries)
-    met = _visiting(asked, cells, k, probes)
-    found = keep_nearest(meet_cells(rows, met, cells, *options), k)
+    bins = bins_of(cells, dim, slice_rows, spark.sparkContext.defaultParallelism)
+    options = (k, cells.metric, with_cosine, dim, part_queries)
+    first, visits = meet_cells(rows, _visiting(asked, cells, bins, k, probes), cells, bins, *options)
+    found = keep_nearest(first, k)
     if exact:
         found = _written(found)
         last = found.where(F.col("rank") == k).select("query_id", F.col("distance").alias("limit"))
-        more = _visiting(asked.join(last, "query_id", "left"), cells, k, probes, True)
-        found = keep_nearest(found.drop("rank").unionByName(meet_cells(rows, more, cells, *options)), k)
-        met = met.unionByName(more)
-    counts = met.groupBy("cell").agg(F.count("*").alias("n_queries"))
-    return Found(found, counts.join(F.broadcast(_sizes(spark, cells)), "cell"))
+        more = _visiting(asked.join(last, "query_id", "left"), cells, bins, k, probes, True)
+        others, further = meet_cells(rows, more, cells, bins, *options)
+        found = keep_nearest(found.drop("rank").unionByName(others), k)
+        visits = visits + further
+    counts = [(int(c), int(n)) for c, n in zip(cells.ids, visits) if n]
+    visited = small_frame(spark, counts, "cell int, n_queries long")
+    return Found(found, visited.join(F.broadcast(_sizes(spark, cells)), "cell"))
 
 
 def _search_sent(rows, cells: CellSet, sent: pa.Table, id_type, k, probes, exact, with_cosine) -> Found:
@@ -224,56 +233,142 @@ def _scan(rows, sent, id_type, k, cells: CellSet, with_cosine, wanted) -> DataFr
     return scan_with_queries(needed, sent, id_type, k, cells.metric, with_cosine, wanted)
 
 
-def _visiting(asked: DataFrame, cells: CellSet, k: int, probes: int, further: bool = False) -> DataFrame:
-    """Rows ``(query_id, vector, cell)`` for the visits of all queries, without a shuffle."""
-    payload = asked.sparkSession.sparkContext.broadcast(cells)
-    schema = T.StructType([asked.schema["query_id"], asked.schema["vector"], T.StructField("cell", T.IntegerType())])
+@dataclass(frozen=True)
+class Bins:
+    """Cells side by side, cut into bins of about as many rows: the bins and the places of the cells in each.
+
+    A cell whose rows pass the end of a bin has rows in the next one, too, dealt by the id.
+    """
+
+    first: np.ndarray
+    count: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+
+
+def bins_of(cells: CellSet, dim: int, slice_rows: int | None, cores: int) -> Bins:
+    """As many bins as :func:`parts_of_rows` says; by position the first bin of each cell and the number of its bins."""
+    n_bins = parts_of_rows(cells.total, dim, slice_rows, cores)
+    held = np.maximum(cells.n_rows, 0)
+    after = np.cumsum(held)
+    room = max(1, math.ceil(int(held.sum()) / n_bins))
+    first = np.minimum((after - held) // room, n_bins - 1)
+    last = np.minimum(np.maximum(first, (after - 1) // room), n_bins - 1)
+    begin = np.searchsorted(last, np.arange(n_bins), "left")
+    end = np.searchsorted(first, np.arange(n_bins), "right")
+    return Bins(first, last - first + 1, begin, end)
+
+
+def dealt(batch: pa.RecordBatch, chosen: np.ndarray, at: int, bins: Bins) -> Iterator[pa.RecordBatch]:
+    """Queries from position ``at`` on, once for each bin with a chosen cell, with a map of the bin's cells."""
+    for number, (begin, end) in enumerate(zip(bins.begin, bins.end)):
+        own = chosen[:, begin:end]
+        query = np.flatnonzero(own.any(axis=1))
+        for start in range(0, len(query), 10_000):
+            some = query[start : start + 10_000]
+            maps = np.packbits(own[some], axis=1)
+            ends = np.arange(len(some) + 1, dtype=np.int32) * maps.shape[1]
+            marks = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends), pa.py_buffer(maps.tobytes())])
+            part = batch.select(["query_id", "vector"]).take(pa.array(some + at))
+            bin_ = pa.array(np.full(len(some), number, np.int32))
+            yield pa.RecordBatch.from_arrays([*part.columns, bin_, marks], names=["query_id", "vector", "bin", "visited"])
+
+
+def dealt_schema(asked: DataFrame) -> T.StructType:
+    return T.StructType([asked.schema["query_id"], asked.schema["vector"]]).add("bin", "integer").add("visited", "binary")
+
+
+def _visiting(asked: DataFrame, cells: CellSet, bins: Bins, k: int, probes: int, further: bool = False) -> DataFrame:
+    """Rows ``(query_id, vector, bin, visited)`` for the visits of all queries, without a shuffle."""
+    payload = asked.sparkSession.sparkContext.broadcast((cells, bins))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = payload.value
+        cells, bins = payload.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             limits = None
             if further:
                 limits = batch.column("limit").fill_null(np.inf).to_numpy(zero_copy_only=False)
-            for query, cell in cells.visits(matrix(batch.column("vector"), cells.centres.shape[1]), k, probes, limits):
-                for at in range(0, len(query), 10_000):
-                    part = batch.select(["query_id", "vector"]).take(pa.array(query[at : at + 10_000]))
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.columns, pa.array(cells.ids[cell[at : at + 10_000]])], names=schema.names
-                    )
+            for at, chosen in cells.chosen(matrix(batch.column("vector"), cells.centres.shape[1]), k, probes, limits):
+                yield from dealt(batch, chosen, at, bins)
 
-    return asked.mapInArrow(run, schema)
+    return asked.mapInArrow(run, dealt_schema(asked))
 
 
-def meet_cells(
-    rows: DataFrame, met: DataFrame, cells: CellSet, k: int, metric: str, with_cosine: bool, dim: int, size: int, part_queries: int
-) -> DataFrame:
-    """Best ``k`` rows per query and part, for pairs ``(query_id, vector, cell)`` of query and cell.
+def _visits(met: DataFrame, cells: CellSet, bins: Bins) -> tuple[np.ndarray, np.ndarray]:
+    """How many queries visit each bin and each cell; a task sends one row per bin and cell in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            number = batch.column("bin").to_numpy()
+            for one in np.unique(number).tolist():
+                maps = batch.column("visited").filter(pa.array(number == one)).to_pylist()
+                bits = np.unpackbits(np.frombuffer(b"".join(maps), np.uint8).reshape(len(maps), -1), axis=1)
+                total[one] = total.get(one, 0) + np.r_[len(maps), bits.sum(axis=0, dtype=np.int64)]
+        for one, sums in total.items():
+            yield pa.record_batch(
+                {
+                    "bin": pa.array(np.full(len(sums), one, np.int32)),
+                    "spot": pa.array(np.arange(-1, len(sums) - 1, dtype=np.int32)),
+                    "n": pa.array(sums),
+                }
+            )
+
+    sums = met.select("bin", "visited").mapInArrow(run, "bin int, spot int, n bigint").groupBy("bin", "spot")
+    table = sums.agg(F.sum("n").alias("n")).toArrow()
+    bin_, spot, n = (table[c].to_numpy() for c in ("bin", "spot", "n"))
+    asking, visits = np.zeros(len(bins.begin), np.int64), np.zeros(len(cells.ids), np.int64)
+    asking[bin_[spot < 0]] = n[spot < 0]
+    place = bins.begin[bin_] + spot
+    # Bits beyond the last cell are never set; a cell in several bins counts in its first.
+    counts = (spot >= 0) & (place < bins.end[bin_])
+    counts[counts] = bins.first[place[counts]] == bin_[counts]
+    visits[place[counts]] = n[counts]
+    return asking, visits
 
-    A cell with many rows is cut into slices of ``size``, one with many queries into blocks of them; every slice
-    meets every block in a part of its own.  One row per cell reaches the driver.
+
+def meet_cells(
+    rows: DataFrame,
+    met: DataFrame,
+    cells: CellSet,
+    bins: Bins,
+    k: int,
+    metric: str,
+    with_cosine: bool,
+    dim: int,
+    part_queries: int,
+) -> tuple[DataFrame, np.ndarray]:
+    """Best ``k`` rows per query and part, for queries ``(query_id, vector, bin, visited)``; and the visits by cell.
+
+    A query is sent once to each bin that has one of its cells, not to each cell.  A bin with many queries is cut into
+    blocks of them, which all meet its rows, each in a part of its own.  One row per cell reaches the driver.
     """
-    asking = {r["cell"]: r["n"] for r in met.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    parts, total = [], 0
-    for cell, n_rows in zip(cells.ids.tolist(), cells.n_rows.tolist()):
-        if n_rows and cell in asking:
-            slices, blocks = math.ceil(n_rows / size), math.ceil(asking[cell] / part_queries)
-            parts.append((cell, total, slices, blocks))
-            total += slices * blocks
-    plan = F.broadcast(small_frame(rows.sparkSession, parts, "cell int, first_part long, slices long, blocks long"))
-
-    def number(slice_, block):
-        return F.col("first_part") + slice_ * F.col("blocks") + block
-
-    cut = rows.join(plan, "cell").withColumn("block", every(F.col("blocks")))
-    cut = cut.withColumn("part", number(turn_of("node_id", F.col("slices")), F.col("block")))
-    cut = cut.drop("cell", "first_part", "slices", "blocks", "block")
-    spread = met.join(plan, "cell").withColumn("slice", every(F.col("slices")))
-    spread = spread.withColumn("part", number(F.col("slice"), turn_of("query_id", F.col("blocks"))))
-    spread = spread.select("query_id", "vector", "part")
-    return meet_in_parts(cut, spread, max(total, 1), k, metric, with_cosine, dim)
+    spark = rows.sparkSession
+    asking, visits = _visits(met, cells, bins)
+    blocks = -(-asking // part_queries)
+    first_part = np.cumsum(blocks) - blocks
+    used = np.flatnonzero(visits)
+    homes = small_frame(
+        spark,
+        zip(*(x[used].tolist() for x in (cells.ids, np.arange(len(cells.ids)), bins.first, bins.count))),
+        "cell int, place int, first_bin long, bins long",
+    )
+    numbers = np.flatnonzero(blocks)
+    plan = small_frame(
+        spark, zip(*(x[numbers].tolist() for x in (np.arange(len(blocks)), bins.begin, first_part, blocks))),
+        "bin int, begin int, first_part long, blocks long",
+    )
+    home = (F.col("first_bin") + turn_of("node_id", F.col("bins"))).cast("int")
+    cut = rows.join(F.broadcast(homes), "cell").withColumn("bin", home).join(F.broadcast(plan), "bin")
+    cut = cut.withColumn("block", every(F.col("blocks"))).withColumn("part", F.col("first_part") + F.col("block"))
+    cut = cut.withColumn("spot", F.col("place") - F.col("begin"))
+    cut = cut.drop("cell", "place", "first_bin", "bins", "bin", "begin", "first_part", "blocks", "block")
+    spread = met.join(F.broadcast(plan), "bin")
+    spread = spread.withColumn("part", F.col("first_part") + turn_of("query_id", F.col("blocks")))
+    spread = spread.select("query_id", "vector", "part", "visited")
+    return meet_in_parts(cut, spread, max(int(blocks.sum()), 1), k, metric, with_cosine, dim), visits
 
 
 def cell_ranks(truth: DataFrame, cells: CellSet) -> DataFrame:

@@ -29,9 +29,14 @@ from nearspan.functions.distance import norm
 from nearspan.functions.filters import FilterGroup, MetaFilter, predicate
 from nearspan.operators.cells import (
     MAX_CENTROID_BYTES,
+    Bins,
     CellSet,
     Found,
+    MATRIX_CELLS,
+    bins_of,
     cell_ranks,
+    dealt,
+    dealt_schema,
     gather_cells,
     meet_cells,
     radius_of,
@@ -42,7 +47,6 @@ from nearspan.operators.kernel import Block, NearestRows, matrix
 from nearspan.operators.knn import (
     MAX_SENT_QUERIES,
     PART_QUERIES,
-    SLICE_BYTES,
     check_queries,
     finish,
     gather_queries,
@@ -349,10 +353,10 @@ def search_index(
         found = scan_with_queries(needed, sent, id_type, k, metric, with_cosine, wanted)
         return finish(keep_nearest(found, k), metric, qid, "node_id")
     dim = check_queries(asked)
-    size = slice_rows or max(1, SLICE_BYTES // (4 * dim))
-    met = assign_cells(asked, centroids, probes, "vector", metric, asking=True).drop("probe")
     cells = gather_cells(index.cells(), metric)
-    found = meet_cells(rows, met, cells, k, metric, with_cosine, dim, size, part_queries)
+    bins = bins_of(cells, dim, slice_rows, index.spark.sparkContext.defaultParallelism)
+    met = _probing(asked, cells, bins, probes, metric)
+    found, _ = meet_cells(rows, met, cells, bins, k, metric, with_cosine, dim, part_queries)
     return finish(keep_nearest(found, k), metric, qid, "node_id")
 
 
@@ -545,8 +549,8 @@ def pivot_join(
     """The exact neighbour join with the corpus split around pivots, for many queries on clustered vectors.
 
     Pivots are rows of the corpus, chosen by hash; every row goes to its nearest pivot, once.  A query goes only to
-    the pivots whose rows can be among its ``k`` nearest, so what is moved is the corpus and the ``visits``, not
-    queries times slices.
+    the pivots whose rows can be among its ``k`` nearest, and is moved once for each bin of pivots that has one, so it
+    is compared with the rows of its ``visits`` alone.
     """
     spark = corpus.sparkSession
     rows = corpus.where(F.col(embedding).isNotNull())
@@ -575,12 +579,35 @@ def _probe_lists(sent: pa.Table, centroids: DataFrame, probes: int, metric: str)
     near_metric, probes = _cell_metric(metric, True), min(probes, len(cells))
     near = NearestRows(matrix(sent["vector"]), probes, near_metric)
     near.offer(Block(centres, pa.table({"node_id": pa.array(cells)}), probes, near_metric))
-    if near.best is None:
+    best = near.best
+    if best is None:
         return {}
-    chosen, query = near.best["node_id"].to_numpy(), near.best["query"].to_numpy()
+    chosen, query = best["node_id"].to_numpy(), best["query"].to_numpy()
     return {int(c): np.sort(query[chosen == c]) for c in np.unique(chosen)}
 
 
+def _probing(asked: DataFrame, cells: CellSet, bins: Bins, probes: int, metric: str) -> DataFrame:
+    """Rows ``(query_id, vector, bin, visited)`` for the ``probes`` nearest cells of all queries, without a shuffle."""
+    payload = asked.sparkSession.sparkContext.broadcast((cells, bins))
+    near_metric, probes = _cell_metric(metric, True), min(probes, len(cells.ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, bins = payload.value
+        targets = Block(cells.centres, pa.table({"node_id": pa.array(cells.ids)}), probes, near_metric)
+        step = max(1, MATRIX_CELLS // len(cells.ids))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                vectors = matrix(batch.column("vector").slice(at, step), cells.centres.shape[1])
+                near = NearestRows(vectors, probes, near_metric)
+                near.offer(targets)
+                chosen = np.zeros((len(vectors), len(cells.ids)), bool)
+                best = near.best
+                chosen[best["query"].to_numpy(), np.searchsorted(cells.ids, best["node_id"].to_numpy())] = True
+                yield from dealt(batch, chosen & (cells.n_rows > 0), at, bins)
+
+    return asked.mapInArrow(run, dealt_schema(asked))
+
+
 def index_stats(index: IvfIndex, corpus_rows: int | None = None) -> DataFrame:
     """Rows per cell, empty cells included, and optionally how many rows are not in the index."""
     cells = index.cells().select("cell", "n_rows")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from nearspan import FilterGroup, MetaColumn, MetaFilter, TableConfig, VectorStore, nearest_join
 from nearspan.functions import synopsis
 from nearspan.functions.filters import predicate
-from nearspan.operators import ivf
+from nearspan.operators import cells, ivf
 from nearspan.operators.lsh import nearest_by_projection
 from nearspan.schema import METRICS
 from nearspan.session import scratch_path
@@ -260,3 +260,27 @@ def test_store_serves_filters_and_writes_from_the_index(spark, monkeypatch):
     agree(MetaFilter("lang", "en"))
     assert len(calls) >= 10
     assert store.find_index().rows_of() == store.count()
+
+
+@pytest.mark.parametrize("probes", [None, 5])
+def test_queries_are_sent_once_per_bin_and_not_per_cell(spark, monkeypatch, probes):
+    corpus = np.random.default_rng(6).normal(size=(400, 6))
+    index = ivf.build_index(as_frame(spark, corpus), scratch_path(spark, "index"), n_cells=40)
+    sent, meet = [], cells.meet_in_parts
+    monkeypatch.setattr(cells, "meet_in_parts", lambda cut, spread, *rest: sent.append(spread.count()) or meet(cut, spread, *rest))
+    asked, spread = as_queries(spark, corpus), {"max_sent": 0, "slice_rows": 200}
+    if probes is None:
+        found = ivf.search_bounded(index, asked, 4, **spread)
+        assert collected(found) == sorted(brute(corpus, corpus, 4, "cosine"))
+    else:
+        found = ivf.search_index(index, asked, 4, probes, **spread)
+        assert collected(found) == collected(ivf.search_index(index, asked, 4, probes))
+    # Two bins hold the rows; before, a query was sent to each of its cells.
+    assert all(n <= 2 * len(corpus) for n in sent)
+
+
+def test_cells_over_several_bins():
+    held = cells.CellSet(np.arange(6), np.zeros((6, 2)), np.array([0, 5, 90, 0, 5, 0]), np.zeros(6), "euclidean")
+    bins = cells.bins_of(held, 2, 25, 8)
+    assert bins.first.tolist() == [0, 0, 0, 3, 3, 3] and bins.count.tolist() == [1, 1, 4, 1, 1, 1]
+    assert bins.begin.tolist() == [0, 2, 2, 2] and bins.end.tolist() == [3, 3, 3, 6]

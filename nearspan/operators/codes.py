@@ -1,10 +1,11 @@
 """Compressed codes of an index's rows: residual product quantisation and exact re-ranking.
 
 A row's difference from its centroid is cut into subspaces, each replaced by the nearest of 256 learnt vectors.  A
-search reads the codes in place of the vectors: per query one table of products with all learnt vectors gives the
-distance to every coded row by look-ups.  Codes keep how far off they are, so each look-up gives bounds, too.  An
-exact search finds the k-th least upper bound in one pass over the codes and the rows that may lie below it in a
-second; only these meet their vectors.  An approximate one re-ranks a fixed number of rows per query.
+search reads the codes in place of the vectors: what they stand for gives the distance to every coded row by products.
+Codes keep how far off they are, so each distance gives bounds, too.  An exact search finds the k-th least upper bound
+of every query in one pass over the codes, and in a second the rows that may lie below that of any query and which
+queries may have such rows in which cells; only these rows meet their vectors, and only those queries.  Pairs of query
+and row are never listed.  An approximate one re-ranks a fixed number of rows per query.
 
 Rows without a defined distance, and rows with values that are not finite, are re-ranked by the exact search always.
 """
@@ -17,14 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearspan.functions.distance import distance
 from nearspan.operators.ivf import IvfIndex, _gather_centroids, unit
-from nearspan.operators.kernel import matrix
-from nearspan.operators.knn import MAX_SENT_QUERIES, finish, gather_queries, keep_nearest, nearest_join
+from nearspan.operators.kernel import kth_of_minima, matrix
+from nearspan.operators.knn import MAX_SENT_QUERIES, finish, gather_queries, keep_nearest, nearest_join, scan_with_queries
 from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import check_count
 from nearspan.session import scratch_path, small_frame
@@ -157,41 +159,58 @@ def _nearest(points: np.ndarray, book: np.ndarray, size: int = 8192) -> np.ndarr
     return np.concatenate([np.zeros(0, np.int64), *found])
 
 
-class _Tables:
-    """What a task knows of the queries: products with the centroids and with all learnt vectors."""
+class _Queries:
+    """What a task knows of the queries, and of what the codes stand for."""
 
     def __init__(self, queries: np.ndarray, books: list[np.ndarray], cells: np.ndarray, centres: np.ndarray, metric: str):
-        self.metric, self.cells = metric, cells
-        centres = centres.astype(np.float64)
+        self.metric, self.cells, self.books = metric, cells, books
+        self.centres = centres.astype(np.float64)
         queries = queries.astype(np.float64)
         length = np.sqrt((queries * queries).sum(axis=1))
         if metric == "cosine":
             with np.errstate(divide="ignore", invalid="ignore"):
                 queries = np.where(length[:, None] > 0, queries / length[:, None], np.nan)
             length = np.where(length > 0, 1.0, np.nan)
-        self.length, self.centre_square = length, (centres * centres).sum(axis=1)
-        self.centre_product = queries @ centres.T
-        at = np.cumsum([0, *(b.shape[1] for b in books)])
-        self.products = [queries[:, a:b] @ book.T for a, b, book in zip(at, at[1:], books)]
+        self.queries, self.length, self.centre_square = queries, length, (self.centres * self.centres).sum(axis=1)
 
-    def bounds(self, some: slice, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """Distance of each query to each coded row, and by how much the row's own may differ; not finite if unknown."""
+    def __len__(self) -> int:
+        return len(self.queries)
+
+    def bounds(self, batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """For some queries after others: distance of each to each coded row, and by how much the row's own may differ.
+
+        Not finite if unknown.
+        """
         codes = batch.column("code")
         ends = np.frombuffer(codes.buffers()[1], np.int32)[codes.offset : codes.offset + len(codes) + 1]
         codes = np.frombuffer(codes.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(len(codes), -1)
         cell = np.searchsorted(self.cells, batch.column("cell").to_numpy())
         term, error = batch.column("term").to_numpy(), batch.column("error").to_numpy().astype(np.float64)
-        product = self.centre_product[some][:, cell]
-        for i, table in enumerate(self.products):
-            product = product + table[some][:, codes[:, i]]
+        near = np.concatenate([book[codes[:, i]] for i, book in enumerate(self.books)], axis=1) + self.centres[cell]
         square = self.centre_square[cell] + term
-        size, length = np.sqrt(np.maximum(square, 0)), self.length[some][:, None]
-        if self.metric == "euclidean":
-            gap = np.sqrt(np.maximum(length**2 + square - 2 * product, 0))
-            # The square root of a rounded difference is off by the root of the rounding.
-            return gap, error + SLACK * (length + size)
-        # An undefined row makes the product undefined, too.
-        return term * 0 - product, length * (error + SLACK * (size + error + 1))
+        size = np.sqrt(np.maximum(square, 0))
+        for at in range(0, len(self), QUERY_CHUNK):
+            some = slice(at, at + QUERY_CHUNK)
+            length = self.length[some][:, None]
+            with np.errstate(invalid="ignore", over="ignore"):
+                product = self.queries[some] @ near.T
+                if self.metric == "euclidean":
+                    gap = np.sqrt(np.maximum(length**2 + square - 2 * product, 0))
+                    # The square root of a rounded difference is off by the root of the rounding.
+                    yield some, gap, error + SLACK * (length + size)
+                else:
+                    # An undefined row makes the product undefined, too.
+                    yield some, term * 0 - product, length * (error + SLACK * (size + error + 1))
+
+
+def _shared(coded: CodedIndex, sent: pa.Table):
+    metric = coded.index.info().first()["metric_type"]
+    known = (matrix(sent["vector"]), coded.books(), *_gather_centroids(coded.index.centroids()), metric)
+    return coded.spark.sparkContext.broadcast(known)
+
+
+def _lower(gap: np.ndarray, off: np.ndarray) -> np.ndarray:
+    return np.where(np.isfinite(gap) & np.isfinite(off), gap - off, -np.inf)
 
 
 def _scan(coded: CodedIndex, sent: pa.Table, limit: int, upper: bool, most: np.ndarray | None = None) -> DataFrame:
@@ -200,34 +219,29 @@ def _scan(coded: CodedIndex, sent: pa.Table, limit: int, upper: bool, most: np.n
     Without ``most`` those that may be among the ``limit`` least of a query by distance, or by its upper bound; with it
     all whose lower bound is at most the query's.
     """
-    metric = coded.index.info().first()["metric_type"]
-    queries = matrix(sent["vector"])
-    payload = coded.spark.sparkContext.broadcast((queries, coded.books(), *_gather_centroids(coded.index.centroids()), metric))
+    payload = _shared(coded, sent)
     rows = coded.rows().select("node_id", F.col("code"), "term", "error", "cell")
     schema = T.StructType().add("asked", "integer").add(rows.schema["node_id"]).add("cell", "integer").add("distance", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _Tables(*payload.value)
+        queries = _Queries(*payload.value)
         best = np.full((len(queries) if most is None else 0, limit), np.inf)
         for batch in batches:
-            for at in range(0, len(payload.value[0]) if batch.num_rows else 0, QUERY_CHUNK):
-                some = slice(at, at + QUERY_CHUNK)
-                with np.errstate(invalid="ignore", over="ignore"):
-                    gap, off = tables.bounds(some, batch)
+            for some, gap, off in queries.bounds(batch) if batch.num_rows else ():
+                if most is None:
                     known = np.isfinite(gap) & np.isfinite(off)
-                    if most is None:
-                        value = np.where(known, gap + off if upper else gap, np.inf)
-                        joined = np.concatenate([best[some], value], axis=1)
-                        best[some] = np.partition(joined, limit - 1, axis=1)[:, :limit]
-                        hit = value <= best[some].max(axis=1)[:, None]
-                    else:
-                        value = np.where(known, gap - off, -np.inf)
-                        hit = value <= most[some][:, None]
+                    value = np.where(known, gap + off if upper else gap, np.inf)
+                    joined = np.concatenate([best[some], value], axis=1)
+                    best[some] = np.partition(joined, limit - 1, axis=1)[:, :limit]
+                    hit = value <= best[some].max(axis=1)[:, None]
+                else:
+                    value = _lower(gap, off)
+                    hit = value <= most[some][:, None]
                 asked, row = np.nonzero(hit)
                 picked = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((asked + at).astype(np.int32)),
+                        pa.array((asked + some.start).astype(np.int32)),
                         batch.column("node_id").take(picked),
                         batch.column("cell").take(picked),
                         pa.array(value[asked, row]),
@@ -238,15 +252,97 @@ def _scan(coded: CodedIndex, sent: pa.Table, limit: int, upper: bool, most: np.n
     return rows.mapInArrow(run, schema)
 
 
+def _limits(coded: CodedIndex, sent: pa.Table, k: int) -> np.ndarray:
+    """The k-th least upper bound of each query's distances; infinite if fewer rows have one.
+
+    A task sends ``k`` numbers per query.
+    """
+    payload = _shared(coded, sent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = _Queries(*payload.value)
+        best = np.full((len(queries), k), np.inf)
+        for batch in batches:
+            for some, gap, off in queries.bounds(batch) if batch.num_rows else ():
+                value = gap + off
+                value[~np.isfinite(value)] = np.inf
+                limit = best[some].max(axis=1)
+                if value.shape[1] > k:
+                    limit = np.minimum(limit, kth_of_minima(value, k))
+                spot = np.flatnonzero((value <= limit[:, None]) & (value < np.inf))
+                if not len(spot):
+                    continue
+                held = best[some]
+                asked = np.r_[spot // value.shape[1], np.repeat(np.arange(len(held)), k)]
+                least = np.r_[value.ravel()[spot], held.ravel()]
+                order = np.lexsort((least, asked))
+                first = np.searchsorted(asked[order], np.arange(len(held)))
+                best[some] = least[order][first[:, None] + np.arange(k)]
+        asked, place = np.nonzero(best < np.inf)
+        for at in range(0, len(asked), 10_000):
+            part = slice(at, at + 10_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(asked[part].astype(np.int32)), pa.array(best[asked[part], place[part]])], ["asked", "distance"]
+            )
+
+    rows = coded.rows().select("code", "term", "error", "cell")
+    turn = F.row_number().over(Window.partitionBy("asked").orderBy("distance"))
+    last = rows.mapInArrow(run, "asked int, distance double").withColumn("turn", turn).where(F.col("turn") == k).toArrow()
+    most = np.full(sent.num_rows, np.inf)
+    most[last["asked"].to_numpy()] = last["distance"].to_numpy()
+    return most
+
+
+def _admitted(coded: CodedIndex, sent: pa.Table, most: np.ndarray) -> tuple[DataFrame, dict[int, np.ndarray]]:
+    """The rows ``(cell, node_id)`` with a lower bound of at most that of any query; per cell the queries with such rows.
+
+    One map of the queries per cell and task reaches the driver.
+    """
+    payload = _shared(coded, sent)
+    rows = coded.rows().select("node_id", "code", "term", "error", "cell")
+    schema = T.StructType().add("cell", "integer").add(rows.schema["node_id"]).add("asking", "binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = _Queries(*payload.value)
+        asking: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            order = pc.sort_indices(batch.column("cell"))
+            batch = batch.take(order)
+            cells, starts = np.unique(batch.column("cell").to_numpy(), return_index=True)
+            wanted = np.zeros(batch.num_rows, bool)
+            for some, gap, off in queries.bounds(batch):
+                hit = _lower(gap, off) <= most[some][:, None]
+                wanted |= hit.any(axis=0)
+                for cell, marks in zip(cells.tolist(), np.logical_or.reduceat(hit, starts, axis=1).T):
+                    if marks.any():
+                        asking.setdefault(cell, np.zeros(len(queries), bool))[some] |= marks
+            kept = batch.filter(pa.array(wanted))
+            none = pa.nulls(kept.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([kept.column("cell"), kept.column("node_id"), none], schema.names)
+        for cell, marks in asking.items():
+            ids = pa.nulls(1, batch.column("node_id").type)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([cell], pa.int32()), ids, pa.array([np.packbits(marks).tobytes()])], schema.names
+            )
+
+    path = scratch_path(coded.spark, "admitted")
+    rows.mapInArrow(run, schema).write.parquet(path)
+    written = coded.spark.read.schema(schema).parquet(path)
+    maps: dict[int, np.ndarray] = {}
+    for row in written.where("asking IS NOT NULL").select("cell", "asking").collect():
+        bits = np.frombuffer(row["asking"], np.uint8)
+        maps[row["cell"]] = maps.get(row["cell"], 0) | bits
+    listed = written.where("asking IS NULL").select("cell", "node_id").distinct()
+    return listed, {c: np.flatnonzero(np.unpackbits(bits, count=sent.num_rows)) for c, bits in maps.items()}
+
+
 def _shortlist(coded: CodedIndex, sent: pa.Table, k: int, rerank: int | None) -> DataFrame:
+    """``asked, node_id, cell`` of the rows that a query re-ranks, or all that its bounds admit."""
     if rerank is not None:
         return keep_nearest(_scan(coded, sent, rerank, upper=False), rerank, ["asked"])
-    least = keep_nearest(_scan(coded, sent, k, upper=True), k, ["asked"])
-    most = np.full(sent.num_rows, np.inf)
-    for row in least.groupBy("asked").agg(F.max("distance").alias("d"), F.count("*").alias("n")).collect():
-        if row["n"] == k:
-            most[row["asked"]] = row["d"]
-    return _scan(coded, sent, k, upper=False, most=most)
+    return _scan(coded, sent, k, upper=False, most=_limits(coded, sent, k))
 
 
 def search_codes(
@@ -294,6 +390,18 @@ def _search_block(coded: CodedIndex, asked: DataFrame, k: int, rerank: int | Non
     numbers = pa.table({"asked": np.arange(sent.num_rows, dtype=np.int32), "query_id": sent["query_id"], "vector": sent["vector"]})
     known = T.StructType([T.StructField("asked", T.IntegerType()), *asked.schema.fields])
     numbered = coded.spark.createDataFrame(numbers, known)
+    if rerank is None:
+        listed, asking = _admitted(coded, sent, _limits(coded, sent, k))
+        rows = coded.index.rows().select("cell", "node_id", F.col("embedding").alias("vector"))
+        rows = rows.join(broadcast_if_small(listed), ["cell", "node_id"], "left_semi")
+        by_number = pa.table({"query_id": numbers["asked"], "vector": numbers["vector"]})
+        met = scan_with_queries(rows, by_number, T.IntegerType(), k, metric, False, asking)
+        best = keep_nearest(met, k).withColumnRenamed("query_id", "asked")
+        found = best.join(F.broadcast(numbered.select("asked", "query_id")), "asked")
+        # Written, so that what the tasks were sent can be given up before the next block.
+        path = scratch_path(coded.spark, "found")
+        found.select("query_id", "node_id", "distance", "rank").write.parquet(path)
+        return coded.spark.read.parquet(path)
     # Written once: its size is measured before it meets the vectors, and a scan is dearer than the list.
     path = scratch_path(coded.spark, "shortlist")
     _shortlist(coded, sent, k, rerank).select("asked", "node_id", "cell").distinct().write.parquet(path)

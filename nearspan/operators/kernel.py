@@ -207,7 +207,7 @@ class NearestRows:
         limit = known + error
         fresh = ~np.isfinite(bound)
         if fresh.any() and values.shape[1] > self.k:
-            limit[fresh] = _kth_of_minima(values if fresh.all() else values[fresh], self.k) + 2 * error[fresh]
+            limit[fresh] = kth_of_minima(values if fresh.all() else values[fresh], self.k) + 2 * error[fresh]
         return np.where(np.isnan(limit), np.inf, limit)
 
     def _merge(self) -> None:
@@ -246,7 +246,7 @@ class NearestRows:
         return pa.table(found).to_batches(max_chunksize=10_000)
 
 
-def _kth_of_minima(values: np.ndarray, k: int) -> np.ndarray:
+def kth_of_minima(values: np.ndarray, k: int) -> np.ndarray:
     """For each row a bound for its ``k``-th least value: columns are folded on one another while there are many.
 
     Values of minus infinity are unknown and don't count.

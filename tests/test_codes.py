@@ -61,3 +61,33 @@ def test_codes_and_changes(spark):
     for bad in ({"rerank": 0}, {"recall": 0.0}, {"rerank": 5, "recall": 0.9}):
         with pytest.raises(ValueError):
             codes.search_codes(coded(spark, corpus, n_cells=2), as_queries(spark, corpus[:1]), 3, **bad)
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_exact_search_lists_rows_and_no_pairs(spark, metric, monkeypatch):
+    corpus = np.random.default_rng(7).normal(size=(300, 6))
+    built = coded(spark, corpus, metric, subspaces=2)
+    listed, admit = [], codes._admitted
+
+    def admitted(*args):
+        rows, asking = admit(*args)
+        listed.append(rows.count())
+        return rows, asking
+
+    def pairs(*args, **options):
+        raise AssertionError("pairs of query and row are listed")
+
+    monkeypatch.setattr(codes, "_admitted", admitted)
+    monkeypatch.setattr(codes, "_scan", pairs)
+    found = codes.search_codes(built, as_queries(spark, corpus), 5, max_sent=120)
+    assert collected(found) == sorted(brute(corpus, corpus, 5, metric))
+    assert len(listed) == 3 and max(listed) <= 300
+
+
+def test_cells_that_no_bound_admits_meet_no_query(spark):
+    corpus = clustered(groups=40, each=50)
+    built = coded(spark, corpus, n_cells=20)
+    asked = as_queries(spark, corpus[::100]).select(F.col("qid").alias("query_id"), F.col("embedding").alias("vector"))
+    sent = ivf.gather_queries(asked)
+    rows, asking = codes._admitted(built, sent, codes._limits(built, sent, 5))
+    assert sum(map(len, asking.values())) < 0.2 * 20 * sent.num_rows and rows.count() <= len(corpus)

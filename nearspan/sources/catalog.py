@@ -168,14 +168,14 @@ def table_profile(tables: Mapping[str, DataFrame], distinct: str | None = None)
     """One row per column: type, rows, nulls, smallest and largest value; one pass per table.
 
     ``distinct="approx"`` adds an estimate of the distinct values from the same pass,
-    ``distinct="exact"`` a count, which shuffles every column.
+    ``distinct="exact"`` a count, which reads every column once more and shuffles its distinct values.
     """
     return reduce(DataFrame.unionByName, [_profile(name, table, distinct) for name, table in tables.items()])
 
 
 def _profile(name: str, table: DataFrame, distinct: str | None) -> DataFrame:
     names = [*PROFILE_COLUMNS, "n_distinct"] if distinct else PROFILE_COLUMNS
-    aggregates, entries = ["count(*) AS n_rows"], []
+    aggregates, entries, counted = ["count(*) AS n_rows"], [], []
     for i, field in enumerate(table.schema.fields):
         column = "`" + field.name.replace("`", "``") + "`"
         aggregates.append(f"count_if({column} IS NULL) AS nulls_{i}")
@@ -188,17 +188,24 @@ def _profile(name: str, table: DataFrame, distinct: str | None) -> DataFrame:
             text = "substring(string({end}_{i}), 1, 19)"
         if number or text:
             aggregates += [f"min({column}) AS min_{i}", f"max({column}) AS max_{i}"]
-        parts = [_quoted(field.name), _quoted(field.dataType.simpleString()), f"nulls_{i}"]
+        parts = [str(i), _quoted(field.name), _quoted(field.dataType.simpleString()), f"nulls_{i}"]
         parts += [(number or "double(NULL)").format(end=end, i=i) for end in ("min", "max")]
         parts += [(text or "string(NULL)").format(end=end, i=i) for end in ("min", "max")]
-        if distinct:
-            comparable = not isinstance(field.dataType, (T.MapType, T.VariantType))
-            count = f"approx_count_distinct({column})" if distinct == "approx" else f"count(DISTINCT {column})"
-            aggregates.append(f"{count if comparable else 'bigint(NULL)'} AS distinct_{i}")
+        comparable = not isinstance(field.dataType, (T.MapType, T.VariantType))
+        if distinct == "approx":
+            aggregates.append(f"{f'approx_count_distinct({column})' if comparable else 'bigint(NULL)'} AS distinct_{i}")
             parts.append(f"distinct_{i}")
-        entries.append("struct(" + ", ".join(f"{p} AS {n}" for p, n in zip(parts, names)) + ")")
+        elif distinct and comparable:
+            # One column at a time: counted together, every row would be sorted once per column.
+            values = table.select(F.expr(f"{column} AS value")).distinct()
+            counted.append(values.agg(F.lit(i).alias("place"), F.count("value").alias("n_distinct")))
+        entries.append("struct(" + ", ".join(f"{p} AS {n}" for p, n in zip(parts, ["place", *names])) + ")")
     counts = table.agg(*[F.expr(a) for a in aggregates])
     rows = counts.selectExpr("n_rows", f"inline(array({', '.join(entries)}))")
+    if counted:
+        rows = rows.join(F.broadcast(reduce(DataFrame.unionByName, counted)), "place", "left")
+    elif distinct == "exact":
+        rows = rows.withColumn("n_distinct", F.lit(None).cast("long"))
     texts = {f"{end}_text": shorten(F.col(f"{end}_text"), MAX_STRING_LENGTH) for end in ("min", "max")}
     return rows.withColumns({"table_name": F.lit(name), **texts}).select("table_name", *names, "n_rows")
 

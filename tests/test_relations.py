@@ -258,3 +258,16 @@ def test_damaged_files_are_told_apart(spark, tmp_path):
     assert list(tables) == ["good"] and seen.where("status = 'ok'").count() == 1
     profile = catalog.profile_folder(spark, str(tmp_path)).collect()
     assert {(r["table_name"], r["column_name"], r["n_rows"]) for r in profile} == {("good", c, 60_000) for c in rows.columns}
+
+
+def test_exact_distinct_counts_go_column_by_column(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", [1.0], {"k": 1}), (1, None, [1.0], None), (2, "b", None, {"k": 1})],
+        "x int, t string, v array<double>, m map<string,int>",
+    )
+    profile = catalog.table_profile({"t": rows}, "exact")
+    assert [r.n_distinct for r in profile.orderBy(F.expr("locate(column_name, 'xtvm')")).collect()] == [2, 2, 1, None]
+    # Counted in one aggregate, each row is repeated per column and, with texts, sorted whole.
+    assert "Expand" not in profile._jdf.queryExecution().toString()
+    only = catalog.table_profile({"t": rows.select("m")}, "exact")
+    assert [(r.n_rows, r.n_distinct) for r in only.collect()] == [(3, None)]

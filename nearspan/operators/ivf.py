@@ -154,7 +154,8 @@ def unit(embedding: str, metric: str):
     if metric != "cosine":
         return vector
     length = norm(vector)
-    scaled = F.transform(vector, lambda x: (x / length).cast("float"))
+    # The length is an element here, so that it is not computed anew for each value.
+    scaled = F.transform(F.array(length), lambda n: F.transform(vector, lambda x: (x / n).cast("float")))[0]
     return F.when(length > 0, scaled).otherwise(vector)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from nearspan.operators.ivf import unit
 from nearspan.operators.knn import (
+    MIN_SLICE_ROWS,
     PART_QUERIES,
     SLICE_BYTES,
     check_queries,
@@ -29,6 +30,7 @@ from nearspan.operators.sizing import broadcast_if_small
 from nearspan.schema import METRICS, check_count
 
 PARTS = 4_096
+PARTS_PER_CORE = 4
 
 
 def nearest_by_projection(
@@ -69,6 +71,9 @@ def nearest_by_projection(
         spots = model.transform(features).select(*keep, F.posexplode("hashes").alias("t", "h"))
         return spots.select(*keep, F.struct("t", vector_to_array("h")[0].cast("long").alias("h")).alias("bucket"))
 
+    # Queries of a large bucket are cut so that a core has several parts, and tasks are no fewer.
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    part_queries = min(part_queries, max(MIN_SLICE_ROWS, -(-tables * asked.count() // (PARTS_PER_CORE * cores))))
     # Only buckets that are too large for one task are listed; the others are one part each.
     placed, wanted = hashed(rows, ["node_id", "vector"]), hashed(asked, ["query_id", "vector"])
     slices = _large(placed, size, "slices")
@@ -84,7 +89,7 @@ def nearest_by_projection(
     cut = cut_up(placed, "node_id", *counts, ("slice", "block"))
     spread = cut_up(wanted, "query_id", *reversed(counts), ("block", "slice"))
     dim = asked.select(F.max(F.size("vector"))).first()[0]
-    found = meet_in_parts(cut, spread, parts, k, metric, False, dim)
+    found = meet_in_parts(cut, spread, max(parts, PARTS_PER_CORE * cores), k, metric, False, dim)
     # A row may share several buckets with a query.
     once = found.groupBy("query_id", "node_id").agg(F.min("distance").alias("distance"))
     return finish(keep_nearest(once, k), metric, qid, node_id)

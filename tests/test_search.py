@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from nearspan import nearest_diverse, nearest_join, nearest_to
 from nearspan.functions.distance import distance, similarity
 from nearspan.functions.vectors import decode_vector, dimension_audit, encode_vector, vector_fault
-from nearspan.operators import ivf, knn
+from nearspan.operators import ivf, knn, lsh
 from nearspan.operators.mmr import default_candidates, pick_diverse, rerank
 from nearspan.schema import METRICS
 from nearspan.session import scratch_path
@@ -311,3 +311,20 @@ def test_each_part_has_a_task_of_its_own(spark):
     asked = rows.select(F.col("node_id").alias("query_id"), "vector", "part")
     found = knn.meet_in_parts(rows, asked, 8, 1, "euclidean", False, 6)
     assert found.select(F.spark_partition_id()).distinct().count() == rows.select("part").distinct().count()
+
+
+def test_projection_join_has_parts_for_all_cores(spark, monkeypatch):
+    corpus = np.random.default_rng(5).normal(size=(200, 6))
+    seen, meet = [], lsh.meet_in_parts
+    monkeypatch.setattr(lsh, "MIN_SLICE_ROWS", 5)
+
+    def watched(cut, spread, parts, *rest):
+        seen.append((parts, spread.groupBy("part").count().agg(F.max("count")).first()[0]))
+        return meet(cut, spread, parts, *rest)
+
+    monkeypatch.setattr(lsh, "meet_in_parts", watched)
+    rows, asked = as_frame(spark, corpus), as_queries(spark, corpus)
+    found = lsh.nearest_by_projection(rows, asked, 5, tables=1, bucket_length=100.0, parts=1)
+    cores = spark.sparkContext.defaultParallelism
+    assert found.count() == 5 * 200
+    assert seen[0][0] == 4 * cores and seen[0][1] < 60

@@ -111,12 +111,13 @@ class IvfIndex:
 
         A row is gone if a later change names it and its cell.
         """
-        parts = [p.where(where) if where is not None else p for _, p in self._parts("rows")]
-        numbers = [n for n, _ in self._parts("rows")]
-        gone = [p.where(where) if where is not None else p for _, p in self._parts("gone")]
+        known, lost = self._parts("rows"), self._parts("gone")
+        parts = [p.where(where) if where is not None else p for _, p in known]
+        numbers = [n for n, _ in known]
+        gone = [p.where(where) if where is not None else p for _, p in lost]
         if not gone:
             return _united(parts)
-        marked = [p.withColumn("gone_by", F.lit(n)) for p, (n, _) in zip(gone, self._parts("gone"))]
+        marked = [p.withColumn("gone_by", F.lit(n)) for p, (n, _) in zip(gone, lost)]
         last = _united(marked).groupBy("node_id", "cell").agg(F.max("gone_by").alias("gone_by"))
         rows = _united([p.withColumn("added_by", F.lit(n)) for p, n in zip(parts, numbers)])
         joined = rows.join(broadcast_if_small(last), ["node_id", "cell"], "left")

@@ -128,9 +128,14 @@ class Block:
 
 
 class NearestRows:
-    """Running best ``k`` rows per query over the blocks of one partition."""
+    """Running best ``k`` rows per query over the blocks of one partition.
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str, with_cosine: bool = False):
+    Rows farther than a query's number in ``limits`` do not count.
+    """
+
+    def __init__(
+        self, queries: np.ndarray, k: int, metric: str, with_cosine: bool = False, limits: np.ndarray | None = None
+    ):
         self.queries = np.ascontiguousarray(queries)
         self.k = k
         self.metric = metric
@@ -141,7 +146,7 @@ class NearestRows:
             # A factor that is a power of two changes no rounding.
             self.screen = scaled.astype(np.float32) * np.float32(-2 if metric == "euclidean" else -1)
         self.sound = np.isfinite(self.screen).all(axis=1) & np.isfinite(self.norms)
-        self.bound = np.full(len(queries), np.inf)
+        self.bound = np.full(len(queries), np.inf) if limits is None else np.array(limits, np.float64)
         self.held: pa.Table | None = None
         self.waiting: list[pa.Table] = []
         self.n_waiting = 0

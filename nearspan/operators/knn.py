@@ -9,10 +9,11 @@ holds, and only the best ``k`` rows per query and task leave it.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,7 +135,7 @@ def gather_queries(asked: DataFrame, limit: int = MAX_SENT_QUERIES) -> pa.Table
     if asked.count() > limit:
         return None
     table = asked.toArrow()
-    lengths = {len(v) if v is not None else None for v in (x.as_py() for x in table["vector"])}
+    lengths = set(pc.unique(pc.list_value_length(table["vector"])).to_pylist())
     if None in lengths or len(lengths) > 1 or table["vector"].combine_chunks().flatten().null_count:
         raise ValueError(f"every query needs a vector of the same size, found sizes {lengths}")
     return table
@@ -163,23 +164,25 @@ def scan_with_queries(
     k: int,
     metric: str,
     with_cosine: bool = False,
-    probes: dict[int, np.ndarray] | None = None,
+    probes: Mapping[int, np.ndarray] | None = None,
+    limits: np.ndarray | None = None,
 ) -> DataFrame:
     """Best ``k`` rows per query and partition, with the bounded query table sent to every task.
 
-    With ``probes`` a row meets only the queries listed for its ``cell``.
+    With ``probes`` a row meets only the queries listed for its ``cell``.  With ``limits`` rows whose distance is
+    beyond a query's limit are left out.
     """
     names = [c for c in rows.columns if c not in ("vector", "cell")]
     schema = _result_schema(rows, id_type, ("vector", "cell"), with_cosine)
     if not sent.num_rows:
         return small_frame(rows.sparkSession, [], schema)
     payload = rows.sparkSession.sparkContext.broadcast(
-        (sent["query_id"].combine_chunks(), matrix(sent["vector"]), probes)
+        (sent["query_id"].combine_chunks(), matrix(sent["vector"]), probes, limits)
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, vectors, wanted = payload.value
-        near = NearestRows(vectors, k, metric, with_cosine)
+        qids, vectors, wanted, limits = payload.value
+        near = NearestRows(vectors, k, metric, with_cosine, limits)
         for batch in batches:
             table = pa.Table.from_batches([batch])
             values, kept = matrix(table["vector"], vectors.shape[1]), table.select(names)

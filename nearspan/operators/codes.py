@@ -293,7 +293,7 @@ class _Known:
         codes = coded.rows().select("node_id", "code", "term", "error", "cell").join(F.broadcast(homes), "cell")
         home = (F.col("first_bin") + turn_of("node_id", F.col("bins"))).cast("int")
         codes = codes.repartitionById(len(bins.begin), home).drop("first_bin", "bins").sortWithinPartitions("cell")
-        learnt = spark.sparkContext.broadcast((coded.books(), cells.ids, cells.centres.astype(np.float64), cells.metric))
+        learnt = spark.sparkContext.broadcast((coded.books(), cells.ids, cells.centres.astype(np.float64)))
         return _Known(cells, vectors, codes, learnt)
 
 
@@ -420,8 +420,8 @@ def _admitted(
     One map of the queries per cell and task reaches the driver.
     """
     known = known or _Known.of(coded)
-    learnt, metric = known.learnt, known.cells.metric
-    payload = coded.spark.sparkContext.broadcast(_Test(matrix(sent["vector"]), most, metric))
+    learnt = known.learnt
+    payload = coded.spark.sparkContext.broadcast(_Test(matrix(sent["vector"]), most, known.cells.metric))
     schema = T.StructType().add("cell", "integer").add(known.codes.schema["node_id"]).add("asking", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -442,7 +442,7 @@ def _admitted(
             cells, starts = np.unique(batch.column("cell").to_numpy(), return_index=True)
             # Rows come by cell: those of all cells but the last of a batch have been met.
             yield from maps([c for c in asking if c < cells[0]])
-            near, centre, error, sound = _decoded(batch, *learnt.value[:3])
+            near, centre, error, sound = _decoded(batch, *learnt.value)
             reach = lengths_of(near - centre) + error
             right, wanted = test.right(near, error), ~sound
             ends = np.r_[starts[1:], batch.num_rows]
@@ -464,6 +464,7 @@ def _admitted(
 
     path = scratch_path(coded.spark, "admitted")
     known.codes.mapInArrow(run, schema).write.parquet(path)
+    payload.destroy()
     written = coded.spark.read.schema(schema).parquet(path)
     bits: dict[int, np.ndarray] = {}
     table = written.where("asking IS NOT NULL").select("cell", "asking").toArrow()
@@ -565,7 +566,8 @@ def _search_block(
         listed, asking = _admitted(coded, sent, most, known)
         by_number = pa.table({"query_id": numbers["asked"], "vector": numbers["vector"]})
         # Rows beyond a query's limit leave no task; it gives way by more than a distance is rounded.
-        limits = most + (known.cells.metric == "cosine") + SLACK * (np.abs(most) + (known.cells.metric == "cosine"))
+        one = float(known.cells.metric == "cosine")
+        limits = most + one + SLACK * (np.abs(most) + one)
         rows = _admitted_vectors(known, listed)
         met = scan_with_queries(rows, by_number, T.IntegerType(), k, known.cells.metric, False, asking, limits)
         ids = coded.spark.createDataFrame(numbers.select(["asked", "query_id"]), T.StructType(fields.fields[:2]))
